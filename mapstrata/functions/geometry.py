@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -316,6 +316,24 @@ def bbox_columns(geom: Column | str) -> dict[str, Column]:
     }
 
 
+def with_bbox(df: DataFrame, geom: str) -> DataFrame:
+    """Add the extent columns, flattening each geometry once."""
+
+    def extent(points: Column) -> Column:
+        return F.struct(
+            F.array_min(points["x"]).alias("xmin"),
+            F.array_min(points["y"]).alias("ymin"),
+            F.array_max(points["x"]).alias("xmax"),
+            F.array_max(points["y"]).alias("ymax"),
+        )
+
+    kept = [c for c in df.columns if c not in BBOX_COLUMNS]
+    boxed = df.select(*[F.col(f"`{c}`") for c in kept], _let(st_points(geom), extent).alias("_box"))
+    return boxed.select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col("_box")[n].alias(n) for n in BBOX_COLUMNS]
+    )
+
+
 # --------------------------------------------------------------------------
 # Measures, planar and in the units of the coordinates
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mapstrata.functions.geometry import _col, _let
+from mapstrata.functions.geometry import GEOMETRY_TYPE, _col, _let
 
 LAMBERT_93 = 2154
 WGS_84 = 4326
@@ -92,17 +92,18 @@ def st_transform(geom: Column | str, target_srid: int = WGS_84) -> Column:
 
     Unknown (0) and equal SRIDs pass through; any other pair fails the query.
     """
-    geom = _col(geom)
+    return _let(_col(geom), lambda value: _transformed(value, target_srid))
+
+
+def _transformed(geom: Column, target_srid: int) -> Column:
     source = F.coalesce(geom["srid"], F.lit(0))
-    same = source.isin(0, target_srid)
+    keep = geom.isNull() | source.isin(0, target_srid)
     message = F.concat(
         F.lit("cannot convert EPSG:"), source.cast("string"), F.lit(f" to EPSG:{target_srid}")
     )
-    failed = F.raise_error(message).cast(
-        "struct<srid:int,kind:string,parts:array<array<array<struct<x:double,y:double>>>>>"
-    )
+    failed = F.raise_error(message).cast(GEOMETRY_TYPE)
     if target_srid != WGS_84:
-        return F.when(geom.isNull() | same, geom).otherwise(failed)
+        return F.when(keep, geom).otherwise(failed)
     projected = F.struct(
         F.lit(WGS_84).alias("srid"),
         geom["kind"].alias("kind"),
@@ -111,8 +112,4 @@ def st_transform(geom: Column | str, target_srid: int = WGS_84) -> Column:
             lambda part: F.transform(part, lambda ring: F.transform(ring, _project_point)),
         ).alias("parts"),
     )
-    return (
-        F.when(geom.isNull() | same, geom)
-        .when(source == LAMBERT_93, projected)
-        .otherwise(failed)
-    )
+    return F.when(keep, geom).when(source == LAMBERT_93, projected).otherwise(failed)
