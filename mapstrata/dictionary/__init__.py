@@ -23,6 +23,7 @@ logger = logging.getLogger(__name__)
 
 FOLDER = Path(__file__).parent
 COMMON = "common"
+EXTENT = "extent"
 LANGUAGES = ("en", "fr")
 # Table text of a layer the dictionary does not know.
 UNKNOWN_LAYER = {"en": "Map layer", "fr": "Couche"}
@@ -82,6 +83,13 @@ def column_descriptions(layer: str, lang: str = "en") -> dict[str, str]:
     return texts
 
 
+def extent_descriptions(lang: str = "en") -> dict[str, str]:
+    """Texts of the extent columns, which tables hold beside the source's."""
+    names = next(r["columns"] for r in _rows("themes.csv", FOLDER) if r["theme"] == EXTENT)
+    english = {r["column"]: r["en"] for r in _rows("columns.csv", FOLDER) if not r["layer"]}
+    return {n: french(n) if lang == "fr" else english[n] for n in names.split()}
+
+
 def table_description(layer: str, version: str, version_date: str = "", lang: str = "en") -> str:
     titles = layer_titles().get(layer)
     if titles is None:

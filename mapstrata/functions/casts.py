@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 # Spellings which a plain cast does not take.
 TIMESTAMP_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss.SSS", "yyyy/MM/dd'T'HH:mm:ss")
-DATE_FORMATS = ("yyyy/MM/dd",)
+DATE_FORMATS = ("yyyy/MM/dd", *TIMESTAMP_FORMATS)
 
 Cast = Callable[[Column], Column]
 

@@ -7,14 +7,16 @@ partitions: one dynamic-overwrite commit instead of a delete and an append.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+import threading
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mapstrata.dictionary import column_descriptions, table_description
+from mapstrata.dictionary import column_descriptions, extent_descriptions, table_description
 from mapstrata.functions.geometry import GEOMETRY_TYPE
 from mapstrata.settings import DEDUP_SUFFIX, TARGET_SRID, VERSION
 
@@ -25,6 +27,7 @@ PARTITION_COLUMN = "dept"
 CRS_PROPERTY = "crs"
 VERSION_PROPERTY = "bdtopo_version"
 EDITION_PROPERTY = "bdtopo_version_date"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 ENGINE_PROPERTY_PREFIXES = ("delta.", "option.")
 
 
@@ -67,16 +70,18 @@ def ensure_table(
     A text ``geometry`` field becomes the geometry struct.  Columns without
     an entry in the dictionary get no comment, only a warning in the log.
     """
-    texts = column_descriptions(layer, lang)
-    lines = []
+    texts = {**extent_descriptions(lang), **column_descriptions(layer, lang)}
+    lines, plain = [], []
     for f in schema.fields:
         kind = GEOMETRY_TYPE if f.name == "geometry" else f.dataType
         line = f"{quoted(f.name)} {kind.simpleString()}"
         if f.name in texts:
             line += f" COMMENT {literal(texts[f.name])}"
         else:
-            logger.warning("no description for column %s of layer %s", f.name, layer)
+            plain.append(f.name)
         lines.append(line)
+    if plain:
+        logger.warning("no description for columns %s of layer %s", ", ".join(plain), layer)
     properties = {CRS_PROPERTY: f"EPSG:{srid}"}
     if version:
         properties[VERSION_PROPERTY] = version
@@ -142,6 +147,30 @@ def append(df: DataFrame, table: str) -> None:
     in_table_order(df, table).write.insertInto(quoted(table))
 
 
+_overwrites = {"lock": threading.Lock(), "open": 0, "before": None}
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrites replace only the partitions they write.
+
+    A write to a catalog table takes this from the session setting only, so
+    it is set as long as any such write runs and put back after the last.
+    """
+    with _overwrites["lock"]:
+        if _overwrites["open"] == 0:
+            _overwrites["before"] = spark.conf.get(OVERWRITE_MODE)
+            spark.conf.set(OVERWRITE_MODE, "dynamic")
+        _overwrites["open"] += 1
+    try:
+        yield
+    finally:
+        with _overwrites["lock"]:
+            _overwrites["open"] -= 1
+            if _overwrites["open"] == 0:
+                spark.conf.set(OVERWRITE_MODE, _overwrites["before"])
+
+
 @dataclass
 class Replaced:
     """What one replacement wrote."""
@@ -175,9 +204,8 @@ def replace_departments(
         for i, dept in enumerate(departments)
     ]
     observed = rows.observe(seen, F.count(F.lit(1)).alias("total"), *counts)
-    observed.write.option("partitionOverwriteMode", "dynamic").insertInto(
-        quoted(table), overwrite=True
-    )
+    with dynamic_overwrite(spark):
+        observed.write.insertInto(quoted(table), overwrite=True)
     found = {dept: seen.get[f"d{i}"] for i, dept in enumerate(departments)}
     for dept, count in found.items():
         if count == 0:
