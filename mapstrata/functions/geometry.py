@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapstrata.functions.reuse import built_once
+
 POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 RING_TYPE = T.ArrayType(POINT_TYPE)
 PARTS_TYPE = T.ArrayType(T.ArrayType(RING_TYPE))
@@ -77,20 +79,32 @@ def st_point(x: Column | str, y: Column | str, srid: int = 0) -> Column:
 # WKT
 
 
+# Marks put between parts and between rings of a normalised body; neither may
+# occur in one, and a single plain character is split without a regex.
+_PART_MARK, _RING_MARK = "@", ";"
+
+
 def _parse_point(text: Column) -> Column:
     """``x y [z [m]]`` as a point; NULL unless there are two to four numbers."""
     return _let(
-        F.transform(F.split(F.trim(text), r"\s+"), lambda t: t.try_cast("double")),
-        lambda n: F.when(
-            F.size(n).between(2, 4) & ~F.exists(n, lambda v: v.isNull()),
-            F.struct(F.get(n, F.lit(0)).alias("x"), F.get(n, F.lit(1)).alias("y")),
+        F.split(text, " "),
+        lambda words: F.when(
+            F.size(words).between(2, 4)
+            & ~F.exists(F.slice(words, 3, 2), lambda w: w.try_cast("double").isNull()),
+            _let(
+                F.struct(
+                    F.get(words, F.lit(0)).try_cast("double").alias("x"),
+                    F.get(words, F.lit(1)).try_cast("double").alias("y"),
+                ),
+                lambda p: F.when(p["x"].isNotNull() & p["y"].isNotNull(), p),
+            ),
         ),
     )
 
 
 def _parse_rings(text: Column) -> Column:
     return F.transform(
-        F.split(text, r"\),\("), lambda ring: F.transform(F.split(ring, ","), _parse_point)
+        F.split(text, _RING_MARK), lambda ring: F.transform(F.split(ring, ","), _parse_point)
     )
 
 
@@ -106,27 +120,39 @@ def _parse_body(kind: Column, body: Column) -> Column:
             body.substr(F.lit(depth + 1), F.length(body) - 2 * depth),
         )
 
+    def marked(text: Column) -> Column:
+        return F.replace(text, F.lit("),("), F.lit(_RING_MARK))
+
+    def bare(text: Column) -> Column:
+        """A member of a MULTIPOINT with or without its parentheses."""
+        return F.when(
+            text.startswith("(") & text.endswith(")"), text.substr(F.lit(2), F.length(text) - 2)
+        ).otherwise(text)
+
     return (
         F.when(kind.isin("POINT", "LINESTRING"), F.array(_parse_rings(inner(1))))
-        .when(kind == "POLYGON", F.array(_parse_rings(inner(2))))
+        .when(kind == "POLYGON", F.array(_parse_rings(marked(inner(2)))))
         .when(
             kind == "MULTIPOINT",
-            F.transform(
-                F.split(inner(1), ","),
-                lambda p: F.array(F.array(_parse_point(F.regexp_replace(p, r"^\((.*)\)$", "$1")))),
-            ),
+            F.transform(F.split(inner(1), ","), lambda p: F.array(F.array(_parse_point(bare(p))))),
         )
         .when(
             kind == "MULTILINESTRING",
-            F.transform(F.split(inner(2), r"\),\("), lambda t: _parse_rings(t)),
+            F.transform(F.split(marked(inner(2)), _RING_MARK), lambda t: _parse_rings(t)),
         )
         .when(
             kind == "MULTIPOLYGON",
-            F.transform(F.split(inner(3), r"\)\),\(\("), lambda t: _parse_rings(t)),
+            F.transform(
+                F.split(
+                    marked(F.replace(inner(3), F.lit(")),(("), F.lit(_PART_MARK))), _PART_MARK
+                ),
+                lambda t: _parse_rings(t),
+            ),
         )
     )
 
 
+@built_once
 def st_geom_from_wkt(text: Column | str, srid: Column | int = 0) -> Column:
     """Parse WKT; anything that is not one of the six kinds becomes NULL.
 
@@ -136,29 +162,39 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0) -> Column:
     text = _col(text)
     srid = srid if isinstance(srid, Column) else F.lit(srid)
     head = r"^\s*(MULTIPOLYGON|MULTILINESTRING|MULTIPOINT|POLYGON|LINESTRING|POINT)\s*(?:ZM|Z|M)?\s*"
-    upper = F.upper(text)
-    kind = F.regexp_extract(upper, head + r"(?:EMPTY\s*$|\()", 1)
-    body = F.regexp_replace(F.regexp_replace(upper, head, ""), r"\s*([(),])\s*", "$1")
 
-    def parsed(k: Column) -> Column:
-        return _let(
-            F.rtrim(body),
-            lambda b: F.when(b == "EMPTY", F.array().cast(PARTS_TYPE)).when(
-                b.rlike(r"^\([-+0-9.E, ()]*\)$"), _parse_body(k, b)
-            ),
+    def normalised(upper: Column) -> Column:
+        """The text after its kind: no space around punctuation, one between
+        numbers."""
+        plain = F.regexp_replace(F.regexp_replace(upper, head, ""), r"\s+", " ")
+        for mark in "(),":
+            plain = F.replace(F.replace(plain, F.lit(mark + " "), F.lit(mark)), F.lit(" " + mark), F.lit(mark))
+        return F.rtrim(plain)
+
+    def parsed(kind: Column, body: Column) -> Column:
+        return F.when(body == "EMPTY", F.array().cast(PARTS_TYPE)).when(
+            body.rlike(r"^\([-+0-9.E, ()]*\)$"), _parse_body(kind, body)
         )
 
-    def checked(k: Column, parts: Column) -> Column:
+    def checked(kind: Column, parts: Column) -> Column:
         points = F.flatten(F.flatten(parts))
         whole = ~F.exists(points, lambda p: p.isNull())
         # One point in a POINT, one line per part in the line kinds.
-        single = F.when(k == "POINT", F.size(points) <= 1).otherwise(F.lit(True)) & F.when(
-            k.isin("POINT", *LINE_KINDS), ~F.exists(parts, lambda part: F.size(part) > 1)
+        single = F.when(kind == "POINT", F.size(points) <= 1).otherwise(F.lit(True)) & F.when(
+            kind.isin("POINT", *LINE_KINDS), ~F.exists(parts, lambda part: F.size(part) > 1)
         ).otherwise(F.lit(True))
-        return F.when(parts.isNotNull() & whole & single, make_geometry(srid, k, parts))
+        return F.when(parts.isNotNull() & whole & single, make_geometry(srid, kind, parts))
 
-    return F.when(
-        kind != "", _let(kind, lambda k: _let(parsed(k), lambda parts: checked(k, parts)))
+    def of_kind(kind: Column, upper: Column) -> Column:
+        parts = _let(normalised(upper), lambda body: parsed(kind, body))
+        return F.when(kind != "", _let(parts, lambda p: checked(kind, p)))
+
+    return _let(
+        F.upper(text),
+        lambda upper: _let(
+            F.regexp_extract(upper, head + r"(?:EMPTY\s*$|\()", 1),
+            lambda kind: of_kind(kind, upper),
+        ),
     )
 
 
@@ -209,6 +245,7 @@ def _coordinates_text(
     )
 
 
+@built_once
 def st_as_text(geom: Column | str, decimals: int = 9) -> Column:
     geom = _col(geom)
     body = _coordinates_text(
@@ -237,6 +274,7 @@ def _kind_name(geom: Column) -> Column:
     return names[geom["kind"]]
 
 
+@built_once
 def st_as_geojson(geom: Column | str, decimals: int = 9) -> Column:
     geom = _col(geom)
     body = _coordinates_text(
@@ -269,12 +307,14 @@ def st_as_geojson(geom: Column | str, decimals: int = 9) -> Column:
 # Accessors
 
 
+@built_once
 def st_srid(geom: Column | str) -> Column:
     """SRID, 0 when the geometry carries none; NULL for a NULL geometry."""
     geom = _col(geom)
     return F.when(geom.isNotNull(), F.coalesce(geom["srid"], F.lit(0)))
 
 
+@built_once
 def st_geometry_type(geom: Column | str) -> Column:
     geom = _col(geom)
     return F.when(geom.isNotNull(), F.concat(F.lit("ST_"), _kind_name(geom)))
@@ -285,6 +325,7 @@ def st_points(geom: Column | str) -> Column:
     return F.flatten(F.flatten(_col(geom)["parts"]))
 
 
+@built_once
 def st_npoints(geom: Column | str) -> Column:
     geom = _col(geom)
     return F.when(geom.isNotNull(), F.size(st_points(geom)))
@@ -382,6 +423,7 @@ def _sum(items: Column, each: Callable[[Column], Column]) -> Column:
     return F.aggregate(items, F.lit(0.0), lambda acc, item: acc + each(item))
 
 
+@built_once
 def st_area(geom: Column | str) -> Column:
     """Shell minus holes, summed over the parts; 0 for points and lines."""
     geom = _col(geom)
@@ -470,6 +512,7 @@ def _count_weights(geom: Column, origin: Column) -> Column:
     )
 
 
+@built_once
 def st_centroid(geom: Column | str) -> Column:
     """Weighted by area, else by length, else by count, as the kind allows.
 

@@ -8,12 +8,11 @@ thing stays one flat expression.  RGF93 and WGS84 are taken as equal.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from mapstrata.functions.geometry import GEOMETRY_TYPE, _col, _let
+from mapstrata.functions.reuse import built_once
 
 LAMBERT_93 = 2154
 WGS_84 = 4326
@@ -42,37 +41,39 @@ def _longitude(x: Column, y: Column) -> Column:
     return F.degrees(angle / CONE) + CENTRAL_MERIDIAN
 
 
-def _squared_exp_isometric(x: Column, y: Column) -> Column:
-    """``exp(2 q)`` with q the isometric latitude."""
+def _conformal_sine(x: Column, y: Column) -> Column:
+    """Sine of the conformal latitude: the hyperbolic tangent of the
+    isometric latitude."""
     dx, dy = x - FALSE_EASTING, F.lit(POLE_NORTHING) - y
-    return F.pow((dx * dx + dy * dy) / (RADIUS * RADIUS), F.lit(-1.0 / CONE))
+    return F.tanh(F.log((dx * dx + dy * dy) / (RADIUS * RADIUS)) * (-0.5 / CONE))
 
 
-def _latitude(v: Column) -> Column:
-    """Latitude from ``v = exp(2 q)``.
+def _latitude(s: Column) -> Column:
+    """Latitude from the sine ``s`` of the conformal latitude.
 
-    With chi the conformal latitude, sin chi = (v-1)/(v+1) and
-    cos chi = 2 sqrt(v)/(v+1), which saves the trigonometric calls.
+    The series in multiples of the conformal latitude, gathered by powers of
+    ``s``: an arc sine and a square root are its only costly steps.
     """
-    root = F.sqrt(v)
-    sine = (v - 1) / (v + 1)
-    sin_2chi = sine * root * 4 / (v + 1)
-    cos_2chi = F.lit(1.0) - sine * sine * 2
     a, b, c, d = SERIES
-    # sin 2k chi by the multiple-angle formulas, gathered by powers.
-    tail = (a - c) + cos_2chi * ((2 * b - 4 * d) + cos_2chi * (4 * c + cos_2chi * (8 * d)))
-    return F.degrees(F.atan(root) * 2 - math.pi / 2 + sin_2chi * tail)
+    # sin 2k chi = sin 2chi * U(cos 2chi), and cos 2chi = 1 - 2 s^2.
+    p0, p1, p2, p3 = a - c, 2 * b - 4 * d, 4 * c, 8 * d
+    q0, q1 = p0 + p1 + p2 + p3, -2 * p1 - 4 * p2 - 6 * p3
+    q2, q3 = 4 * p2 + 12 * p3, -8 * p3
+    square = s * s
+    tail = ((square * q3 + q2) * square + q1) * square + q0
+    return F.degrees(F.asin(s) + s * F.sqrt(F.lit(1.0) - square) * 2 * tail)
 
 
+@built_once
 def lambert93_to_wgs84(x: Column | str, y: Column | str) -> tuple[Column, Column]:
     """Longitude and latitude in degrees, for scalar columns."""
     x, y = _col(x), _col(y)
-    return _longitude(x, y), _latitude(_squared_exp_isometric(x, y))
+    return _longitude(x, y), _latitude(_conformal_sine(x, y))
 
 
 def _project_point(p: Column) -> Column:
     # Inside a lambda nothing shares subexpressions, so bind explicitly.
-    latitude = _let(_squared_exp_isometric(p["x"], p["y"]), _latitude)
+    latitude = _let(_conformal_sine(p["x"], p["y"]), _latitude)
     return F.struct(_longitude(p["x"], p["y"]).alias("x"), latitude.alias("y"))
 
 
@@ -87,6 +88,7 @@ def check_pair(source_srid: int, target_srid: int) -> None:
         )
 
 
+@built_once
 def st_transform(geom: Column | str, target_srid: int = WGS_84) -> Column:
     """Reproject by the SRID each geometry carries.
 

@@ -29,6 +29,7 @@ from mapstrata.functions.geometry import (
     point_in_parts,
     st_points,
 )
+from mapstrata.functions.reuse import built_once
 
 EXPRESSION_SEGMENTS = 32
 PAIR_BLOCK = 1 << 20
@@ -266,6 +267,7 @@ def _large_parts_sound(parts: pa.Array) -> pa.Array:
 # --------------------------------------------------------------------------
 
 
+@built_once
 def st_is_valid(geom: Column | str) -> Column:
     """NULL for a NULL geometry."""
     geom = F.col(geom) if isinstance(geom, str) else geom

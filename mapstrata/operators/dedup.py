@@ -116,7 +116,12 @@ def dedup_by_repeats(
     ).drop("_key")
     several = F.col("_repeated").isNotNull() | column.isNull()
     once = marked.filter(~several).drop("_repeated")
-    return once.unionByName(dedup(marked.filter(several).drop("_repeated"), key))
+    first = dedup(marked.filter(several).drop("_repeated"), key)
+    if PARTITION_COLUMN in df.columns:
+        # The rows that were shuffled by key would go to every department's
+        # folder from every task.
+        first = first.hint("rebalance", F.col(PARTITION_COLUMN))
+    return once.unionByName(first)
 
 
 def dedup_table(spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY) -> DedupStats:
@@ -135,6 +140,8 @@ def dedup_table(spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY)
         result = dedup_by_repeats(source, repeats, key, broadcast=True)
     else:
         result = dedup(source, key)
+        if PARTITION_COLUMN in source.columns:
+            result = result.hint("rebalance", F.col(PARTITION_COLUMN))
     writer = result.write.format("parquet").mode("overwrite")
     if PARTITION_COLUMN in source.columns:
         writer = writer.partitionBy(PARTITION_COLUMN)

@@ -109,6 +109,12 @@ def delete_department(spark: SparkSession, table: str, dept: str) -> None:
         )
 
 
+def held_departments(spark: SparkSession, table: str) -> set[str]:
+    """Departments a table has partitions for, from the catalog."""
+    rows = spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()
+    return {row["partition"].split("=", 1)[1] for row in rows}
+
+
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:
     """Add the columns of ``df`` which the table lacks; returns their names."""
     spark = df.sparkSession
@@ -207,8 +213,9 @@ def replace_departments(
     with dynamic_overwrite(spark):
         observed.write.insertInto(quoted(table), overwrite=True)
     found = {dept: seen.get[f"d{i}"] for i, dept in enumerate(departments)}
+    held = held_departments(spark, table)
     for dept, count in found.items():
-        if count == 0:
+        if count == 0 and dept in held:
             delete_department(spark, table, dept)
     return Replaced(seen.get["total"], found)
 

@@ -24,6 +24,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core rows to work on.
+
+    Only a table of fewer scan tasks than cores is shuffled, such as one that
+    lies in a single row group; a large one keeps its scan partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def _code(number: Column) -> Column:
     return F.concat(F.lit("D"), F.lpad(number.cast("string"), 3, "0"))
 
@@ -62,8 +74,7 @@ def with_point_geometry(df: DataFrame, srid: int = LAMBERT_93) -> DataFrame:
 def line_attributes(spark: SparkSession, folder: str) -> DataFrame:
     """One road section per order line.  Line numbers repeat within orders,
     so keys do too, in one department or several."""
-    item = table(spark, folder, "lineitem")
-    return item.select(
+    return table(spark, folder, "lineitem").select(
         F.concat(
             F.lit("LINE"),
             F.lpad(F.col("l_orderkey").cast("string"), 14, "0"),
@@ -95,7 +106,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Road sections of two to seven vertices."""
     ring = F.transform(F.sequence(F.lit(0), _vertex_count() - 1), _vertex)
     geometry = make_geometry(F.lit(LAMBERT_93), F.lit("LINESTRING"), F.array(F.array(ring)))
-    return line_attributes(spark, folder).withColumn("geometry", geometry)
+    return spread(line_attributes(spark, folder)).withColumn("geometry", geometry)
 
 
 def lines_as_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,7 +120,7 @@ def lines_as_text(spark: SparkSession, folder: str) -> DataFrame:
 
     steps = F.sequence(F.lit(0), _vertex_count() - 1)
     body = F.array_join(F.transform(steps, words), ", ")
-    return line_attributes(spark, folder).withColumn(
+    return spread(line_attributes(spark, folder)).withColumn(
         "wkt", F.concat(F.lit("LINESTRING ("), body, F.lit(")"))
     )
 
@@ -118,7 +129,7 @@ def areas(spark: SparkSession, folder: str, scale: int = 10) -> DataFrame:
     """One building per part: a rectangle, with a hole when the size is a
     multiple of five, or a bow-tie, which is not valid, for keys which are
     multiples of 97."""
-    part = table(spark, folder, "part")
+    part = spread(table(spark, folder, "part"))
     key = F.col("p_partkey")
     x0, y0 = _spread(key, 7919, 1000000, 100000), _spread(key, 104729, 900000, 6100000)
     w = (F.col("p_size") * scale).cast("double")

@@ -31,9 +31,13 @@ METRICS_SCHEMA = (
 @dataclass
 class LoadReport:
     run: str
-    rows: dict[str, int] = field(default_factory=dict)
+    layers: dict[str, tables.Replaced] = field(default_factory=dict)
     unknown_layers: list[str] = field(default_factory=list)
 
+    def rows(self) -> dict[str, int]:
+        """Rows written per layer."""
+        return {layer: replaced.rows for layer, replaced in self.layers.items()}
+
 
 def parse_departments(spark: SparkSession, request: str) -> list[str]:
     """The department codes of a request with their ``D``, 96 at most."""
@@ -64,7 +68,7 @@ def read_layer(
 
 
 def load_layer(
-    spark: SparkSession, path: str, layer: str, settings: LoadSettings, departments: list[str], run: str
+    spark: SparkSession, path: str, layer: str, settings: LoadSettings, departments: list[str]
 ) -> tables.Replaced:
     """Replace the departments' rows of one layer in its table.
 
@@ -97,16 +101,21 @@ def load_layer(
     ).filter(F.col("dept").isin(departments))
     # Geometries carry their own reference system out of the scan.
     typed = ingest(rows, schema, 0, settings.target_srid)
-    replaced = tables.replace_departments(typed, name, departments)
-    metrics = [
-        (run, layer, dept, count, settings.version, settings.version_date)
+    return tables.replace_departments(typed, name, departments)
+
+
+def record_metrics(spark: SparkSession, settings: LoadSettings, report: LoadReport) -> None:
+    """Append a run's row counts per layer and department in one write."""
+    rows = [
+        (report.run, layer, dept, count, settings.version, settings.version_date)
+        for layer, replaced in report.layers.items()
         for dept, count in replaced.rows_by_dept.items()
     ]
-    target = tables.full_table_name(settings.catalog, settings.schema, "", METRICS_TABLE)
-    spark.createDataFrame(metrics, METRICS_SCHEMA).coalesce(1).write.insertInto(
-        tables.quoted(target)
-    )
-    return replaced
+    name = tables.full_table_name(settings.catalog, settings.schema, "", METRICS_TABLE)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {tables.quoted(name)} ({METRICS_SCHEMA}) USING parquet")
+    if rows:
+        metrics = spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1)
+        metrics.write.insertInto(tables.quoted(name))
 
 
 def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
@@ -114,8 +123,6 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     departments = parse_departments(spark, settings.departments)
     schema = ".".join(p for p in (settings.catalog, settings.schema) if p)
     tables.create_schema(spark, schema)
-    metrics = tables.full_table_name(settings.catalog, settings.schema, "", METRICS_TABLE)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {tables.quoted(metrics)} ({METRICS_SCHEMA}) USING parquet")
     available = [
         row["layer"] for row in layer_listing(spark, path).select("layer").distinct().collect()
     ]
@@ -127,13 +134,14 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     chosen = [name for name in dict.fromkeys(wanted) if name in available]
 
     def one(layer: str) -> tables.Replaced:
-        return load_layer(spark, path, layer, settings, departments, report.run)
+        return load_layer(spark, path, layer, settings, departments)
 
     # Layers are few and independent; several at a time keep executors busy
     # while a layer finishes its last tasks.
     with ThreadPoolExecutor(settings.concurrent_layers) as pool:
         jobs = {layer: pool.submit(inheritable_thread_target(spark)(one), layer) for layer in chosen}
-        report.rows = {layer: job.result().rows for layer, job in jobs.items()}
+        report.layers = {layer: job.result() for layer, job in jobs.items()}
+    record_metrics(spark, settings, report)
     return report
 
 

@@ -205,7 +205,7 @@ def _functions(source: str, table: str, bad: str) -> str:
     """Function results: only the validity check can fail here."""
     rows = []
     for check in FUNCTION_CHECKS:
-        failing = f"count(*) FILTER (WHERE {bad})" if check == "st_isvalid" else "0"
+        failing = f"count(*) FILTER (WHERE {bad})" if check == "st_isvalid" else "count(*) * 0"
         rows.append(
             f"""SELECT '{check}' AS "check", {_quoted(table)} AS "table", {failing} = 0 AS ok,
             ({failing})::VARCHAR || ' rows fail' AS detail FROM {source}"""

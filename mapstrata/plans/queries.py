@@ -315,7 +315,7 @@ def table_metadata(spark: SparkSession, folder: str) -> DataFrame:
     tables.ensure_table(
         spark, name, rows.schema, features.AREA_LAYER, VERSION, VERSION_DATE, lang="fr"
     )
-    tables.append(rows, name)
+    tables.append(rows.hint("rebalance", F.col("dept")), name)
     dedups.dedup_table(spark, name, twin)
     found = tables.table_metadata(spark, twin)
     columns = [(c, F.lit(text), F.count(F.col(c))) for c, text in found.columns.items()]
@@ -706,7 +706,8 @@ def validate_report(spark: SparkSession, folder: str) -> DataFrame:
     for layer, df in frames.items():
         name = tables.full_table_name("", schema, TABLE_PREFIX, layer)
         tables.ensure_table(spark, name, df.schema, layer, VERSION, VERSION_DATE)
-        tables.append(df, name)
+        by_dept = df.hint("rebalance", F.col("dept")) if "dept" in df.columns else df
+        tables.append(by_dept, name)
     jobs.dedup(spark, LoadSettings(schema))
     return jobs.validate(spark, LoadSettings(schema), must_pass=False)
 
