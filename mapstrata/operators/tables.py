@@ -191,8 +191,10 @@ def replace_departments(
     """Replace all rows of the named departments by ``df`` and count them.
 
     One dynamic partition overwrite replaces the departments which have rows;
-    those which turn out to have none are dropped afterwards.  The counts come
-    from the write itself.  ``df`` must not read ``table``.
+    those which turn out to have none are dropped afterwards.  The write
+    itself tells which ones it met; their counts come from the footers of the
+    written files.  ``df`` must not read ``table``, and its rows should be of
+    the named departments only.
 
     ``rebalance`` shuffles by department first, splitting large departments
     and merging small ones; a scan whose tasks each hold one department does
@@ -202,22 +204,28 @@ def replace_departments(
     departments = list(dict.fromkeys(departments))
     add_missing_columns(df, table)
     rows = in_table_order(df, table)
+    dept = F.col(PARTITION_COLUMN)
     if rebalance:
-        rows = rows.hint("rebalance", F.col(PARTITION_COLUMN))
+        rows = rows.hint("rebalance", dept)
     seen = Observation()
-    counts = [
-        F.count_if(F.col(PARTITION_COLUMN) == dept).alias(f"d{i}")
-        for i, dept in enumerate(departments)
-    ]
-    observed = rows.observe(seen, F.count(F.lit(1)).alias("total"), *counts)
+    # One entry per department: as many as the table gets partitions.
+    observed = rows.observe(seen, F.collect_set(dept).alias("departments"))
     with dynamic_overwrite(spark):
         observed.write.insertInto(quoted(table), overwrite=True)
-    found = {dept: seen.get[f"d{i}"] for i, dept in enumerate(departments)}
+    written = set(seen.get["departments"])
     held = held_departments(spark, table)
-    for dept, count in found.items():
-        if count == 0 and dept in held:
-            delete_department(spark, table, dept)
-    return Replaced(seen.get["total"], found)
+    for name in departments:
+        if name in held and name not in written:
+            delete_department(spark, table, name)
+    counts = (
+        spark.table(quoted(table))
+        .filter(dept.isin(sorted(written)))
+        .groupBy(dept)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    found = dict.fromkeys(departments, 0)
+    found.update((row[PARTITION_COLUMN], row["n"]) for row in counts.collect())
+    return Replaced(sum(found.values()), found)
 
 
 # --------------------------------------------------------------------------

@@ -582,8 +582,7 @@ class _Container:
         columns = [_sqlite_values(batch.column(f.name), f.dataType) for f in self.fields]
         if self.has_geometry:
             names.append("geom")
-            shapes = batch.column(GEOMETRY_COLUMN).to_pylist()
-            columns.append([wkb.encode_gpkg(shape, self.srid) for shape in shapes])
+            columns.append(wkb.gpkg_blobs(batch.column(GEOMETRY_COLUMN), self.srid))
         marks = ", ".join("?" * len(names))
         listed = ", ".join(_name(n) for n in names)
         self.db.executemany(
