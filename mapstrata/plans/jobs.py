@@ -7,17 +7,19 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapstrata.functions.casts import ingestion_schema
 from mapstrata.functions.codes import department_code, requested_departments
 from mapstrata.operators import dedup as dedup_operators
 from mapstrata.operators import tables
-from mapstrata.operators.ingest import at_rest, ingest
+from mapstrata.operators.ingest import at_rest, bad_datetimes, date_like_columns, ingest
 from mapstrata.operators.validate import Suite, require_passed, validate_tables
-from mapstrata.settings import LoadSettings
+from mapstrata.settings import TARGET_SRID, LoadSettings
 from mapstrata.sources import gpkg, register
 
 logger = logging.getLogger(__name__)
@@ -145,6 +147,34 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     return report
 
 
+def write_frame(
+    spark: SparkSession,
+    frame: DataFrame | pd.DataFrame,
+    table: str,
+    schema: T.StructType | None = None,
+    source_srid: int = 0,
+    target_srid: int = TARGET_SRID,
+) -> None:
+    """Ingest any frame, a local pandas one included, and append it to a table."""
+    if isinstance(frame, pd.DataFrame):
+        in_flight = ingestion_schema(schema)[0] if schema is not None else None
+        frame = spark.createDataFrame(frame, schema=in_flight)
+    tables.append(ingest(frame, schema, source_srid, target_srid), table)
+
+
+def export_bad_datetimes(spark: SparkSession, path: str, layer: str, target: str) -> None:
+    """Copy the rows of a layer with impossible seconds to containers of their
+    own, for a closer look.  Date columns are those declared as such and text
+    columns named like one."""
+    rows = read_layer(spark, path, layer)
+    _, casts = ingestion_schema(gpkg.layer_schema(path, layer))
+    columns = list(dict.fromkeys([*casts, *date_like_columns(rows.schema)]))
+    srid = gpkg.open_layers(path, layer)[0].srid
+    bad = bad_datetimes(rows, columns).drop("bad_columns")
+    writer = bad.write.format("gpkg").mode("append").option("layer", layer)
+    writer.option("srid", srid).save(target)
+
+
 def dedup(spark: SparkSession, settings: LoadSettings, **options: str):
     """Deduplicate every table of the schema; an error when there is none."""
     stats = dedup_operators.dedup_tables(

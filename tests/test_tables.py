@@ -317,3 +317,57 @@ def test_dictionary():
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_write_frame(spark, database):
+    import pandas as pd
+
+    rest = T.StructType(
+        [
+            T.StructField("name", T.StringType()),
+            T.StructField("date_creation", T.DateType()),
+            T.StructField("geometry", T.StringType()),
+        ]
+    )
+    local = pd.DataFrame(
+        {"name": ["a"], "date_creation": ["1612-01-01"], "geometry": ["POINT (700000 6600000)"]}
+    )
+    jobs.write_frame(spark, local, f"{database}.t", rest, 2154)
+    jobs.write_frame(spark, pd.DataFrame({"name": ["b"]}), f"{database}.t")
+    rows = spark.table(f"{database}.t").orderBy("name").collect()
+    assert str(rows[0].date_creation) == "1612-01-01" and rows[0].geometry.srid == 4326
+    assert rows[1].geometry is None and rows[1].xmin is None
+
+
+def test_export_of_malformed_rows(spark, tmp_path):
+    stamps = ["2020-01-01T00:00:60Z", "2020-01-01T00:00:00Z", None]
+    rows = [(i + 1, point_blob(i, i), f"B{i}", 1.0, 0, s) for i, s in enumerate(stamps)]
+    make_container(tmp_path / "D001.gpkg", rows)
+    target = str(tmp_path / "bad")
+    jobs.export_bad_datetimes(spark, str(tmp_path / "D001.gpkg"), "batiment", target)
+    found = jobs.read_layer(spark, target, "batiment").collect()
+    assert [(r.cleabs, r.date_modification, r.dept) for r in found] == [
+        ("B0", "2020-01-01T00:00:60Z", "D001")
+    ]
+    assert found[0].geometry.srid == 2154
+
+
+def test_filters_prune_tables(spark, database):
+    points = spark.createDataFrame(
+        [("a", "POINT (1 2)", "D001"), ("b", "POINT (3 4)", "D002")],
+        "cleabs string, geometry string, dept string",
+    )
+    jobs.write_frame(spark, points, f"{database}.t")
+    near = spark.table(f"{database}.t").filter("dept = 'D001' AND xmin > 0.5").select("cleabs")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dept" in plan
+    assert "GreaterThan(xmin,0.5)" in plan
+    assert "ReadSchema: struct<cleabs:string,xmin:double>" in plan
+    assert near.count() == 1
+
+
+def test_one_partition_per_range(spark):
+    counts = spark.createDataFrame([("a", 100)], "layer string, n long")
+    spread = layers.spread_ranges(layers.batch_ranges(counts, "n", 5).select("idx"), 20)
+    filled = spread.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert filled == 20
