@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from mapstrata.operators.tables import (
     quoted,
     table_metadata,
 )
-from mapstrata.settings import DEDUP_SUFFIX, FEATURE_KEY, TABLE_PREFIX
+from mapstrata.settings import DEDUP_SUFFIX, FEATURE_KEY, TABLE_PREFIX, shared_folder
 
 logger = logging.getLogger(__name__)
 
@@ -127,16 +127,18 @@ def dedup_by_repeats(
 def dedup_table(spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY) -> DedupStats:
     """Write the deduplicated twin of a table with the table's descriptions.
 
-    A pass over the key column gives the counts and finds the repeated keys;
-    when these are few, as with features on borders, the second pass writes
-    without shuffling the table.
+    A pass over the key column gives the counts and keeps the repeated keys in
+    the shared folder; when these are few, as with features on borders, the
+    next pass writes without shuffling the table.
     """
     source = spark.table(quoted(src))
-    counts = key_counts(source, key)
-    row = counts.agg(*stats_columns()).first()
-    stats = DedupStats(**row.asDict())
+    seen, folder = Observation(), shared_folder(spark, "repeats")
+    counts = key_counts(source, key).observe(seen, *stats_columns())
+    repeated = counts.filter((F.col("n") > 1) & F.col("key").isNotNull()).select("key")
+    repeated.write.parquet(folder)
+    stats = DedupStats(**seen.get)
     if stats.repeated_bytes <= BROADCAST_BYTES:
-        repeats = counts.filter((F.col("n") > 1) & F.col("key").isNotNull()).select("key")
+        repeats = spark.read.schema(repeated.schema).parquet(folder)
         result = dedup_by_repeats(source, repeats, key, broadcast=True)
     else:
         result = dedup(source, key)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from mapstrata.functions.casts import Cast, has_bad_seconds, ingestion_schema
 from mapstrata.functions.geometry import BBOX_COLUMNS, st_geom_from_wkt, with_bbox
 from mapstrata.functions.projection import check_pair, st_transform
+from mapstrata.functions.reuse import built_once
 from mapstrata.settings import TARGET_SRID
 
 GEOMETRY_COLUMN = "geometry"
@@ -26,10 +27,14 @@ def geometry_column(
 ) -> Column:
     """The table geometry from WKT text or from a geometry struct."""
     check_pair(source_srid, target_srid)
-    column = F.col(GEOMETRY_COLUMN)
-    if isinstance(schema[GEOMETRY_COLUMN].dataType, T.StringType):
-        column = st_geom_from_wkt(column, source_srid)
-    return st_transform(column, target_srid)
+    as_text = isinstance(schema[GEOMETRY_COLUMN].dataType, T.StringType)
+    return _projected(as_text, source_srid, target_srid)
+
+
+@built_once
+def _projected(as_text: bool, source_srid: int, target_srid: int) -> Column:
+    parsed = st_geom_from_wkt(GEOMETRY_COLUMN, source_srid) if as_text else GEOMETRY_COLUMN
+    return st_transform(parsed, target_srid)
 
 
 def select_columns(
