@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, simhash, substring
+from . import chat, exact_dedup, simhash, substring, toxicity
 from .common import table
 
 
@@ -25,6 +25,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     added = spark.sql("SELECT -7L AS conv_id, turn, role FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
@@ -109,6 +121,7 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_exact_dedup": op10_exact_dedup,
 }
