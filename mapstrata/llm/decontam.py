@@ -135,7 +135,8 @@ class Items:
         coarse = {}  # measured at the next multiple of eight words, which is not easier
         for _, words, radius in self.items:
             n = -(-len(words) // 8) * 8
-            coarse.setdefault(n, repetitions(n, max(radius_of(n, similarity), radius)) if radius else 1)
+            if n not in coarse:
+                coarse[n] = repetitions(n, radius_of(n, similarity)) if similarity < 1 else 1
         self.repetitions = {len(words): coarse[-(-len(words) // 8) * 8] for _, words, _ in self.items}
         self.sketches = []
         for _, words, _ in self.items:
