@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, simhash, substring, suffix, toxicity
+from . import bpe, chat, decontam, exact_dedup, simhash, substring, suffix, toxicity
 from .common import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -29,6 +31,24 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def vocabulary() -> tuple[str, str]:
+    """Path and word pattern of the public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = vocabulary()
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -133,6 +153,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_byte_bpe": op5_byte_bpe,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_format": op9_chat_format,
