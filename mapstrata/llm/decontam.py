@@ -131,7 +131,15 @@ class Items:
             for a, b in zip(cuts, cuts[1:]):
                 value = int(windows(hashes[a:b], b - a)[0])
                 pieces.setdefault(b - a, {}).setdefault(value, []).append((k, a))
-        self.pieces = {n: (np.array(sorted(found), np.uint64), found) for n, found in pieces.items()}
+        # Which pairs of words a piece begins with; a piece of one word is looked up itself.
+        self.begins = np.zeros(1 << 20, bool)
+        self.pieces = pieces
+        for n, found in pieces.items():
+            for entries in found.values():
+                for k, a in entries:
+                    words = self.items[k][1]
+                    if n > 1:
+                        self.begins[pair_codes(words[a : a + 2])] = True
         coarse = {}  # measured at the next multiple of eight words, which is not easier
         for _, words, radius in self.items:
             n = -(-len(words) // 8) * 8
@@ -144,6 +152,10 @@ class Items:
             self.sketches.append([embed(words[None], s, sampled_steps(s, n))[0] for s in range(self.repetitions[n])])
 
 
+def pair_codes(words: np.ndarray) -> np.ndarray:
+    return (words[:-1] * 1_000_003 + words[1:]) & ((1 << 20) - 1)
+
+
 def symbols(words: np.ndarray) -> np.ndarray:
     return mixed(words.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -157,15 +169,15 @@ def find_leaks(text: str | None, items: Items, windows: Windows) -> list[tuple[i
     # Words that no item has differ from all symbols, and from each other where they are sampled.
     places = np.flatnonzero(words == 0)
     words[places] = -1 - places
-    hashes, starts = symbols(words), {}
-    for n, (values, found) in items.pieces.items():
-        if len(words) < n:
+    starts: dict[int, set] = {}
+    begun = np.flatnonzero(items.begins[pair_codes(words)] & (words[:-1] > 0) & (words[1:] > 0))
+    for n, found in items.pieces.items():
+        at = np.flatnonzero(words > 0) if n == 1 else begun[begun <= len(words) - n]
+        if not len(at):
             continue
-        here = windows(hashes, n)
-        spot = np.searchsorted(values, here)
-        spot[spot == len(values)] = 0
-        for p in np.flatnonzero(values[spot] == here).tolist():
-            for k, offset in found[int(here[p])]:
+        rows = symbols(words[at[:, None] + np.arange(n)].ravel()).reshape(-1, n)
+        for p, value in zip(at.tolist(), windows.rows(rows).tolist()):
+            for k, offset in found.get(value, ()):
                 size, radius = len(items.items[k][1]), items.items[k][2]
                 last = max(len(words) - size, 0)
                 low, high = min(max(p - offset - radius, 0), last), min(max(p - offset + radius, 0), last)
@@ -178,20 +190,17 @@ def find_leaks(text: str | None, items: Items, windows: Windows) -> list[tuple[i
         index = at[:, None] + np.arange(size)
         rows = np.where(index < len(words), words[np.minimum(index, len(words) - 1)], 0)
         near = np.zeros(len(at), bool)
+        best, item = None, item.tolist()
         for s, sketch in enumerate(items.sketches[k]):
             left = np.flatnonzero(~near)
-            if not len(left):
+            if not len(left) or best and not best[0]:
                 break
-            near[left] = (embed(rows[left], s, sampled_steps(s, size)) == sketch).all(axis=1)
-        best = None
-        item = item.tolist()
-        for i in np.flatnonzero(near).tolist():
-            window = words[at[i] : at[i] + size].tolist()
-            distance = edit_distance(item, window)
-            if distance <= radius and (best is None or distance < best[0]):
-                best = distance, int(at[i])
-                if not distance:
-                    break
+            hit = left[(embed(rows[left], s, sampled_steps(s, size)) == sketch).all(axis=1)]
+            near[hit] = True
+            for i in hit.tolist():
+                distance = edit_distance(item, words[at[i] : at[i] + size].tolist())
+                if distance <= radius and (best is None or (distance, at[i]) < best):
+                    best = distance, int(at[i])
         if best:
             leaks.append((k, *best))
     return leaks
