@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,41 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Bits of a set of ids that is sent to all tasks: a megabyte, whatever the number of ids.
+SET_BITS = 1 << 23
+
+
+def split_by_ids(rows: DataFrame, column: str, ids: DataFrame, bits: int = SET_BITS):
+    """(``rows`` whose ``column`` may be among ``ids``, the other rows), before any shuffle.
+
+    ``ids`` has one column.  Its hashes are marked in a bitmap of fixed size, so
+    rows that a join with ``ids`` would drop are mostly left out before the join
+    moves them.  A full bitmap leaves out less and changes no result.
+    """
+    spark = rows.sparkSession
+    width = 1 << 15
+    place = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits)) + 1  # bitmaps count from 1
+    marks = ids.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    table = np.zeros((-(-bits // width), width // 8), np.uint8)
+    for b, data in marks.collect():  # ``bits`` in all
+        table[b - 1] = np.frombuffer(data, np.uint8)
+    sent = spark.sparkContext.broadcast(table.ravel())
+
+    def keep(wanted):
+        def run(batches):
+            for batch in batches:
+                place = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+                found = (sent.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(found == wanted))
+
+        return run
+
+    placed = rows.withColumn("_place", F.pmod(F.xxhash64(F.col(column).cast(ids.dtypes[0][1])), F.lit(bits)))
+    return placed.mapInArrow(keep(True), rows.schema), placed.mapInArrow(keep(False), rows.schema)
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(node, component) for every node of ``links``; the component is its
     smallest node.

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release
+from .common import cut, release, split_by_ids
 
 WORDS = 50
 PERIOD = 31
@@ -109,6 +109,11 @@ class Windows:
         np.cumsum(values * up, out=sums[1:], dtype=np.uint64)
         return mixed((sums[length:] - sums[:-length]) * down[: n - length + 1])
 
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """The hash of each row of a matrix, as a window of that length."""
+        up, _ = self._powers(BASES[0], hashes.shape[1])
+        return mixed((hashes * up).sum(axis=1, dtype=np.uint64))
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -240,8 +245,9 @@ def substring_dedup(
         .join(copies.withColumnRenamed("id", "doc"), "doc", "left_anti")
     )
     release(spark)
+    near, _ = split_by_ids(known, "id", anchors.select("doc"))
     windows = (
-        known.join(anchors, known.id == anchors.doc)
+        near.join(anchors, near.id == anchors.doc)
         .select("id", "text", "places")
         .mapInArrow(_window_rows(period, words), "h1 long, h2 int, doc long, pos int")
     )
@@ -259,7 +265,12 @@ def substring_dedup(
             F.col("id").alias("doc"), F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole")
         )
     )
-    marks = marks.groupBy("doc").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.max("whole").alias("whole"))
+    marks = cut(
+        marks.groupBy("doc").agg(
+            F.flatten(F.collect_list("starts")).alias("starts"), F.max("whole").alias("whole")
+        )
+    )
+    release(spark)
 
     def run(batches):
         for batch in batches:
@@ -276,8 +287,11 @@ def substring_dedup(
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        texts.join(marks, texts.id == marks.doc, "left")
-        .select("id", "text", "starts", "whole")
-        .mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_removed long, kept_text string")
+    changed, same = split_by_ids(texts, "id", marks.select("doc"))
+    rows = changed.join(marks, changed.id == marks.doc, "left").select("id", "text", "starts", "whole")
+    rows = rows.unionByName(
+        same.select(
+            "id", "text", F.lit(None).cast("array<int>").alias("starts"), F.lit(None).cast("boolean").alias("whole")
+        )
     )
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_removed long, kept_text string")
