@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, exact_dedup, simhash, substring, suffix, toxicity
+from . import bpe, chat, decontam, exact_dedup, pii, quality, simhash, substring, suffix, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,33 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def joined(spans):
+        order = F.transform(
+            spans,
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                F.array_position(F.array(*[F.lit(k) for k in pii.KINDS]), s["kind"]).alias("rank"),
+                F.concat_ws(":", s["kind"], s["start"], s["end"]).alias("name"),
+            ),
+        )
+        return F.array_join(F.transform(F.sort_array(order), lambda s: s["name"]), ",")
+
+    def counted(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [counted(k) for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +76,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -152,8 +183,10 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_pii": op3_pii,
     "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_format": op9_chat_format,
