@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has that column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the session's checkpoint folder.
 
@@ -78,7 +86,8 @@ def split_by_ids(rows: DataFrame, column: str, ids: DataFrame, bits: int = SET_B
 
         return run
 
-    placed = rows.withColumn("_place", F.pmod(F.xxhash64(F.col(column).cast(ids.dtypes[0][1])), F.lit(bits)))
+    place = F.pmod(F.xxhash64(F.col(column).cast(ids.dtypes[0][1])), F.lit(bits))
+    placed = rows.withColumn(fresh(rows, "_place"), place)
     return placed.mapInArrow(keep(True), rows.schema), placed.mapInArrow(keep(False), rows.schema)
 
 

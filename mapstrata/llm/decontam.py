@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, split_by_ids
 from .substring import Windows, mixed
 
 SIMILARITY = 0.8
@@ -271,5 +272,6 @@ def leaks(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that leak no item; rows without id stay."""
-    found = leaks(docs, benchmark, id_col, **options).select(id_col).distinct()
-    return docs.join(found, id_col, "left_anti").select(*docs.columns)
+    found = cut(leaks(docs, benchmark, id_col, **options).select(id_col).distinct())
+    near, other = split_by_ids(docs, id_col, found)
+    return near.join(found, id_col, "left_anti").select(*docs.columns).unionByName(other)

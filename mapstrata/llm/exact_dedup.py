@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, cut
+from .common import BLANKS, cut, fresh
 
 SALTS = 16
 
@@ -79,15 +79,16 @@ def exact_dedup(docs: DataFrame, id_col="doc_id", text_col="text", salts=SALTS)
     row is repeated or no row has an id.
     """
     groups = exact_groups(docs, id_col, text_col, salts)
+    digest, keep, mark, copies = (fresh(docs, n) for n in ("_digest", "_keep_id", "_keep_digest", "_copies"))
     marks = (
         groups.filter("kept")
-        .groupBy(F.col(id_col).alias("_keep_id"), F.col("digest").alias("_keep_digest"))
-        .agg(F.count("*").alias("_keep_copies"))
+        .groupBy(F.col(id_col).alias(keep), F.col("digest").alias(mark))
+        .agg(F.count("*").alias(copies))
     )
-    match = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_digest") == F.col("_keep_digest"))
-    rows = docs.withColumn("_digest", sha256(normalised(F.col(text_col)))).join(marks, match)
-    once = rows.filter("_keep_copies = 1").select(*docs.columns)
-    again = rows.filter("_keep_copies > 1")
+    match = F.col(id_col).eqNullSafe(F.col(keep)) & (F.col(digest) == F.col(mark))
+    rows = docs.withColumn(digest, sha256(normalised(F.col(text_col)))).join(marks, match)
+    once = rows.filter(F.col(copies) == 1).select(*docs.columns)
+    again = rows.filter(F.col(copies) > 1)
     if again.isEmpty():
         return once
-    return once.unionByName(again.dropDuplicates(["_keep_id", "_keep_digest"]).select(*docs.columns))
+    return once.unionByName(again.dropDuplicates([keep, mark]).select(*docs.columns))

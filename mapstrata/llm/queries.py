@@ -15,7 +15,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.lpad(F.lower(F.hex(F.get("fp", F.lit(0)))), 16, "0").alias("fingerprint"),
         "component_id",
     )
 

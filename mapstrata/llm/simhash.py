@@ -1,15 +1,18 @@
 """SimHash near-dedup with bit-sliced comparison.
 
 Fingerprints are made per text in Arrow batches.  Equal ones are merged first,
-so copies cost nothing later.  Two fingerprints that differ in ``radius`` bits
-agree on some ``radius``-less choice of their blocks, so every such choice is a
-key and only rows of one key are compared: fingerprints are laid out as bit
-planes, and all distances of a shift are counted at once by carry-save adders
-over 64 lanes a word.  A run of lanes is abandoned once all exceed the radius.
+so copies cost nothing later.  Only rows that share a key are compared.  For a
+small radius a key leaves out ``radius`` of the blocks of the fingerprint, and
+every such choice is one, so no pair is missed; for a large one keys sample
+bits, so often that a pair at the stated similarity is found with probability
+RECALL.  Rows of a key are laid out as bit planes, and all distances of a shift
+are counted at once by carry-save adders over 64 lanes a word.  A run of lanes
+is abandoned once all exceed the radius.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -18,73 +21,97 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, release
+from .common import components, cut, release, split_by_ids
 
 SEED = 42
 RADIUS = 2
 BLOCKS = 5
 CELL = 4096
+RECALL = 0.99
+FILL = 1000
 LANES = 1 << 16
 CHUNK = 1 << 15
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """Majority bits of the XXH64 values of all word shingles; 0 without words."""
+def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> list[int]:
+    """Majority bits of the XXH64 values of all word shingles, 64 to a number and
+    seed; 0 without words."""
     data = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not data:
-        return 0
+        return [0] * (bits // 64)
     raw = np.frombuffer(data, np.uint8)
     gaps = np.flatnonzero(raw == 32)
     starts = np.concatenate(([0], gaps + 1))
     ends = np.concatenate((gaps, [len(data)]))
     starts, ends = starts[: max(1, len(starts) - words + 1)], ends[min(words, len(ends)) - 1 :]
-    counts = np.zeros(64, np.int64)
+    counts = np.zeros((bits // 64, 64), np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(starts), CHUNK):
-        pairs = zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist())
-        hashes = np.array([digest(data[a:b], SEED) for a, b in pairs], np.uint64)
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(sum(1 << i for i in np.flatnonzero(counts * 2 > len(starts)).tolist()))
+        pairs = list(zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist()))
+        for k in range(bits // 64):
+            hashes = np.array([digest(data[a:b], SEED + k) for a, b in pairs], "<u8")
+            counts[k] += np.unpackbits(
+                hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+            ).sum(axis=0, dtype=np.int64)
+    return [sum(1 << i for i in np.flatnonzero(row * 2 > len(starts)).tolist()) for row in counts]
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """(id, fp) of every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", words=3, bits=64) -> DataFrame:
+    """(id, fp) of every row; fp holds the bits as an array of signed longs."""
 
     def run(batches):
         for batch in batches:
-            made = np.array([fingerprint(x) for x in batch.column(1).to_pylist()], np.uint64)
+            made = np.array([fingerprint(x, words, bits) for x in batch.column(1).to_pylist()], np.uint64)
+            made = made.reshape(batch.num_rows, bits // 64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made.view(np.int64))], names=["id", "fp"]
+                [batch.column(0), pa.array(list(made), pa.list_(pa.int64()))], names=["id", "fp"]
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp array<long>")
 
 
-def keys(radius: int, blocks: int = BLOCKS) -> list[int]:
+def block_masks(radius: int, bits: int = 64, blocks: int = BLOCKS) -> list[int]:
     """Masks of the bits that stay when ``radius`` of the blocks are left out."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
+    edges = [bits * i // blocks for i in range(blocks + 1)]
     parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    full = (1 << 64) - 1
+    full = (1 << bits) - 1
     return [full ^ sum(out) for out in combinations(parts, radius)]
 
 
-def _within(fps: np.ndarray, shift: int, cells: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes i whose fingerprint is within ``radius`` bits of lane i + shift of its cell."""
-    planes = bit_planes(fps)
-    other = bit_planes(fps[shift:])
-    return _compare(planes, other, len(fps) - shift, radius) & (cells[:-shift] == cells[shift:])
+def sampled_masks(rows: int, similarity: float, bits: int, recall: float = RECALL) -> list[int]:
+    """Masks of random bits, for so many keys that two texts of this shingle
+    similarity (Jaccard) share one with probability ``recall``.
+
+    The bits of a mask grow with the logarithm of the rows, so that about FILL
+    unrelated rows share a key at every size.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    agree = 1 - math.acos(cosine) / math.pi
+    width = max(4, math.ceil(math.log2(max(rows, 1) / FILL))) if rows > FILL else 1
+    count = math.ceil(math.log(1 - recall) / math.log(1 - agree**width))
+    rng = np.random.default_rng(SEED)
+    return [sum(1 << int(b) for b in rng.choice(bits, width, replace=False)) for _ in range(count)]
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
-    """64 rows; bit i of row b is bit b of fingerprint i."""
-    lanes = -(-len(fps) // 64) * 64
-    bits = np.zeros((lanes, 64), np.uint8)
-    bits[: len(fps)] = np.unpackbits(
-        np.ascontiguousarray(fps).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+    """A row of words for each bit; bit i of row b is bit b of fingerprint i."""
+    n, numbers = fps.shape
+    lanes = -(-n // 64) * 64 + 64  # a spare word, so that a shift has bits to take in
+    rows = np.zeros((lanes, 64 * numbers), np.uint8)
+    rows[:n] = np.unpackbits(
+        np.ascontiguousarray(fps).astype("<u8").view(np.uint8).reshape(n, -1), axis=1, bitorder="little"
     )
-    return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
+    return np.packbits(np.ascontiguousarray(rows.T), axis=1, bitorder="little").view(np.uint64)
+
+
+def shifted(planes: np.ndarray, shift: int, words: int) -> np.ndarray:
+    """``words`` words of every plane, from lane ``shift`` on."""
+    at, bit = divmod(shift, 64)
+    low = planes[:, at : at + words]
+    if not bit:
+        return low
+    return (low >> np.uint64(bit)) | (planes[:, at + 1 : at + 1 + words] << np.uint64(64 - bit))
 
 
 def _compare(planes: np.ndarray, other: np.ndarray, lanes: int, radius: int, run: int = 64) -> np.ndarray:
@@ -103,7 +130,7 @@ def _compare(planes: np.ndarray, other: np.ndarray, lanes: int, radius: int, run
         over[-1] = ~np.uint64((1 << (lanes % 64)) - 1)
     counters = np.zeros((width, words), np.uint64)
     left, right = planes[:, :words], other[:, :words]
-    for at in range(0, 64, 8):
+    for at in range(0, len(left), 8):
         for b in range(at, at + 8, 2):
             x, y = left[b] ^ right[b], left[b + 1] ^ right[b + 1]
             ones = counters[0]
@@ -115,7 +142,7 @@ def _compare(planes: np.ndarray, other: np.ndarray, lanes: int, radius: int, run
             over |= carry
         over |= _above(counters, radius)
         full = over == ~np.uint64(0)
-        if at < 56 and full.any():
+        if at + 8 < len(left) and full.any():
             pad = -(-len(full) // run) * run
             dead = np.ones(pad, bool)
             dead[: len(full)] = full
@@ -165,11 +192,14 @@ def link_cells(cells: np.ndarray, ids: np.ndarray, fps: np.ndarray, radius: int)
     cells, ids, fps = cells[rows], ids[rows], fps[rows]
     ends = np.cumsum(sizes[by_size])
     parent = np.arange(len(ids))
+    planes = bit_planes(fps)
     for shift in range(1, int(sizes.max()) if len(sizes) else 0):
         stop = int(ends[np.searchsorted(-sizes[by_size], -shift, side="left") - 1])
         for at in range(0, stop - shift, LANES):
-            part = slice(at, min(stop, at + LANES + shift))
-            hit = np.flatnonzero(_within(fps[part], shift, cells[part], radius)) + at
+            lanes = min(LANES, stop - shift - at)
+            words = -(-lanes // 64)
+            near = _compare(planes[:, at // 64 : at // 64 + words], shifted(planes, at + shift, words), lanes, radius)
+            hit = np.flatnonzero(near & (cells[at : at + lanes] == cells[at + shift : at + shift + lanes])) + at
             a, b = parent[hit], parent[hit + shift]
             while (apart := a != b).any():
                 low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
@@ -180,22 +210,29 @@ def link_cells(cells: np.ndarray, ids: np.ndarray, fps: np.ndarray, radius: int)
     return ids[linked], ids[parent[linked]]
 
 
-def near_links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
+def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     """Links (a, b) between ids of distinct fingerprints (id, fp) that join all
-    pairs within ``radius`` bits into the same components.
+    pairs within ``radius`` bits that share a key into the same components.
 
     A key with more than ``cell`` rows is dealt out over pairs of its parts, so
     every pair still meets in one cell and no cell has over twice ``cell`` rows
     on average.
     """
-    masks = [m - (1 << 64) if m >> 63 else m for m in keys(radius, blocks)]
+    numbers = -(-max(m.bit_length() for m in masks) // 64)
+
+    def masked(mask):
+        parts = [(mask >> 64 * i) & (1 << 64) - 1 for i in range(numbers)]
+        signed = [m - (1 << 64) if m >> 63 else m for m in parts]
+        return F.xxhash64(*[
+            F.get("fp", F.lit(i)).bitwiseAND(F.lit(m).cast("long")) for i, m in enumerate(signed)
+        ])
+
     keyed = reps.select(
         "id",
         "fp",
         F.explode(
             F.array(*[
-                F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-                for i, m in enumerate(masks)
+                F.struct(F.lit(i).alias("mask"), masked(m).alias("key")) for i, m in enumerate(masks)
             ])
         ).alias("k"),
     ).select("id", "fp", "k.mask", "k.key")
@@ -225,7 +262,8 @@ def near_links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, cell
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            held.append([*(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)), fps])
             rows += batch.num_rows
             if rows >= LANES:
                 cells, ids, fps = (np.concatenate(x) for x in zip(*held))
@@ -239,35 +277,47 @@ def near_links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, cell
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col="doc_id", text_col="text", radius=RADIUS) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, fp (long), component_id.
+def near_groups(
+    docs: DataFrame, id_col="doc_id", text_col="text", radius: int = RADIUS, words: int = 3,
+    bits: int = 64, similarity: float | None = None,
+) -> DataFrame:
+    """One row per row of ``docs``: ``id_col``, fp (array of longs), component_id.
 
     Rows whose fingerprints are within ``radius`` bits are linked; component_id
-    is the smallest id reachable.  Ids are integers; rows without id are left
-    out, as nothing could name them.  Null, empty and blank texts have
-    fingerprint 0 and are linked like any other.  Repeated rows give repeated
-    rows.  Other columns are not read; an empty table gives an empty result.
+    is the smallest id reachable.  With ``similarity``, keys are sampled for pairs
+    of that shingle similarity; else no pair within the radius is missed.
+
+    Ids are integers; rows without id are left out, as nothing could name them.
+    Null, empty and blank texts have fingerprint 0 and are linked like any other.
+    Repeated rows give repeated rows.  Other columns are not read; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
-    made = cut(fingerprints(docs.filter(F.col(id_col).isNotNull()), id_col, text_col))
+    made = cut(fingerprints(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, words, bits))
     reps = cut(made.groupBy("fp").agg(F.min("id").cast("long").alias("id")))
-    links = cut(near_links(reps, radius).distinct())
+    masks = block_masks(radius, bits) if similarity is None else sampled_masks(reps.count(), similarity, bits)
+    links = cut(near_links(reps, masks, radius).distinct())
     release(spark)
     found = components(links)
     named = reps.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "fp", F.coalesce("component", "id").alias("component_id")
     )
-    return made.join(named, "fp").select(
-        F.col("id").alias(id_col), "fp", F.col("component_id")
-    )
+    return made.join(named, "fp").select(F.col("id").alias(id_col), "fp", F.col("component_id"))
 
 
-def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", radius=RADIUS) -> DataFrame:
+def near_dedup(
+    docs: DataFrame, id_col="doc_id", text_col="text", similarity: float = 0.8, words: int = 5,
+    bits: int = 128,
+) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the smallest id.
 
-    Rows without id stay, as they are in no group; of repeated rows with one id
-    all stay or none.
+    The radius is that of fingerprints whose angle says a cosine of ``similarity``
+    between the shingle counts of two texts; with 128 bits, unrelated texts are
+    that close once in 10**12 pairs.  Rows without id stay, as they are in no
+    group; of repeated rows with one id all stay or none.
     """
-    groups = near_groups(docs, id_col, text_col, radius)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    radius = int(bits * math.acos(similarity) / math.pi)
+    groups = near_groups(docs, id_col, text_col, radius, words, bits, similarity)
+    gone = cut(groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
+    near, other = split_by_ids(docs, id_col, gone)
+    return near.join(gone, id_col, "left_anti").select(*docs.columns).unionByName(other)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 BUCKETS = 1 << 18
 SAMPLE = 50_000
 STEM = 5
@@ -262,3 +264,21 @@ def score(docs: DataFrame, model: ToxicModel, id_col="doc_id", text_col="text")
     return docs.select(F.col(id_col), words(F.col(text_col)).alias("_w")).mapInArrow(
         run, f"`{id_col}` {kind}, score double, passages array<struct<start:int,end:int,evidence:double>>"
     )
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col="doc_id", text_col="text",
+    label_col="toxic",
+) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, by a model learnt from them."""
+    model = fit(docs, labels, id_col, text_col, label_col)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            m, last = sent.value, batch.num_columns - 1
+            values = np.array([evidence(x.values.to_numpy(), m)[0] for x in batch.column(last)], float)
+            calm = 1 / (1 + np.exp(-np.clip(m.slope * values + m.offset, -500, 500))) < threshold
+            yield batch.select(list(range(last))).filter(pa.array(calm))
+
+    return docs.select("*", words(F.col(text_col)).alias(fresh(docs, "_toxic_words"))).mapInArrow(run, docs.schema)
