@@ -20,6 +20,7 @@ import heapq
 import json
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 MAP_BUCKETS = 1 << 16
 FREQUENT = 400_000
 WORD_BYTES = 64
 PIECE = 1 << 20
+NO_RANK = (1 << 31) - 1
+#: Words that a task counts before it hands them on.
+COUNTED = 200_000
 #: A text may be cut in front of a space between two characters that are not blank.
 CUT = regex.compile(r"(?<=\S)(?= \S)")
 
@@ -41,31 +47,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def early_merges(ranks: dict[bytes, int]) -> set[int]:
-    """Ranks of tokens that can be part of a pair with a lower rank than their own.
-
-    After such a token has been made, the lowest rank may be lower than before.
-    """
-    early = set()
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            for part, other in ((token[:i], token[i:]), (token[i:], token[:i])):
-                made = ranks.get(part)
-                if made is not None and made > rank and other in ranks:
-                    early.add(made)
-    return early
-
-
 class RankMap:
     """The rank map as a literal: hexadecimal token to rank, in buckets by CRC32."""
 
     def __init__(self, ranks: dict[bytes, int], buckets: int = MAP_BUCKETS):
         table: list[dict[str, int]] = [{} for _ in range(buckets)]
-        early = early_merges(ranks)
         for token, rank in ranks.items():
             key = token.hex().upper()
-            # A rank and, in its lowest bit, whether all its pairs may merge in one step.
-            table[zlib.crc32(key.encode()) % buckets][key] = rank * 2 + (rank not in early)
+            table[zlib.crc32(key.encode()) % buckets][key] = rank
         self.buckets = buckets
         self.literal = F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
 
@@ -95,67 +84,64 @@ def encode_words(words: Column, table: RankMap) -> Column:
 def encode_word(word: Column, ranks) -> Column:
     """The ids of a word, as an array; ``ranks`` looks up a token in hexadecimal.
 
-    The state is the pieces in hexadecimal, each between commas: replacing a pair
-    then merges its occurrences from left to right without overlap.  All merge at
-    once if they are the same two pieces and the made token begins no lower
-    rank; else the first alone.  A point in front says that no pair is left.
+    The state is the pieces of the word and the rank of each piece with the next,
+    NO_RANK for none.  A step merges the first pair of the lowest rank and looks up
+    the two pairs that the merged piece is part of.
     """
     data = F.hex(F.encode(word, "UTF-8"))
-    start = F.regexp_replace(data, "(..)", ",$1,")
-
-    def wrapped(pieces: Column) -> Column:
-        return F.transform(pieces, lambda p: F.concat(F.lit(","), p, F.lit(",")))
-
-    def merged(state, pieces, found, best, at, left) -> Column:
-        right = F.get(pieces, at)
-        pair = F.concat(F.lit(","), left, F.lit(",,"), right, F.lit(","))
-        made = F.concat(F.lit(","), left, right, F.lit(","))
-        times = F.size(F.filter(found, lambda r: r == best))
-        other = F.transform(found, lambda r, i: (r == best) & (F.get(pieces, i) != left))
-        together = (times == 1) | (((best % 2) == 1) & ~F.exists(other, lambda x: x))
-        first = F.concat(
-            wrapped(F.slice(pieces, 1, at - 1)),
-            F.array(made),
-            wrapped(F.slice(pieces, at + 2, F.size(pieces))),
-        )
-        return F.when(together, F.replace(state, pair, made)).otherwise(F.array_join(first, ""))
+    bytes_ = F.transform(
+        F.sequence(F.lit(1), F.length(data) - 1, F.lit(2)), lambda i: F.substring(data, i, F.lit(2))
+    )
 
-    def step(state: Column) -> Column:
-        def with_pieces(pieces):
-            def with_found(found):
-                def with_best(best):
-                    def with_place(at):
-                        return _let(
-                            F.get(pieces, at - 1),
-                            lambda left: merged(state, pieces, found, best, at, left),
-                        )
-
-                    after = _let(F.array_position(found, best).cast("int"), with_place)
-                    return F.when(best.isNull(), F.concat(F.lit("."), state)).otherwise(after)
-
-                return _let(F.array_min(found), with_best)
-
-            pairs = F.transform(
-                F.slice(pieces, 1, F.size(pieces) - 1),
-                lambda p, i: ranks(F.concat(p, F.get(pieces, i + 1))),
+    def rank(token):
+        return F.coalesce(ranks(token), F.lit(NO_RANK))
+
+    start = _let(
+        bytes_,
+        lambda pieces: F.struct(
+            pieces.alias("pieces"),
+            F.transform(
+                F.slice(pieces, 1, F.size(pieces) - 1), lambda p, i: rank(F.concat(p, F.get(pieces, i + 1)))
+            ).alias("found"),
+        ),
+    )
+
+    def merged(state: Column, at: Column) -> Column:
+        pieces, found = state["pieces"], state["found"]
+
+        def with_made(made):
+            before = F.when(at > 1, F.array(rank(F.concat(F.get(pieces, at - 2), made))))
+            after = F.when(at < F.size(found), F.array(rank(F.concat(made, F.get(pieces, at + 1)))))
+            none = F.array().cast("array<int>")
+            return F.struct(
+                F.concat(
+                    F.slice(pieces, 1, at - 1), F.array(made), F.slice(pieces, at + 2, F.size(pieces))
+                ).alias("pieces"),
+                F.concat(
+                    F.slice(found, 1, F.greatest(at - 2, F.lit(0))),
+                    before.otherwise(none),
+                    after.otherwise(none),
+                    F.slice(found, at + 2, F.size(found)),
+                ).alias("found"),
             )
-            return _let(pairs, with_found)
 
-        return _let(_pieces(state), with_pieces)
+        return _let(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), with_made)
+
+    def step(state: Column) -> Column:
+        best = F.coalesce(F.array_min(state["found"]), F.lit(NO_RANK))
+        return _let(
+            best,
+            lambda low: F.when(low == NO_RANK, state).otherwise(
+                _let(F.array_position(state["found"], low).cast("int"), lambda at: merged(state, at))
+            ),
+        )
 
     rounds = F.sequence(F.lit(1), F.greatest(F.length(data) / 2 - 1, F.lit(1)).cast("int"))
-    end = F.aggregate(
-        rounds,
-        start,
-        lambda state, _: F.when(
-            F.startswith(state, F.lit(".")) | ~F.contains(state, F.lit(",,")), state
-        ).otherwise(step(state)),
-    )
-    split = F.transform(_pieces(F.ltrim(end, F.lit("."))), lambda p: F.shiftright(ranks(p), 1))
+    folded = F.aggregate(rounds, start, lambda state, _: step(state), lambda state: state["pieces"])
     return (
         F.when(F.length(data) == 0, F.array().cast("array<int>"))
-        .when(ranks(data).isNotNull(), F.array(F.shiftright(ranks(data), 1)))
-        .otherwise(split)
+        .when(ranks(data).isNotNull(), F.array(ranks(data)))
+        .otherwise(F.transform(folded, ranks))
     )
 
 
@@ -188,8 +174,11 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _pieces(state: Column) -> Column:
-    return F.split(F.substring(state, F.lit(2), F.length(state) - 2), ",,")
+def small(batches, rows: int = 200):
+    """The batches in parts of few rows, so that a task holds few texts in several forms."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def pieces_of(text: str):
@@ -206,11 +195,29 @@ def pieces_of(text: str):
 
 def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> DataFrame:
     """At most ``most`` words: those that occur at least so often that no more do."""
-    words = docs.select(
-        F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"(?U){pattern}"), F.lit(0))).alias("word")
-    )
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).filter(
-        (F.col("n") > 1) & (F.octet_length("word") <= WORD_BYTES)
+
+    def count(batches):
+        find, held = regex.compile(pattern).findall, Counter()
+
+        def rows():
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]
+            )
+            held.clear()
+            return made
+
+        for batch in small(batches):
+            for text in batch.column(0).to_pylist():
+                for piece in pieces_of(text or ""):
+                    held.update(find(piece))
+            if len(held) > COUNTED:
+                yield rows()
+        yield rows()
+
+    counts = (
+        docs.select(text_col).mapInArrow(count, "word string, n long")
+        .groupBy("word").agg(F.sum("n").alias("n"))
+        .filter((F.col("n") > 1) & (F.octet_length("word") <= WORD_BYTES))
     )
     rows = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
     total, least = 0, sys.maxsize
@@ -238,24 +245,25 @@ def encode(
     table = RankMap(ranks)
     known = {}
     if frequent:
-        chosen = frequent_words(docs, text_col, pattern, frequent).repartition("word")
+        chosen = cut(frequent_words(docs, text_col, pattern, frequent)).repartition("word")
         ids = F.get(encode_words(F.array("word"), table), F.lit(0))
         for row in chosen.select("word", ids.alias("ids")).toLocalIterator():
             known[row.word] = np.array(row.ids, "<u4").tobytes()
-    sent = spark.sparkContext.broadcast((list(known), list(known.values()), ranks))
+    index = spark.sparkContext.broadcast((dict(zip(known, range(len(known)))), ranks))
+    values = spark.sparkContext.broadcast(list(known.values()))
+    del known
 
     def lookup(batches):
-        words, _, ranks = sent.value
-        index = {w: i for i, w in enumerate(words)}
+        known, ranks = index.value
         find = regex.compile(pattern).findall
-        size = len(index)
-        for batch in batches:
+        size = len(known)
+        for batch in small(batches):
             codes, missing, long = [], [], []
             for text in batch.column(1).to_pylist():
                 fresh, parts = {}, []
                 for piece in pieces_of(text or ""):
                     found = find(piece)
-                    at = np.array([index.get(w, -1) for w in found], np.int32)
+                    at = np.array([known.get(w, -1) for w in found], np.int32)
                     for i in np.flatnonzero(at < 0).tolist():
                         at[i] = size + fresh.setdefault(found[i], len(fresh))
                     parts.append(at.tobytes())
@@ -276,14 +284,14 @@ def encode(
             )
 
     def assemble(batches):
-        _, values, _ = sent.value
-        size = len(values)
-        for batch in batches:
+        known = values.value
+        size = len(known)
+        for batch in small(batches):
             out = []
             for codes, fresh, long in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 own = [b or np.array(x, "<u4").tobytes() for x, b in zip(fresh, long)]
                 out.append(b"".join([
-                    values[i] if i < size else own[i - size] for i in np.frombuffer(codes, np.int32).tolist()
+                    known[i] if i < size else own[i - size] for i in np.frombuffer(codes, np.int32).tolist()
                 ]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
 
@@ -305,7 +313,7 @@ def decode(encoded: DataFrame, rank_path: str, id_col="doc_id", ids_col="ids") -
     sent = encoded.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             get = sent.value.__getitem__
             data = [b"".join(map(get, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[id_col, ids_col, "bytes"])
