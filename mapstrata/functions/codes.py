@@ -19,14 +19,26 @@ def _col(value: Column | str) -> Column:
 def crs_code(text: Column | str) -> Column:
     """EPSG code of a reference-system text, 0 when it names none.
 
-    ``EPSG:n`` as the whole text, else the first ``AUTHORITY["EPSG","n"]`` or
-    ``ID["EPSG",n]`` inside it.
+    The whole text is ``EPSG:n``, or it is a definition: then the code is the
+    number of the first EPSG identifier in it, an ``AUTHORITY`` or ``ID`` object
+    that closes right after the number.  Case, blanks and quotes do not count.
     """
-    text = _col(text)
-    short = F.regexp_extract(text, r"^EPSG:(\d+)$", 1)
-    long = F.regexp_extract(text, r'(?:AUTHORITY|ID)\["EPSG",\s*"?(\d+)"?\]', 1)
-    found = F.coalesce(F.nullif(short, F.lit("")), F.nullif(long, F.lit("")), F.lit("0"))
-    return found.cast("int")
+    plain = F.upper(F.regexp_replace(_col(text), r"[\s\"]", ""))
+    parts = F.split(plain, r"\[EPSG,")
+    named = F.transform(
+        F.slice(parts, 2, F.size(parts)),
+        lambda rest, i: F.when(
+            F.get(parts, i).endswith("AUTHORITY") | F.get(parts, i).endswith("ID"),
+            _number(F.substring_index(rest, "]", 1), rest.contains("]")),
+        ),
+    )
+    short = _number(F.substring(plain, 6, 20), plain.startswith("EPSG:"))
+    first = F.get(F.filter(named, lambda n: n.isNotNull()), F.lit(0))
+    return F.coalesce(short, first, F.lit(0))
+
+
+def _number(digits: Column, valid: Column) -> Column:
+    return F.when(valid & digits.rlike("^[0-9]{1,9}$"), digits.cast("int"))
 
 
 def department_code(code: Column | str) -> Column:

@@ -171,6 +171,8 @@ def _pairs_clash(seg: dict[str, np.ndarray], p: np.ndarray, q: np.ndarray) -> bo
 def _segments_of(rings: list[np.ndarray]) -> dict[str, np.ndarray]:
     columns: dict[str, list[np.ndarray]] = {n: [] for n in ("ax", "ay", "bx", "by", "r", "i", "n")}
     for r, ring in enumerate(rings):
+        if len(ring) < 2:
+            continue
         moved = np.any(np.diff(ring, axis=0) != 0, axis=1)
         clean = ring[np.concatenate(([True], moved))]
         count = len(clean) - 1

@@ -153,28 +153,35 @@ def append(df: DataFrame, table: str) -> None:
     in_table_order(df, table).write.insertInto(quoted(table))
 
 
-_overwrites = {"lock": threading.Lock(), "open": 0, "before": None}
+_overwrites: dict[str, tuple[int, str]] = {}  # per session: open writes, mode before them
+_overwrites_lock = threading.Lock()
 
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Overwrites replace only the partitions they write.
 
-    A write to a catalog table takes this from the session setting only, so
-    it is set as long as any such write runs and put back after the last.
+    A write to a catalog table takes this from the setting of its session only,
+    so it is set there as long as any such write of that session runs and put
+    back after the last.  It is read back, as any other mode would replace the
+    whole table.
     """
-    with _overwrites["lock"]:
-        if _overwrites["open"] == 0:
-            _overwrites["before"] = spark.conf.get(OVERWRITE_MODE)
-            spark.conf.set(OVERWRITE_MODE, "dynamic")
-        _overwrites["open"] += 1
+    session = spark._jsparkSession.sessionUUID()
+    with _overwrites_lock:
+        running, before = _overwrites.get(session, (0, spark.conf.get(OVERWRITE_MODE)))
+        _overwrites[session] = running + 1, before
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
     try:
+        if spark.conf.get(OVERWRITE_MODE).lower() != "dynamic":
+            raise RuntimeError("the session does not overwrite partitions one by one")
         yield
     finally:
-        with _overwrites["lock"]:
-            _overwrites["open"] -= 1
-            if _overwrites["open"] == 0:
-                spark.conf.set(OVERWRITE_MODE, _overwrites["before"])
+        with _overwrites_lock:
+            running, before = _overwrites.pop(session)
+            if running > 1:
+                _overwrites[session] = running - 1, before
+            else:
+                spark.conf.set(OVERWRITE_MODE, before)
 
 
 @dataclass

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -69,18 +69,40 @@ def read_layer(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def layer_departments(spark: SparkSession, path: str, request: str) -> dict[str, list[str]]:
+    """The requested departments that have a layer, for each layer, by one listing."""
+    listed = layer_listing(spark, path).select("path", "layer").collect()
+    unknown = sorted({row["path"] for row in listed if gpkg.department_of(row["path"]) is None})
+    if unknown:
+        raise ValueError(f"no department in the path of {', '.join(unknown)}")
+    present = {gpkg.department_of(p) for p in gpkg.find_containers(path)}
+    wanted = present
+    if request.strip().lower() != "all":
+        wanted = set(parse_departments(spark, request))
+        if missing := sorted(wanted - present):
+            raise LookupError(f"no container for {', '.join(missing)} at {path}")
+    holders: dict[str, set[str]] = {}
+    for row in listed:
+        dept = gpkg.department_of(row["path"])
+        if dept in wanted:
+            holders.setdefault(row["layer"], set()).add(dept)
+    return {layer: sorted(found) for layer, found in holders.items()}
+
+
 def load_layer(
     spark: SparkSession, path: str, layer: str, settings: LoadSettings, departments: list[str]
 ) -> tables.Replaced:
     """Replace the departments' rows of one layer in its table.
 
-    All containers are scanned by one job: a task holds a range of one
+    ``departments`` are those whose container has the layer; the containers of
+    others are not opened and their rows stay.  A layer that is there without
+    features empties its department.  All containers are scanned by one job: a task holds a range of one
     department's features, so rows go to the table without a shuffle.
     """
     name = tables.full_table_name(settings.catalog, settings.schema, settings.table_prefix, layer)
     extra = {"dept": T.StringType(), "layer": T.StringType()}
-    found = gpkg.open_layers(path, layer)
-    schema = gpkg.layer_schema(path, layer, extra)
+    found = gpkg.open_layers(path, layer, departments)
+    schema = gpkg.layer_schema(path, layer, extra, departments)
     unknown_system = [c.path for c in found if c.geometry and c.srid == 0]
     if unknown_system:
         raise ValueError(f"layer {layer} has no EPSG code in {unknown_system[0]}")
@@ -98,9 +120,10 @@ def load_layer(
         spark,
         path,
         layer,
+        departments=",".join(departments),
         featuresPerTask=settings.features_per_task,
         batchSize=settings.batch_size,
-    ).filter(F.col("dept").isin(departments))
+    )
     # Geometries carry their own reference system out of the scan.
     typed = ingest(rows, schema, 0, settings.target_srid)
     return tables.replace_departments(typed, name, departments)
@@ -121,14 +144,18 @@ def record_metrics(spark: SparkSession, settings: LoadSettings, report: LoadRepo
 
 
 def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
-    """Load layers of the containers below ``path`` into their tables."""
-    departments = parse_departments(spark, settings.departments)
+    """Load layers of the containers below ``path`` into their tables.
+
+    ``all`` stands for the departments that have a container.  Before anything
+    is written, a container whose path names no department and a requested
+    department without a container are errors.  Rows of a department go only if
+    its container has the layer.
+    """
+    holders = layer_departments(spark, path, settings.departments)
     schema = ".".join(p for p in (settings.catalog, settings.schema) if p)
     tables.create_schema(spark, schema)
-    available = [
-        row["layer"] for row in layer_listing(spark, path).select("layer").distinct().collect()
-    ]
-    wanted = settings.layers or sorted(available)
+    available = sorted(holders)
+    wanted = settings.layers or available
     report = LoadReport(uuid.uuid4().hex[:12])
     report.unknown_layers = [name for name in wanted if name not in available]
     if report.unknown_layers:
@@ -136,14 +163,19 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     chosen = [name for name in dict.fromkeys(wanted) if name in available]
 
     def one(layer: str) -> tables.Replaced:
-        return load_layer(spark, path, layer, settings, departments)
+        return load_layer(spark, path, layer, settings, holders[layer])
 
     # Layers are few and independent; several at a time keep executors busy
     # while a layer finishes its last tasks.
     with ThreadPoolExecutor(settings.concurrent_layers) as pool:
         jobs = {layer: pool.submit(inheritable_thread_target(spark)(one), layer) for layer in chosen}
-        report.layers = {layer: job.result() for layer, job in jobs.items()}
+        wait(jobs.values())
+    failed = {layer: job.exception() for layer, job in jobs.items() if job.exception()}
+    report.layers = {layer: job.result() for layer, job in jobs.items() if layer not in failed}
+    # What the other layers wrote is on record before the first failure is told.
     record_metrics(spark, settings, report)
+    for error in failed.values():
+        raise error
     return report
 
 

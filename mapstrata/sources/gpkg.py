@@ -32,6 +32,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import timezone
 from urllib.parse import quote, urlparse
 
 import pyarrow as pa
@@ -167,6 +168,16 @@ class Layer:
     columns: list[tuple[str, str]] = field(default_factory=list)
 
 
+def identified_code(definition: str) -> int:
+    """The number of the first EPSG identifier in a definition text, else 0."""
+    parts = re.sub(r"[\s\"]", "", definition).upper().split("[EPSG,")
+    for before, rest in zip(parts, parts[1:]):
+        number, closed, _ = rest.partition("]")
+        if before.endswith(("AUTHORITY", "ID")) and closed and number.isdecimal() and len(number) < 10:
+            return int(number)
+    return 0
+
+
 def _layer(connection: sqlite3.Connection, path: str, name: str) -> Layer:
     shape = connection.execute(
         "SELECT column_name, geometry_type_name, srs_id FROM gpkg_geometry_columns "
@@ -184,6 +195,7 @@ def _layer(connection: sqlite3.Connection, path: str, name: str) -> Layer:
             srid, crs = int(system[1]), f"EPSG:{system[1]}"
         elif system:
             crs = system[2] or ""
+            srid = identified_code(crs)
     table = connection.execute(f"PRAGMA table_info({_name(name)})").fetchall()
     key = next((c[1] for c in table if c[5] and c[2].upper() == "INTEGER"), "rowid")
     geometry = shape[0] if shape else None
@@ -222,10 +234,13 @@ def open_layer(path: str, name: str) -> Layer | None:
         connection.close()
 
 
-def open_layers(path: str, name: str) -> list[Layer]:
-    """The layer in every container that has it."""
+def open_layers(path: str, name: str, departments: Iterable[str] = ()) -> list[Layer]:
+    """The layer in every container that has it; containers of other
+    departments than the named ones are not opened."""
+    wanted = set(departments)
+    paths = [p for p in find_containers(path) if not wanted or department_of(p) in wanted]
     with ThreadPoolExecutor(METADATA_THREADS) as pool:
-        found = pool.map(lambda container: open_layer(container, name), find_containers(path))
+        found = pool.map(lambda container: open_layer(container, name), paths)
         layers = [layer for layer in found if layer is not None]
     if not layers:
         raise ValueError(f"no container at {path} has a layer {name}")
@@ -258,12 +273,17 @@ def merged_schema(layers: list[Layer]) -> T.StructType:
     return T.StructType(fields)
 
 
-def layer_schema(path: str, layer: str, extra: dict[str, T.DataType] | None = None) -> T.StructType:
+def layer_schema(
+    path: str,
+    layer: str,
+    extra: dict[str, T.DataType] | None = None,
+    departments: Iterable[str] = (),
+) -> T.StructType:
     """Schema at rest of a layer: source columns, ``geometry`` as text, extras.
 
     Reads metadata of the containers only.
     """
-    schema = merged_schema(open_layers(path, layer))
+    schema = merged_schema(open_layers(path, layer, departments))
     known = set(schema.names)
     extras = [T.StructField(n, t) for n, t in (extra or {}).items() if n not in known]
     return T.StructType(schema.fields + extras)
@@ -406,17 +426,23 @@ def read_range(
         connection.close()
 
 
+def requested(options: dict[str, str]) -> list[str]:
+    """The departments a scan is limited to; all when the option is absent."""
+    return [code for code in options.get("departments", "").split(",") if code]
+
+
 class GpkgReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]):
         self.schema = schema
         self.path = options["path"]
         self.layer = options["layer"]
+        self.departments = requested(options)
         self.features_per_task = int(options.get("featurespertask", FEATURES_PER_TASK))
         self.batch_size = int(options.get("batchsize", BATCH_SIZE))
         self.conditions: list[tuple[str, list]] = []
 
     def partitions(self) -> list[InputPartition]:
-        layers = open_layers(self.path, self.layer)
+        layers = open_layers(self.path, self.layer, self.departments)
         with ThreadPoolExecutor(METADATA_THREADS) as pool:
             ranges = pool.map(lambda layer: feature_ranges(layer, self.features_per_task), layers)
             return [part for parts in ranges for part in parts]
@@ -445,7 +471,7 @@ class GpkgPushdownReader(GpkgReader):
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         # A column can be tested in a container only if all of them have it
         # with one type.
-        layers = open_layers(self.path, self.layer)
+        layers = open_layers(self.path, self.layer, self.departments)
         plain = {}
         for name, declared in layers[0].columns:
             kind = spark_type(declared)
@@ -607,7 +633,10 @@ def _sqlite_values(column: pa.Array, kind: T.DataType) -> list:
         return [None if v is None else v.isoformat() for v in column.to_pylist()]
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         stamps = column.cast(pa.timestamp("us", getattr(column.type, "tz", None))).to_pylist()
-        return [None if v is None else v.strftime("%Y-%m-%dT%H:%M:%S.%fZ") for v in stamps]
+        if isinstance(kind, T.TimestampNTZType):  # no zone is known, so none is told
+            return [None if v is None else v.strftime("%Y-%m-%dT%H:%M:%S.%f") for v in stamps]
+        utc = [None if v is None else v.astimezone(timezone.utc) for v in stamps]
+        return [None if v is None else v.strftime("%Y-%m-%dT%H:%M:%S.%fZ") for v in utc]
     return column.to_pylist()
 
 
@@ -694,7 +723,9 @@ class GpkgDataSource(DataSource):
         if self._listing():
             return LISTING_SCHEMA
         extra = {"dept": T.StringType(), "layer": T.StringType()}
-        at_rest = layer_schema(self.options["path"], self.options["layer"], extra)
+        at_rest = layer_schema(
+            self.options["path"], self.options["layer"], extra, requested(self.options)
+        )
         in_flight, _ = ingestion_schema(at_rest)
         raw = self.options.get("geometry", "struct") == "wkb"
         shape = T.BinaryType() if raw else GEOMETRY_TYPE

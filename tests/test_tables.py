@@ -258,6 +258,52 @@ def test_unknown_reference_system_fails_the_layer(spark, database, tmp_path):
         jobs.load(spark, str(tmp_path), LoadSettings(database, layers=["batiment"]))
 
 
+def stamp_rows(start, count):
+    return [(i, point_blob(700000 + i, 6600000 + i), f"B{i:04d}", 1.5, 1, None) for i in range(start, start + count)]
+
+
+def test_load_leaves_departments_that_were_not_given(spark, database, tmp_path):
+    both, less = tmp_path / "both", tmp_path / "less"
+    both.mkdir(), less.mkdir()
+    make_container(both / "X_D001.gpkg", stamp_rows(1, 10))
+    make_container(both / "X_D002.gpkg", stamp_rows(20, 7))
+    settings = LoadSettings(database, layers=["batiment"])
+    jobs.load(spark, str(both), settings)
+    make_container(less / "X_D001.gpkg", stamp_rows(1, 4))
+    assert jobs.load(spark, str(less), settings).rows() == {"batiment": 4}
+    counts = spark.table(f"{database}.ign_bdtopo_batiment").groupBy("dept").count()
+    assert {r.dept: r["count"] for r in counts.collect()} == {"D001": 4, "D002": 7}
+
+
+def test_load_refuses_before_it_writes(spark, database, tmp_path):
+    make_container(tmp_path / "X_D001.gpkg", stamp_rows(1, 5))
+    with pytest.raises(LookupError, match="D075"):
+        jobs.load(spark, str(tmp_path), LoadSettings(database, departments="001,075"))
+    make_container(tmp_path / "extract_001.gpkg", stamp_rows(1, 5))
+    with pytest.raises(ValueError, match="extract_001"):
+        jobs.load(spark, str(tmp_path), LoadSettings(database))
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 0
+
+
+def test_load_opens_no_container_of_another_department(spark, database, tmp_path):
+    make_container(tmp_path / "X_D001.gpkg", stamp_rows(1, 5))
+    make_container(tmp_path / "X_D002.gpkg", stamp_rows(9, 5))
+    read = jobs.read_layer(spark, str(tmp_path), "batiment", departments="D002")
+    (tmp_path / "X_D001.gpkg").write_bytes(b"not a container")
+    assert {r.dept for r in read.collect()} == {"D002"}
+
+
+def test_two_sessions_overwrite_partitions(spark, database):
+    from mapstrata.operators.tables import dynamic_overwrite
+
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    other = spark.newSession()
+    before = spark.conf.get(mode)
+    with dynamic_overwrite(spark), dynamic_overwrite(other), dynamic_overwrite(spark):
+        assert spark.conf.get(mode) == other.conf.get(mode) == "dynamic"
+    assert spark.conf.get(mode) == other.conf.get(mode) == before
+
+
 def test_ranges(spark):
     df = spark.createDataFrame([("a", 12), ("b", 5), ("c", 0)], "layer string, n long")
     rows = layers.batch_ranges(df, "n", 5).orderBy("layer", "idx").collect()
