@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 MAP_BUCKETS = 1 << 16
 FREQUENT = 400_000
@@ -174,13 +174,6 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def small(batches, rows: int = 200):
-    """The batches in parts of few rows, so that a task holds few texts in several forms."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def pieces_of(text: str):
     """The text in parts of about PIECE characters, cut where no word goes across."""
     at = 0

@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small(batches, rows: int = 500):
+    """Arrow batches in parts of few rows, so that a task holds few texts in several forms."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one where ``df`` has that column already."""
     taken = {c.lower() for c in df.columns}
@@ -79,7 +86,7 @@ def split_by_ids(rows: DataFrame, column: str, ids: DataFrame, bits: int = SET_B
 
     def keep(wanted):
         def run(batches):
-            for batch in batches:
+            for batch in small(batches):
                 place = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
                 found = (sent.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
                 yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(found == wanted))

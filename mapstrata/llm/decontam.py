@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, split_by_ids
+from .common import cut, small, split_by_ids
 from .substring import Windows, mixed
 
 SIMILARITY = 0.8
@@ -249,7 +249,7 @@ def leaks(
 
         def run(batches, sent=sent):
             windows = Windows()
-            for batch in batches:
+            for batch in small(batches):
                 items, found = sent.value, []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     for k, distance, start in find_leaks(text, items, windows):

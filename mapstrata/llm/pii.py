@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 FEATURES = 1 << 14
@@ -183,7 +185,7 @@ def fit(docs: DataFrame, text_col="text") -> np.ndarray:
 
     def count(batches):
         held = np.zeros((FEATURES, len(LABELS)), np.int64)
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column(0).to_pylist():
                 if not _possible(text):
                     continue
@@ -241,7 +243,7 @@ def find(docs: DataFrame, ratios: np.ndarray, id_col="doc_id", text_col="text")
         return [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(spans)]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             base, added = [], []
             for text in batch.column(1).to_pylist():
                 found = base_spans(text) if _possible(text) else []

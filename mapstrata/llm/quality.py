@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 from .toxicity import training_rows
 
 BUCKETS = 1 << 16
@@ -63,7 +63,7 @@ def fit(
 
     def count(batches):
         held = np.zeros((2, BUCKETS), np.int64)  # the raw corpus, the target
-        for batch in batches:
+        for batch in small(batches):
             target = batch.column(0).is_valid().to_pylist()
             for good_, found in zip(target, _read(batch.column(1))):
                 n = np.bincount(found, minlength=BUCKETS)
@@ -95,7 +95,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, id_col="doc_id", text_col="text")
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             made = [float(sent.value[x].sum()) for x in _read(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.float64())], names=["id", "log_weight"])
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, release, split_by_ids
+from .common import components, cut, release, small, split_by_ids
 
 SEED = 42
 RADIUS = 2
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", words=3, bit
     """(id, fp) of every row; fp holds the bits as an array of signed longs."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             made = np.array([fingerprint(x, words, bits) for x in batch.column(1).to_pylist()], np.uint64)
             made = made.reshape(batch.num_rows, bits // 64).view(np.int64)
             yield pa.RecordBatch.from_arrays(

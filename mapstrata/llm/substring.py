@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release, split_by_ids
+from .common import cut, release, small, split_by_ids
 
 WORDS = 50
 PERIOD = 31
@@ -128,7 +128,7 @@ def _anchor_rows(cover: list[int], period: int, words: int, combined: bool):
 
     def run(batches):
         windows = Windows()
-        for batch in batches:
+        for batch in small(batches):
             found, docs, places = [], [], []
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for doc, text in zip(ids, batch.column(1).to_pylist()):
@@ -160,7 +160,7 @@ def _window_rows(period: int, words: int):
 
     def run(batches):
         windows = Windows()
-        for batch in batches:
+        for batch in small(batches):
             out = [[], [], [], []]
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for doc, text, places in zip(ids, batch.column(1).to_pylist(), batch.column(2)):
@@ -273,7 +273,7 @@ def substring_dedup(
     release(spark)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             rows = [
                 kept_words(text, np.asarray(starts, np.int64) if starts else np.zeros(0, np.int64), words, bool(whole))
                 for text, starts, whole in zip(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release
+from .common import cut, release, small
 from .substring import Windows, difference_cover, mixed
 
 LENGTH = 400
@@ -90,7 +90,7 @@ def _stretches(length: int, gram: int):
 
     def run(batches):
         windows = Windows()
-        for batch in batches:
+        for batch in small(batches):
             out = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()):
                 raw = _raw(text)
@@ -125,7 +125,7 @@ def _parts(length: int, gram: int, with_bytes: bool):
 
     def run(batches):
         windows = Windows()
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc, text, places in zip(
                 batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist(), batch.column(2)
@@ -276,7 +276,7 @@ def _sorted_blocks(length: int):
 
     def run(batches):
         held, size = None, 0
-        for batch in batches:
+        for batch in small(batches):
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)] + [batch.column(6).to_pylist()]
             for at in range(0, batch.num_rows, 1024):
                 part = [x[at : at + 1024] for x in rows]
@@ -300,7 +300,7 @@ def _suffix_rows(length: int):
 
     def run(batches):
         windows = Windows()
-        for batch in batches:
+        for batch in small(batches):
             out = [[], [], [], []]
             doc, start, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             for d, s, m, x in zip(doc.tolist(), start.tolist(), n.tolist(), batch.column(3).to_pylist()):
@@ -413,7 +413,7 @@ def suffix_dedup(
     runs = repeated_suffixes(rows.select("doc", "text"), length, gram, crowded)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = [[], [], [], []]
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2)):
                 raw = _raw(text)

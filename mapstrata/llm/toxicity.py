@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small
 
 BUCKETS = 1 << 18
 SAMPLE = 50_000
@@ -185,7 +185,7 @@ def fit(
 
     def count(batches):
         held = np.zeros((3, BUCKETS), np.int64)  # all texts, clean ones, toxic ones
-        for batch in batches:
+        for batch in small(batches):
             label = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
             for k, x in zip(label, batch.column(1)):
                 n = np.bincount(x.values.to_numpy(), minlength=1)
@@ -214,7 +214,7 @@ def fit(
 
     def evaluated(measure):
         def run(batches):
-            for batch in batches:
+            for batch in small(batches):
                 made = [measure(x.values.to_numpy()) for x in batch.column(0)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made, pa.float64()), batch.column(1)], names=["x", "label"]
@@ -248,7 +248,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col="doc_id", text_col="text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             m, made, passages = sent.value, [], []
             for x in batch.column(1):
                 value, found = evidence(x.values.to_numpy(), m)
@@ -275,7 +275,7 @@ def drop_toxic(
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             m, last = sent.value, batch.num_columns - 1
             values = np.array([evidence(x.values.to_numpy(), m)[0] for x in batch.column(last)], float)
             calm = 1 / (1 + np.exp(-np.clip(m.slope * values + m.offset, -500, 500))) < threshold
