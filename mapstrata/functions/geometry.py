@@ -591,16 +591,6 @@ def point_in_parts(x: Column, y: Column, parts: Column) -> Column:
     return F.exists(parts, part_holds)
 
 
-def boxes_overlap(a: dict[str, Column], b: dict[str, Column]) -> Column:
-    """Closed boxes share at least one point."""
-    return (
-        (a["xmin"] <= b["xmax"])
-        & (a["xmax"] >= b["xmin"])
-        & (a["ymin"] <= b["ymax"])
-        & (a["ymax"] >= b["ymin"])
-    )
-
-
 def to_native(wkb: Column | str, srid: int = 4326) -> Column:
     """Spark's own in-memory geometry value from WKB bytes.
 

@@ -45,11 +45,6 @@ def spread_ranges(ranges: DataFrame, partitions: int) -> DataFrame:
     return ranges.repartitionByRange(partitions, *[c for c in ranges.columns])
 
 
-def metrics_by_layer(metrics: DataFrame) -> DataFrame:
-    """Rows per layer over all departments, from ``(layer, dept, rows)``."""
-    return metrics.groupBy("layer").agg(F.sum("rows").alias("rows"))
-
-
 def metrics_report(metrics: DataFrame) -> DataFrame:
     """Rows per layer and department with subtotals (NULL means all)."""
     return metrics.rollup("layer", "dept").agg(F.sum("rows").alias("rows"))

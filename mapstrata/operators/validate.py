@@ -202,14 +202,13 @@ def check_frame(df: DataFrame, name: str, spatial: bool = True) -> DataFrame:
 
 def check_twin(base: DataFrame, twin: DataFrame, name: str, key: str = FEATURE_KEY) -> DataFrame:
     """The twin is not larger than its base, and repeats no key."""
-    counts = twin.groupBy(F.col(f"`{key}`").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    after = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("after"), F.count_if(F.col("n") > 1).alias("repeats")
-    )
-    before = base.agg(F.count(F.lit(1)).alias("before"))
-    # One row each side.
-    both = before.select("before", F.lit(1).alias("_one")).join(
-        after.withColumn("_one", F.lit(1)), "_one"
+    zero = F.lit(0).cast("long")
+    held = twin.groupBy(F.col(f"`{key}`").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    counted = base.agg(F.count(F.lit(1)).alias("before")).select("before", zero.alias("n"))
+    both = counted.unionByName(held.select(zero.alias("before"), "n")).agg(
+        F.sum("before").alias("before"),
+        F.sum("n").alias("after"),
+        F.count_if(F.col("n") > 1).alias("repeats"),
     )
     sizes = F.concat(
         F.col("before").cast("string"), F.lit(" -> "), F.col("after").cast("string")

@@ -69,40 +69,65 @@ def read_layer(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def layer_departments(spark: SparkSession, path: str, request: str) -> dict[str, list[str]]:
-    """The requested departments that have a layer, for each layer, by one listing."""
+@dataclass
+class Holders:
+    """Who has a layer: departments by their container's path, and whether a
+    container of no department tells it row by row in a ``dept`` column."""
+
+    departments: set[str] = field(default_factory=set)
+    by_row: bool = False
+
+
+def layer_holders(
+    spark: SparkSession, path: str, wanted: set[str], required: bool
+) -> dict[str, Holders]:
+    """The holders of each layer among the ``wanted`` departments, by one listing.
+
+    With ``required``, each of these must have a container.
+    """
     listed = layer_listing(spark, path).select("path", "layer").collect()
-    unknown = sorted({row["path"] for row in listed if gpkg.department_of(row["path"]) is None})
-    if unknown:
-        raise ValueError(f"no department in the path of {', '.join(unknown)}")
     present = {gpkg.department_of(p) for p in gpkg.find_containers(path)}
-    wanted = present
-    if request.strip().lower() != "all":
-        wanted = set(parse_departments(spark, request))
-        if missing := sorted(wanted - present):
-            raise LookupError(f"no container for {', '.join(missing)} at {path}")
-    holders: dict[str, set[str]] = {}
+    holders: dict[str, Holders] = {}
+    unknown = set()
     for row in listed:
         dept = gpkg.department_of(row["path"])
-        if dept in wanted:
-            holders.setdefault(row["layer"], set()).add(dept)
-    return {layer: sorted(found) for layer, found in holders.items()}
+        if dept is None:
+            columns = {name.lower() for name, _ in gpkg.open_layer(row["path"], row["layer"]).columns}
+            if "dept" in columns:
+                holders.setdefault(row["layer"], Holders()).by_row = True
+            else:
+                unknown.add(row["path"])
+        elif dept in wanted:
+            holders.setdefault(row["layer"], Holders()).departments.add(dept)
+    if unknown:
+        raise ValueError(f"no department in the path of {', '.join(sorted(unknown))}")
+    missing = sorted(wanted - present)
+    if required and missing and not any(h.by_row for h in holders.values()):
+        raise LookupError(f"no container for {', '.join(missing)} at {path}")
+    return holders
 
 
 def load_layer(
-    spark: SparkSession, path: str, layer: str, settings: LoadSettings, departments: list[str]
+    spark: SparkSession,
+    path: str,
+    layer: str,
+    settings: LoadSettings,
+    holders: Holders,
+    wanted: set[str],
 ) -> tables.Replaced:
     """Replace the departments' rows of one layer in its table.
 
-    ``departments`` are those whose container has the layer; the containers of
+    Only departments whose container has the layer are replaced; containers of
     others are not opened and their rows stay.  A layer that is there without
     features empties its department.  All containers are scanned by one job: a task holds a range of one
     department's features, so rows go to the table without a shuffle.
     """
     name = tables.full_table_name(settings.catalog, settings.schema, settings.table_prefix, layer)
     extra = {"dept": T.StringType(), "layer": T.StringType()}
-    found = gpkg.open_layers(path, layer, departments)
-    schema = gpkg.layer_schema(path, layer, extra, departments)
+    departments = sorted(holders.departments)
+    limit = [] if holders.by_row else departments
+    found = gpkg.open_layers(path, layer, limit)
+    schema = gpkg.layer_schema(path, layer, extra, limit)
     unknown_system = [c.path for c in found if c.geometry and c.srid == 0]
     if unknown_system:
         raise ValueError(f"layer {layer} has no EPSG code in {unknown_system[0]}")
@@ -120,10 +145,12 @@ def load_layer(
         spark,
         path,
         layer,
-        departments=",".join(departments),
+        departments=",".join(limit),
         featuresPerTask=settings.features_per_task,
         batchSize=settings.batch_size,
     )
+    if holders.by_row:
+        rows = rows.filter(F.col("dept").isin(sorted(wanted)))
     # Geometries carry their own reference system out of the scan.
     typed = ingest(rows, schema, 0, settings.target_srid)
     return tables.replace_departments(typed, name, departments)
@@ -146,12 +173,14 @@ def record_metrics(spark: SparkSession, settings: LoadSettings, report: LoadRepo
 def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     """Load layers of the containers below ``path`` into their tables.
 
-    ``all`` stands for the departments that have a container.  Before anything
-    is written, a container whose path names no department and a requested
-    department without a container are errors.  Rows of a department go only if
+    ``all`` stands for those of the 96 departments that have a container.  Before anything
+    is written, a container whose path names no department and whose layers have no
+    ``dept`` column, and a requested department without a container are errors.  Rows of a department go only if
     its container has the layer.
     """
-    holders = layer_departments(spark, path, settings.departments)
+    request = settings.departments
+    codes = set(parse_departments(spark, request))
+    holders = layer_holders(spark, path, codes, request.strip().lower() != "all")
     schema = ".".join(p for p in (settings.catalog, settings.schema) if p)
     tables.create_schema(spark, schema)
     available = sorted(holders)
@@ -163,7 +192,7 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     chosen = [name for name in dict.fromkeys(wanted) if name in available]
 
     def one(layer: str) -> tables.Replaced:
-        return load_layer(spark, path, layer, settings, holders[layer])
+        return load_layer(spark, path, layer, settings, holders[layer], codes)
 
     # Layers are few and independent; several at a time keep executors busy
     # while a layer finishes its last tasks.

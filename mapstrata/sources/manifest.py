@@ -104,9 +104,9 @@ def to_fetch(expected: DataFrame, actual: DataFrame, on: list[str]) -> DataFrame
 def require_intact(verified: DataFrame) -> None:
     """Raise when a landed file differs from its checksum."""
     bad = verified.filter(F.col("status") == MISMATCH)
-    example = bad.limit(1).collect()
-    if example:
-        raise ChecksumMismatch(f"{bad.count()} file(s) differ, such as {example[0].asDict()}")
+    found = bad.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("*")).alias("example")).first()
+    if found["n"]:
+        raise ChecksumMismatch(f"{found['n']} file(s) differ, such as {found['example'].asDict()}")
 
 
 def require_departments(wanted: DataFrame, containers: DataFrame) -> None:
