@@ -18,8 +18,10 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 import sys
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -35,8 +37,11 @@ FREQUENT = 400_000
 WORD_BYTES = 64
 PIECE = 1 << 20
 NO_RANK = (1 << 31) - 1
-#: Words that a task counts before it hands them on.
-COUNTED = 200_000
+#: Stretches that a task counts, or remembers the words of, at a time.
+COUNTED = 150_000
+REMEMBERED = 100_000
+#: A text in which no other blank touches a space is split into words at its spaces.
+TOUCHING = re.compile(r"\A | \Z| \s|\s ")
 #: A text may be cut in front of a space between two characters that are not blank.
 CUT = regex.compile(r"(?<=\S)(?= \S)")
 
@@ -186,24 +191,51 @@ def pieces_of(text: str):
     yield text[at:] if at else text
 
 
+def stretches(text: str):
+    """(stretches, whether a space goes before each) of a text, in order, whose
+    words are those of the text.
+
+    Where spaces stand alone each begins a word, so a stretch starts there; the
+    same stretches come again and again.
+    """
+    for piece in pieces_of(text):
+        if TOUCHING.search(piece):
+            yield [piece], False
+        else:
+            found = piece.split(" ")
+            yield found[:1], False
+            yield found[1:], True
+
+
 def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> DataFrame:
     """At most ``most`` words: those that occur at least so often that no more do."""
 
     def count(batches):
-        find, held = regex.compile(pattern).findall, Counter()
+        find = regex.compile(pattern).findall
+        plain, spaced, held = Counter(), Counter(), Counter()
 
         def rows():
+            for stretch, n in plain.items():
+                for word in find(stretch):
+                    held[word] += n
+            for stretch, n in spaced.items():
+                for word in find(f" {stretch}"):
+                    held[word] += n
             made = pa.RecordBatch.from_arrays(
                 [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]
             )
-            held.clear()
+            for counter in (plain, spaced, held):
+                counter.clear()
             return made
 
         for batch in small(batches):
             for text in batch.column(0).to_pylist():
-                for piece in pieces_of(text or ""):
-                    held.update(find(piece))
-            if len(held) > COUNTED:
+                for found, after_space in stretches(text or ""):
+                    if after_space:
+                        spaced.update(found)
+                    else:
+                        plain.update(found)
+            if len(plain) + len(spaced) > COUNTED:
                 yield rows()
         yield rows()
 
@@ -250,16 +282,26 @@ def encode(
         known, ranks = index.value
         find = regex.compile(pattern).findall
         size = len(known)
+        remembered: dict[str, bytes] = {}
+
+        def coded(stretch: str, fresh: dict[str, int]) -> bytes:
+            found = find(stretch)
+            at = [known.get(w, -1) for w in found]
+            if -1 in at:
+                at = [size + fresh.setdefault(w, len(fresh)) if i < 0 else i for w, i in zip(found, at)]
+            elif stretch[:1] == " " and len(remembered) < REMEMBERED and len(stretch) < WORD_BYTES:
+                remembered[stretch[1:]] = array("i", at).tobytes()
+            return array("i", at).tobytes()
+
         for batch in small(batches):
             codes, missing, long = [], [], []
             for text in batch.column(1).to_pylist():
                 fresh, parts = {}, []
-                for piece in pieces_of(text or ""):
-                    found = find(piece)
-                    at = np.array([known.get(w, -1) for w in found], np.int32)
-                    for i in np.flatnonzero(at < 0).tolist():
-                        at[i] = size + fresh.setdefault(found[i], len(fresh))
-                    parts.append(at.tobytes())
+                for found, after_space in stretches(text or ""):
+                    if after_space:
+                        parts += [remembered.get(s) or coded(f" {s}", fresh) for s in found]
+                    else:
+                        parts += [coded(s, fresh) for s in found]
                 codes.append(b"".join(parts))
                 words = [w.encode() for w in fresh]
                 missing.append(["" if len(b) > WORD_BYTES else w for w, b in zip(fresh, words)])
