@@ -41,7 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32 bit) and the digest of the decoded bytes."""
     path, pattern = vocabulary()
-    return bpe.decode(bpe.encode(docs, path, pattern), path).select(
+    return bpe.encode(docs, path, pattern, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",

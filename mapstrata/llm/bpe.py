@@ -244,6 +244,7 @@ def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> D
         .groupBy("word").agg(F.sum("n").alias("n"))
         .filter((F.col("n") > 1) & (F.octet_length("word") <= WORD_BYTES))
     )
+    counts = cut(counts)  # read twice below
     rows = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
     total, least = 0, sys.maxsize
     for n, k in rows:
@@ -256,9 +257,10 @@ def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> D
 
 def encode(
     docs: DataFrame, rank_path: str, pattern: str, id_col="doc_id", text_col="text",
-    frequent: int = FREQUENT,
+    frequent: int = FREQUENT, decoded: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, ids (binary, little-endian unsigned 32 bit).
+    """One row per row of ``docs``: ``id_col``, ids (binary, little-endian unsigned 32 bit),
+    and with ``decoded`` also bytes, which the ids decode to.
 
     Words are the matches of ``pattern``; each is encoded separately, without
     special tokens.  ``frequent`` bounds the words that are sent to tasks and does
@@ -275,7 +277,7 @@ def encode(
         for row in chosen.select("word", ids.alias("ids")).toLocalIterator():
             known[row.word] = np.array(row.ids, "<u4").tobytes()
     index = spark.sparkContext.broadcast((dict(zip(known, range(len(known)))), ranks))
-    values = spark.sparkContext.broadcast(list(known.values()))
+    values = spark.sparkContext.broadcast((list(known.values()), id_pieces(ranks) if decoded else []))
     del known
 
     def lookup(batches):
@@ -319,7 +321,7 @@ def encode(
             )
 
     def assemble(batches):
-        known = values.value
+        known, pieces = values.value
         size = len(known)
         for batch in small(batches):
             out = []
@@ -328,29 +330,40 @@ def encode(
                 out.append(b"".join([
                     known[i] if i < size else own[i - size] for i in np.frombuffer(codes, np.int32).tolist()
                 ]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, "ids"])
+            columns = [batch.column(0), pa.array(out, pa.binary())]
+            if decoded:
+                columns.append(pa.array([decode_ids(x, pieces) for x in out], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "ids", "bytes"][: len(columns)])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(id_col, text_col)
         .mapInArrow(lookup, f"id {kind}, codes binary, missing array<string>, long array<binary>")
         .select("id", "codes", encode_words(F.col("missing"), table).alias("fresh"), "long")
-        .mapInArrow(assemble, f"`{id_col}` {kind}, ids binary")
+        .mapInArrow(assemble, f"`{id_col}` {kind}, ids binary" + ", bytes binary" * decoded)
     )
 
 
-def decode(encoded: DataFrame, rank_path: str, id_col="doc_id", ids_col="ids") -> DataFrame:
-    """Adds ``bytes`` (binary): the byte pieces of all ids, concatenated."""
-    ranks = load_ranks(rank_path)
+def id_pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    """The byte piece of each id."""
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
+    return pieces
+
+
+def decode_ids(ids: bytes, pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def decode(encoded: DataFrame, rank_path: str, id_col="doc_id", ids_col="ids") -> DataFrame:
+    """Adds ``bytes`` (binary): the byte pieces of all ids, concatenated."""
+    pieces = id_pieces(load_ranks(rank_path))
     sent = encoded.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
         for batch in small(batches):
-            get = sent.value.__getitem__
-            data = [b"".join(map(get, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(1).to_pylist()]
+            data = [decode_ids(x or b"", sent.value) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[id_col, ids_col, "bytes"])
 
     kind = encoded.schema[id_col].dataType.simpleString()

@@ -67,8 +67,7 @@ def vocabulary() -> tuple[str, str]:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = vocabulary()
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(encoded, path).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), path, pattern, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
