@@ -19,10 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small(batches, rows: int = 500):
-    """Arrow batches in parts of few rows, so that a task holds few texts in several forms."""
+    """Arrow batches in parts of few rows, so that a task holds few texts in several forms.
+
+    What Arrow has freed goes back to the system after each batch, as the workers
+    of a task share its executor's memory.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def fresh(df: DataFrame, name: str) -> str:
