@@ -5,7 +5,7 @@ so copies cost nothing later.  Only rows that share a key are compared.  For a
 small radius a key leaves out ``radius`` of the blocks of the fingerprint, and
 every such choice is one, so no pair is missed; for a large one keys sample
 bits, so often that a pair at the stated similarity is found with probability
-RECALL.  Rows of a key are laid out as bit planes, and all distances of a shift
+RECALL; such pairs are candidates only, and their shingle sets decide.  Rows of a key are laid out as bit planes, and all distances of a shift
 are counted at once by carry-save adders over 64 lanes a word.  A run of lanes
 is abandoned once all exceed the radius.
 """
@@ -33,17 +33,29 @@ LANES = 1 << 16
 CHUNK = 1 << 15
 
 
-def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> list[int]:
-    """Majority bits of the XXH64 values of all word shingles, 64 to a number and
-    seed; 0 without words."""
+def shingles(text: str | None, words: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of a text in lower case, and where each of its shingles starts and ends."""
     data = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not data:
-        return [0] * (bits // 64)
-    raw = np.frombuffer(data, np.uint8)
-    gaps = np.flatnonzero(raw == 32)
+        return data, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
     starts = np.concatenate(([0], gaps + 1))
     ends = np.concatenate((gaps, [len(data)]))
-    starts, ends = starts[: max(1, len(starts) - words + 1)], ends[min(words, len(ends)) - 1 :]
+    return data, starts[: max(1, len(starts) - words + 1)], ends[min(words, len(ends)) - 1 :]
+
+
+def shingle_set(text: str | None, words: int) -> set[bytes]:
+    data, starts, ends = shingles(text, words)
+    return {data[a:b] for a, b in zip(starts.tolist(), ends.tolist())}
+
+
+def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> list[int]:
+    """Majority bits of the XXH64 values of all word shingles, 64 to a number and
+    seed; 0 without words."""
+    return _majority(*shingles(text, words), bits)
+
+
+def _majority(data: bytes, starts: np.ndarray, ends: np.ndarray, bits: int) -> list[int]:
     counts = np.zeros((bits // 64, 64), np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(starts), CHUNK):
@@ -56,6 +68,16 @@ def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> list[int]:
     return [sum(1 << i for i in np.flatnonzero(row * 2 > len(starts)).tolist()) for row in counts]
 
 
+def set_fingerprint(text: str | None, words: int, bits: int) -> tuple[list[int], int, bytes]:
+    """Fingerprint of the different shingles, each counted once, their number, and
+    a digest of 128 bits that equal sets share."""
+    data, starts, ends = shingles(text, words)
+    digest = xxhash.xxh3_64_intdigest
+    hashes = np.array([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], "<u8")
+    hashes, first = np.unique(hashes, return_index=True)
+    return _majority(data, starts[first], ends[first], bits), len(first), xxhash.xxh3_128_digest(hashes.tobytes())
+
+
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", words=3, bits=64) -> DataFrame:
     """(id, fp) of every row; fp holds the bits as an array of signed longs."""
 
@@ -71,6 +93,25 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", words=3, bit
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp array<long>")
 
 
+def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, bits: int) -> DataFrame:
+    """(id, fp, size, digest) of every row, of its set of shingles."""
+
+    def run(batches):
+        for batch in small(batches):
+            made = [set_fingerprint(x, words, bits) for x in batch.column(1).to_pylist()]
+            fps = np.array([fp for fp, _, _ in made], np.uint64).reshape(len(made), bits // 64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(list(fps), pa.list_(pa.int64())),
+                    pa.array([n for _, n, _ in made], pa.int64()), pa.array([d for _, _, d in made], pa.binary()),
+                ],
+                names=["id", "fp", "size", "digest"],
+            )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp array<long>, size long, digest binary")
+
+
 def block_masks(radius: int, bits: int = 64, blocks: int = BLOCKS) -> list[int]:
     """Masks of the bits that stay when ``radius`` of the blocks are left out."""
     edges = [bits * i // blocks for i in range(blocks + 1)]
@@ -79,6 +120,11 @@ def block_masks(radius: int, bits: int = 64, blocks: int = BLOCKS) -> list[int]:
     return [full ^ sum(out) for out in combinations(parts, radius)]
 
 
+def _apart(similarity: float) -> float:
+    """Share of the bits in which sets of this Jaccard differ, by the angle of their counts."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
 def sampled_masks(rows: int, similarity: float, bits: int, recall: float = RECALL) -> list[int]:
     """Masks of random bits, for so many keys that two texts of this shingle
     similarity (Jaccard) share one with probability ``recall``.
@@ -86,8 +132,7 @@ def sampled_masks(rows: int, similarity: float, bits: int, recall: float = RECAL
     The bits of a mask grow with the logarithm of the rows, so that about FILL
     unrelated rows share a key at every size.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    agree = 1 - math.acos(cosine) / math.pi
+    agree = 1 - _apart(similarity)
     width = max(4, math.ceil(math.log2(max(rows, 1) / FILL))) if rows > FILL else 1
     count = math.ceil(math.log(1 - recall) / math.log(1 - agree**width))
     rng = np.random.default_rng(SEED)
@@ -178,21 +223,15 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def link_cells(cells: np.ndarray, ids: np.ndarray, fps: np.ndarray, radius: int):
-    """Pairs of ids that join the near rows of each cell into its components.
-
-    Rows are sorted by cell.  At most one pair per row comes out: a row and the
-    first row of its component.
-    """
+def near_rows(cells: np.ndarray, fps: np.ndarray, radius: int):
+    """Yields arrays (x, y) of the places of near rows of one cell, every pair once."""
     order = np.argsort(cells, kind="stable")
-    cells, ids, fps = cells[order], ids[order], fps[order]
-    _, first, sizes = np.unique(cells, return_index=True, return_counts=True)
+    _, first, sizes = np.unique(cells[order], return_index=True, return_counts=True)
     by_size = np.argsort(sizes, kind="stable")[::-1]  # large cells in front: later shifts see a prefix
-    rows = np.concatenate([np.arange(first[i], first[i] + sizes[i]) for i in by_size]) if len(by_size) else by_size
-    cells, ids, fps = cells[rows], ids[rows], fps[rows]
+    rows = np.concatenate([order[first[i] : first[i] + sizes[i]] for i in by_size]) if len(by_size) else order
+    cells = cells[rows]
     ends = np.cumsum(sizes[by_size])
-    parent = np.arange(len(ids))
-    planes = bit_planes(fps)
+    planes = bit_planes(fps[rows])
     for shift in range(1, int(sizes.max()) if len(sizes) else 0):
         stop = int(ends[np.searchsorted(-sizes[by_size], -shift, side="left") - 1])
         for at in range(0, stop - shift, LANES):
@@ -200,19 +239,58 @@ def link_cells(cells: np.ndarray, ids: np.ndarray, fps: np.ndarray, radius: int)
             words = -(-lanes // 64)
             near = _compare(planes[:, at // 64 : at // 64 + words], shifted(planes, at + shift, words), lanes, radius)
             hit = np.flatnonzero(near & (cells[at : at + lanes] == cells[at + shift : at + shift + lanes])) + at
-            a, b = parent[hit], parent[hit + shift]
-            while (apart := a != b).any():
-                low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
-                np.minimum.at(parent, high, low)
-                parent = _roots(parent)
-                a, b = parent[hit], parent[hit + shift]
+            if len(hit):
+                yield rows[hit], rows[hit + shift]
+
+
+def link_cells(cells: np.ndarray, ids: np.ndarray, fps: np.ndarray, radius: int):
+    """Pairs of ids that join the near rows of each cell into its components.
+
+    At most one pair per row comes out: a row and the first row of its component.
+    """
+    parent = np.arange(len(ids))
+    for x, y in near_rows(cells, fps, radius):
+        a, b = parent[x], parent[y]
+        while (apart := a != b).any():
+            low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+            np.minimum.at(parent, high, low)
+            parent = _roots(parent)
+            a, b = parent[x], parent[y]
     linked = np.flatnonzero(parent != np.arange(len(ids)))
     return ids[linked], ids[parent[linked]]
 
 
-def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """Links (a, b) between ids of distinct fingerprints (id, fp) that join all
-    pairs within ``radius`` bits that share a key into the same components.
+def candidate_cells(cells, ids, fps, groups, sizes, radius: int, similarity: float, spanning: bool):
+    """Yields arrays (a, b) of ids of near rows of one cell that are of different
+    groups and whose sets are not too unlike in size for the similarity.
+
+    With ``spanning`` only so many pairs come out as join all of these groups,
+    less than there are groups; a pair is always two near rows.
+    """
+    _, of = np.unique(groups, return_inverse=True)
+    parent = np.arange(of.max() + 1 if len(of) else 0)
+    for x, y in near_rows(cells, fps, radius):
+        fit = np.minimum(sizes[x], sizes[y]) >= similarity * np.maximum(sizes[x], sizes[y]) * (1 - 1e-12)
+        x, y = x[fit], y[fit]
+        while True:
+            a, b = parent[of[x]], parent[of[y]]
+            apart = a != b
+            x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+            if not len(x):
+                break
+            if not spanning:
+                yield ids[x], ids[y]
+                break
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            order = np.lexsort((low, high))
+            chosen = order[np.unique(high[order], return_index=True)[1]]
+            yield ids[x[chosen]], ids[y[chosen]]
+            parent[high[chosen]] = low[chosen]
+            parent = _roots(parent)
+
+
+def in_cells(reps: DataFrame, masks: list[int], cell: int = CELL) -> DataFrame:
+    """The rows of ``reps`` (id, fp and more) once for each cell they are in, sorted by ``cell``.
 
     A key with more than ``cell`` rows is dealt out over pairs of its parts, so
     every pair still meets in one cell and no cell has over twice ``cell`` rows
@@ -228,17 +306,16 @@ def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: in
         ])
 
     keyed = reps.select(
-        "id",
-        "fp",
+        *reps.columns,
         F.explode(
             F.array(*[
                 F.struct(F.lit(i).alias("mask"), masked(m).alias("key")) for i, m in enumerate(masks)
             ])
         ).alias("k"),
-    ).select("id", "fp", "k.mask", "k.key")
+    ).select(*reps.columns, "k.mask", "k.key")
     crowded = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1")
     parts = F.ceil(F.col("n") / F.lit(cell)).cast("int")
-    dealt = (
+    return (
         keyed.join(crowded, ["mask", "key"])
         .withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -247,45 +324,93 @@ def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: in
             F.xxhash64(
                 "mask", "key", F.least("part", "other"), F.greatest("part", "other")
             ).alias("cell"),
-            "id",
-            "fp",
+            *reps.columns,
         )
         .repartition("cell")
         .sortWithinPartitions("cell")
     )
 
+
+def _whole_cells(batches):
+    """Columns of LANES rows or more, from Arrow batches sorted by their first column; no cell is torn."""
+    held, rows = [], 0
+    for batch in batches:
+        columns = [
+            c.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).view(np.uint64)
+            if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False)
+            for c in batch.columns
+        ]
+        held.append(columns)
+        rows += batch.num_rows
+        if rows >= LANES:
+            whole = [np.concatenate(x) for x in zip(*held)]
+            stop = int(np.searchsorted(whole[0], whole[0][-1]))  # the last cell may go on
+            if stop:
+                yield [x[:stop] for x in whole]
+            held, rows = [[x[stop:] for x in whole]], len(whole[0]) - stop
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
+def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: int = CELL) -> DataFrame:
+    """Links (a, b) between ids of distinct fingerprints (id, fp) that join all
+    pairs within ``radius`` bits that share a key into the same components."""
+
     def run(batches):
-        held, rows = [], 0
+        for cells, ids, fps in _whole_cells(batches):
+            a, b = link_cells(cells, ids, fps, radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-        def emit(cells, ids, fps):
-            a, b = link_cells(cells, ids, fps.view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    return in_cells(reps.select("id", "fp"), masks, cell).mapInArrow(run, "a long, b long")
 
-        for batch in batches:
-            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            held.append([*(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)), fps])
-            rows += batch.num_rows
-            if rows >= LANES:
-                cells, ids, fps = (np.concatenate(x) for x in zip(*held))
-                stop = int(np.searchsorted(cells, cells[-1]))  # the last cell may go on
-                if stop:
-                    yield emit(cells[:stop], ids[:stop], fps[:stop])
-                held, rows = [[cells[stop:], ids[stop:], fps[stop:]]], len(cells) - stop
-        if held:
-            yield emit(*(np.concatenate(x) for x in zip(*held)))
 
-    return dealt.mapInArrow(run, "a long, b long")
+def candidates(
+    reps: DataFrame, masks: list[int], radius: int, similarity: float, spanning: bool, cell: int = CELL
+) -> DataFrame:
+    """Pairs (a, b) of ids of ``reps`` (id, fp, group, size) as candidate_cells says."""
+
+    def run(batches):
+        for columns in _whole_cells(batches):
+            for x, y in candidate_cells(*columns, radius, similarity, spanning):
+                low, high = pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))
+                yield pa.RecordBatch.from_arrays([low, high], names=["a", "b"])
+
+    dealt = in_cells(reps.select("id", "fp", "group", "size"), masks, cell)
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: float, words: int) -> DataFrame:
+    """The pairs (a, b) of ids with texts whose shingle sets have a Jaccard of ``similarity`` or more."""
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    near, _ = split_by_ids(texts, "id", wanted)
+    texts = cut(near.join(wanted, "id", "left_semi").dropDuplicates())
+
+    def run(batches):
+        for batch in small(batches, 100):
+            a, b, x, y = batch.columns
+            sets, keep = {}, []
+            for s, t in zip(x.to_pylist(), y.to_pylist()):
+                for text in (s, t):
+                    if text not in sets:
+                        sets[text] = shingle_set(text, words)
+                s, t = sets[s], sets[t]
+                keep.append(len(s & t) >= similarity * len(s | t) * (1 - 1e-12))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return (
+        pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+        .select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    )
 
 
 def near_groups(
-    docs: DataFrame, id_col="doc_id", text_col="text", radius: int = RADIUS, words: int = 3,
-    bits: int = 64, similarity: float | None = None,
+    docs: DataFrame, id_col="doc_id", text_col="text", radius: int = RADIUS, words: int = 3, bits: int = 64,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, fp (array of longs), component_id.
 
-    Rows whose fingerprints are within ``radius`` bits are linked; component_id
-    is the smallest id reachable.  With ``similarity``, keys are sampled for pairs
-    of that shingle similarity; else no pair within the radius is missed.
+    Rows whose fingerprints are within ``radius`` bits are linked, and no such pair
+    is missed; component_id is the smallest id reachable.
 
     Ids are integers; rows without id are left out, as nothing could name them.
     Null, empty and blank texts have fingerprint 0 and are linked like any other.
@@ -295,8 +420,7 @@ def near_groups(
     spark = docs.sparkSession
     made = cut(fingerprints(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, words, bits))
     reps = cut(made.groupBy("fp").agg(F.min("id").cast("long").alias("id")))
-    masks = block_masks(radius, bits) if similarity is None else sampled_masks(reps.count(), similarity, bits)
-    links = cut(near_links(reps, masks, radius).distinct())
+    links = cut(near_links(reps, block_masks(radius, bits), radius).distinct())
     release(spark)
     found = components(links)
     named = reps.join(found.withColumnRenamed("node", "id"), "id", "left").select(
@@ -311,13 +435,36 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the smallest id.
 
-    The radius is that of fingerprints whose angle says a cosine of ``similarity``
-    between the shingle counts of two texts; with 128 bits, unrelated texts are
-    that close once in 10**12 pairs.  Rows without id stay, as they are in no
-    group; of repeated rows with one id all stay or none.
+    Texts are linked if the Jaccard of their shingle sets is ``similarity`` or more;
+    fingerprints only find the pairs to look at.  Equal sets are merged first.  Pairs
+    of near fingerprints that span their neighbourhoods are looked at before all
+    others, so that within a group of near copies most pairs need no look.  Rows
+    without id stay, as they are in no group; of repeated rows with one id all stay
+    or none.
     """
+    spark = docs.sparkSession
+    named = docs.filter(F.col(id_col).isNotNull())
+    made = cut(set_fingerprints(named, id_col, text_col, words, bits))
+    reps = cut(
+        made.groupBy("digest").agg(
+            F.min("id").cast("long").alias("id"), F.first("fp").alias("fp"), F.first("size").alias("size")
+        )
+    )
     radius = int(bits * math.acos(similarity) / math.pi)
-    groups = near_groups(docs, id_col, text_col, radius, words, bits, similarity)
-    gone = cut(groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
+    masks = sampled_masks(reps.count(), similarity, bits)
+    tight = int(bits * _apart((1 + similarity) / 2))
+    first = cut(candidates(reps.withColumn("group", F.col("id")), masks, tight, similarity, True))
+    sure = cut(similar(first, named, id_col, text_col, similarity, words))
+    release(spark)
+    groups = components(sure).select(F.col("node").alias("id"), F.col("component").alias("group"))
+    grouped = reps.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    others = cut(candidates(grouped, masks, radius, similarity, False).join(first, ["a", "b"], "left_anti"))
+    links = sure.unionByName(similar(others, named, id_col, text_col, similarity, words))
+    found = components(cut(links))
+    release(spark)
+    merged = reps.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component")
+    )
+    gone = cut(made.join(merged, "digest").filter("id != component").select(F.col("id").alias(id_col)).distinct())
     near, other = split_by_ids(docs, id_col, gone)
     return near.join(gone, id_col, "left_anti").select(*docs.columns).unionByName(other)

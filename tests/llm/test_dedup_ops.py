@@ -153,6 +153,61 @@ def test_near_dedup_catches_near_copies_only(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(120))
 
 
+def five_word_sets(rows):
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for i, t in rows}
+    return {i: {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4)) if w} for i, w in words.items()}
+
+
+def similar_pairs(rows, least=0.8):
+    sets = sorted(five_word_sets(rows).items())
+    return [
+        (a, b) for k, (b, t) in enumerate(sets) for a, s in sets[:k]
+        if s == t or len(s & t) >= least * len(s | t)
+    ]
+
+
+def planted(rng, jaccard, size=240):
+    """Two texts of ``size`` different five-word shingles of about this Jaccard, in one cut."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shared = round(2 * jaccard * size / (1 + jaccard))
+    head = [word() for _ in range(shared + 4)]
+    return [" ".join(head + [word() for _ in range(size - shared)]) for _ in range(2)]
+
+
+def test_near_dedup_keeps_texts_below_the_similarity(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for k, jaccard in enumerate([0.5, 0.6, 0.65, 0.7, 0.75, 0.78, 0.95] * 8):
+        rows += enumerate(planted(rng, jaccard), 10 * k)
+    line = " ".join(word() for _ in range(9))
+    for i in range(2):  # unlike texts with one frequent line
+        rows.append((5000 + i, f"{' '.join(word() for _ in range(200))} {f'{line} ' * 60}"))
+    pairs = similar_pairs(rows)
+    assert len(pairs) == 8
+    kept = sorted(r.doc_id for r in simhash.near_dedup(frame(spark, rows)).collect())
+    assert kept == sorted({i for i, _ in rows} - {b for _, b in pairs})
+
+
+def test_candidates_span_groups_with_near_pairs_only():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 6)
+    fps = np.array([[base[i % 6] ^ (1 << int(rng.integers(62))) ^ (1 << int(rng.integers(62)))] for i in range(120)], np.uint64)
+    cells, ids, sizes = np.arange(120) // 60, np.arange(120) + 1000, np.full(120, 50)
+    groups = np.arange(120) // 3
+    near = {
+        (i, j) for i in range(120) for j in range(i)
+        if cells[i] == cells[j] and groups[i] != groups[j] and (int(fps[i, 0]) ^ int(fps[j, 0])).bit_count() <= 3
+    }
+    found = [
+        {(max(x, y) - 1000, min(x, y) - 1000) for a, b in made for x, y in zip(a.tolist(), b.tolist())}
+        for made in (simhash.candidate_cells(cells, ids, fps, groups, sizes, 3, 0.8, spans) for spans in (False, True))
+    ]
+    assert found[0] == near and found[1] <= near and len(found[1]) < 40
+    joined = [union([(groups[i], groups[j]) for i, j in pairs], range(40)) for pairs in found]
+    assert joined[0] == joined[1]
+
+
 def removed_words(rows, size):
     first, texts = {}, {}
     for doc, text in rows:
