@@ -125,16 +125,36 @@ def _apart(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def sampled_masks(rows: int, similarity: float, bits: int, recall: float = RECALL) -> list[int]:
+def _distances(similarity: float, bits: int) -> np.ndarray:
+    """Probability of each distance of two fingerprints whose sets have this Jaccard."""
+    apart = _apart(similarity)
+    return np.array([math.comb(bits, d) * apart**d * (1 - apart) ** (bits - d) for d in range(bits + 1)])
+
+
+def candidate_radius(similarity: float, bits: int, recall: float = RECALL) -> int:
+    """The radius that leaves out pairs of this Jaccard with an eighth of the loss that
+    ``recall`` allows; the keys may use the rest."""
+    within = np.cumsum(_distances(similarity, bits))
+    return int(np.searchsorted(within, 1 - (1 - recall) / 8))
+
+
+def sampled_masks(rows: int, similarity: float, bits: int, radius: int, recall: float = RECALL) -> list[int]:
     """Masks of random bits, for so many keys that two texts of this shingle
-    similarity (Jaccard) share one with probability ``recall``.
+    similarity (Jaccard) are within ``radius`` and share a key with probability ``recall``.
 
-    The bits of a mask grow with the logarithm of the rows, so that about FILL
-    unrelated rows share a key at every size.
+    All masks look at the same differing bits of a pair, so its miss is that of
+    its distance to the power of the masks, averaged over the distances.  The bits
+    of a mask grow with the logarithm of the rows, so that about FILL unrelated
+    rows share a key at every size.
     """
-    agree = 1 - _apart(similarity)
     width = max(4, math.ceil(math.log2(max(rows, 1) / FILL))) if rows > FILL else 1
-    count = math.ceil(math.log(1 - recall) / math.log(1 - agree**width))
+    chance = _distances(similarity, bits)[: radius + 1]
+    if chance.sum() < recall:
+        raise ValueError(f"a radius of {radius} alone misses more than a recall of {recall} allows")
+    agree = np.array([math.comb(bits - d, width) / math.comb(bits, width) for d in range(radius + 1)])
+    count = 1
+    while chance @ (1 - (1 - agree) ** count) < recall:
+        count += 1
     rng = np.random.default_rng(SEED)
     return [sum(1 << int(b) for b in rng.choice(bits, width, replace=False)) for _ in range(count)]
 
@@ -450,8 +470,8 @@ def near_dedup(
             F.min("id").cast("long").alias("id"), F.first("fp").alias("fp"), F.first("size").alias("size")
         )
     )
-    radius = int(bits * math.acos(similarity) / math.pi)
-    masks = sampled_masks(reps.count(), similarity, bits)
+    radius = candidate_radius(similarity, bits)
+    masks = sampled_masks(reps.count(), similarity, bits, radius)
     tight = int(bits * _apart((1 + similarity) / 2))
     first = cut(candidates(reps.withColumn("group", F.col("id")), masks, tight, similarity, True))
     sure = cut(similar(first, named, id_col, text_col, similarity, words))

@@ -189,6 +189,24 @@ def test_near_dedup_keeps_texts_below_the_similarity(spark):
     assert kept == sorted({i for i, _ in rows} - {b for _, b in pairs})
 
 
+@pytest.mark.parametrize("rows", [1000, 40_000, 500_000, 15_000_000])
+def test_recall_at_the_similarity(rows):
+    """Fingerprints of sets of Jaccard 0.8: near enough and on one key at least 0.99 of the time."""
+    radius = simhash.candidate_radius(0.8, 128)
+    masks = simhash.sampled_masks(rows, 0.8, 128, radius)
+    masks = np.array([[m & (1 << 64) - 1, m >> 64] for m in masks], np.uint64)
+    rng = np.random.default_rng(rows)
+    pairs, n, unique = 20_000, 128, 16  # 128 shared shingles and 16 of each: 0.8
+    bits = lambda k: rng.binomial(k, 0.5, (pairs, 128))
+    shared = bits(n)
+    a, b = ((shared + bits(unique)) * 2 > n + unique for _ in range(2))
+    apart = np.packbits(a ^ b, axis=1, bitorder="little").view(np.uint64)
+    meet = np.zeros(pairs, bool)
+    for m in masks:
+        meet |= ~(apart & m).any(axis=1)
+    assert ((a ^ b).sum(axis=1) <= radius)[meet].sum() >= 0.988 * pairs
+
+
 def test_candidates_span_groups_with_near_pairs_only():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 62, 6)
