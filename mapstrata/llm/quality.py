@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small
@@ -131,12 +131,37 @@ def top_k(rows: DataFrame, key: str, k: int, steps: int = 1 << 12) -> DataFrame:
         else:
             return rows.withColumn("selected", F.lit(True))
     tied = rows.filter((F.col(key) >= low) & (F.col(key) <= high))
-    first = [r[0] for r in tied.orderBy(F.desc(key), "id").limit(max(k - above, 0)).select("id").collect()[-1:]]
-    edge = tied.filter(F.col("id").isin(first)).agg(F.max(key)).first()[0] if first else None
-    if edge is None:
-        return rows.withColumn("selected", F.col(key) > F.lit(high))
-    beyond = (F.col(key) > F.lit(edge)) | ((F.col(key) == F.lit(edge)) & (F.col("id") <= F.lit(first[0])))
-    return rows.withColumn("selected", beyond)
+    # Of doubles next to each other, so no more than ``steps`` or so.
+    keys = rows.filter((F.col(key) >= low) & (F.col(key) <= high)).groupBy(key).agg(F.count("*"))
+    for edge, n in sorted(map(tuple, keys.collect()), reverse=True):
+        if above + n >= k:
+            break
+        above += n
+    over, at = F.col(key) > F.lit(edge), F.col(key) == F.lit(edge)
+    if above + n <= k:
+        return rows.withColumn("selected", over | at)
+    last = _id_at(rows.filter(at), k - above)
+    before = F.col("id").isNull() if last is None else F.col("id").isNull() | (F.col("id") <= F.lit(last))
+    return rows.withColumn("selected", over | (at & before))
+
+
+def _id_at(rows: DataFrame, place: int):
+    """The id at this place, counted from 1, of the rows in the order of ids, rows without one in front.
+
+    The driver sees a count for each partition of the order and the one id.
+    """
+    order = F.asc_nulls_first("id")
+    counts = rows.groupBy("id").agg(F.count("*").alias("n"))
+    ordered = cut(counts.orderBy(order).withColumn("part", F.spark_partition_id()))
+    for part, n in sorted(map(tuple, ordered.groupBy("part").agg(F.sum("n")).collect())):
+        if n >= place:
+            break
+        place -= n
+    reached = F.sum("n").over(Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        ordered.filter(F.col("part") == part).withColumn("reached", reached)
+        .filter(F.col("reached") >= place).agg(F.min_by("id", "reached")).first()[0]
+    )
 
 
 def resample(

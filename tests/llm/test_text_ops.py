@@ -244,6 +244,21 @@ def test_top_k(spark, k):
     assert chosen == {i for _, i in sorted((-x, i) for i, x in enumerate(keys))[:k]}
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("k", [5, 10, 29, 30, 31, 70, 119, 120])
+def test_top_k_at_a_tie_with_rows_without_ids(spark, monkeypatch, kind, k):
+    data = [(i, 9.0) for i in range(5)] + [(None, 5.0)] * 25 + [(100 + i // 2, 5.0) for i in range(80)] + [(7, 1.0)] * 10
+    rows = spark.createDataFrame(data, "id long, key double").selectExpr(f"CAST(id AS {kind}) AS id", "key").repartition(7)
+    seen, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    chosen = quality.top_k(rows, "key", k, steps=8).filter("selected")
+    assert max(len(x) for x in seen) <= 16
+    monkeypatch.undo()
+    order = sorted(((-key, i is not None, i or 0) for i, key in data))
+    expected = [x for x in order if x <= order[k - 1]]
+    assert sorted((-r.key, r.id is not None, int(r.id or 0)) for r in chosen.collect()) == expected
+
+
 # Personal data
 
 BASE = (
