@@ -198,8 +198,11 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0) -> Column:
     )
 
 
-def _number_text(value: Column, decimals: int) -> Column:
-    """Fixed-point text, never in scientific notation unless out of range."""
+def _number_text(value: Column, decimals: int | None) -> Column:
+    """Text that reads back as the same number, or with ``decimals`` fixed-point
+    text, never in scientific notation unless out of range."""
+    if decimals is None:
+        return value.cast("string")
     return F.coalesce(
         value.try_cast(T.DecimalType(12 + decimals, decimals)).cast("string"), value.cast("string")
     )
@@ -246,7 +249,8 @@ def _coordinates_text(
 
 
 @built_once
-def st_as_text(geom: Column | str, decimals: int = 9) -> Column:
+def st_as_text(geom: Column | str, decimals: int | None = None) -> Column:
+    """Full precision, unless ``decimals`` asks to round."""
     geom = _col(geom)
     body = _coordinates_text(
         geom,
@@ -275,7 +279,8 @@ def _kind_name(geom: Column) -> Column:
 
 
 @built_once
-def st_as_geojson(geom: Column | str, decimals: int = 9) -> Column:
+def st_as_geojson(geom: Column | str, decimals: int | None = None) -> Column:
+    """Full precision, unless ``decimals`` asks to round."""
     geom = _col(geom)
     body = _coordinates_text(
         geom,

@@ -1,5 +1,6 @@
 """Geometry columns against hand-made values."""
 
+import json
 import math
 import random
 
@@ -101,6 +102,20 @@ def test_text_forms(spark):
     assert [r.kind for r in rows] == ["ST_Point", "ST_Polygon", "ST_MultiPoint", "ST_LineString"]
 
 
+def test_text_keeps_every_digit_unless_rounded(spark):
+    numbers = [0.1 + 0.2, 1 / 3, 700000.1234567891, -2.5e-13, 12345678.987654321]
+    text = "LINESTRING (" + ", ".join(f"{x!r} {-x!r}" for x in numbers) + ")"
+    row = evaluate(
+        spark, [text], "geom", g.st_as_text("geom").alias("wkt"), g.st_as_geojson("geom").alias("json"),
+        g.st_as_text("geom", 2).alias("rounded"),
+    )[0]
+    pairs = [[x, -x] for x in numbers]
+    assert json.loads(row.json)["coordinates"] == pairs
+    again = evaluate(spark, [row.wkt], "geom")[0].geom
+    assert again == row.geom and [[p.x, p.y] for p in again.parts[0][0]] == pairs
+    assert row.rounded.startswith("LINESTRING (0.30 -0.30, 0.33 -0.33, 700000.12 ")
+
+
 def test_measures(spark):
     texts = [HOLED, TWO, "LINESTRING (0 0, 4 0, 4 2)", "MULTIPOINT ((0 0), (2 4))", "POINT EMPTY"]
     rows = evaluate(
