@@ -1,5 +1,8 @@
 """The registered corpus queries, and the pipeline stage by stage."""
 
+import hashlib
+import random
+import re
 import sys
 from pathlib import Path
 
@@ -9,7 +12,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent / "scripts"))
 import check_oracle  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from mapstrata.llm import queries  # noqa: E402
+from mapstrata.llm import decontam, queries  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -51,3 +54,92 @@ def test_pipeline(spark, con):
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] == sizes[-2] > 100
     run = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "n_tokens", "decoded_sha256"} <= set(run.columns) and run.count() > 100
+
+
+def five_word_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4)) if words}
+
+
+def least_of_groups(texts):
+    """Ids that are the smallest of their group, links being all pairs of Jaccard 0.8 or more."""
+    sets, parent = {i: five_word_set(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            s, t = sets[a], sets[b]
+            if a < b and (s == t or len(s & t) >= 0.8 * len(s | t)):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i for i in texts if root(i) == i}
+
+
+def leaks_an_item(text, items):
+    words = decontam.text_words(text)
+    for target in map(decontam.text_words, items):
+        starts = range(max(1, len(words) - len(target) + 1))
+        least = min(decontam.edit_distance(target, words[a : a + len(target)]) for a in starts)
+        if words and least <= decontam.radius_of(len(target), 0.8):
+            return True
+    return False
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path):
+    rng = random.Random(33)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    texts, labels = [text(60) for _ in range(60)], []
+    texts += [f"{text(50)} vilest wretch scorned vilest wretch" for _ in range(40)]
+    labels = [(i, int(i >= 60), int(i < 60)) for i in range(100)]
+    for jaccard in (0.5, 0.6, 0.65, 0.7, 0.75, 0.78, 0.85, 0.9, 0.95) * 4:
+        shared = round(2 * jaccard * 200 / (1 + jaccard))
+        head = text(shared + 4)
+        texts += [f"{head} {text(200 - shared)}" for _ in range(2)]
+    chain = text(200).split()  # each like the next, the ends unlike
+    for k in range(5):
+        chain[20 * k : 20 * k + 6] = text(6).split()
+        texts.append(" ".join(chain))
+    line = text(9)
+    texts += [f"{text(150)} {f'{line} ' * 50}" for _ in range(4)]
+    texts += [texts[0], texts[1], texts[1], "", None, " "]
+    items = [text(20) for _ in range(4)]
+    for item in items:
+        leak = item.split()
+        leak[3] = word()
+        texts += [f"{text(30)} {' '.join(leak)} {text(30)}", f"{text(40)} {item}"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs, sizes = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id: r.text for r in docs.collect()}
+        after = stage(spark, docs, folder)
+        after.write.parquet(f"{folder}/{name}")
+        after = spark.read.parquet(f"{folder}/{name}")
+        kept = sorted(r.doc_id for r in after.collect())
+        if name == "toxicity":
+            expected = {i for i, t in before.items() if "vilest" not in (t or "")}
+        elif name == "exact_dedup":
+            first = {}
+            for i, t in sorted(before.items()):
+                first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), i)
+            expected = set(first.values())
+        elif name == "near_dedup":
+            expected = least_of_groups(before)
+        else:
+            expected = {i for i, t in before.items() if not leaks_an_item(t, items)}
+        assert kept == sorted(expected), name
+        sizes[name] = len(before) - len(kept)
+        docs = after
+    assert all(sizes.values()) and sizes["near_dedup"] >= 12
+    encoded = corpus_pipeline.encode(spark, docs, folder).collect()
+    texts = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect()}
+    assert {r.doc_id: r.decoded_sha256 for r in encoded} == texts and len(encoded) == len(texts)
