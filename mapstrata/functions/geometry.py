@@ -13,6 +13,11 @@ MULTILINESTRING           one part per line
 MULTIPOLYGON              one part per polygon
 any kind, EMPTY           no parts
 ========================  ===========================================
+
+A geometry may have heights: a fourth field, ``heights``, nests one number for each point in
+the same way, and is NULL for a planar geometry.  Functions that read or write
+heights take ``z=True`` and then a struct with that field; all others work on
+either struct and look at the plane only.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ GEOMETRY_TYPE = T.StructType(
         T.StructField("parts", PARTS_TYPE),
     ]
 )
+HEIGHTS_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
+GEOMETRY_Z_TYPE = T.StructType([*GEOMETRY_TYPE.fields, T.StructField("heights", HEIGHTS_TYPE)])
 BBOX_COLUMNS = ("xmin", "ymin", "xmax", "ymax")
 
 # Kind -> (spelling in type names, nesting depth of the coordinates).
@@ -59,9 +66,25 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def make_geometry(srid: Column, kind: Column, parts: Column) -> Column:
-    return F.struct(
+def has_heights(data_type: T.DataType) -> bool:
+    """Whether a column of this type is a geometry struct with heights."""
+    return isinstance(data_type, T.StructType) and "heights" in data_type.names
+
+
+def make_geometry(
+    srid: Column, kind: Column, parts: Column, heights: Column | None = None
+) -> Column:
+    fields = [
         srid.cast("int").alias("srid"), kind.alias("kind"), parts.cast(PARTS_TYPE).alias("parts")
+    ]
+    if heights is not None:
+        fields.append(heights.cast(HEIGHTS_TYPE).alias("heights"))
+    return F.struct(*fields)
+
+
+def _each_point(parts: Column, point: Callable[[Column], Column]) -> Column:
+    return F.transform(
+        parts, lambda part: F.transform(part, lambda ring: F.transform(ring, point))
     )
 
 
@@ -84,8 +107,8 @@ def st_point(x: Column | str, y: Column | str, srid: int = 0) -> Column:
 _PART_MARK, _RING_MARK = "@", ";"
 
 
-def _parse_point(text: Column) -> Column:
-    """``x y [z [m]]`` as a point; NULL unless there are two to four numbers."""
+def _parse_point(text: Column, z: bool) -> Column:
+    """``x y [h [m]]`` as a point; NULL unless there are two to four numbers."""
     return _let(
         F.split(text, " "),
         lambda words: F.when(
@@ -95,6 +118,7 @@ def _parse_point(text: Column) -> Column:
                 F.struct(
                     F.get(words, F.lit(0)).try_cast("double").alias("x"),
                     F.get(words, F.lit(1)).try_cast("double").alias("y"),
+                    *([F.get(words, F.lit(2)).try_cast("double").alias("h")] if z else []),
                 ),
                 lambda p: F.when(p["x"].isNotNull() & p["y"].isNotNull(), p),
             ),
@@ -102,13 +126,13 @@ def _parse_point(text: Column) -> Column:
     )
 
 
-def _parse_rings(text: Column) -> Column:
+def _parse_rings(text: Column, z: bool) -> Column:
     return F.transform(
-        F.split(text, _RING_MARK), lambda ring: F.transform(F.split(ring, ","), _parse_point)
+        F.split(text, _RING_MARK), lambda ring: F.transform(F.split(ring, ","), lambda p: _parse_point(p, z))
     )
 
 
-def _parse_body(kind: Column, body: Column) -> Column:
+def _parse_body(kind: Column, body: Column, z: bool) -> Column:
     """Parts of a WKT body that still has its outer parentheses."""
 
     def inner(depth: int) -> Column:
@@ -130,15 +154,15 @@ def _parse_body(kind: Column, body: Column) -> Column:
         ).otherwise(text)
 
     return (
-        F.when(kind.isin("POINT", "LINESTRING"), F.array(_parse_rings(inner(1))))
-        .when(kind == "POLYGON", F.array(_parse_rings(marked(inner(2)))))
+        F.when(kind.isin("POINT", "LINESTRING"), F.array(_parse_rings(inner(1), z)))
+        .when(kind == "POLYGON", F.array(_parse_rings(marked(inner(2)), z)))
         .when(
             kind == "MULTIPOINT",
-            F.transform(F.split(inner(1), ","), lambda p: F.array(F.array(_parse_point(bare(p))))),
+            F.transform(F.split(inner(1), ","), lambda p: F.array(F.array(_parse_point(bare(p), z)))),
         )
         .when(
             kind == "MULTILINESTRING",
-            F.transform(F.split(marked(inner(2)), _RING_MARK), lambda t: _parse_rings(t)),
+            F.transform(F.split(marked(inner(2)), _RING_MARK), lambda t: _parse_rings(t, z)),
         )
         .when(
             kind == "MULTIPOLYGON",
@@ -146,18 +170,19 @@ def _parse_body(kind: Column, body: Column) -> Column:
                 F.split(
                     marked(F.replace(inner(3), F.lit(")),(("), F.lit(_PART_MARK))), _PART_MARK
                 ),
-                lambda t: _parse_rings(t),
+                lambda t: _parse_rings(t, z),
             ),
         )
     )
 
 
 @built_once
-def st_geom_from_wkt(text: Column | str, srid: Column | int = 0) -> Column:
+def st_geom_from_wkt(text: Column | str, srid: Column | int = 0, z: bool = False) -> Column:
     """Parse WKT; anything that is not one of the six kinds becomes NULL.
 
-    Z and M values are accepted and dropped.  A text with one bad number is
-    bad as a whole.
+    M values are accepted and dropped, and so are Z values unless ``z`` asks for
+    heights.  A third number without a letter is a height.  Heights are NULL as a
+    whole where a point has none.  A text with one bad number is bad as a whole.
     """
     text = _col(text)
     srid = srid if isinstance(srid, Column) else F.lit(srid)
@@ -172,22 +197,31 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0) -> Column:
         return F.rtrim(plain)
 
     def parsed(kind: Column, body: Column) -> Column:
-        return F.when(body == "EMPTY", F.array().cast(PARTS_TYPE)).when(
-            body.rlike(r"^\([-+0-9.E, ()]*\)$"), _parse_body(kind, body)
+        high = ",h:double" if z else ""
+        empty = F.array().cast(f"array<array<array<struct<x:double,y:double{high}>>>>")
+        return F.when(body == "EMPTY", empty).when(
+            body.rlike(r"^\([-+0-9.E, ()]*\)$"), _parse_body(kind, body, z)
         )
 
-    def checked(kind: Column, parts: Column) -> Column:
+    def checked(kind: Column, parts: Column, measure: Column) -> Column:
         points = F.flatten(F.flatten(parts))
         whole = ~F.exists(points, lambda p: p.isNull())
         # One point in a POINT, one line per part in the line kinds.
         single = F.when(kind == "POINT", F.size(points) <= 1).otherwise(F.lit(True)) & F.when(
             kind.isin("POINT", *LINE_KINDS), ~F.exists(parts, lambda part: F.size(part) > 1)
         ).otherwise(F.lit(True))
-        return F.when(parts.isNotNull() & whole & single, make_geometry(srid, kind, parts))
+        if z:
+            plane = _each_point(parts, lambda p: F.struct(p["x"], p["y"]))
+            high = (F.size(points) > 0) & ~F.exists(points, lambda p: p["h"].isNull()) & (measure != "M")
+            made = make_geometry(srid, kind, plane, F.when(high, _each_point(parts, lambda p: p["h"])))
+        else:
+            made = make_geometry(srid, kind, parts)
+        return F.when(parts.isNotNull() & whole & single, made)
 
     def of_kind(kind: Column, upper: Column) -> Column:
         parts = _let(normalised(upper), lambda body: parsed(kind, body))
-        return F.when(kind != "", _let(parts, lambda p: checked(kind, p)))
+        letter = F.regexp_extract(upper, r"^\s*[A-Z]+?\s*(ZM|Z|M)?\s*\(", 1) if z else F.lit("")
+        return F.when(kind != "", _let(parts, lambda p: checked(kind, p, letter)))
 
     return _let(
         F.upper(text),
@@ -248,15 +282,37 @@ def _coordinates_text(
     )
 
 
+def _with_heights(geom: Column) -> Column:
+    """(kind, parts) with the height ``h`` of each point, NULL in a planar geometry."""
+    zipped = F.zip_with(
+        geom["parts"],
+        geom["heights"],
+        lambda part, highs: F.zip_with(
+            part,
+            highs,
+            lambda ring, line: F.zip_with(
+                ring, line, lambda p, h: F.struct(p["x"].alias("x"), p["y"].alias("y"), h.alias("h"))
+            ),
+        ),
+    )
+    none = F.lit(None).cast("double").alias("h")
+    plain = _each_point(geom["parts"], lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), none))
+    return F.struct(geom["kind"].alias("kind"), F.coalesce(zipped, plain).alias("parts"))
+
+
+def _point_text(decimals: int | None, sep: str, z: bool) -> Callable[[Column], Column]:
+    names = ("x", "y", "h") if z else ("x", "y")
+    # A height that is NULL is left out.
+    return lambda p: F.concat_ws(sep, *[_number_text(p[n], decimals) for n in names])
+
+
 @built_once
-def st_as_text(geom: Column | str, decimals: int | None = None) -> Column:
-    """Full precision, unless ``decimals`` asks to round."""
+def st_as_text(geom: Column | str, decimals: int | None = None, z: bool = False) -> Column:
+    """Full precision, unless ``decimals`` asks to round; with ``z``, heights too."""
     geom = _col(geom)
     body = _coordinates_text(
-        geom,
-        lambda p: F.concat(
-            _number_text(p["x"], decimals), F.lit(" "), _number_text(p["y"], decimals)
-        ),
+        _with_heights(geom) if z else geom,
+        _point_text(decimals, " ", z),
         "(",
         ")",
         ", ",
@@ -266,6 +322,7 @@ def st_as_text(geom: Column | str, decimals: int | None = None) -> Column:
         geom.isNotNull(),
         F.concat(
             geom["kind"],
+            F.when(geom["heights"].isNotNull(), F.lit(" Z")).otherwise(F.lit("")) if z else F.lit(""),
             F.when(F.size(geom["parts"]) == 0, F.lit(" EMPTY")).otherwise(
                 F.concat(F.lit(" "), body)
             ),
@@ -279,18 +336,13 @@ def _kind_name(geom: Column) -> Column:
 
 
 @built_once
-def st_as_geojson(geom: Column | str, decimals: int | None = None) -> Column:
-    """Full precision, unless ``decimals`` asks to round."""
+def st_as_geojson(geom: Column | str, decimals: int | None = None, z: bool = False) -> Column:
+    """Full precision, unless ``decimals`` asks to round; with ``z``, heights too."""
     geom = _col(geom)
+    numbers = _point_text(decimals, ",", z)
     body = _coordinates_text(
-        geom,
-        lambda p: F.concat(
-            F.lit("["),
-            _number_text(p["x"], decimals),
-            F.lit(","),
-            _number_text(p["y"], decimals),
-            F.lit("]"),
-        ),
+        _with_heights(geom) if z else geom,
+        lambda p: F.concat(F.lit("["), numbers(p), F.lit("]")),
         "[",
         "]",
         ",",
@@ -336,6 +388,40 @@ def st_npoints(geom: Column | str) -> Column:
     return F.when(geom.isNotNull(), F.size(st_points(geom)))
 
 
+# Heights; these need a struct that has the field.
+
+
+def st_has_z(geom: Column | str) -> Column:
+    geom = _col(geom)
+    return F.when(geom.isNotNull(), geom["heights"].isNotNull())
+
+
+def st_heights(geom: Column | str) -> Column:
+    """The heights of all points in order, as one array; NULL in a planar geometry."""
+    return F.flatten(F.flatten(_col(geom)["heights"]))
+
+
+def st_zmin(geom: Column | str) -> Column:
+    return F.array_min(st_heights(geom))
+
+
+def st_zmax(geom: Column | str) -> Column:
+    return F.array_max(st_heights(geom))
+
+
+def st_force_2d(geom: Column | str) -> Column:
+    """The planar struct, without heights."""
+    geom = _col(geom)
+    return F.when(geom.isNotNull(), make_geometry(geom["srid"], geom["kind"], geom["parts"]))
+
+
+def st_force_3d(geom: Column | str, height: float | None = None) -> Column:
+    """A planar struct with heights: one ``height`` everywhere, or NULL."""
+    geom = _col(geom)
+    heights = _each_point(geom["parts"], lambda p: F.lit(float(height))) if height is not None else F.lit(None)
+    return F.when(geom.isNotNull(), make_geometry(geom["srid"], geom["kind"], geom["parts"], heights))
+
+
 def st_xmin(geom: Column | str) -> Column:
     return F.array_min(st_points(geom)["x"])
 

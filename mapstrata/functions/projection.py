@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mapstrata.functions.geometry import GEOMETRY_TYPE, _col, _let
+from mapstrata.functions.geometry import GEOMETRY_TYPE, GEOMETRY_Z_TYPE, _col, _let
 from mapstrata.functions.reuse import built_once
 
 LAMBERT_93 = 2154
@@ -89,21 +89,23 @@ def check_pair(source_srid: int, target_srid: int) -> None:
 
 
 @built_once
-def st_transform(geom: Column | str, target_srid: int = WGS_84) -> Column:
+def st_transform(geom: Column | str, target_srid: int = WGS_84, z: bool = False) -> Column:
     """Reproject by the SRID each geometry carries.
 
     Unknown (0) and equal SRIDs pass through; any other pair fails the query.
+    With ``z``, the struct has heights, which stay as they are: both systems
+    measure them from one ellipsoid.
     """
-    return _let(_col(geom), lambda value: _transformed(value, target_srid))
+    return _let(_col(geom), lambda value: _transformed(value, target_srid, z))
 
 
-def _transformed(geom: Column, target_srid: int) -> Column:
+def _transformed(geom: Column, target_srid: int, z: bool) -> Column:
     source = F.coalesce(geom["srid"], F.lit(0))
     keep = geom.isNull() | source.isin(0, target_srid)
     message = F.concat(
         F.lit("cannot convert EPSG:"), source.cast("string"), F.lit(f" to EPSG:{target_srid}")
     )
-    failed = F.raise_error(message).cast(GEOMETRY_TYPE)
+    failed = F.raise_error(message).cast(GEOMETRY_Z_TYPE if z else GEOMETRY_TYPE)
     if target_srid != WGS_84:
         return F.when(keep, geom).otherwise(failed)
     projected = F.struct(
@@ -113,5 +115,6 @@ def _transformed(geom: Column, target_srid: int) -> Column:
             geom["parts"],
             lambda part: F.transform(part, lambda ring: F.transform(ring, _project_point)),
         ).alias("parts"),
+        *([geom["heights"].alias("heights")] if z else []),
     )
     return F.when(keep, geom).when(source == LAMBERT_93, projected).otherwise(failed)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.functions.casts import Cast, has_bad_seconds, ingestion_schema
-from mapstrata.functions.geometry import BBOX_COLUMNS, st_geom_from_wkt, with_bbox
+from mapstrata.functions.geometry import BBOX_COLUMNS, GEOMETRY_Z_TYPE, has_heights, st_geom_from_wkt, with_bbox
 from mapstrata.functions.projection import check_pair, st_transform
 from mapstrata.functions.reuse import built_once
 from mapstrata.settings import TARGET_SRID
@@ -23,18 +23,25 @@ def add_metadata(df: DataFrame, dept: Column | str, layer: str) -> DataFrame:
 
 
 def geometry_column(
-    schema: T.StructType, source_srid: int = 0, target_srid: int = TARGET_SRID
+    schema: T.StructType,
+    source_srid: int = 0,
+    target_srid: int = TARGET_SRID,
+    altitudes: bool = False,
 ) -> Column:
-    """The table geometry from WKT text or from a geometry struct."""
+    """The table geometry from WKT text or from a geometry struct.
+
+    A struct keeps the heights it has; ``altitudes`` asks for those of texts.
+    """
     check_pair(source_srid, target_srid)
-    as_text = isinstance(schema[GEOMETRY_COLUMN].dataType, T.StringType)
-    return _projected(as_text, source_srid, target_srid)
+    kind = schema[GEOMETRY_COLUMN].dataType
+    as_text = isinstance(kind, T.StringType)
+    return _projected(as_text, source_srid, target_srid, altitudes if as_text else has_heights(kind))
 
 
 @built_once
-def _projected(as_text: bool, source_srid: int, target_srid: int) -> Column:
-    parsed = st_geom_from_wkt(GEOMETRY_COLUMN, source_srid) if as_text else GEOMETRY_COLUMN
-    return st_transform(parsed, target_srid)
+def _projected(as_text: bool, source_srid: int, target_srid: int, z: bool) -> Column:
+    parsed = st_geom_from_wkt(GEOMETRY_COLUMN, source_srid, z) if as_text else GEOMETRY_COLUMN
+    return st_transform(parsed, target_srid, z)
 
 
 def select_columns(
@@ -42,6 +49,7 @@ def select_columns(
     casts: dict[str, Cast] | None = None,
     source_srid: int = 0,
     target_srid: int = TARGET_SRID,
+    altitudes: bool = False,
 ) -> list[Column]:
     """One output column per input column: geometry, casts, the rest as is.
 
@@ -52,7 +60,7 @@ def select_columns(
     columns = []
     for field in schema.fields:
         if field.name == GEOMETRY_COLUMN:
-            column = geometry_column(schema, source_srid, target_srid)
+            column = geometry_column(schema, source_srid, target_srid, altitudes)
         elif field.name in casts:
             column = casts[field.name](F.col(f"`{field.name}`"))
         else:
@@ -67,9 +75,13 @@ def ingest(
     source_srid: int = 0,
     target_srid: int = TARGET_SRID,
     extent: bool = True,
+    altitudes: bool = False,
 ) -> DataFrame:
     """Typed rows of a layer.
 
+    ``altitudes`` keeps the heights of geometries that come as text; those of structs are
+    kept anyway.
+
     ``schema`` is the schema at rest; its date and timestamp columns are cast
     from text.  Without it columns keep the types they have.  A frame with no
     geometry and nothing to cast is returned as it is.
@@ -81,13 +93,15 @@ def ingest(
     has_geometry = GEOMETRY_COLUMN in df.columns
     if not casts and not has_geometry:
         return df
-    out = df.select(*select_columns(df.schema, casts, source_srid, target_srid))
+    out = df.select(*select_columns(df.schema, casts, source_srid, target_srid, altitudes))
     return with_bbox(out, GEOMETRY_COLUMN) if has_geometry and extent else out
 
 
-def at_rest(schema: T.StructType) -> T.StructType:
+def at_rest(schema: T.StructType, altitudes: bool = False) -> T.StructType:
     """The schema at rest of a layer, extent columns included."""
     fields = list(schema.fields)
+    if altitudes:
+        fields = [T.StructField(f.name, GEOMETRY_Z_TYPE) if f.name == GEOMETRY_COLUMN else f for f in fields]
     if GEOMETRY_COLUMN in schema.names:
         fields += [T.StructField(n, T.DoubleType()) for n in BBOX_COLUMNS if n not in schema.names]
     return T.StructType(fields)

@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.dictionary import column_descriptions, extent_descriptions, table_description
-from mapstrata.functions.geometry import GEOMETRY_TYPE
+from mapstrata.functions.geometry import (
+    GEOMETRY_TYPE,
+    GEOMETRY_Z_TYPE,
+    has_heights,
+    st_force_2d,
+    st_force_3d,
+)
 from mapstrata.settings import DEDUP_SUFFIX, TARGET_SRID, VERSION
 
 logger = logging.getLogger(__name__)
@@ -67,13 +73,14 @@ def ensure_table(
 ) -> None:
     """Create the table with its comments and properties unless it exists.
 
-    A text ``geometry`` field becomes the geometry struct.  Columns without
+    A text ``geometry`` field becomes the planar geometry struct.  Columns without
     an entry in the dictionary get no comment, only a warning in the log.
     """
     texts = {**extent_descriptions(lang), **column_descriptions(layer, lang)}
     lines, plain = [], []
     for f in schema.fields:
-        kind = GEOMETRY_TYPE if f.name == "geometry" else f.dataType
+        planar = f.name == "geometry" and not has_heights(f.dataType)
+        kind = GEOMETRY_TYPE if planar else f.dataType
         line = f"{quoted(f.name)} {kind.simpleString()}"
         if f.name in texts:
             line += f" COMMENT {literal(texts[f.name])}"
@@ -115,9 +122,56 @@ def held_departments(spark: SparkSession, table: str) -> set[str]:
     return {row["partition"].split("=", 1)[1] for row in rows}
 
 
+def set_data_schema(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give a catalog table other types for its columns.
+
+    Files stay as they are, so these must read as the new types: a struct may
+    gain fields, which are NULL in older files.  No SQL statement does this for
+    tables of the session catalog.
+    """
+    parts = [p.strip("`") for p in table.split(".")][-2:]
+    java = spark._jvm
+    name = java.org.apache.spark.sql.catalyst.TableIdentifier(
+        parts[-1], java.scala.Option.apply(parts[0] if len(parts) > 1 else None)
+    )
+    partitions = {r["col_name"] for r in _partition_columns(spark, table)}
+    data = T.StructType([f for f in schema.fields if f.name not in partitions])
+    catalog = spark._jsparkSession.sessionState().catalog()
+    catalog.alterTableDataSchema(name, java.org.apache.spark.sql.types.DataType.fromJson(data.json()))
+    spark.catalog.refreshTable(quoted(table))
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list:
+    rows = spark.sql(f"DESCRIBE TABLE {quoted(table)}").collect()
+    marks = [i for i, r in enumerate(rows) if r["col_name"] == "# col_name"]
+    return rows[marks[0] + 1 :] if marks else []
+
+
+def add_heights(spark: SparkSession, table: str, column: str = "geometry") -> bool:
+    """Let the geometries of a stored planar table have heights.
+
+    Rows that are there read as planar; no file is rewritten.  Tells if the table changed.
+    """
+    schema = spark.table(quoted(table)).schema
+    if column not in schema.names or has_heights(schema[column].dataType):
+        return False
+    fields = [
+        T.StructField(f.name, GEOMETRY_Z_TYPE if f.name == column else f.dataType, f.nullable, f.metadata)
+        for f in schema.fields
+    ]
+    set_data_schema(spark, table, T.StructType(fields))
+    return True
+
+
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:
-    """Add the columns of ``df`` which the table lacks; returns their names."""
+    """Add the columns of ``df`` which the table lacks; returns their names.
+
+    Geometries with heights change the type of a planar table's geometry.
+    """
     spark = df.sparkSession
+    for f in df.schema.fields:
+        if has_heights(f.dataType):
+            add_heights(spark, table, f.name)
     known = {name.lower() for name in spark.table(quoted(table)).columns}
     new = [f for f in df.schema.fields if f.name.lower() not in known]
     if new:
@@ -133,6 +187,8 @@ def in_table_order(df: DataFrame, table: str) -> DataFrame:
     for f in df.sparkSession.table(quoted(table)).schema.fields:
         source = have.get(f.name.lower())
         value = F.col(f"`{source}`") if source else F.lit(None)
+        if source and has_heights(f.dataType) != has_heights(df.schema[source].dataType):
+            value = st_force_3d(value) if has_heights(f.dataType) else st_force_2d(value)
         columns.append(value.cast(f.dataType).alias(f.name))
     return df.select(*columns)
 

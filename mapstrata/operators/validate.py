@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from mapstrata.dictionary import layer_titles
 from mapstrata.functions.geometry import (
     GEOMETRY_TYPE,
+    GEOMETRY_Z_TYPE,
     st_area,
     st_as_geojson,
     st_centroid,
@@ -177,7 +178,7 @@ def type_result(schema: T.StructType, table: Column) -> Column:
     if not has_geometry_column(schema):
         return _result("geometry_type", F.lit(False), F.lit("not found"), table)
     kind = schema[GEOMETRY_COLUMN].dataType
-    is_geometry = kind.simpleString() == GEOMETRY_TYPE.simpleString()
+    is_geometry = kind.simpleString() in (GEOMETRY_TYPE.simpleString(), GEOMETRY_Z_TYPE.simpleString())
     detail = "type=geometry" if is_geometry else f"type={kind.simpleString()}"
     return _result("geometry_type", F.lit(is_geometry), F.lit(detail), table)
 

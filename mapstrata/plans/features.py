@@ -125,6 +125,43 @@ def lines_as_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _height(i: Column) -> Column:
+    """Height of the vertex ``i``; sections of return flag N are planar."""
+    return (F.col("largeur") * 10 + i * 2.5).cast("double")
+
+
+def high_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same sections with a height for each vertex, but for those of flag N."""
+    steps = F.sequence(F.lit(0), _vertex_count() - 1)
+    ring = F.transform(steps, _vertex)
+    heights = F.when(F.col("nature") != "N", F.array(F.array(F.transform(steps, _height))))
+    geometry = make_geometry(F.lit(LAMBERT_93), F.lit("LINESTRING"), F.array(F.array(ring)), heights)
+    rows = spread(line_attributes(spark, folder)).withColumn("geometry", geometry)
+    return rows.drop("part", "supplier", "ordre", "rang")
+
+
+def high_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """WKT of the sections: with heights (R), with measures (N), with both or an unmarked third number (A)."""
+
+    def words(i: Column) -> Column:
+        p = _vertex(i)
+        plane = F.concat_ws(" ", p["x"].cast("long").cast("string"), p["y"].cast("long").cast("string"))
+        high = _height(i).cast("decimal(10,1)").cast("string")
+        both = (F.col("nature") == "A") & (F.col("rang") % 2 == 0)
+        return F.concat_ws(" ", plane, high, F.when(both, F.lit("7")))
+
+    mark = (
+        F.when(F.col("nature") == "R", F.lit(" Z "))
+        .when(F.col("nature") == "N", F.lit(" M"))
+        .when(F.col("rang") % 2 == 0, F.lit("ZM "))
+        .otherwise(F.lit(" "))
+    )
+    body = F.array_join(F.transform(F.sequence(F.lit(0), _vertex_count() - 1), words), ",")
+    return spread(line_attributes(spark, folder)).withColumn(
+        "wkt", F.concat(F.lit("LINESTRING"), mark, F.lit("("), body, F.lit(")"))
+    )
+
+
 def areas(spark: SparkSession, folder: str, scale: int = 10) -> DataFrame:
     """One building per part: a rectangle, with a hole when the size is a
     multiple of five, or a bow-tie, which is not valid, for keys which are

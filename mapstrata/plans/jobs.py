@@ -134,7 +134,7 @@ def load_layer(
     tables.ensure_table(
         spark,
         name,
-        at_rest(schema),
+        at_rest(schema, settings.altitudes),
         layer,
         settings.version,
         settings.version_date,
@@ -148,6 +148,7 @@ def load_layer(
         departments=",".join(limit),
         featuresPerTask=settings.features_per_task,
         batchSize=settings.batch_size,
+        altitudes=settings.altitudes,
     )
     if holders.by_row:
         rows = rows.filter(F.col("dept").isin(sorted(wanted)))

@@ -395,6 +395,35 @@ def oracle_sql() -> dict[str, str]:
       SELECT cleabs, dept, 'LINESTRING (' || array_to_string([
           (x0 + i * 10)::VARCHAR || '.000000 ' || (y0 + (i % 2) * rang)::VARCHAR || '.000000'
           for i in range(vertices)], ', ') || ')' AS wkt FROM lines"""
+    height = "(largeur * 10 + i * 2.5)::DECIMAL(10, 1)::VARCHAR"
+    plane = "(x0 + i * 10)::VARCHAR || '{0}' || (y0 + (i % 2) * rang)::VARCHAR"
+
+    def sections(number: str, sep: str, opened: str = "", closed: str = "") -> str:
+        return f"array_to_string([{opened}{number}{closed} for i in range(vertices)], '{sep}')"
+
+    flat = sections(plane.format(" "), ", ")
+    high = sections(
+        f"(x0 + i * 10)::VARCHAR || '.000 ' || (y0 + (i % 2) * rang)::VARCHAR || '.000 ' || {height} || '00'", ", "
+    )
+    flat_text = sections("(x0 + i * 10)::VARCHAR || '.000 ' || (y0 + (i % 2) * rang)::VARCHAR || '.000'", ", ")
+    spot = "'[' || (x0 + i * 10)::VARCHAR || '.0,' || (y0 + (i % 2) * rang)::VARCHAR || '.0"
+    sql["geom_wkt_z"] = _with(LINES) + f"""
+      SELECT cleabs, dept,
+        CASE WHEN nature = 'N' THEN 'LINESTRING (' || {flat_text} ELSE 'LINESTRING Z (' || {high} END || ')' AS wkt,
+        '{{"type":"LineString","coordinates":[' || CASE WHEN nature = 'N' THEN {sections(spot + "]'", ",")}
+          ELSE {sections(spot + ",' || " + height + " || ']'", ",")} END || ']}}' AS geojson,
+        'LINESTRING (' || {flat} || ')' AS flat
+      FROM lines"""
+    sql["gpkg_roundtrip_z"] = _with(POINTS, LINES) + f"""
+      SELECT layer, dept, cleabs, NOT construction_legere AS high,
+        CASE WHEN NOT construction_legere THEN round(hauteur, 3) END AS zmin,
+        CASE WHEN NOT construction_legere THEN round(hauteur, 3) END AS zmax, 1 AS n_points, 0e0 AS area,
+        round({LAT}, 6) AS ymax FROM points WHERE dept NOT IN ('D020', 'D096')
+      UNION ALL SELECT layer, dept, cleabs, nature <> 'N', CASE WHEN nature <> 'N' THEN largeur * 10 END,
+        CASE WHEN nature <> 'N' THEN largeur * 10 + (vertices - 1) * 2.5 END, vertices, 0e0,
+        round((SELECT max({LAT}) FROM (
+          SELECT x0 + i * 10e0 AS x, y0 + (i % 2) * rang::DOUBLE AS y FROM range(0, 7) r(i) WHERE i < vertices)), 6)
+      FROM lines WHERE dept NOT IN ('D020', 'D096')"""
     sql["geom_srid"] = _with(POINTS) + """
       SELECT cleabs, dept, CASE WHEN construction_legere THEN 0 WHEN nature <> 'FURNITURE' THEN 2154 END AS srid,
         CASE WHEN construction_legere THEN 0 WHEN nature <> 'FURNITURE' THEN 4326 END AS srid_after

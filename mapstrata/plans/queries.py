@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -89,6 +90,59 @@ def gpkg_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _high_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Points of which those in debt have no height."""
+    points = features.points(spark, folder)
+    plane = g.st_point("x", "y", LAMBERT_93)
+    heights = F.when(~F.col("construction_legere"), F.array(F.array(F.array(F.col("hauteur")))))
+    return points.withColumn(
+        "geometry", g.make_geometry(plane["srid"], plane["kind"], plane["parts"], heights)
+    )
+
+
+@query
+def gpkg_roundtrip_z(spark: SparkSession, folder: str) -> DataFrame:
+    """Points and road sections with heights: to containers, into tables, back out, with equal
+    plane measures; a table that was planar before takes them in."""
+    path, schema = shared_folder(spark, "gpkg-z"), new_schema(spark, "heights")
+    _export(_high_points(spark, folder).drop("x", "y", "layer"), path, features.POINT_LAYER, LAMBERT_93)
+    _export(features.high_lines(spark, folder).drop("layer"), path, features.LINE_LAYER, LAMBERT_93)
+    layers = [features.POINT_LAYER, features.LINE_LAYER]
+    flat = LoadSettings(schema, layers=layers, departments="003")
+    jobs.load(spark, path, flat)
+    jobs.load(spark, path, dataclasses.replace(flat, departments="all", altitudes=True))
+    found = []
+    for layer in layers:
+        rows = spark.table(tables.full_table_name("", schema, TABLE_PREFIX, layer))
+        found.append(rows.select("layer", "dept", "cleabs", "geometry", "ymax"))
+    shapes = found[0].unionByName(found[1])
+    return shapes.select(
+        "layer",
+        "dept",
+        "cleabs",
+        g.st_has_z("geometry").alias("high"),
+        _rounded(g.st_zmin("geometry"), 3).alias("zmin"),
+        _rounded(g.st_zmax("geometry"), 3).alias("zmax"),
+        g.st_npoints("geometry").alias("n_points"),
+        g.st_area("geometry").alias("area"),
+        _rounded(F.col("ymax")).alias("ymax"),
+    )
+
+
+@query
+def geom_wkt_z(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with heights, with measures and with both, read and written as WKT and GeoJSON."""
+    lines = features.high_texts(spark, folder)
+    parsed = lines.withColumn("geometry", g.st_geom_from_wkt("wkt", LAMBERT_93, True))
+    return parsed.select(
+        "cleabs",
+        "dept",
+        g.st_as_text("geometry", 3, True).alias("wkt"),
+        g.st_as_geojson("geometry", 1, True).alias("geojson"),
+        g.st_as_text(g.st_force_2d("geometry"), 0).alias("flat"),
+    )
+
+
 @query
 def layer_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Layers of containers with their feature counts, over all files."""

@@ -22,7 +22,7 @@ BATCH_SIZE = 5000
 class LoadSettings:
     """One run of the load job.
 
-    ``catalog`` may stay empty for the session catalog.
+    ``catalog`` may stay empty for the session catalog.  ``altitudes`` keeps the heights of points.
     """
 
     schema: str
@@ -37,6 +37,7 @@ class LoadSettings:
     lang: str = "en"
     batch_size: int = BATCH_SIZE
     features_per_task: int = 200_000
+    altitudes: bool = False
     concurrent_layers: int = 4
 
 

@@ -12,6 +12,7 @@ Read options
   featuresPerTask  length of a range of feature ids, default 200000
   batchSize        features per Arrow batch, default 5000
   geometry         ``struct`` (default), or ``wkb`` for the raw bytes
+  altitudes        ``true`` for structs with the heights of the points
   pushdown         ``true`` to take filters; only together with the session
                    setting ``spark.sql.python.filterPushdown.enabled``
 
@@ -57,7 +58,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_type
 
 from mapstrata.functions.casts import ingestion_schema
-from mapstrata.functions.geometry import GEOMETRY_TYPE
+from mapstrata.functions.geometry import GEOMETRY_TYPE, GEOMETRY_Z_TYPE, has_heights
 from mapstrata.sources import wkb
 
 GEOMETRY_COLUMN = "geometry"
@@ -411,7 +412,8 @@ def read_range(
             arrays = []
             for f, position, role in slots:
                 if role == "geometry" and isinstance(f.dataType, T.StructType):
-                    arrays.append(wkb.geometry_array(list(columns[position]), layer.srid))
+                    z = has_heights(f.dataType)
+                    arrays.append(wkb.geometry_array(list(columns[position]), layer.srid, z))
                 elif role == "geometry":
                     blobs = [None if b is None else wkb.split_header(b)[2] for b in columns[position]]
                     arrays.append(pa.array(blobs, pa.binary()))
@@ -556,6 +558,7 @@ class _Container:
         self.layer, self.srid, self.rows = layer, srid, 0
         self.fields = [f for f in schema.fields if f.name != GEOMETRY_COLUMN]
         self.has_geometry = GEOMETRY_COLUMN in schema.names
+        self.high = False  # whether a geometry has heights
         self.db = sqlite3.connect(":memory:")
         self._create()
 
@@ -608,7 +611,10 @@ class _Container:
         columns = [_sqlite_values(batch.column(f.name), f.dataType) for f in self.fields]
         if self.has_geometry:
             names.append("geom")
-            columns.append(wkb.gpkg_blobs(batch.column(GEOMETRY_COLUMN), self.srid))
+            shapes = batch.column(GEOMETRY_COLUMN)
+            columns.append(wkb.gpkg_blobs(shapes, self.srid))
+            if shapes.type.get_field_index("heights") >= 0:
+                self.high = self.high or shapes.field("heights").null_count < len(shapes)
         marks = ", ".join("?" * len(names))
         listed = ", ".join(_name(n) for n in names)
         self.db.executemany(
@@ -622,6 +628,8 @@ class _Container:
 
     def save(self, path: str) -> None:
         self.db.execute("INSERT INTO gpkg_ogr_contents VALUES (?, ?)", (self.layer, self.rows))
+        if self.high:  # heights may be there
+            self.db.execute("UPDATE gpkg_geometry_columns SET z = 2")
         self.db.commit()
         with open(path, "wb") as file:
             file.write(self.db.serialize())
@@ -728,7 +736,8 @@ class GpkgDataSource(DataSource):
         )
         in_flight, _ = ingestion_schema(at_rest)
         raw = self.options.get("geometry", "struct") == "wkb"
-        shape = T.BinaryType() if raw else GEOMETRY_TYPE
+        high = str(self.options.get("altitudes", "false")).lower() == "true"
+        shape = T.BinaryType() if raw else GEOMETRY_Z_TYPE if high else GEOMETRY_TYPE
         return T.StructType(
             [T.StructField(f.name, shape if f.name == GEOMETRY_COLUMN else f.dataType) for f in in_flight]
         )
