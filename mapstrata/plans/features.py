@@ -197,6 +197,26 @@ def areas(spark: SparkSession, folder: str, scale: int = 10) -> DataFrame:
     )
 
 
+#: Half width, half height and reach of the widest octagon, and what each next one lacks.
+OCTAGONS = ((490000, 440000, 800000), (60000, 60000, 110000))
+OCTAGON_CENTRE = (600000, 6550000)
+
+
+def octagons(spark: SparkSession, folder: str) -> DataFrame:
+    """An octagon per region around one centre, the first over nearly all of the map."""
+    key = F.col("r_regionkey")
+    a, b, c = (F.lit(first) - key * less for first, less in zip(*OCTAGONS, strict=True))
+    x, y = OCTAGON_CENTRE
+    corners = [(a, c - a), (c - b, b), (b - c, b), (-a, c - a), (-a, a - c), (b - c, -b), (c - b, -b), (a, a - c)]
+    ring = F.array(
+        *[_point((F.lit(x) + u).cast("double"), (F.lit(y) + v).cast("double")) for u, v in [*corners, corners[0]]]
+    )
+    return table(spark, folder, "region").select(
+        F.concat(F.lit("OCTO"), F.lpad(key.cast("string"), 16, "0")).alias("cleabs"),
+        make_geometry(F.lit(LAMBERT_93), F.lit("POLYGON"), F.array(F.array(ring))).alias("geometry"),
+    )
+
+
 def links(spark: SparkSession, folder: str) -> DataFrame:
     """One link without geometry per supplier."""
     s = table(spark, folder, "supplier")

@@ -489,6 +489,14 @@ def oracle_sql() -> dict[str, str]:
           SELECT o_orderkey AS point_id, (100000 + (o_orderkey * 7919) % 1000000)::DOUBLE AS x,
             (6100000 + (o_orderkey * 104729) % 900000)::DOUBLE AS y FROM orders)""",
     ) + f"SELECT p.point_id, a.cleabs FROM positions p JOIN areas a ON {inside}"
+    (a, b, c), (less_a, less_b, less_c) = features.OCTAGONS
+    x, y = features.OCTAGON_CENTRE
+    sql["geom_intersects_cover"] = sql["geom_intersects"] + f"""
+      UNION ALL SELECT o_orderkey, 'OCTO' || lpad(r_regionkey::VARCHAR, 16, '0') FROM (
+        SELECT o_orderkey, abs(100000 + (o_orderkey * 7919) % 1000000 - {x}) AS dx,
+          abs(6100000 + (o_orderkey * 104729) % 900000 - {y}) AS dy FROM orders), region
+      WHERE dx <= {a} - r_regionkey * {less_a} AND dy <= {b} - r_regionkey * {less_b}
+        AND dx + dy <= {c} - r_regionkey * {less_c}"""
     sql["box_intersects"] = _with(blocks) + """
       SELECT a.cleabs, b.cleabs AS o_cleabs FROM areas a JOIN areas b
         ON a.x0 <= b.x1 AND a.x1 >= b.x0 AND a.y0 <= b.y1 AND a.y1 >= b.y0 AND a.cleabs < b.cleabs"""

@@ -21,6 +21,7 @@ from mapstrata.operators import ingest as ingests
 from mapstrata.operators import layers as layer_operators
 from mapstrata.operators import tables
 from mapstrata.operators import validate as checks
+from mapstrata.operators.cover_join import points_in_areas_by_cover
 from mapstrata.operators.spatial_join import boxes_overlapping, grid_levels, points_in_areas
 from mapstrata.plans import features, jobs
 from mapstrata.settings import (
@@ -642,6 +643,20 @@ def geom_intersects(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select("point_id", "cleabs")
 
 
+#: Positions a join key may have in a table of this size, before its cell is cut.
+CROWD = 500
+
+
+@query
+def geom_intersects_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """Which order positions lie in which blocks and in which of the octagons, the widest of
+    which holds nine in ten of them."""
+    points = features.order_positions(spark, folder)
+    wide = g.with_bbox(features.octagons(spark, folder), "geometry")
+    areas = _blocks(spark, folder).unionByName(wide)
+    return points_in_areas_by_cover(points, areas, limit=CROWD).select("point_id", "cleabs")
+
+
 @query
 def box_intersects(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks whose boxes overlap, each pair once."""
