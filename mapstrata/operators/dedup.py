@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapstrata.operators import commits
 from mapstrata.operators.tables import (
     PARTITION_COLUMN,
     apply_table_metadata,
+    create_like,
     list_source_tables,
     quoted,
+    table_exists,
     table_metadata,
 )
 from mapstrata.settings import DEDUP_SUFFIX, FEATURE_KEY, TABLE_PREFIX, shared_folder
@@ -25,6 +30,7 @@ NULL_KEY_POLICIES = ("collapse", "keep")
 # this overhead for each, stays within the limit.
 BROADCAST_BYTES = 64 << 20
 KEY_OVERHEAD = 48
+CONCURRENT_TABLES = 4
 
 
 def _orderable(data_type: T.DataType) -> bool:
@@ -72,6 +78,7 @@ class DedupStats:
     after: int
     repeated_keys: int = 0
     repeated_bytes: int = 0
+    without_key: int = 0
 
     @property
     def removed(self) -> int:
@@ -92,11 +99,16 @@ def stats_columns() -> list[Column]:
         F.count(F.lit(1)).alias("after"),
         F.count_if(repeated).alias("repeated_keys"),
         F.coalesce(F.sum(F.when(repeated, size.cast("long"))), F.lit(0)).alias("repeated_bytes"),
+        F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("without_key"),
     ]
 
 
 def dedup_by_repeats(
-    df: DataFrame, repeats: DataFrame, key: str = FEATURE_KEY, broadcast: bool = False
+    df: DataFrame,
+    repeats: DataFrame,
+    key: str = FEATURE_KEY,
+    broadcast: bool = False,
+    null_key: str = "collapse",
 ) -> DataFrame:
     """``dedup`` when most keys occur once.
 
@@ -114,7 +126,9 @@ def dedup_by_repeats(
         column == F.col("_key"),
         "left",
     ).drop("_key")
-    several = F.col("_repeated").isNotNull() | column.isNull()
+    several = F.col("_repeated").isNotNull()
+    if null_key == "collapse":
+        several = several | column.isNull()
     once = marked.filter(~several).drop("_repeated")
     first = dedup(marked.filter(several).drop("_repeated"), key)
     if PARTITION_COLUMN in df.columns:
@@ -124,9 +138,15 @@ def dedup_by_repeats(
     return once.unionByName(first)
 
 
-def dedup_table(spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY) -> DedupStats:
+def dedup_table(
+    spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY, null_key: str = "collapse"
+) -> DedupStats:
     """Write the deduplicated twin of a table with the table's descriptions.
 
+    The twin has its descriptions before it has rows, and gets its rows in one commit, so it
+    is as it was or as it should be if this is interrupted.  A column that the
+    table has no more stays in the twin, without values.
+
     A pass over the key column gives the counts and keeps the repeated keys in
     the shared folder; when these are few, as with features on borders, the
     next pass writes without shuffling the table.
@@ -137,18 +157,20 @@ def dedup_table(spark: SparkSession, src: str, dst: str, key: str = FEATURE_KEY)
     repeated = counts.filter((F.col("n") > 1) & F.col("key").isNotNull()).select("key")
     repeated.write.parquet(folder)
     stats = DedupStats(**seen.get)
+    if null_key == "keep" and stats.without_key:
+        stats.after += stats.without_key - 1
     if stats.repeated_bytes <= BROADCAST_BYTES:
         repeats = spark.read.schema(repeated.schema).parquet(folder)
-        result = dedup_by_repeats(source, repeats, key, broadcast=True)
+        result = dedup_by_repeats(source, repeats, key, True, null_key)
     else:
-        result = dedup(source, key)
+        result = dedup(source, key, null_key)
         if PARTITION_COLUMN in source.columns:
             result = result.hint("rebalance", F.col(PARTITION_COLUMN))
-    writer = result.write.format("parquet").mode("overwrite")
-    if PARTITION_COLUMN in source.columns:
-        writer = writer.partitionBy(PARTITION_COLUMN)
-    writer.saveAsTable(quoted(dst))
-    apply_table_metadata(spark, dst, table_metadata(spark, src))
+    if table_exists(spark, dst):
+        apply_table_metadata(spark, dst, table_metadata(spark, src))
+    else:
+        create_like(spark, src, dst)
+    commits.replace_all(result, dst)
     return stats
 
 
@@ -159,19 +181,28 @@ def dedup_tables(
     table_prefix: str = TABLE_PREFIX,
     key: str = FEATURE_KEY,
     suffix: str = DEDUP_SUFFIX,
+    null_key: str = "collapse",
+    concurrent: int = CONCURRENT_TABLES,
 ) -> dict[str, DedupStats]:
-    """Twins of all tables with the prefix, in name order.
+    """Twins of all tables with the prefix, ``concurrent`` at a time.
 
     A table without the key column is reported in the log and left out.
     """
-    stats: dict[str, DedupStats] = {}
+    sources = {}
     for name in list_source_tables(spark, catalog, schema, table_prefix, suffix):
         src = ".".join(part for part in (catalog, schema, name) if part)
         if key not in spark.table(quoted(src)).columns:
             logger.warning("table %s has no column %s and is not deduplicated", src, key)
             continue
-        stats[name] = dedup_table(spark, src, src + suffix, key)
-    return stats
+        sources[name] = src
+
+    def one(src: str) -> DedupStats:
+        return dedup_table(spark, src, src + suffix, key, null_key)
+
+    # Tables are independent; several at a time keep executors busy while one plans or finishes.
+    with ThreadPoolExecutor(concurrent) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(one), src) for name, src in sources.items()}
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def dedup_stats(df: DataFrame, by: list[str], key: str = FEATURE_KEY) -> DataFrame:

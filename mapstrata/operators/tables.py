@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,8 @@ VERSION_PROPERTY = "bdtopo_version"
 EDITION_PROPERTY = "bdtopo_version_date"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 ENGINE_PROPERTY_PREFIXES = ("delta.", "option.")
+#: Prefix of the properties that hold commits which are not carried out in full.
+PENDING = "mapstrata.pending."
 
 
 def quoted(name: str) -> str:
@@ -129,18 +131,22 @@ def set_data_schema(spark: SparkSession, table: str, schema: T.StructType) -> No
     gain fields, which are NULL in older files.  No SQL statement does this for
     tables of the session catalog.
     """
-    parts = [p.strip("`") for p in table.split(".")][-2:]
-    java = spark._jvm
-    name = java.org.apache.spark.sql.catalyst.TableIdentifier(
-        parts[-1], java.scala.Option.apply(parts[0] if len(parts) > 1 else None)
-    )
     partitions = {r["col_name"] for r in _partition_columns(spark, table)}
     data = T.StructType([f for f in schema.fields if f.name not in partitions])
     catalog = spark._jsparkSession.sessionState().catalog()
-    catalog.alterTableDataSchema(name, java.org.apache.spark.sql.types.DataType.fromJson(data.json()))
+    kind = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(data.json())
+    catalog.alterTableDataSchema(catalog_name(spark, table), kind)
     spark.catalog.refreshTable(quoted(table))
 
 
+def catalog_name(spark: SparkSession, table: str):
+    """The table's name as the session catalog takes it."""
+    parts = [p.strip("`") for p in table.split(".")][-2:]
+    java = spark._jvm
+    schema = java.scala.Option.apply(parts[0] if len(parts) > 1 else None)
+    return java.org.apache.spark.sql.catalyst.TableIdentifier(parts[-1], schema)
+
+
 def _partition_columns(spark: SparkSession, table: str) -> list:
     rows = spark.sql(f"DESCRIBE TABLE {quoted(table)}").collect()
     marks = [i for i, r in enumerate(rows) if r["col_name"] == "# col_name"]
@@ -163,6 +169,19 @@ def add_heights(spark: SparkSession, table: str, column: str = "geometry") -> bo
     return True
 
 
+def create_like(spark: SparkSession, source: str, table: str) -> None:
+    """Create a table with the columns and descriptions of another one, without its rows."""
+    schema = spark.table(quoted(source)).schema
+    texts = table_metadata(spark, source).columns
+    comments = {name: f" COMMENT {literal(text)}" for name, text in texts.items()}
+    lines = ", ".join(
+        f"{quoted(f.name)} {f.dataType.simpleString()}{comments.get(f.name, '')}" for f in schema.fields
+    )
+    parts = f" PARTITIONED BY ({PARTITION_COLUMN})" if PARTITION_COLUMN in schema.names else ""
+    spark.sql(f"CREATE TABLE {quoted(table)} ({lines}) USING parquet{parts}")
+    apply_table_metadata(spark, table, table_metadata(spark, source))
+
+
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:
     """Add the columns of ``df`` which the table lacks; returns their names.
 
@@ -251,44 +270,10 @@ class Replaced:
 def replace_departments(
     df: DataFrame, table: str, departments: Iterable[str], rebalance: bool = False
 ) -> Replaced:
-    """Replace all rows of the named departments by ``df`` and count them.
+    """Replace all rows of the named departments by ``df`` in one commit; see ``commits``."""
+    from mapstrata.operators import commits  # which builds on this module
 
-    One dynamic partition overwrite replaces the departments which have rows;
-    those which turn out to have none are dropped afterwards.  The write
-    itself tells which ones it met; their counts come from the footers of the
-    written files.  ``df`` must not read ``table``, and its rows should be of
-    the named departments only.
-
-    ``rebalance`` shuffles by department first, splitting large departments
-    and merging small ones; a scan whose tasks each hold one department does
-    not need it.
-    """
-    spark = df.sparkSession
-    departments = list(dict.fromkeys(departments))
-    add_missing_columns(df, table)
-    rows = in_table_order(df, table)
-    dept = F.col(PARTITION_COLUMN)
-    if rebalance:
-        rows = rows.hint("rebalance", dept)
-    seen = Observation()
-    # One entry per department: as many as the table gets partitions.
-    observed = rows.observe(seen, F.collect_set(dept).alias("departments"))
-    with dynamic_overwrite(spark):
-        observed.write.insertInto(quoted(table), overwrite=True)
-    written = set(seen.get["departments"])
-    held = held_departments(spark, table)
-    for name in departments:
-        if name in held and name not in written:
-            delete_department(spark, table, name)
-    counts = (
-        spark.table(quoted(table))
-        .filter(dept.isin(sorted(written)))
-        .groupBy(dept)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    found = dict.fromkeys(departments, 0)
-    found.update((row[PARTITION_COLUMN], row["n"]) for row in counts.collect())
-    return Replaced(sum(found.values()), found)
+    return commits.replace_departments(df, table, departments, rebalance)
 
 
 # --------------------------------------------------------------------------
@@ -303,9 +288,9 @@ class TableMetadata:
 
 
 def keep_property(key: Column) -> Column:
-    """Not a setting of the storage engine."""
+    """Not a setting of the storage engine, nor a commit under way."""
     kept = F.lit(True)
-    for prefix in ENGINE_PROPERTY_PREFIXES:
+    for prefix in (*ENGINE_PROPERTY_PREFIXES, PENDING):
         kept = kept & ~key.startswith(prefix)
     return kept
 

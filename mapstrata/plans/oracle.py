@@ -344,6 +344,9 @@ def oracle_sql() -> dict[str, str]:
       SELECT dept, nature, count(*) AS n, sum(largeur) AS largeur FROM (
         SELECT dept, NULL AS nature, largeur FROM lines
         UNION ALL SELECT dept, nature, largeur FROM lines) GROUP BY dept, nature"""
+    sql["reload_recovered"] = _with(LINES) + """
+      SELECT dept, nature, count(*) AS n, sum(largeur + CASE WHEN dept IN ('D003', 'D006') THEN 100 ELSE 0 END) AS largeur
+      FROM lines WHERE dept <> 'D004' AND (dept <> 'D003' OR nature = 'A') GROUP BY dept, nature"""
     sql["reload_dept"] = _with(LINES) + """
       SELECT dept, nature, count(*) AS n, sum(largeur) AS largeur FROM (
         SELECT dept, nature, largeur FROM lines WHERE dept NOT IN ('D003', 'D004')

@@ -16,6 +16,7 @@ from mapstrata.functions import geometry as g
 from mapstrata.functions.casts import ingestion_schema, to_date_or_null, to_timestamp_or_null
 from mapstrata.functions.projection import LAMBERT_93, lambert93_to_wgs84, st_transform
 from mapstrata.functions.validity import st_is_valid
+from mapstrata.operators import commits
 from mapstrata.operators import dedup as dedups
 from mapstrata.operators import ingest as ingests
 from mapstrata.operators import layers as layer_operators
@@ -359,6 +360,24 @@ def reload_dept(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def reload_recovered(spark: SparkSession, folder: str) -> DataFrame:
+    """Departments 3 and 4 are loaded again by a run that stops right after its commit, and
+    department 5 by one that stops before it; then department 6 is loaded."""
+    name, rows = _line_table(spark, folder, "recover", ["cleabs", "dept", "largeur", "nature"])
+    more = rows.withColumn("largeur", F.col("largeur") + 100)
+    staged = commits.stage(more.filter((F.col("dept") == "D003") & (F.col("nature") == "A")), name, True)
+    commits.announce(spark, name, staged, ["D004"])
+    commits.stage(more.filter("dept = 'D005'"), name, True)
+    commits.replace_departments(more.filter("dept = 'D006'"), name, ["D006"], rebalance=True)
+    commits.sweep(spark, name, hours=0)
+    return (
+        spark.table(name)
+        .groupBy("dept", "nature")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("largeur").alias("largeur"))
+    )
+
+
 @query
 def table_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptions a twin takes over from its table, with the values of each
