@@ -66,11 +66,15 @@ def is_partitioned(spark: SparkSession, table: str) -> bool:
     return PARTITION_COLUMN in spark.table(quoted(table)).columns
 
 
-def stage(df: DataFrame, table: str, rebalance: bool = False) -> Staged:
-    """Write rows beside the table, in its columns, adding those it lacks."""
+def stage(df: DataFrame, table: str, rebalance: bool = False, notes: tuple[str, ...] = ()) -> Staged:
+    """Write rows beside the table, in its columns, adding those it lacks.
+
+    ``notes`` are columns for the files only: the table does not know them and its readers skip
+    them, but ``staged_notes`` reads them from the same files.
+    """
     spark = df.sparkSession
-    add_missing_columns(df, table)
-    rows = in_table_order(df, table)
+    add_missing_columns(df.drop(*notes), table)
+    rows = in_table_order(df, table, notes)
     run = uuid.uuid4().hex[:12]
     staged = Staged(run, f"{_root(spark, table)}/{RUN}{run}")
     dept = F.col(PARTITION_COLUMN)
@@ -93,6 +97,11 @@ def stage(df: DataFrame, table: str, rebalance: bool = False) -> Staged:
     return staged
 
 
+def staged_notes(spark: SparkSession, staged: Staged, schema: str) -> DataFrame:
+    """Staged rows in the columns of ``schema`` alone, notes among them."""
+    return spark.read.schema(schema).parquet(staged.folder)
+
+
 def announce(spark: SparkSession, table: str, staged: Staged, emptied: list[str]) -> None:
     """The commit: from here on the staged rows are the table's."""
     if not is_partitioned(spark, table):
@@ -204,7 +213,9 @@ def sweep(spark: SparkSession, table: str, hours: float = 24) -> list[str]:
     return left
 
 
-def replace_departments(df: DataFrame, table: str, departments, rebalance: bool = False) -> Replaced:
+def replace_departments(
+    df: DataFrame, table: str, departments, rebalance: bool = False, notes: tuple[str, ...] = (), on_staged=None
+) -> Replaced:
     """Replace all rows of the named departments by ``df`` in one commit, and count them.
 
     Departments that turn out to have no rows are dropped by the same commit.
@@ -212,12 +223,15 @@ def replace_departments(df: DataFrame, table: str, departments, rebalance: bool
 
     ``rebalance`` shuffles by department first, splitting large departments
     and merging small ones; a scan whose tasks each hold one department does
-    not need it.
+    not need it.  ``notes`` are columns for ``on_staged``, which is called with the
+    staged rows before their commit.
     """
     spark = df.sparkSession
     recover(spark, table)
     departments = list(dict.fromkeys(departments))
-    staged = stage(df, table, rebalance)
+    staged = stage(df, table, rebalance, notes)
+    if on_staged is not None and staged.rows:
+        on_staged(staged)
     held = held_departments(spark, table)
     emptied = [d for d in departments if d in held and d not in staged.rows_by_dept]
     publish(spark, table, staged, emptied)

@@ -13,6 +13,7 @@ from mapstrata.functions.reuse import built_once
 from mapstrata.settings import TARGET_SRID
 
 GEOMETRY_COLUMN = "geometry"
+LOSSES_TYPE = "array<struct<column:string,reason:string,raw:string>>"
 
 
 def add_metadata(df: DataFrame, dept: Column | str, layer: str) -> DataFrame:
@@ -97,6 +98,37 @@ def ingest(
     return with_bbox(out, GEOMETRY_COLUMN) if has_geometry and extent else out
 
 
+LOSSES_COLUMN = "_losses"
+
+
+def with_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add to ``_losses`` the texts that the casts of ``schema`` turn into NULL.
+
+    The column is an array of (column, reason, raw), NULL for a row that loses nothing; what the
+    scan has told in it stays.
+    """
+    _, casts = ingestion_schema(schema)
+    found = []
+    for name, cast in casts.items():
+        if name in df.columns:
+            value, kind = F.col(f"`{name}`"), schema[name].dataType.simpleString()
+            loss = F.struct(F.lit(name).alias("column"), F.lit(f"not a {kind}").alias("reason"), value.alias("raw"))
+            found.append(F.when(value.isNotNull() & cast(value).isNull(), loss))
+    told = [F.col(LOSSES_COLUMN)] if LOSSES_COLUMN in df.columns else []
+    if not found:
+        return df if told else df.withColumn(LOSSES_COLUMN, F.lit(None).cast(LOSSES_TYPE))
+    lost = F.array_compact(F.array(*found))
+    whole = F.concat(F.coalesce(told[0], F.array().cast(LOSSES_TYPE)), lost) if told else lost
+    whole = whole.cast(LOSSES_TYPE)
+    return df.withColumn(LOSSES_COLUMN, F.when(F.size(whole) > 0, whole))
+
+
+def loss_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """One row per lost value: ``columns``, column, reason, raw."""
+    lost = df.filter(F.col(LOSSES_COLUMN).isNotNull())
+    return lost.select(*columns, F.inline(LOSSES_COLUMN))
+
+
 def at_rest(schema: T.StructType, altitudes: bool = False) -> T.StructType:
     """The schema at rest of a layer, extent columns included."""
     fields = list(schema.fields)

@@ -199,8 +199,8 @@ def add_missing_columns(df: DataFrame, table: str) -> list[str]:
     return [f.name for f in new]
 
 
-def in_table_order(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns in its order, NULL for those ``df`` lacks."""
+def in_table_order(df: DataFrame, table: str, more: Iterable[str] = ()) -> DataFrame:
+    """The table's columns in its order, NULL for those ``df`` lacks; then ``more``."""
     have = {name.lower(): name for name in df.columns}
     columns: list[Column] = []
     for f in df.sparkSession.table(quoted(table)).schema.fields:
@@ -209,7 +209,7 @@ def in_table_order(df: DataFrame, table: str) -> DataFrame:
         if source and has_heights(f.dataType) != has_heights(df.schema[source].dataType):
             value = st_force_3d(value) if has_heights(f.dataType) else st_force_2d(value)
         columns.append(value.cast(f.dataType).alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *more)
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -16,15 +16,28 @@ from pyspark.sql import types as T
 from mapstrata.functions.casts import ingestion_schema
 from mapstrata.functions.codes import department_code, requested_departments
 from mapstrata.operators import dedup as dedup_operators
-from mapstrata.operators import tables
-from mapstrata.operators.ingest import at_rest, bad_datetimes, date_like_columns, ingest
+from mapstrata.operators import commits, tables
+from mapstrata.operators.ingest import (
+    LOSSES_COLUMN,
+    LOSSES_TYPE,
+    at_rest,
+    bad_datetimes,
+    date_like_columns,
+    ingest,
+    loss_rows,
+    with_losses,
+)
 from mapstrata.operators.validate import Suite, require_passed, validate_tables
-from mapstrata.settings import TARGET_SRID, LoadSettings
+from mapstrata.settings import FEATURE_KEY, TARGET_SRID, LoadSettings
 from mapstrata.sources import gpkg, register
 
 logger = logging.getLogger(__name__)
 
 METRICS_TABLE = "load_metrics"
+LOSSES_TABLE = "load_losses"
+REJECTS_TABLE = "load_rejects"
+LOSSES_SCHEMA = "run string, layer string, dept string, column string, reason string, rows long"
+REJECTS_SCHEMA = "run string, layer string, dept string, key string, column string, reason string, raw string"
 METRICS_SCHEMA = (
     "run string, layer string, dept string, rows long, version string, version_date string"
 )
@@ -114,6 +127,7 @@ def load_layer(
     settings: LoadSettings,
     holders: Holders,
     wanted: set[str],
+    run: str = "",
 ) -> tables.Replaced:
     """Replace the departments' rows of one layer in its table.
 
@@ -149,12 +163,47 @@ def load_layer(
         featuresPerTask=settings.features_per_task,
         batchSize=settings.batch_size,
         altitudes=settings.altitudes,
+        losses=settings.losses,
     )
     if holders.by_row:
         rows = rows.filter(F.col("dept").isin(sorted(wanted)))
     # Geometries carry their own reference system out of the scan.
-    typed = ingest(rows, schema, 0, settings.target_srid)
-    return tables.replace_departments(typed, name, departments)
+    if not settings.losses:
+        typed = ingest(rows, schema, 0, settings.target_srid)
+        return tables.replace_departments(typed, name, departments)
+    typed = ingest(with_losses(rows, schema), schema, 0, settings.target_srid)
+
+    def keep_losses(staged: commits.Staged) -> None:
+        key = FEATURE_KEY if FEATURE_KEY in schema.names else None
+        record_losses(spark, settings, run, layer, staged, key)
+
+    return commits.replace_departments(
+        typed, name, departments, notes=(LOSSES_COLUMN,), on_staged=keep_losses
+    )
+
+
+def record_losses(
+    spark: SparkSession, settings: LoadSettings, run: str, layer: str, staged: commits.Staged, key: str | None
+) -> None:
+    """Keep the values a load could not read, and how many there are by department, column and reason.
+
+    They come from a narrow column of the files the load has just written, so the
+    containers are read once.  A row stays in its table, with NULL for such a value.
+    """
+    columns = [f"{key} string"] if key else []
+    notes = commits.staged_notes(spark, staged, ", ".join([*columns, "dept string", f"{LOSSES_COLUMN} {LOSSES_TYPE}"]))
+    found = loss_rows(notes, (F.col(key) if key else F.lit(None).cast("string")).alias("key"), "dept")
+    rejects, losses = (
+        tables.full_table_name(settings.catalog, settings.schema, "", n) for n in (REJECTS_TABLE, LOSSES_TABLE)
+    )
+    told = {"run": F.lit(run), "layer": F.lit(layer)}
+    found = found.withColumns(told).select("run", "layer", "dept", "key", "column", "reason", "raw")
+    found.coalesce(max(1, min(found.rdd.getNumPartitions(), 32))).write.insertInto(tables.quoted(rejects))
+    counts = (
+        spark.table(tables.quoted(rejects)).filter((F.col("run") == run) & (F.col("layer") == layer))
+        .groupBy("run", "layer", "dept", "column", "reason").agg(F.count("*").alias("rows"))
+    )
+    counts.coalesce(1).write.insertInto(tables.quoted(losses))
 
 
 def record_metrics(spark: SparkSession, settings: LoadSettings, report: LoadReport) -> None:
@@ -184,6 +233,10 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     holders = layer_holders(spark, path, codes, request.strip().lower() != "all")
     schema = ".".join(p for p in (settings.catalog, settings.schema) if p)
     tables.create_schema(spark, schema)
+    for name, columns in ((REJECTS_TABLE, REJECTS_SCHEMA), (LOSSES_TABLE, LOSSES_SCHEMA)):
+        table = tables.quoted(tables.full_table_name(settings.catalog, settings.schema, "", name))
+        if settings.losses:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
     available = sorted(holders)
     wanted = settings.layers or available
     report = LoadReport(uuid.uuid4().hex[:12])
@@ -193,7 +246,7 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     chosen = [name for name in dict.fromkeys(wanted) if name in available]
 
     def one(layer: str) -> tables.Replaced:
-        return load_layer(spark, path, layer, settings, holders[layer], codes)
+        return load_layer(spark, path, layer, settings, holders[layer], codes, report.run)
 
     # Layers are few and independent; several at a time keep executors busy
     # while a layer finishes its last tasks.

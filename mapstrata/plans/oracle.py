@@ -551,6 +551,15 @@ def oracle_sql() -> dict[str, str]:
         SELECT layer, dept, count(*) // 4, min({LON}), max({LAT}) FROM corners
         WHERE dept NOT IN ('D020', 'D096') GROUP BY layer, dept)"""
 
+    sql["load_losses"] = _with(LINES) + f"""
+      , lost AS (
+        SELECT *, 'date_creation' AS col, 'not a timestamp' AS reason, substr(date_creation, 1, 17) || '60' AS raw FROM lines WHERE rang = 3
+        UNION ALL SELECT *, 'date_modification', 'not a date', '1612-13-41' FROM lines WHERE rang = 4
+        UNION ALL SELECT *, 'voies', 'not a bigint', 'many' FROM lines WHERE rang IN (2, 3)
+        UNION ALL SELECT *, 'geometry', 'broken geometry', to_base64(from_hex('47500001' || '6a080000' || '{queries.CUT}')) FROM lines WHERE rang = 5
+        UNION ALL SELECT *, 'geometry', 'unsupported kind', to_base64(from_hex('47500001' || '6a080000' || '{queries.COLLECTION}')) FROM lines WHERE rang = 6)
+      SELECT layer, dept, col AS "column", reason, count(*) AS rows, count(DISTINCT cleabs) AS keys, max(raw) AS raw
+      FROM lost WHERE dept NOT IN ('D020', 'D096') GROUP BY layer, dept, col, reason"""
     columns_list = ["cleabs", "hauteur", "nature", "code_insee", "date_d_apparition", "no_such_column"]
     picked = "[" + ", ".join(_quoted(c) for c in columns_list) + "][p_size % 6 + 1]"
     parts = f"""asked AS (

@@ -825,6 +825,39 @@ def load_job(spark: SparkSession, folder: str) -> DataFrame:
     return results[0].unionByName(results[1])
 
 
+#: A point, a point cut short and an empty collection as WKB.
+SPOT = "01010000000000000000e6234100000000242d5a41"
+CUT, COLLECTION = SPOT[:30], "010700000000000000"
+
+
+@query
+def load_losses(spark: SparkSession, folder: str) -> DataFrame:
+    """Road sections with impossible seconds, texts for numbers, broken geometries and collections
+    are loaded: the values lost, per layer, department, column and reason."""
+    path, schema = shared_folder(spark, "losses"), new_schema(spark, "losses")
+    rank, stamp = F.col("rang"), F.col("date_creation")
+    wkb = F.when(rank == 5, CUT).when(rank == 6, COLLECTION).otherwise(SPOT)
+    rows = features.line_attributes(spark, folder).select(
+        "cleabs",
+        "dept",
+        F.when(rank == 3, F.concat(F.substring(stamp, 1, 17), F.lit("60"))).otherwise(stamp).alias("date_creation"),
+        F.when(rank == 4, "1612-13-41").alias("date_modification"),
+        F.when(rank.isin(2, 3), "many").otherwise(rank.cast("string")).alias("voies"),
+        F.when(rank < 7, F.unhex(wkb)).alias("geometry"),
+    )
+    register(spark)
+    writer = rows.write.format("gpkg").mode("append").option("layer", features.LINE_LAYER)
+    writer.option("srid", LAMBERT_93).option(
+        "declared", "date_creation=DATETIME,date_modification=DATE,voies=INTEGER"
+    ).save(path)
+    jobs.load(spark, path, LoadSettings(schema, layers=[features.LINE_LAYER]))
+    counted = spark.table(f"{schema}.{jobs.LOSSES_TABLE}").drop("run")
+    kept = spark.table(f"{schema}.{jobs.REJECTS_TABLE}").groupBy("layer", "dept", "column", "reason").agg(
+        F.countDistinct("key").alias("keys"), F.max("raw").alias("raw")
+    )
+    return counted.join(kept, ["layer", "dept", "column", "reason"])
+
+
 # -- dictionary ------------------------------------------------------------
 
 

@@ -22,7 +22,8 @@ BATCH_SIZE = 5000
 class LoadSettings:
     """One run of the load job.
 
-    ``catalog`` may stay empty for the session catalog.  ``altitudes`` keeps the heights of points.
+    ``catalog`` may stay empty for the session catalog.  ``altitudes`` keeps the heights of points,
+    ``losses`` records the values that could not be read.
     """
 
     schema: str
@@ -38,6 +39,7 @@ class LoadSettings:
     batch_size: int = BATCH_SIZE
     features_per_task: int = 200_000
     altitudes: bool = False
+    losses: bool = True
     concurrent_layers: int = 4
 
 

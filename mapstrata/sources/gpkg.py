@@ -13,6 +13,7 @@ Read options
   batchSize        features per Arrow batch, default 5000
   geometry         ``struct`` (default), or ``wkb`` for the raw bytes
   altitudes        ``true`` for structs with the heights of the points
+  losses           ``true`` for a column ``_losses`` with the values that read as NULL
   pushdown         ``true`` to take filters; only together with the session
                    setting ``spark.sql.python.filterPushdown.enabled``
 
@@ -20,6 +21,10 @@ Write options
   layer            name of the layer
   srid             reference system of the file, default 4326
   maxFileBytes     size at which a task starts its next file, default 128 MiB
+  declared         declared types other than those of the rows, as in ``seen=DATETIME,n=INTEGER``;
+                   the values are written as they are
+
+A ``geometry`` column of bytes is taken for WKB and written as it is.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ from dataclasses import dataclass, field
 from datetime import timezone
 from urllib.parse import quote, urlparse
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
@@ -62,6 +68,10 @@ from mapstrata.functions.geometry import GEOMETRY_TYPE, GEOMETRY_Z_TYPE, has_hei
 from mapstrata.sources import wkb
 
 GEOMETRY_COLUMN = "geometry"
+LOSSES_COLUMN = "_losses"
+LOSSES_TYPE = T.ArrayType(
+    T.StructType([T.StructField(n, T.StringType()) for n in ("column", "reason", "raw")])
+)
 LISTING_SCHEMA = "path string, layer string, kind string, srid int, crs string, n_features long"
 FEATURES_PER_TASK = 200_000
 BATCH_SIZE = 5000
@@ -377,6 +387,17 @@ def _column(values: tuple, kind: T.DataType) -> pa.Array:
         return pa.array(numbers, arrow)
 
 
+def _lost(name: str, values: tuple, found: pa.Array, kind: T.DataType) -> Iterator[tuple[int, dict]]:
+    """Places of values that became NULL, with what they were."""
+    if found.null_count == 0:
+        return
+    for i in np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False)):
+        if values[i] is not None:
+            geometry = name == GEOMETRY_COLUMN
+            reason = wkb.fault_of(values[i]) if geometry else f"not a {kind.simpleString()}"
+            yield int(i), {"column": name, "reason": reason, "raw": _as_text(values[i])}
+
+
 def read_range(
     part: FeatureRange, schema: T.StructType, batch_size: int, conditions: list[tuple[str, list]]
 ) -> Iterator[pa.RecordBatch]:
@@ -387,6 +408,7 @@ def read_range(
         present = {name for name, _ in layer.columns}
         dept = department_of(part.path)
         constants = {"dept": dept, "layer": part.layer}
+        tells = LOSSES_COLUMN in schema.names
         selected, slots = [], []
         for f in schema.fields:
             if f.name == GEOMETRY_COLUMN and layer.geometry:
@@ -409,7 +431,8 @@ def read_range(
         )
         while chunk := rows.fetchmany(batch_size):
             columns = list(zip(*chunk))
-            arrays = []
+            arrays: list[pa.Array | None] = []
+            losses: dict[int, list[dict]] = {}
             for f, position, role in slots:
                 if role == "geometry" and isinstance(f.dataType, T.StructType):
                     z = has_heights(f.dataType)
@@ -419,10 +442,18 @@ def read_range(
                     arrays.append(pa.array(blobs, pa.binary()))
                 elif role == "value":
                     arrays.append(_column(columns[position], f.dataType))
+                elif f.name == LOSSES_COLUMN:
+                    arrays.append(None)
                 elif f.name in constants:
                     arrays.append(pa.array([constants[f.name]] * len(chunk), pa.string()))
                 else:
                     arrays.append(pa.nulls(len(chunk), to_arrow_type(f.dataType)))
+                if position is not None and tells:
+                    for i, loss in _lost(f.name, columns[position], arrays[-1], f.dataType):
+                        losses.setdefault(i, []).append(loss)
+            if tells:
+                told = [losses.get(i) for i in range(len(chunk))]
+                arrays[schema.names.index(LOSSES_COLUMN)] = pa.array(told, to_arrow_type(LOSSES_TYPE))
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
     finally:
         connection.close()
@@ -554,7 +585,8 @@ class WrittenFiles(WriterCommitMessage):
 class _Container:
     """A container being filled in memory."""
 
-    def __init__(self, layer: str, schema: T.StructType, srid: int):
+    def __init__(self, layer: str, schema: T.StructType, srid: int, declared: dict[str, str]):
+        self.declared = declared
         self.layer, self.srid, self.rows = layer, srid, 0
         self.fields = [f for f in schema.fields if f.name != GEOMETRY_COLUMN]
         self.has_geometry = GEOMETRY_COLUMN in schema.names
@@ -593,7 +625,7 @@ class _Container:
         )
         columns = ["fid INTEGER PRIMARY KEY AUTOINCREMENT NOT NULL"]
         columns += ["geom GEOMETRY"] * self.has_geometry
-        columns += [f"{_name(f.name)} {DECLARED[f.dataType]}" for f in self.fields]
+        columns += [f"{_name(f.name)} {self.declared.get(f.name) or DECLARED[f.dataType]}" for f in self.fields]
         self.db.execute(f"CREATE TABLE {_name(self.layer)} ({', '.join(columns)})")
         self.db.execute(
             "INSERT INTO gpkg_contents (table_name, data_type, identifier, srs_id) "
@@ -612,8 +644,11 @@ class _Container:
         if self.has_geometry:
             names.append("geom")
             shapes = batch.column(GEOMETRY_COLUMN)
-            columns.append(wkb.gpkg_blobs(shapes, self.srid))
-            if shapes.type.get_field_index("heights") >= 0:
+            plain = pa.types.is_binary(shapes.type)
+            columns.append(
+                wkb.wrapped(shapes.to_pylist(), self.srid) if plain else wkb.gpkg_blobs(shapes, self.srid)
+            )
+            if not plain and shapes.type.get_field_index("heights") >= 0:
                 self.high = self.high or shapes.field("heights").null_count < len(shapes)
         marks = ", ".join("?" * len(names))
         listed = ", ".join(_name(n) for n in names)
@@ -668,6 +703,8 @@ class GpkgWriter(DataSourceArrowWriter):
         self.path = local_path(options["path"])
         self.layer = options["layer"]
         self.srid = int(options.get("srid", 4326))
+        pairs = [p.split("=", 1) for p in options.get("declared", "").split(",") if p]
+        self.declared = {name.strip(): kind.strip() for name, kind in pairs}
         self.max_bytes = int(options.get("maxfilebytes", MAX_FILE_BYTES))
         self.job = uuid.uuid4().hex[:12]
         self.staging = os.path.join(self.path, "_temporary", self.job)
@@ -677,7 +714,7 @@ class GpkgWriter(DataSourceArrowWriter):
         container = None
         for batch in iterator:
             for start in range(0, batch.num_rows, BATCH_SIZE):
-                container = container or _Container(self.layer, self.schema, self.srid)
+                container = container or _Container(self.layer, self.schema, self.srid, self.declared)
                 container.add(batch.slice(start, BATCH_SIZE))
                 if container.size() >= self.max_bytes:
                     files.append(self._save(container))
@@ -701,7 +738,7 @@ class GpkgWriter(DataSourceArrowWriter):
         files = [file for message in messages if message for file in message.files]
         if not files:  # an empty layer still has its container
             os.makedirs(self.staging, exist_ok=True)
-            files = [self._save(_Container(self.layer, self.schema, self.srid))]
+            files = [self._save(_Container(self.layer, self.schema, self.srid, self.declared))]
         for name, _ in files:
             os.replace(os.path.join(self.staging, name), os.path.join(self.path, name))
         self._discard()
@@ -738,9 +775,10 @@ class GpkgDataSource(DataSource):
         raw = self.options.get("geometry", "struct") == "wkb"
         high = str(self.options.get("altitudes", "false")).lower() == "true"
         shape = T.BinaryType() if raw else GEOMETRY_Z_TYPE if high else GEOMETRY_TYPE
-        return T.StructType(
-            [T.StructField(f.name, shape if f.name == GEOMETRY_COLUMN else f.dataType) for f in in_flight]
-        )
+        fields = [T.StructField(f.name, shape if f.name == GEOMETRY_COLUMN else f.dataType) for f in in_flight]
+        if str(self.options.get("losses", "false")).lower() == "true":
+            fields.append(T.StructField(LOSSES_COLUMN, LOSSES_TYPE))
+        return T.StructType(fields)
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         if self._listing():
