@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, release, small
-from .substring import Windows, difference_cover, mixed
+from .substring import BASES, Windows, difference_cover, mixed
 
 LENGTH = 400
 GRAM = 64
@@ -69,8 +69,6 @@ def span_hashes(sums: dict, windows: Windows, starts: np.ndarray, ends: np.ndarr
 
 
 def prefix_sums(raw: np.ndarray, windows: Windows) -> dict:
-    from .substring import BASES
-
     out = {}
     for which, base in enumerate(BASES):
         values = BYTES[raw] if which == 0 else mixed(BYTES ^ np.uint64(BASES[1]))[raw]
