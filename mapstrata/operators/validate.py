@@ -7,8 +7,10 @@ violations over all rows instead.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,7 @@ from mapstrata.settings import DEDUP_SUFFIX, FEATURE_KEY, TABLE_PREFIX, TARGET_S
 
 RESULT = "check string, table string, ok boolean, detail string"
 GEOMETRY_COLUMN = "geometry"
+CONCURRENT_CHECKS = 6
 # The open interval each coordinate has to lie in.
 LON_BOUNDS = (-6.0, 11.0)
 LAT_BOUNDS = (40.0, 53.0)
@@ -248,9 +251,14 @@ def is_spatial(table: str, prefix: str, suffix: str = DEDUP_SUFFIX) -> bool:
     return not (layer in layer_titles() and layer in LAYERS_WITHOUT_GEOMETRY)
 
 
-def validate_tables(spark: SparkSession, suite: Suite) -> DataFrame:
+def validate_tables(
+    spark: SparkSession, suite: Suite, concurrent: int = CONCURRENT_CHECKS
+) -> DataFrame:
     """Results of every check on every table with the prefix.
 
+    Each table, and each pair of a table and its twin, is a small job of its own;
+    ``concurrent`` run at a time, and only their few results come to the driver.
+
     Without any table there is one failed result and nothing else.
     """
     names = tables_with_prefix(spark, suite.catalog, suite.schema, suite.table_prefix)
@@ -266,10 +274,10 @@ def validate_tables(spark: SparkSession, suite: Suite) -> DataFrame:
         base = name.removesuffix(suite.suffix)
         if base != name and base in frames and suite.key in df.columns:
             results.append(check_twin(frames[base], df, name, suite.key))
-    report = results[0]
-    for other in results[1:]:
-        report = report.unionByName(other)
-    return report
+    with ThreadPoolExecutor(concurrent) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(df.collect)) for df in results]
+        rows = [tuple(row) for job in found for row in job.result()]
+    return spark.createDataFrame(rows, RESULT)
 
 
 def require_passed(report: DataFrame) -> None:
