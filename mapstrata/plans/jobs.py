@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.functions.casts import ingestion_schema
+from mapstrata.functions.geometry import GEOMETRY_TYPE, GEOMETRY_Z_TYPE
 from mapstrata.functions.codes import department_code, requested_departments
 from mapstrata.operators import dedup as dedup_operators
 from mapstrata.operators import commits, tables
@@ -82,36 +83,57 @@ def read_layer(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def layer_index(spark: SparkSession, path: str, features_per_task: int) -> DataFrame:
+    """The listing with all that planning needs: columns, keys, extents, and cuts of the ids.
+
+    Each container is opened once, in a task.
+    """
+    register(spark)
+    reader = spark.read.format("gpkg").option("listing", "true").option("index", "true")
+    return reader.option("featuresPerTask", str(features_per_task)).load(path)
+
+
 @dataclass
 class Holders:
     """Who has a layer: departments by their container's path, and whether a
-    container of no department tells it row by row in a ``dept`` column."""
+    container of no department tells it row by row in a ``dept`` column; and the
+    rows of the index on their containers."""
 
     departments: set[str] = field(default_factory=set)
     by_row: bool = False
+    index: list = field(default_factory=list)
 
 
 def layer_holders(
-    spark: SparkSession, path: str, wanted: set[str], required: bool
+    spark: SparkSession,
+    path: str,
+    wanted: set[str],
+    required: bool,
+    features_per_task: int = gpkg.FEATURES_PER_TASK,
 ) -> dict[str, Holders]:
-    """The holders of each layer among the ``wanted`` departments, by one listing.
+    """The holders of each layer among the ``wanted`` departments, by one pass over the containers.
 
-    With ``required``, each of these must have a container.
+    With ``required``, each of these must have a container.  The driver gets one row
+    per container and layer.
     """
-    listed = layer_listing(spark, path).select("path", "layer").collect()
+    listed = layer_index(spark, path, features_per_task).collect()
     present = {gpkg.department_of(p) for p in gpkg.find_containers(path)}
     holders: dict[str, Holders] = {}
     unknown = set()
     for row in listed:
         dept = gpkg.department_of(row["path"])
         if dept is None:
-            columns = {name.lower() for name, _ in gpkg.open_layer(row["path"], row["layer"]).columns}
-            if "dept" in columns:
-                holders.setdefault(row["layer"], Holders()).by_row = True
-            else:
+            if "dept" not in {c["name"].lower() for c in row["columns"]}:
                 unknown.add(row["path"])
+                continue
+            holder = holders.setdefault(row["layer"], Holders())
+            holder.by_row = True
         elif dept in wanted:
-            holders.setdefault(row["layer"], Holders()).departments.add(dept)
+            holder = holders.setdefault(row["layer"], Holders())
+            holder.departments.add(dept)
+        else:
+            continue
+        holder.index.append(row)
     if unknown:
         raise ValueError(f"no department in the path of {', '.join(sorted(unknown))}")
     missing = sorted(wanted - present)
@@ -139,9 +161,8 @@ def load_layer(
     name = tables.full_table_name(settings.catalog, settings.schema, settings.table_prefix, layer)
     extra = {"dept": T.StringType(), "layer": T.StringType()}
     departments = sorted(holders.departments)
-    limit = [] if holders.by_row else departments
-    found = gpkg.open_layers(path, layer, limit)
-    schema = gpkg.layer_schema(path, layer, extra, limit)
+    found = [gpkg.indexed_layer(row) for row in holders.index]
+    schema = gpkg.with_extra(gpkg.merged_schema(found), extra)
     unknown_system = [c.path for c in found if c.geometry and c.srid == 0]
     if unknown_system:
         raise ValueError(f"layer {layer} has no EPSG code in {unknown_system[0]}")
@@ -155,15 +176,14 @@ def load_layer(
         settings.target_srid,
         settings.lang,
     )
+    shape = GEOMETRY_Z_TYPE if settings.altitudes else GEOMETRY_TYPE
     rows = read_layer(
         spark,
         path,
         layer,
-        departments=",".join(limit),
-        featuresPerTask=settings.features_per_task,
+        gpkg.scanned(schema, shape, settings.losses),
+        ranges=gpkg.ranges_option(holders.index),
         batchSize=settings.batch_size,
-        altitudes=settings.altitudes,
-        losses=settings.losses,
     )
     if holders.by_row:
         rows = rows.filter(F.col("dept").isin(sorted(wanted)))
@@ -230,7 +250,7 @@ def load(spark: SparkSession, path: str, settings: LoadSettings) -> LoadReport:
     """
     request = settings.departments
     codes = set(parse_departments(spark, request))
-    holders = layer_holders(spark, path, codes, request.strip().lower() != "all")
+    holders = layer_holders(spark, path, codes, request.strip().lower() != "all", settings.features_per_task)
     schema = ".".join(p for p in (settings.catalog, settings.schema) if p)
     tables.create_schema(spark, schema)
     for name, columns in ((REJECTS_TABLE, REJECTS_SCHEMA), (LOSSES_TABLE, LOSSES_SCHEMA)):

@@ -9,6 +9,8 @@ which the driver and all executors can open.
 Read options
   layer            name of the layer (needed unless ``listing``)
   listing          ``true``: one row per file and layer instead of features
+  index            ``true``, with ``listing``: also columns, and where to cut a layer
+  ranges           the cuts of a layer as an index has found them; no container is opened to plan
   featuresPerTask  length of a range of feature ids, default 200000
   batchSize        features per Arrow batch, default 5000
   geometry         ``struct`` (default), or ``wkb`` for the raw bytes
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import base64
 import glob
+import json
 import os
 import re
 import sqlite3
@@ -73,6 +76,11 @@ LOSSES_TYPE = T.ArrayType(
     T.StructType([T.StructField(n, T.StringType()) for n in ("column", "reason", "raw")])
 )
 LISTING_SCHEMA = "path string, layer string, kind string, srid int, crs string, n_features long"
+INDEX_SCHEMA = (
+    LISTING_SCHEMA
+    + ", key string, geometry string, columns array<struct<name:string,declared:string>>, z int"
+    + ", cuts array<long>, stop long, xmin double, ymin double, xmax double, ymax double"
+)
 FEATURES_PER_TASK = 200_000
 BATCH_SIZE = 5000
 FILES_PER_LISTING_TASK = 16
@@ -294,10 +302,13 @@ def layer_schema(
 
     Reads metadata of the containers only.
     """
-    schema = merged_schema(open_layers(path, layer, departments))
+    return with_extra(merged_schema(open_layers(path, layer, departments)), extra or {})
+
+
+def with_extra(schema: T.StructType, extra: dict[str, T.DataType]) -> T.StructType:
+    """The schema, and the columns of ``extra`` that it lacks."""
     known = set(schema.names)
-    extras = [T.StructField(n, t) for n, t in (extra or {}).items() if n not in known]
-    return T.StructType(schema.fields + extras)
+    return T.StructType(schema.fields + [T.StructField(n, t) for n, t in extra.items() if n not in known])
 
 
 # --------------------------------------------------------------------------
@@ -318,33 +329,52 @@ class FeatureRange(InputPartition):
         self.path, self.layer, self.start, self.stop = path, layer, start, stop
 
 
-def feature_ranges(layer: Layer, size: int) -> list[FeatureRange]:
-    """Cut a layer into ranges of about ``size`` features.
+def range_cuts(connection: sqlite3.Connection, layer: Layer, size: int) -> tuple[list[int], int]:
+    """Where ranges of about ``size`` features start, and the end of the last one.
 
     Ids count up from 1 as a rule, so the lowest and the highest, two seeks,
     are enough.  Where ids have wide gaps the cuts come from the ids.
     """
+    table, key = _name(layer.name), layer.key if layer.key == "rowid" else _name(layer.key)
+    low = connection.execute(f"SELECT min({key}) FROM {table}").fetchone()[0]
+    if low is None:
+        return [], 0
+    high = connection.execute(f"SELECT max({key}) FROM {table}").fetchone()[0]
+    cuts = list(range(low, high + 1, size)) if (high - low) // size < 64 else None
+    if cuts is None:
+        total = _feature_count(connection, layer.name)
+        if high - low <= 4 * max(total, 1):
+            cuts = list(range(low, high + 1, size))
+        else:
+            ids = connection.execute(f"SELECT {key} FROM {table} ORDER BY {key}")
+            cuts = [row[0] for i, row in enumerate(ids) if i % size == 0]
+    return cuts, high + 1
+
+
+def _between(path: str, layer: str, cuts: list[int], stop: int) -> list[FeatureRange]:
+    return [FeatureRange(path, layer, a, b) for a, b in zip(cuts, [*cuts[1:], stop], strict=True)] if cuts else []
+
+
+def feature_ranges(layer: Layer, size: int) -> list[FeatureRange]:
+    """A layer of one container in ranges of about ``size`` features."""
     connection = _connect(layer.path)
     try:
-        table, key = _name(layer.name), layer.key if layer.key == "rowid" else _name(layer.key)
-        low = connection.execute(f"SELECT min({key}) FROM {table}").fetchone()[0]
-        if low is None:
-            return []
-        high = connection.execute(f"SELECT max({key}) FROM {table}").fetchone()[0]
-        cuts = list(range(low, high + 1, size)) if (high - low) // size < 64 else None
-        if cuts is None:
-            total = _feature_count(connection, layer.name)
-            if high - low <= 4 * max(total, 1):
-                cuts = list(range(low, high + 1, size))
-            else:
-                ids = connection.execute(f"SELECT {key} FROM {table} ORDER BY {key}")
-                cuts = [row[0] for i, row in enumerate(ids) if i % size == 0]
-        stops = cuts[1:] + [high + 1]
-        return [FeatureRange(layer.path, layer.name, a, b) for a, b in zip(cuts, stops)]
+        return _between(layer.path, layer.name, *range_cuts(connection, layer, size))
     finally:
         connection.close()
 
 
+def ranges_option(rows: Iterable) -> str:
+    """The ``ranges`` option of a layer from its rows of an index."""
+    return json.dumps([[r["path"], list(r["cuts"]), r["stop"]] for r in rows], separators=(",", ":"))
+
+
+def indexed_layer(row) -> Layer:
+    """What a row of an index says about a layer."""
+    columns = [(c["name"], c["declared"]) for c in row["columns"]]
+    return Layer(row["path"], row["layer"], row["kind"], row["srid"], row["crs"], row["key"], row["geometry"], columns)
+
+
 # --------------------------------------------------------------------------
 # Reading
 
@@ -472,9 +502,13 @@ class GpkgReader(DataSourceReader):
         self.departments = requested(options)
         self.features_per_task = int(options.get("featurespertask", FEATURES_PER_TASK))
         self.batch_size = int(options.get("batchsize", BATCH_SIZE))
+        self.ranges = options.get("ranges")
         self.conditions: list[tuple[str, list]] = []
 
     def partitions(self) -> list[InputPartition]:
+        if self.ranges is not None:
+            known = json.loads(self.ranges)
+            return [part for path, cuts, stop in known for part in _between(path, self.layer, cuts, stop)]
         layers = open_layers(self.path, self.layer, self.departments)
         with ThreadPoolExecutor(METADATA_THREADS) as pool:
             ranges = pool.map(lambda layer: feature_ranges(layer, self.features_per_task), layers)
@@ -541,6 +575,25 @@ class GpkgPushdownReader(GpkgReader):
         return (f"{name} {sign} ?", [item.value]) if sign and fits(item.value) else None
 
 
+def _on(options: dict[str, str], name: str) -> bool:
+    return str(options.get(name, "false")).lower() == "true"
+
+
+def _indexed(connection: sqlite3.Connection, layer: Layer, size: int) -> tuple:
+    """The further columns of an index: what planning needs to know of a layer."""
+    z = connection.execute(
+        "SELECT z FROM gpkg_geometry_columns WHERE table_name = ?", (layer.name,)
+    ).fetchone()
+    known = {row[1] for row in connection.execute("PRAGMA table_info(gpkg_contents)")}
+    box = (None,) * 4
+    if {"min_x", "min_y", "max_x", "max_y"} <= known:
+        box = connection.execute(
+            "SELECT min_x, min_y, max_x, max_y FROM gpkg_contents WHERE table_name = ?", (layer.name,)
+        ).fetchone()
+    cuts, stop = range_cuts(connection, layer, size)
+    return layer.key, layer.geometry, layer.columns, z[0] if z else None, cuts, stop, *box
+
+
 @dataclass
 class Containers(InputPartition):
     paths: list[str]
@@ -555,10 +608,13 @@ class ListingReader(DataSourceReader):
 
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
+        self.index = _on(options, "index")
+        self.size = int(options.get("featurespertask", FEATURES_PER_TASK))
 
     def partitions(self) -> list[InputPartition]:
         paths = find_containers(self.path)
-        step = FILES_PER_LISTING_TASK
+        # An index may have to walk the ids of a layer, so its tasks are smaller.
+        step = 1 if self.index else FILES_PER_LISTING_TASK
         return [Containers(paths[i : i + step]) for i in range(0, len(paths), step)]
 
     def read(self, partition: Containers) -> Iterator[tuple]:
@@ -568,7 +624,8 @@ class ListingReader(DataSourceReader):
                 for name in layer_names(connection):
                     layer = _layer(connection, path, name)
                     count = _feature_count(connection, name)
-                    yield (path, name, layer.kind, layer.srid, layer.crs, count)
+                    row = (path, name, layer.kind, layer.srid, layer.crs, count)
+                    yield (*row, *_indexed(connection, layer, self.size)) if self.index else row
             finally:
                 connection.close()
 
@@ -756,35 +813,37 @@ class GpkgWriter(DataSourceArrowWriter):
             os.rmdir(os.path.dirname(self.staging))
 
 
+def scanned(at_rest: T.StructType, shape: T.DataType, losses: bool) -> T.StructType:
+    """The columns of a scan: dates as text, geometries as ``shape``, and losses if asked for."""
+    in_flight, _ = ingestion_schema(at_rest)
+    fields = [T.StructField(f.name, shape if f.name == GEOMETRY_COLUMN else f.dataType) for f in in_flight]
+    return T.StructType([*fields, *([T.StructField(LOSSES_COLUMN, LOSSES_TYPE)] if losses else [])])
+
+
 class GpkgDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
         return "gpkg"
 
     def _listing(self) -> bool:
-        return str(self.options.get("listing", "false")).lower() == "true"
+        return _on(self.options, "listing")
 
     def schema(self) -> T.StructType | str:
         if self._listing():
-            return LISTING_SCHEMA
+            return INDEX_SCHEMA if _on(self.options, "index") else LISTING_SCHEMA
         extra = {"dept": T.StringType(), "layer": T.StringType()}
         at_rest = layer_schema(
             self.options["path"], self.options["layer"], extra, requested(self.options)
         )
-        in_flight, _ = ingestion_schema(at_rest)
         raw = self.options.get("geometry", "struct") == "wkb"
-        high = str(self.options.get("altitudes", "false")).lower() == "true"
+        high = _on(self.options, "altitudes")
         shape = T.BinaryType() if raw else GEOMETRY_Z_TYPE if high else GEOMETRY_TYPE
-        fields = [T.StructField(f.name, shape if f.name == GEOMETRY_COLUMN else f.dataType) for f in in_flight]
-        if str(self.options.get("losses", "false")).lower() == "true":
-            fields.append(T.StructField(LOSSES_COLUMN, LOSSES_TYPE))
-        return T.StructType(fields)
+        return scanned(at_rest, shape, _on(self.options, "losses"))
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         if self._listing():
             return ListingReader(self.options)
-        pushdown = str(self.options.get("pushdown", "false")).lower() == "true"
-        return (GpkgPushdownReader if pushdown else GpkgReader)(schema, self.options)
+        return (GpkgPushdownReader if _on(self.options, "pushdown") else GpkgReader)(schema, self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> GpkgWriter:
         return GpkgWriter(schema, self.options, overwrite)
