@@ -492,6 +492,35 @@ def oracle_sql() -> dict[str, str]:
           SELECT o_orderkey AS point_id, (100000 + (o_orderkey * 7919) % 1000000)::DOUBLE AS x,
             (6100000 + (o_orderkey * 104729) % 900000)::DOUBLE AS y FROM orders)""",
     ) + f"SELECT p.point_id, a.cleabs FROM positions p JOIN areas a ON {inside}"
+    # The series for a complex number u + iv, in multiples of it.
+    third = (1 / 298.257222101) / (2 - 1 / 298.257222101)
+    plane = (
+        third / 2 - 2 * third**2 / 3 + 37 * third**3 / 96 - third**4 / 360,
+        third**2 / 48 + third**3 / 15 - 437 * third**4 / 1440,
+        17 * third**3 / 480 - 37 * third**4 / 840,
+        4397 * third**4 / 161280,
+    )
+    size = 0.9996 * 6378137 * (1 + third**2 / 4 + third**4 / 64) / (1 + third)
+    real = " - ".join(["u", *(f"{c:.17e} * sin({2 * j}e0 * u) * (exp({2 * j}e0 * v) + exp(-{2 * j}e0 * v)) / 2e0" for j, c in enumerate(plane, 1))])
+    imaginary = " - ".join(["v", *(f"{c:.17e} * cos({2 * j}e0 * u) * (exp({2 * j}e0 * v) - exp(-{2 * j}e0 * v)) / 2e0" for j, c in enumerate(plane, 1))])
+    terms = " + ".join(
+        f"{value:.17e} * sin({k}e0 * chi)"
+        for k, value in (
+            (2, 2 * third - 2 * third**2 / 3 - 2 * third**3 + 116 * third**4 / 45),
+            (4, 7 * third**2 / 3 - 8 * third**3 / 5 - 227 * third**4 / 45),
+            (6, 56 * third**3 / 15 - 136 * third**4 / 35),
+            (8, 4279 * third**4 / 630),
+        )
+    )
+    sql["geom_transform_utm"] = f"""
+      SELECT c_custkey, srid, round(degrees(lam) + meridian, 7) AS lon, round(degrees(chi + {terms}), 7) AS lat
+      FROM (SELECT *, asin(sin(a) * 2e0 / (exp(b) + exp(-b))) AS chi, atan2((exp(b) - exp(-b)) / 2e0, cos(a)) AS lam
+        FROM (SELECT *, {real} AS a, {imaginary} AS b
+          FROM (SELECT c_custkey, srid, meridian, (300000 + c_custkey * 7919 % 400000 - 500000) / {size!r}e0 AS v,
+              (1000000 + c_custkey * 104729 % 8000000 - south) / {size!r}e0 AS u
+            FROM customer JOIN (VALUES (0, 2972, -51e0, 0), (1, 2975, 57e0, 10000000), (2, 4467, -57e0, 0), (3, 4471, 45e0, 10000000),
+              (4, 5490, -63e0, 0), (5, 32631, 3e0, 0), (6, 32719, -69e0, 10000000)) s(place, srid, meridian, south)
+              ON c_nationkey % 7 = place)))"""
     (a, b, c), (less_a, less_b, less_c) = features.OCTAGONS
     x, y = features.OCTAGON_CENTRE
     sql["geom_intersects_cover"] = sql["geom_intersects"] + f"""

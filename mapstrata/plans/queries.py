@@ -14,7 +14,7 @@ from mapstrata import dictionary
 from mapstrata.functions import codes
 from mapstrata.functions import geometry as g
 from mapstrata.functions.casts import ingestion_schema, to_date_or_null, to_timestamp_or_null
-from mapstrata.functions.projection import LAMBERT_93, lambert93_to_wgs84, st_transform
+from mapstrata.functions.projection import LAMBERT_93, OVERSEAS, lambert93_to_wgs84, st_transform
 from mapstrata.functions.validity import st_is_valid
 from mapstrata.operators import commits
 from mapstrata.operators import dedup as dedups
@@ -644,6 +644,21 @@ def geom_transform_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def geom_transform_utm(spark: SparkSession, folder: str) -> DataFrame:
+    """Points in the systems of the overseas departments and in zones of UTM."""
+    key = F.col("c_custkey")
+    known = F.array(*[F.lit(code) for code in (*OVERSEAS, 32631, 32719)])
+    system = F.get(known, (F.col("c_nationkey") % (len(OVERSEAS) + 2)).cast("int"))
+    x, y = (F.lit(300000) + key * 7919 % 400000).cast("double"), (F.lit(1000000) + key * 104729 % 8000000).cast("double")
+    points = features.table(spark, folder, "customer").select("c_custkey", system.alias("srid"), g.st_point(x, y).alias("p"))
+    moved = st_transform(F.col("p").withField("srid", F.col("srid")))
+    spot = g.st_points("q")[0]
+    return points.withColumn("q", moved).select(
+        "c_custkey", "srid", _rounded(spot["x"], 7).alias("lon"), _rounded(spot["y"], 7).alias("lat")
+    )
+
+
 WIDE = 400
 
 
