@@ -290,6 +290,12 @@ def oracle_sql() -> dict[str, str]:
     sql["gpkg_roundtrip"] = _with(POINTS) + (
         "SELECT cleabs, dept, layer, nature, hauteur, construction_legere, x, y, 2154 AS srid FROM points"
     )
+    x0, y0, x1, y1 = queries.WINDOW
+    sql["gpkg_window_scan"] = _with(POINTS, AREAS) + f"""
+      SELECT layer, dept, cleabs, x AS xmin, y AS ymin, x AS xmax, y AS ymax FROM points
+      WHERE x BETWEEN {x0} AND {x1} AND y BETWEEN {y0} AND {y1}
+      UNION ALL SELECT layer, dept, cleabs, x0, y0, x1, y1 FROM areas
+      WHERE x0 <= {x1} AND x1 >= {x0} AND y0 <= {y1} AND y1 >= {y0}"""
     sql["layer_listing"] = _with(POINTS) + f"""
       SELECT '{point_layer}' AS layer, 'GEOMETRY' AS kind, 2154 AS srid, 'EPSG:2154' AS crs,
         count(*) AS n_features FROM points

@@ -145,6 +145,25 @@ def geom_wkt_z(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: A window of the map, in Lambert-93.
+WINDOW = (400000, 6300000, 700000, 6650000)
+
+
+@query
+def gpkg_window_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Points and buildings that touch a window, by the spatial index of their containers."""
+    path = shared_folder(spark, "window")
+    points = features.with_point_geometry(features.points(spark, folder)).drop("x", "y", "layer")
+    found = []
+    for layer, rows in ((features.POINT_LAYER, points), (features.AREA_LAYER, features.areas(spark, folder).drop("layer"))):
+        register(spark)
+        writer = rows.write.format("gpkg").mode("append").option("layer", layer).option("srid", LAMBERT_93)
+        writer.option("spatialIndex", "true").save(path)
+        scan = jobs.read_layer(spark, path, layer, window=",".join(map(str, WINDOW)))
+        found.append(g.with_bbox(scan.select("layer", "dept", "cleabs", "geometry"), "geometry").drop("geometry"))
+    return found[0].unionByName(found[1])
+
+
 @query
 def layer_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Layers of containers with their feature counts, over all files."""

@@ -16,12 +16,16 @@ Read options
   geometry         ``struct`` (default), or ``wkb`` for the raw bytes
   altitudes        ``true`` for structs with the heights of the points
   losses           ``true`` for a column ``_losses`` with the values that read as NULL
+  window           ``xmin,ymin,xmax,ymax`` in the layer's coordinates: features whose box touches
+                   it, by the container's spatial index where it has one
+  departments      codes, separated by commas: other containers are not opened
   pushdown         ``true`` to take filters; only together with the session
                    setting ``spark.sql.python.filterPushdown.enabled``
 
 Write options
   layer            name of the layer
   srid             reference system of the file, default 4326
+  spatialIndex     ``true`` to write the spatial index that ``window`` uses
   maxFileBytes     size at which a task starts its next file, default 128 MiB
   declared         declared types other than those of the rows, as in ``seen=DATETIME,n=INTEGER``;
                    the values are written as they are
@@ -72,6 +76,8 @@ from mapstrata.sources import wkb
 
 GEOMETRY_COLUMN = "geometry"
 LOSSES_COLUMN = "_losses"
+#: A department that no container has.
+NO_DEPARTMENT = "-"
 LOSSES_TYPE = T.ArrayType(
     T.StructType([T.StructField(n, T.StringType()) for n in ("column", "reason", "raw")])
 )
@@ -185,6 +191,14 @@ class Layer:
     key: str
     geometry: str | None
     columns: list[tuple[str, str]] = field(default_factory=list)
+    extent: tuple | None = field(default=None, compare=False)
+
+    def meets(self, window: tuple | None) -> bool:
+        """False where the container says that the layer lies outside."""
+        if window is None or not self.extent or None in self.extent:
+            return True
+        low_x, low_y, high_x, high_y = self.extent
+        return low_x <= window[2] and high_x >= window[0] and low_y <= window[3] and high_y >= window[1]
 
 
 def identified_code(definition: str) -> int:
@@ -219,7 +233,25 @@ def _layer(connection: sqlite3.Connection, path: str, name: str) -> Layer:
     key = next((c[1] for c in table if c[5] and c[2].upper() == "INTEGER"), "rowid")
     geometry = shape[0] if shape else None
     columns = [(c[1], c[2]) for c in table if c[1] not in (key, geometry)]
-    return Layer(path, name, shape[1] if shape else None, srid, crs, key, geometry, columns)
+    kind = shape[1] if shape else None
+    return Layer(path, name, kind, srid, crs, key, geometry, columns, _extent(connection, name))
+
+
+def _extent(connection: sqlite3.Connection, name: str) -> tuple | None:
+    """What the container says of the box of a layer."""
+    known = {row[1] for row in connection.execute("PRAGMA table_info(gpkg_contents)")}
+    if not {"min_x", "min_y", "max_x", "max_y"} <= known:
+        return None
+    return connection.execute(
+        "SELECT min_x, min_y, max_x, max_y FROM gpkg_contents WHERE table_name = ?", (name,)
+    ).fetchone()
+
+
+def spatial_index(connection: sqlite3.Connection, layer: Layer) -> str | None:
+    """The name of a layer's spatial index, if it has one."""
+    name = f"rtree_{layer.name}_{layer.geometry}"
+    found = connection.execute("SELECT 1 FROM sqlite_master WHERE name = ?", (name,)).fetchone()
+    return name if layer.geometry and found else None
 
 
 def layer_names(connection: sqlite3.Connection) -> list[str]:
@@ -253,7 +285,9 @@ def open_layer(path: str, name: str) -> Layer | None:
         connection.close()
 
 
-def open_layers(path: str, name: str, departments: Iterable[str] = ()) -> list[Layer]:
+def open_layers(
+    path: str, name: str, departments: Iterable[str] = (), required: bool = True
+) -> list[Layer]:
     """The layer in every container that has it; containers of other
     departments than the named ones are not opened."""
     wanted = set(departments)
@@ -261,7 +295,7 @@ def open_layers(path: str, name: str, departments: Iterable[str] = ()) -> list[L
     with ThreadPoolExecutor(METADATA_THREADS) as pool:
         found = pool.map(lambda container: open_layer(container, name), paths)
         layers = [layer for layer in found if layer is not None]
-    if not layers:
+    if not layers and required:
         raise ValueError(f"no container at {path} has a layer {name}")
     return layers
 
@@ -429,9 +463,13 @@ def _lost(name: str, values: tuple, found: pa.Array, kind: T.DataType) -> Iterat
 
 
 def read_range(
-    part: FeatureRange, schema: T.StructType, batch_size: int, conditions: list[tuple[str, list]]
+    part: FeatureRange,
+    schema: T.StructType,
+    batch_size: int,
+    conditions: list[tuple[str, list]],
+    window: tuple | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of a range, in the columns of ``schema``."""
+    """Arrow batches of a range, in the columns of ``schema``; with ``window``, of features that touch it."""
     connection = _connect(part.path)
     try:
         layer = _layer(connection, part.path, part.layer)
@@ -451,6 +489,13 @@ def read_range(
                 slots.append((f, None, "constant"))
         key = layer.key if layer.key == "rowid" else _name(layer.key)
         where, values = f"{key} >= ? AND {key} < ?", [part.start, part.stop]
+        index = spatial_index(connection, layer) if window else None
+        if index:
+            # Its boxes are rounded outwards, so it finds all that touch the window, and few more.
+            within = f"{key} IN (SELECT id FROM {_name(index)} WHERE maxx >= ? AND minx <= ? AND maxy >= ? AND miny <= ?)"
+            conditions = [*conditions, (within, [window[0], window[2], window[1], window[3]])]
+        if window and layer.geometry:
+            selected.append(_name(layer.geometry))
         for text, arguments in conditions:
             where += f" AND {text}"
             values += arguments
@@ -460,6 +505,10 @@ def read_range(
             values,
         )
         while chunk := rows.fetchmany(batch_size):
+            if window:
+                chunk = [row for row, near in zip(chunk, _near(chunk, layer, window), strict=True) if near]
+                if not chunk:
+                    continue
             columns = list(zip(*chunk))
             arrays: list[pa.Array | None] = []
             losses: dict[int, list[dict]] = {}
@@ -489,6 +538,23 @@ def read_range(
         connection.close()
 
 
+def _near(chunk: list[tuple], layer: Layer, window: tuple) -> np.ndarray:
+    """Which rows, whose last value is the geometry, have a box that touches the window."""
+    if not layer.geometry:
+        return np.zeros(len(chunk), bool)
+    boxes = wkb.boxes(wkb.geometry_array([row[-1] for row in chunk], layer.srid))
+    return (
+        (boxes[:, 0] <= window[2]) & (boxes[:, 2] >= window[0]) & (boxes[:, 1] <= window[3]) & (boxes[:, 3] >= window[1])
+    )
+
+
+def window_of(options: dict[str, str]) -> tuple | None:
+    numbers = tuple(float(n) for n in options.get("window", "").split(",") if n.strip())
+    if numbers and len(numbers) != 4:
+        raise ValueError("a window has four numbers: xmin, ymin, xmax, ymax")
+    return numbers or None
+
+
 def requested(options: dict[str, str]) -> list[str]:
     """The departments a scan is limited to; all when the option is absent."""
     return [code for code in options.get("departments", "").split(",") if code]
@@ -503,13 +569,19 @@ class GpkgReader(DataSourceReader):
         self.features_per_task = int(options.get("featurespertask", FEATURES_PER_TASK))
         self.batch_size = int(options.get("batchsize", BATCH_SIZE))
         self.ranges = options.get("ranges")
+        self.window = window_of(options)
+        self.filtered = False  # whether a filter has chosen the departments
         self.conditions: list[tuple[str, list]] = []
 
     def partitions(self) -> list[InputPartition]:
         if self.ranges is not None:
             known = json.loads(self.ranges)
             return [part for path, cuts, stop in known for part in _between(path, self.layer, cuts, stop)]
-        layers = open_layers(self.path, self.layer, self.departments)
+        layers = [
+            layer
+            for layer in open_layers(self.path, self.layer, self.departments, not self.filtered)
+            if layer.meets(self.window)
+        ]
         with ThreadPoolExecutor(METADATA_THREADS) as pool:
             ranges = pool.map(lambda layer: feature_ranges(layer, self.features_per_task), layers)
             return [part for parts in ranges for part in parts]
@@ -517,7 +589,7 @@ class GpkgReader(DataSourceReader):
     def read(self, partition: FeatureRange | None) -> Iterator[pa.RecordBatch]:
         # Without any range Spark still runs one task, with no partition.
         if partition is not None:
-            yield from read_range(partition, self.schema, self.batch_size, self.conditions)
+            yield from read_range(partition, self.schema, self.batch_size, self.conditions, self.window)
 
 
 class GpkgPushdownReader(GpkgReader):
@@ -546,13 +618,28 @@ class GpkgPushdownReader(GpkgReader):
                 (name, declared) in layer.columns for layer in layers
             ):
                 plain[name] = kind
+        by_path = not any(name.lower() == "dept" for layer in layers for name, _ in layer.columns)
         for item in filters:
+            codes = self._codes(item) if by_path else None
+            if codes is not None:  # the department is the container's
+                kept = [code for code in self.departments or codes if code in codes]
+                self.departments, self.filtered = kept or [NO_DEPARTMENT], True
+                continue
             condition = self._condition(item, plain)
             if condition is None:
                 yield item
             else:
                 self.conditions.append(condition)
 
+    @staticmethod
+    def _codes(item: Filter) -> list | None:
+        """Departments that a filter on ``dept`` asks for."""
+        if getattr(item, "attribute", ()) != ("dept",):
+            return None
+        if isinstance(item, EqualTo):
+            return [item.value]
+        return list(item.value) if isinstance(item, In) else None
+
     def _condition(self, item: Filter, plain: dict[str, T.DataType]) -> tuple[str, list] | None:
         attribute = getattr(item, "attribute", ())
         if len(attribute) != 1 or attribute[0] not in plain:
@@ -584,12 +671,7 @@ def _indexed(connection: sqlite3.Connection, layer: Layer, size: int) -> tuple:
     z = connection.execute(
         "SELECT z FROM gpkg_geometry_columns WHERE table_name = ?", (layer.name,)
     ).fetchone()
-    known = {row[1] for row in connection.execute("PRAGMA table_info(gpkg_contents)")}
-    box = (None,) * 4
-    if {"min_x", "min_y", "max_x", "max_y"} <= known:
-        box = connection.execute(
-            "SELECT min_x, min_y, max_x, max_y FROM gpkg_contents WHERE table_name = ?", (layer.name,)
-        ).fetchone()
+    box = layer.extent or (None,) * 4
     cuts, stop = range_cuts(connection, layer, size)
     return layer.key, layer.geometry, layer.columns, z[0] if z else None, cuts, stop, *box
 
@@ -642,8 +724,11 @@ class WrittenFiles(WriterCommitMessage):
 class _Container:
     """A container being filled in memory."""
 
-    def __init__(self, layer: str, schema: T.StructType, srid: int, declared: dict[str, str]):
-        self.declared = declared
+    def __init__(
+        self, layer: str, schema: T.StructType, srid: int, declared: dict[str, str], indexed: bool
+    ):
+        self.declared, self.indexed = declared, indexed
+        self.extent = np.array([np.inf, np.inf, -np.inf, -np.inf])
         self.layer, self.srid, self.rows = layer, srid, 0
         self.fields = [f for f in schema.fields if f.name != GEOMETRY_COLUMN]
         self.has_geometry = GEOMETRY_COLUMN in schema.names
@@ -694,6 +779,19 @@ class _Container:
                 "INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', ?, 0, 0)",
                 (self.layer, self.srid),
             )
+        if self.has_geometry and self.indexed:
+            self.db.execute(
+                f"CREATE VIRTUAL TABLE {_name(f'rtree_{self.layer}_geom')} USING rtree(id, minx, maxx, miny, maxy)"
+            )
+            self.db.execute(
+                "CREATE TABLE gpkg_extensions (table_name TEXT, column_name TEXT, extension_name TEXT NOT NULL,"
+                " definition TEXT NOT NULL, scope TEXT NOT NULL)"
+            )
+            self.db.execute(
+                "INSERT INTO gpkg_extensions VALUES (?, 'geom', 'gpkg_rtree_index',"
+                " 'http://www.geopackage.org/spec120/#extension_rtree', 'write-only')",
+                (self.layer,),
+            )
 
     def add(self, batch: pa.RecordBatch) -> None:
         names = [f.name for f in self.fields]
@@ -701,6 +799,7 @@ class _Container:
         if self.has_geometry:
             names.append("geom")
             shapes = batch.column(GEOMETRY_COLUMN)
+            self._place(shapes)
             plain = pa.types.is_binary(shapes.type)
             columns.append(
                 wkb.wrapped(shapes.to_pylist(), self.srid) if plain else wkb.gpkg_blobs(shapes, self.srid)
@@ -714,12 +813,34 @@ class _Container:
         )
         self.rows += batch.num_rows
 
+    def _place(self, shapes: pa.Array) -> None:
+        """Take note of where the next shapes are, and put them into the spatial index."""
+        if pa.types.is_binary(shapes.type):
+            shapes = wkb.geometry_array(wkb.wrapped(shapes.to_pylist(), self.srid))
+        boxes = wkb.boxes(shapes)
+        there = boxes[:, 0] <= boxes[:, 2]
+        if not there.any():
+            return
+        low, high = boxes[there, :2].min(axis=0), boxes[there, 2:].max(axis=0)
+        self.extent = np.concatenate([np.minimum(self.extent[:2], low), np.maximum(self.extent[2:], high)])
+        if self.indexed:
+            ids = np.flatnonzero(there) + self.rows + 1
+            x0, y0, x1, y1 = boxes[there].T.tolist()
+            self.db.executemany(
+                f"INSERT INTO {_name(f'rtree_{self.layer}_geom')} VALUES (?, ?, ?, ?, ?)",
+                zip(ids.tolist(), x0, x1, y0, y1, strict=True),
+            )
+
     def size(self) -> int:
         pages = self.db.execute("PRAGMA page_count").fetchone()[0]
         return pages * self.db.execute("PRAGMA page_size").fetchone()[0]
 
     def save(self, path: str) -> None:
         self.db.execute("INSERT INTO gpkg_ogr_contents VALUES (?, ?)", (self.layer, self.rows))
+        if np.isfinite(self.extent).all():
+            self.db.execute(
+                "UPDATE gpkg_contents SET min_x = ?, min_y = ?, max_x = ?, max_y = ?", self.extent.tolist()
+            )
         if self.high:  # heights may be there
             self.db.execute("UPDATE gpkg_geometry_columns SET z = 2")
         self.db.commit()
@@ -761,6 +882,7 @@ class GpkgWriter(DataSourceArrowWriter):
         self.layer = options["layer"]
         self.srid = int(options.get("srid", 4326))
         pairs = [p.split("=", 1) for p in options.get("declared", "").split(",") if p]
+        self.indexed = _on(options, "spatialindex")
         self.declared = {name.strip(): kind.strip() for name, kind in pairs}
         self.max_bytes = int(options.get("maxfilebytes", MAX_FILE_BYTES))
         self.job = uuid.uuid4().hex[:12]
@@ -771,7 +893,7 @@ class GpkgWriter(DataSourceArrowWriter):
         container = None
         for batch in iterator:
             for start in range(0, batch.num_rows, BATCH_SIZE):
-                container = container or _Container(self.layer, self.schema, self.srid, self.declared)
+                container = container or self._container()
                 container.add(batch.slice(start, BATCH_SIZE))
                 if container.size() >= self.max_bytes:
                     files.append(self._save(container))
@@ -780,6 +902,9 @@ class GpkgWriter(DataSourceArrowWriter):
             files.append(self._save(container))
         return WrittenFiles(files)
 
+    def _container(self) -> _Container:
+        return _Container(self.layer, self.schema, self.srid, self.declared, self.indexed)
+
     def _save(self, container: _Container) -> tuple[str, int]:
         os.makedirs(self.staging, exist_ok=True)
         name = f"part-{uuid.uuid4().hex[:16]}.gpkg"
@@ -795,7 +920,7 @@ class GpkgWriter(DataSourceArrowWriter):
         files = [file for message in messages if message for file in message.files]
         if not files:  # an empty layer still has its container
             os.makedirs(self.staging, exist_ok=True)
-            files = [self._save(_Container(self.layer, self.schema, self.srid, self.declared))]
+            files = [self._save(self._container())]
         for name, _ in files:
             os.replace(os.path.join(self.staging, name), os.path.join(self.path, name))
         self._discard()
