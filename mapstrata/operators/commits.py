@@ -19,9 +19,12 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from mapstrata.functions.casts import to_date_or_null, to_timestamp_or_null
+from mapstrata.functions.geometry import has_heights
 from mapstrata.operators.tables import (
     PARTITION_COLUMN,
     PENDING,
@@ -32,6 +35,7 @@ from mapstrata.operators.tables import (
     in_table_order,
     literal,
     quoted,
+    set_data_schema,
 )
 
 logger = logging.getLogger(__name__)
@@ -66,15 +70,83 @@ def is_partitioned(spark: SparkSession, table: str) -> bool:
     return PARTITION_COLUMN in spark.table(quoted(table)).columns
 
 
-def stage(df: DataFrame, table: str, rebalance: bool = False, notes: tuple[str, ...] = ()) -> Staged:
+#: Types of numbers from narrow to wide, and those that read files of a narrower one as they are.
+NUMBERS = (T.IntegerType(), T.LongType(), T.DoubleType())
+READS = {(T.IntegerType(), T.LongType()), (T.IntegerType(), T.DoubleType())}
+DATES = (T.DateType(), T.TimestampType())
+
+
+def wider(held: T.DataType, given: T.DataType) -> T.DataType:
+    """The type of a column that a table holds as one type and a new edition gives as another.
+
+    Numbers take the wider type, a date next to a stamp becomes a stamp, texts next to dates become
+    dates as far as they can be read, and all else becomes text.
+    """
+    if held == given or has_heights(held) or has_heights(given):
+        return held
+    for family in (NUMBERS, DATES):
+        if held in family and given in family:
+            return max(held, given, key=family.index)
+    pair = {held, given} - {T.StringType()}
+    if len(pair) == 1 and pair <= set(DATES):
+        return pair.pop()
+    atomic = isinstance(held, T.AtomicType) and isinstance(given, T.AtomicType)
+    return T.StringType() if atomic else held
+
+
+def widenings(spark: SparkSession, schema: T.StructType, table: str) -> dict[str, T.DataType]:
+    """The columns of a table that take another type with rows of ``schema``."""
+    given = {f.name.lower(): f.dataType for f in schema.fields}
+    found = {}
+    for f in spark.table(quoted(table)).schema.fields:
+        kind = wider(f.dataType, given.get(f.name.lower(), f.dataType))
+        if f.name != PARTITION_COLUMN and kind != f.dataType:
+            found[f.name] = kind
+    return found
+
+
+def _as(value: Column, held: T.DataType, kind: T.DataType) -> Column:
+    if held == T.StringType() and kind in DATES:
+        return (to_date_or_null if kind == T.DateType() else to_timestamp_or_null)(value)
+    return value.cast(kind)
+
+
+def _recast(df: DataFrame, changes: dict[str, T.DataType]) -> DataFrame:
+    kinds = {name.lower(): kind for name, kind in changes.items()}
+    columns = []
+    for f in df.schema.fields:
+        kind = kinds.get(f.name.lower(), f.dataType)
+        value = F.col(f"`{f.name}`")
+        columns.append((value if kind == f.dataType else _as(value, f.dataType, kind)).alias(f.name))
+    return df.select(*columns)
+
+
+def _rewritten(spark: SparkSession, table: str, changes: dict[str, T.DataType], departments: list[str]) -> DataFrame | None:
+    """Rows of the departments that stay, in their new types; None if their files read as these."""
+    held = spark.table(quoted(table))
+    if all((held.schema[name].dataType, kind) in READS for name, kind in changes.items()):
+        return None
+    stays = F.col(PARTITION_COLUMN).isNull() | ~F.col(PARTITION_COLUMN).isin(departments)
+    return _recast(held.filter(stays), changes)
+
+
+def stage(
+    df: DataFrame,
+    table: str,
+    rebalance: bool = False,
+    notes: tuple[str, ...] = (),
+    changes: dict[str, T.DataType] | None = None,
+) -> Staged:
     """Write rows beside the table, in its columns, adding those it lacks.
 
+    ``changes`` are columns that have another type in the files than the table has now.
+
     ``notes`` are columns for the files only: the table does not know them and its readers skip
     them, but ``staged_notes`` reads them from the same files.
     """
     spark = df.sparkSession
     add_missing_columns(df.drop(*notes), table)
-    rows = in_table_order(df, table, notes)
+    rows = in_table_order(df, table, notes, changes)
     run = uuid.uuid4().hex[:12]
     staged = Staged(run, f"{_root(spark, table)}/{RUN}{run}")
     dept = F.col(PARTITION_COLUMN)
@@ -102,7 +174,13 @@ def staged_notes(spark: SparkSession, staged: Staged, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(staged.folder)
 
 
-def announce(spark: SparkSession, table: str, staged: Staged, emptied: list[str]) -> None:
+def announce(
+    spark: SparkSession,
+    table: str,
+    staged: Staged,
+    emptied: list[str],
+    changes: dict[str, T.DataType] | None = None,
+) -> None:
     """The commit: from here on the staged rows are the table's."""
     if not is_partitioned(spark, table):
         spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {literal(staged.folder)}")
@@ -110,6 +188,8 @@ def announce(spark: SparkSession, table: str, staged: Staged, emptied: list[str]
     entry = {
         "at": time.time(), "folder": staged.folder, "put": sorted(staged.rows_by_dept), "drop": sorted(emptied)
     }
+    if changes:
+        entry["types"] = {name: kind.simpleString() for name, kind in changes.items()}
     text = literal(json.dumps(entry))
     spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({literal(PENDING + staged.run)} = {text})")
 
@@ -128,6 +208,11 @@ def _partition(dept: str) -> str:
 def carry_out(spark: SparkSession, table: str, run: str, entry: dict) -> None:
     """Point partitions at a commit's folders, drop the emptied ones, forget the commit."""
     name = quoted(table)
+    if entry.get("types"):
+        kinds = {n: T._parse_datatype_string(k) for n, k in entry["types"].items()}
+        fields = spark.table(name).schema.fields
+        fields = [T.StructField(f.name, kinds.get(f.name, f.dataType), f.nullable, f.metadata) for f in fields]
+        set_data_schema(spark, table, T.StructType(fields))
     held = held_departments(spark, table)
     places = {dept: f"{entry['folder']}/{PARTITION_COLUMN}={dept}" for dept in entry["put"]}
     for dept in entry["put"]:
@@ -172,10 +257,16 @@ def _delete(spark: SparkSession, folders: set[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def publish(spark: SparkSession, table: str, staged: Staged, emptied: list[str] = ()) -> None:
+def publish(
+    spark: SparkSession,
+    table: str,
+    staged: Staged,
+    emptied: list[str] = (),
+    changes: dict[str, T.DataType] | None = None,
+) -> None:
     """Commit staged rows and carry the commit out; then delete the files they replaced."""
     before = _places(spark, table)
-    announce(spark, table, staged, list(emptied))
+    announce(spark, table, staged, list(emptied), changes)
     recover(spark, table)
     spark.catalog.refreshTable(quoted(table))
     after, root = {_plain(p) for p in _places(spark, table)}, _plain(_root(spark, table))
@@ -225,18 +316,30 @@ def replace_departments(
     and merging small ones; a scan whose tasks each hold one department does
     not need it.  ``notes`` are columns for ``on_staged``, which is called with the
     staged rows before their commit.
+
+    A column that comes with a wider type than the table has (see ``wider``) changes the
+    table's: the same commit switches to it, together with the departments that stay, rewritten
+    where their files do not read as the new type.  In the moment between that
+    and the first of its partitions a reader may fail, and reads all again.
     """
     spark = df.sparkSession
     recover(spark, table)
     departments = list(dict.fromkeys(departments))
-    staged = stage(df, table, rebalance, notes)
+    changes = widenings(spark, df.schema, table)
+    if changes:
+        df = _recast(df, changes)
+        old = _rewritten(spark, table, changes, departments)
+        if old is not None:
+            df, rebalance = df.unionByName(old, allowMissingColumns=True), True
+    staged = stage(df, table, rebalance, notes, changes)
     if on_staged is not None and staged.rows:
         on_staged(staged)
     held = held_departments(spark, table)
     emptied = [d for d in departments if d in held and d not in staged.rows_by_dept]
-    publish(spark, table, staged, emptied)
-    counts = dict.fromkeys(departments, 0) | staged.rows_by_dept
-    return Replaced(staged.rows, counts)
+    publish(spark, table, staged, emptied, changes)
+    mine = set(departments) if changes else {*departments, *staged.rows_by_dept}
+    counts = dict.fromkeys(departments, 0) | {d: n for d, n in staged.rows_by_dept.items() if d in mine}
+    return Replaced(sum(counts.values()), counts)
 
 
 def replace_all(df: DataFrame, table: str, rebalance: bool = False) -> int:

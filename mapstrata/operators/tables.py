@@ -199,8 +199,16 @@ def add_missing_columns(df: DataFrame, table: str) -> list[str]:
     return [f.name for f in new]
 
 
-def in_table_order(df: DataFrame, table: str, more: Iterable[str] = ()) -> DataFrame:
-    """The table's columns in its order, NULL for those ``df`` lacks; then ``more``."""
+def in_table_order(
+    df: DataFrame,
+    table: str,
+    more: Iterable[str] = (),
+    changes: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
+    """The table's columns in its order, NULL for those ``df`` lacks; then ``more``.
+
+    ``changes`` are types to use instead of the table's.
+    """
     have = {name.lower(): name for name in df.columns}
     columns: list[Column] = []
     for f in df.sparkSession.table(quoted(table)).schema.fields:
@@ -208,7 +216,8 @@ def in_table_order(df: DataFrame, table: str, more: Iterable[str] = ()) -> DataF
         value = F.col(f"`{source}`") if source else F.lit(None)
         if source and has_heights(f.dataType) != has_heights(df.schema[source].dataType):
             value = st_force_3d(value) if has_heights(f.dataType) else st_force_2d(value)
-        columns.append(value.cast(f.dataType).alias(f.name))
+        kind = (changes or {}).get(f.name, f.dataType)
+        columns.append(value.cast(kind).alias(f.name))
     return df.select(*columns, *more)
 
 

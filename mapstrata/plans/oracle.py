@@ -350,6 +350,12 @@ def oracle_sql() -> dict[str, str]:
       SELECT dept, nature, count(*) AS n, sum(largeur) AS largeur FROM (
         SELECT dept, NULL AS nature, largeur FROM lines
         UNION ALL SELECT dept, nature, largeur FROM lines) GROUP BY dept, nature"""
+    sql["schema_widen"] = """
+      SELECT 'D' || lpad((l_suppkey % 96 + 1)::VARCHAR, 3, '0') AS dept, sum(l_partkey)::BIGINT AS rang,
+        sum(l_orderkey + CASE WHEN l_suppkey % 96 = 2 THEN 0.5e0 ELSE 0e0 END) AS ordre,
+        strftime(max(l_shipdate::DATE + CASE WHEN l_suppkey % 96 = 2 THEN 1 ELSE 0 END), '%Y-%m-%d') AS latest,
+        'bigint,double,date' AS types
+      FROM lineitem GROUP BY ALL"""
     sql["reload_recovered"] = _with(LINES) + """
       SELECT dept, nature, count(*) AS n, sum(largeur + CASE WHEN dept IN ('D003', 'D006') THEN 100 ELSE 0 END) AS largeur
       FROM lines WHERE dept <> 'D004' AND (dept <> 'D003' OR nature = 'A') GROUP BY dept, nature"""

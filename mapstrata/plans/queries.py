@@ -397,6 +397,29 @@ def reload_recovered(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def schema_widen(spark: SparkSession, folder: str) -> DataFrame:
+    """An edition gives whole numbers as doubles and texts as dates, for department 3 alone."""
+    schema = new_schema(spark, "widen")
+    name = tables.full_table_name("", schema, TABLE_PREFIX, features.LINE_LAYER)
+    lines = features.line_attributes(spark, folder)
+    old = lines.select("cleabs", "dept", F.col("part").cast("int").alias("rang"), F.col("ordre"), "date_creation")
+    tables.ensure_table(spark, name, old.schema, features.LINE_LAYER)
+    tables.append(old.hint("rebalance", F.col("dept")), name)
+    new = old.filter("dept = 'D003'").select(
+        "cleabs", "dept", F.col("rang").cast("long"), (F.col("ordre") + 0.5).alias("ordre"),
+        F.date_add(to_date_or_null("date_creation"), 1).alias("date_creation"),
+    )
+    commits.replace_departments(new, name, ["D003"], rebalance=True)
+    stored = spark.table(name)
+    return stored.groupBy("dept").agg(
+        F.sum("rang").alias("rang"),
+        F.sum("ordre").alias("ordre"),
+        F.date_format(F.max("date_creation"), "yyyy-MM-dd").alias("latest"),
+        F.concat_ws(",", *[F.max(F.typeof(c)) for c in ("rang", "ordre", "date_creation")]).alias("types"),
+    )
+
+
 @query
 def table_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptions a twin takes over from its table, with the values of each

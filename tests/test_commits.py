@@ -155,3 +155,42 @@ def test_rows_without_key_may_stay(spark, table):
             dedup.BROADCAST_BYTES = before
         assert (kept.before, kept.after, one.after) == (8, 8, 6)
         assert spark.table(table + "_a").count() == 8 and spark.table(table + "_b").count() == 6
+
+
+def test_types_grow_wider(spark, table):
+    new = spark.createDataFrame([("D001-9", 2**40, "D001")], "cleabs string, v long, dept string")
+    root = commits.table_location(spark, table)
+    done = commits.replace_departments(new, table, ["D001"])
+    assert (done.rows, done.rows_by_dept) == (1, {"D001": 1})
+    assert dict(spark.table(table).dtypes)["v"] == "bigint"
+    assert held(spark, table) == OLD | {"D001": [2**40]}
+    # Whole numbers of four bytes read as eight, so no other department was rewritten.
+    assert os.path.exists(f"{root.removeprefix('file:')}/dept=D002")
+    half = new.withColumn("v", F.lit(0.5)).withColumn("dept", F.lit("D002"))
+    done = commits.replace_departments(half, table, ["D002", "D003"])
+    assert done.rows_by_dept == {"D002": 1, "D003": 0} and done.rows == 1
+    assert held(spark, table) == {"D001": [float(2**40)], "D002": [0.5]}
+
+
+def test_texts_become_dates(spark, database):
+    name = f"{database}.t_dates"
+    first = spark.createDataFrame([("a", "2020-01-02", "D001"), ("b", "soon", "D002")], "cleabs string, d string, dept string")
+    tables.append(first, name)
+    dated = first.filter("dept = 'D001'").selectExpr("cleabs", "DATE'2021-05-06' AS d", "dept")
+    commits.replace_departments(dated, name, ["D001"])
+    assert dict(spark.table(name).dtypes)["d"] == "date"
+    assert sorted((r.dept, str(r.d)) for r in spark.table(name).collect()) == [("D001", "2021-05-06"), ("D002", "None")]
+    commits.replace_departments(first.filter("dept = 'D001'"), name, ["D001"])  # texts are read as dates
+    assert [str(r.d) for r in spark.table(name).filter("dept = 'D001'").collect()] == ["2020-01-02"]
+
+
+def test_killed_while_types_change(spark, table, monkeypatch):
+    new = spark.createDataFrame([("D001-9", 1.5, "D001")], "cleabs string, v double, dept string")
+    tables.append(rows(spark, {"D006": [2**30]}), table)
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "carry_out", lambda *a: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            commits.replace_departments(new.withColumn("v", F.lit("x")), table, ["D001"])
+    assert held(spark, table) == OLD | {"D006": [2**30]}
+    assert commits.recover(spark, table) and dict(spark.table(table).dtypes)["v"] == "string"
+    assert held(spark, table) == {"D001": ["x"], "D002": ["3"], "D003": ["4", "5"], "D006": [str(2**30)]}
