@@ -338,6 +338,12 @@ def oracle_sql() -> dict[str, str]:
         '{ARCHIVE_HOST}/' || {base} || '/' || {base} || '.md5' AS checksum_url
       FROM coded"""
     sql["checksum_verify"] = _with(LANDED) + "SELECT doc_id, md5, status FROM verified"
+    sql["landed_checksums"] = """
+      WITH lines AS (SELECT source, doc_id, md5(coalesce(text, '')) AS line FROM documents), files AS (
+        SELECT source, k AS "round", string_agg(CASE WHEN k = 3 AND source = 'src3' THEN reverse(line) ELSE line END || chr(10), ''
+          ORDER BY doc_id) AS content FROM lines, (VALUES (1), (2), (3)) r(k) GROUP BY ALL)
+      SELECT source, strlen(content)::BIGINT AS length, md5(content) AS md5,
+        CASE WHEN "round" = 1 OR "round" = 3 AND source = 'src3' THEN 1 ELSE 0 END AS hashed, "round" FROM files"""
     sql["stale_sources"] = _with(LANDED) + (
         "SELECT doc_id, expected_md5 FROM verified v WHERE NOT EXISTS ("
         "SELECT 1 FROM verified g WHERE g.doc_id = v.doc_id AND g.status IN ('ok', 'no_checksum'))"

@@ -34,7 +34,7 @@ from mapstrata.settings import (
     LoadSettings,
     shared_folder,
 )
-from mapstrata.sources import gpkg, manifest, register
+from mapstrata.sources import gpkg, ledger, manifest, register
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -325,6 +325,32 @@ def stale_sources(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.to_fetch(expected, actual, ["doc_id"])
 
 
+@query
+def landed_checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of the documents of each source are hashed when they land and not again; those of
+    one source change and are."""
+    path, schema = shared_folder(spark, "landed"), new_schema(spark, "ledger")
+    docs = features.table(spark, folder, "documents")
+    lines = docs.select("source", "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("line"))
+
+    def land(rows: DataFrame, mode: str) -> None:
+        placed = rows.repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id")
+        with tables.dynamic_overwrite(spark):
+            placed.write.mode(mode).partitionBy("source").text(path)
+
+    def hashed() -> DataFrame:
+        found = ledger.checksums(spark, path, f"{schema}.ledger", "*.txt")
+        source = F.regexp_extract("path", "source=([^/]+)/", 1)
+        return found.select(source.alias("source"), "length", "md5", F.col("hashed").cast("int").alias("hashed"))
+
+    land(lines, "append")
+    for turn in (1, 2, 3):
+        if turn == 3:
+            land(lines.filter("source = 'src3'").withColumn("line", F.reverse("line")), "overwrite")
+        hashed().withColumn("round", F.lit(turn)).write.mode("append").saveAsTable(f"{schema}.rounds")
+    return spark.table(f"{schema}.rounds")
+
+
 # -- tables ----------------------------------------------------------------
 
 
