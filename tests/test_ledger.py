@@ -4,7 +4,6 @@ import hashlib
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from mapstrata.sources import ledger, manifest
 
@@ -27,13 +26,16 @@ def md5(text):
     return hashlib.md5(text.encode()).hexdigest()
 
 
-def test_files_are_hashed_once(spark, folder, database, monkeypatch):
+def test_files_are_hashed_once(spark, folder, database):
     first = {"a.gpkg": (3, md5("one"), True), "b.gpkg": (3, md5("two"), True)}
     assert found(spark, folder, database) == first
     again = {name: (n, digest, False) for name, (n, digest, _) in first.items()}
-    # The second time no content is read: unreadable files make no difference.
-    monkeypatch.setattr(ledger, "file_checksums", lambda files: manifest.file_checksums(files.filter(F.raise_error(F.lit("hashed")).isNull())))
+    entered = spark.table(f"{database}.ledger").count()
+    files = ledger.landed(spark, str(folder))
+    assert ledger.unknown(files, ledger.entries(spark, f"{database}.ledger")).count() == 0
     assert found(spark, folder, database) == again
+    spark.catalog.refreshTable(f"{database}.ledger")
+    assert spark.table(f"{database}.ledger").count() == entered == 2
 
 
 def test_changed_and_new_files(spark, folder, database):
