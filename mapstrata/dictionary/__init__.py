@@ -3,8 +3,9 @@
 Three data files lie beside this module (fixed values, in plain text):
 ``layers.csv`` names the layers with their theme and own columns,
 ``themes.csv`` the columns shared by all layers and by each theme, and
-``columns.csv`` the English texts, some of them for one layer only.  French
-texts follow from the column and layer names, which are French already.
+``columns.csv`` the texts of columns in both languages, some of them for one layer only.  French
+titles of layers follow from the layer names, which are French already, and so
+does the text of a column that has none.
 Pass other files of the same form to describe another edition.
 """
 
@@ -44,15 +45,15 @@ def french(name: str) -> str:
 def entries(folder: Path = FOLDER) -> tuple[tuple[str, str, str, str], ...]:
     """``(layer, column, lang, text)``; a column of a layer comes once per language."""
     themes = {r["theme"]: r["columns"].split() for r in _rows("themes.csv", folder)}
-    english = {(r["layer"], r["column"]): r["en"] for r in _rows("columns.csv", folder)}
+    texts = {(r["layer"], r["column"]): r for r in _rows("columns.csv", folder)}
     out = []
     for row in _rows("layers.csv", folder):
         layer = row["layer"]
         names = themes[COMMON] + themes[row["theme"]] + row["columns"].split()
         for column in dict.fromkeys(names):
-            text = english.get((layer, column), english.get(("", column), ""))
-            out.append((layer, column, "en", text))
-            out.append((layer, column, "fr", french(column)))
+            known = texts.get((layer, column), texts.get(("", column), {}))
+            out.append((layer, column, "en", known.get("en") or ""))
+            out.append((layer, column, "fr", known.get("fr") or french(column)))
     return tuple(out)
 
 
@@ -86,8 +87,8 @@ def column_descriptions(layer: str, lang: str = "en") -> dict[str, str]:
 def extent_descriptions(lang: str = "en") -> dict[str, str]:
     """Texts of the extent columns, which tables hold beside the source's."""
     names = next(r["columns"] for r in _rows("themes.csv", FOLDER) if r["theme"] == EXTENT)
-    english = {r["column"]: r["en"] for r in _rows("columns.csv", FOLDER) if not r["layer"]}
-    return {n: french(n) if lang == "fr" else english[n] for n in names.split()}
+    texts = {r["column"]: r for r in _rows("columns.csv", FOLDER) if not r["layer"]}
+    return {n: texts[n]["fr" if lang == "fr" else "en"] for n in names.split()}
 
 
 def table_description(layer: str, version: str, version_date: str = "", lang: str = "en") -> str:

@@ -214,14 +214,18 @@ def _functions(source: str, table: str, bad: str) -> str:
 
 
 def _dictionary() -> str:
-    rows = {}
-    for layer, column, lang, text in dictionary.entries():
-        rows.setdefault((layer, column), {})[lang] = text
-    values = ", ".join(
-        f"({_quoted(a)}, {_quoted(c)}, {_quoted(t['en'])}, {_quoted(t['fr'])})"
-        for (a, c), t in rows.items()
-    )
-    return f"dictionary(layer, col, en, fr) AS (VALUES {values})"
+    """The columns of each layer with their texts, from the data files."""
+
+    def file(name: str) -> str:
+        return f"read_csv('{dictionary.FOLDER}/{name}.csv', header = true, all_varchar = true)"
+
+    return f"""
+dictionary AS (
+  SELECT DISTINCT l.layer, c.col, coalesce(own.en, shared.en, '') AS en, coalesce(own.fr, shared.fr) AS fr
+  FROM {file("layers")} l JOIN {file("themes")} t ON t.theme = l.theme JOIN {file("themes")} k ON k.theme = 'common',
+    unnest(string_split_regex(trim(coalesce(k.columns, '') || ' ' || coalesce(t.columns, '') || ' ' || coalesce(l.columns, '')), ' +')) c(col)
+  LEFT JOIN {file("columns")} own ON own.layer = l.layer AND own."column" = c.col
+  LEFT JOIN {file("columns")} shared ON shared.layer IS NULL AND shared."column" = c.col)"""
 
 
 def _titles() -> str:

@@ -417,3 +417,16 @@ def test_one_partition_per_range(spark):
     spread = layers.spread_ranges(layers.batch_ranges(counts, "n", 5).select("idx"), 20)
     filled = spread.select(F.spark_partition_id().alias("p")).distinct().count()
     assert filled == 20
+
+
+def test_every_column_has_its_own_text_in_both_languages():
+    from mapstrata import dictionary
+
+    texts = {}
+    for layer, column, lang, text in dictionary.entries():
+        texts.setdefault((layer, column), {})[lang] = text
+    assert len(texts) > 500 and all(t["en"] and t["fr"] for t in texts.values())
+    assert texts["batiment", "hauteur"]["fr"] == "Hauteur du sol à la gouttière en mètres"
+    assert texts["troncon_de_voie_ferree", "nombre_de_voies"]["fr"] == "Combien de voies ferrées"
+    assert dictionary.extent_descriptions("fr")["xmin"] == "Plus petite longitude de la géométrie"
+    assert dictionary.french("date_d_essai") == "Date d'essai"
