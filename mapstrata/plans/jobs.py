@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
@@ -44,6 +45,9 @@ METRICS_SCHEMA = (
 )
 
 
+_losses_turn = threading.Lock()
+
+
 @dataclass
 class LoadReport:
     run: str
@@ -218,12 +222,11 @@ def record_losses(
     )
     told = {"run": F.lit(run), "layer": F.lit(layer)}
     found = found.withColumns(told).select("run", "layer", "dept", "key", "column", "reason", "raw")
-    found.coalesce(max(1, min(found.rdd.getNumPartitions(), 32))).write.insertInto(tables.quoted(rejects))
-    counts = (
-        spark.table(tables.quoted(rejects)).filter((F.col("run") == run) & (F.col("layer") == layer))
-        .groupBy("run", "layer", "dept", "column", "reason").agg(F.count("*").alias("rows"))
-    )
-    counts.coalesce(1).write.insertInto(tables.quoted(losses))
+    counts = found.groupBy("run", "layer", "dept", "column", "reason").agg(F.count("*").alias("rows"))
+    # Appends to one table share a temporary folder, so layers take turns.
+    with _losses_turn:
+        found.write.insertInto(tables.quoted(rejects))
+        counts.coalesce(1).write.insertInto(tables.quoted(losses))
 
 
 def record_metrics(spark: SparkSession, settings: LoadSettings, report: LoadReport) -> None:

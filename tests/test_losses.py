@@ -79,3 +79,16 @@ def test_losses_may_be_left_out(spark, folder, database):
     jobs.load(spark, folder, LoadSettings(database, layers=["batiment"], losses=False))
     names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()}
     assert names == {"ign_bdtopo_batiment", "load_metrics"}
+
+
+def test_layers_record_losses_at_the_same_time(spark, tmp_path, database):
+    register(spark)
+    rows = spark.createDataFrame([(a, b) for a, b, _, _ in ROWS], "cleabs string, date_creation string").coalesce(1)
+    layers = [f"couche_{k}" for k in range(6)]
+    for layer in layers:
+        writer = rows.write.format("gpkg").mode("append").option("layer", layer).option("srid", 0)
+        writer.option("declared", "date_creation=DATETIME").save(str(tmp_path / "in" / "D001"))
+    jobs.load(spark, str(tmp_path / "in"), LoadSettings(database, concurrent_layers=6))
+    counts = spark.table(f"{database}.load_losses").groupBy("layer").agg(F.sum("rows").alias("n")).collect()
+    assert {r.layer: r.n for r in counts} == dict.fromkeys(layers, 4)
+    assert spark.table(f"{database}.load_rejects").count() == 24
