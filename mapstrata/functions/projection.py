@@ -195,17 +195,20 @@ def check_pair(source_srid: int, target_srid: int) -> None:
 
 
 @built_once
-def st_transform(geom: Column | str, target_srid: int = WGS_84, z: bool = False) -> Column:
+def st_transform(
+    geom: Column | str, target_srid: int = WGS_84, z: bool = False, zones: bool = True
+) -> Column:
     """Reproject by the SRID each geometry carries.
 
     Unknown (0) and equal SRIDs pass through; any other pair fails the query.
     With ``z``, the struct has heights, which stay as they are: both systems
-    measure them from one ellipsoid.
+    measure them from one ellipsoid.  Without ``zones``, transverse Mercator systems
+    fail too; the expression is shorter then.
     """
-    return _let(_col(geom), lambda value: _transformed(value, target_srid, z))
+    return _let(_col(geom), lambda value: _transformed(value, target_srid, z, zones))
 
 
-def _transformed(geom: Column, target_srid: int, z: bool) -> Column:
+def _transformed(geom: Column, target_srid: int, z: bool, zones: bool) -> Column:
     source = F.coalesce(geom["srid"], F.lit(0))
     keep = geom.isNull() | source.isin(0, target_srid)
     message = F.concat(
@@ -223,6 +226,8 @@ def _transformed(geom: Column, target_srid: int, z: bool) -> Column:
         ).alias("parts"),
         *([geom["heights"].alias("heights")] if z else []),
     )
+    if not zones:
+        return F.when(keep, geom).when(source == LAMBERT_93, projected).otherwise(failed)
     zone = F.struct(*[c.alias(n) for c, n in zip(_zone(source), ("meridian", "northing"), strict=True)])
 
     def from_zone(z_: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from mapstrata.functions.casts import Cast, has_bad_seconds, ingestion_schema
 from mapstrata.functions.geometry import BBOX_COLUMNS, GEOMETRY_Z_TYPE, has_heights, st_geom_from_wkt, with_bbox
-from mapstrata.functions.projection import check_pair, st_transform
+from mapstrata.functions.projection import check_pair, st_transform, utm_zones
 from mapstrata.functions.reuse import built_once
 from mapstrata.settings import TARGET_SRID
 
@@ -28,21 +28,26 @@ def geometry_column(
     source_srid: int = 0,
     target_srid: int = TARGET_SRID,
     altitudes: bool = False,
+    zones: bool = True,
 ) -> Column:
     """The table geometry from WKT text or from a geometry struct.
 
-    A struct keeps the heights it has; ``altitudes`` asks for those of texts.
+    A struct keeps the heights it has; ``altitudes`` asks for those of texts.  ``zones`` is
+    False where no geometry is in a transverse Mercator system.
     """
     check_pair(source_srid, target_srid)
     kind = schema[GEOMETRY_COLUMN].dataType
     as_text = isinstance(kind, T.StringType)
-    return _projected(as_text, source_srid, target_srid, altitudes if as_text else has_heights(kind))
+    high = altitudes if as_text else has_heights(kind)
+    if as_text:
+        zones = source_srid in utm_zones()
+    return _projected(as_text, source_srid, target_srid, high, zones)
 
 
 @built_once
-def _projected(as_text: bool, source_srid: int, target_srid: int, z: bool) -> Column:
+def _projected(as_text: bool, source_srid: int, target_srid: int, z: bool, zones: bool) -> Column:
     parsed = st_geom_from_wkt(GEOMETRY_COLUMN, source_srid, z) if as_text else GEOMETRY_COLUMN
-    return st_transform(parsed, target_srid, z)
+    return st_transform(parsed, target_srid, z, zones)
 
 
 def select_columns(
@@ -51,6 +56,7 @@ def select_columns(
     source_srid: int = 0,
     target_srid: int = TARGET_SRID,
     altitudes: bool = False,
+    zones: bool = True,
 ) -> list[Column]:
     """One output column per input column: geometry, casts, the rest as is.
 
@@ -61,7 +67,7 @@ def select_columns(
     columns = []
     for field in schema.fields:
         if field.name == GEOMETRY_COLUMN:
-            column = geometry_column(schema, source_srid, target_srid, altitudes)
+            column = geometry_column(schema, source_srid, target_srid, altitudes, zones)
         elif field.name in casts:
             column = casts[field.name](F.col(f"`{field.name}`"))
         else:
@@ -77,11 +83,12 @@ def ingest(
     target_srid: int = TARGET_SRID,
     extent: bool = True,
     altitudes: bool = False,
+    zones: bool = True,
 ) -> DataFrame:
     """Typed rows of a layer.
 
     ``altitudes`` keeps the heights of geometries that come as text; those of structs are
-    kept anyway.
+    kept anyway.  ``zones`` is False where no geometry is in a transverse Mercator system.
 
     ``schema`` is the schema at rest; its date and timestamp columns are cast
     from text.  Without it columns keep the types they have.  A frame with no
@@ -94,7 +101,7 @@ def ingest(
     has_geometry = GEOMETRY_COLUMN in df.columns
     if not casts and not has_geometry:
         return df
-    out = df.select(*select_columns(df.schema, casts, source_srid, target_srid, altitudes))
+    out = df.select(*select_columns(df.schema, casts, source_srid, target_srid, altitudes, zones))
     return with_bbox(out, GEOMETRY_COLUMN) if has_geometry and extent else out
 
 

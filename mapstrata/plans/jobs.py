@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from mapstrata.functions.casts import ingestion_schema
 from mapstrata.functions.geometry import GEOMETRY_TYPE, GEOMETRY_Z_TYPE
+from mapstrata.functions.projection import utm_zones
 from mapstrata.functions.codes import department_code, requested_departments
 from mapstrata.operators import dedup as dedup_operators
 from mapstrata.operators import commits, tables
@@ -192,10 +193,11 @@ def load_layer(
     if holders.by_row:
         rows = rows.filter(F.col("dept").isin(sorted(wanted)))
     # Geometries carry their own reference system out of the scan.
+    zones = any(container.srid in utm_zones() for container in found)
     if not settings.losses:
-        typed = ingest(rows, schema, 0, settings.target_srid)
+        typed = ingest(rows, schema, 0, settings.target_srid, zones=zones)
         return tables.replace_departments(typed, name, departments)
-    typed = ingest(with_losses(rows, schema), schema, 0, settings.target_srid)
+    typed = ingest(with_losses(rows, schema), schema, 0, settings.target_srid, zones=zones)
 
     def keep_losses(staged: commits.Staged) -> None:
         key = FEATURE_KEY if FEATURE_KEY in schema.names else None
