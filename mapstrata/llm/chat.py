@@ -57,24 +57,33 @@ def unescape(value: Column, escapes) -> Column:
     return value
 
 
-def _end_state(roles: Column, start: str, template: Template) -> Column:
-    """The state after ``roles``, from ``start``; WRONG once a role is out of order."""
+def _read(roles: Column, start: str, template: Template) -> Column:
+    """(state, good) after ``roles``, from ``start``: the state is WRONG once a role is
+    out of order, and ``good`` counts the turns before that one."""
     allowed = F.array(*[F.lit(f"{s}>{r}") for s, follow in template.states.items() for r in follow])
-    return F.aggregate(
-        roles,
-        F.lit(start),
-        lambda state, role: F.when(
-            F.array_contains(allowed, F.concat(state, F.lit(">"), role)), role
-        ).otherwise(F.lit(WRONG)),
-    )
+
+    def step(at: Column, role: Column) -> Column:
+        fits = F.array_contains(allowed, F.concat(at["state"], F.lit(">"), role))
+        return F.struct(
+            F.when(fits, role).otherwise(F.lit(WRONG)).alias("state"),
+            (at["good"] + fits.cast("long")).alias("good"),
+        )
+
+    return F.aggregate(roles, _at(F.lit(start), F.lit(0)), step)
+
+
+def _at(state: Column, good: Column) -> Column:
+    return F.struct(state.alias("state"), good.cast("long").alias("good"))
 
 
 def format_chats(
     turns: DataFrame, template: Template | None = None, id_col="conv_id", block_turns=BLOCK_TURNS
 ) -> DataFrame:
-    """One row per conversation: ``id_col``, n_turns, valid, segments, formatted.
+    """One row per conversation: ``id_col``, n_turns, valid, first_fault, segments, formatted.
 
     segments is an array of (text, loss); formatted is their concatenation.
+    first_fault is the place (from 0) of the first turn whose role may not follow
+    the turns before it, NULL in a valid conversation.
     Turns are ordered by turn, then role, then text, so ties and repeated rows
     give one result.  Null text is the empty text; a null role is the empty role,
     which makes the conversation invalid; null turns come first; rows without a
@@ -115,29 +124,33 @@ def format_chats(
             F.struct(
                 "block",
                 F.size("said").cast("long").alias("n"),
-                F.array(*[_end_state(F.col("said.role"), s, t) for s in states]).alias("ends"),
+                F.array(*[_read(F.col("said.role"), s, t) for s in states]).alias("ends"),
                 F.flatten(F.transform("said", segments)).alias("segments"),
             ).alias("part"),
         )
     )
     names = F.array(*[F.lit(s) for s in states])
-    state = F.aggregate(
-        F.col("parts.ends"),
-        F.lit(""),
-        lambda s, ends: F.coalesce(
-            F.try_element_at(ends, F.nullif(F.array_position(names, s), F.lit(0)).cast("int")),
-            F.lit(WRONG),
-        ),
-    )
+
+    def follow(at: Column, ends: Column) -> Column:
+        end = F.try_element_at(ends, F.nullif(F.array_position(names, at["state"]), F.lit(0)).cast("int"))
+        return F.when(end.isNull(), at).otherwise(_at(end["state"], at["good"] + end["good"]))
+
+    read = F.aggregate(F.col("parts.ends"), _at(F.lit(""), F.lit(0)), follow)
     return (
         blocks.groupBy("conv")
         .agg(F.sort_array(F.collect_list("part")).alias("parts"))
         .select(
             F.col("conv").alias(id_col),
             F.aggregate(F.col("parts.n"), F.lit(0).cast("long"), lambda a, n: a + n).alias("n_turns"),
-            (state != F.lit(WRONG)).alias("valid"),
+            read.alias("read"),
             F.flatten("parts.segments").alias("segments"),
         )
+        .select(
+            id_col, "n_turns",
+            (F.col("read.state") != F.lit(WRONG)).alias("valid"),
+            F.when(F.col("read.state") == F.lit(WRONG), F.col("read.good")).alias("first_fault"),
+            "segments",
+        )
         .withColumn("formatted", F.array_join(F.col("segments.text"), ""))
     )
 

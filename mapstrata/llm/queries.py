@@ -127,6 +127,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         chat.read_turns(F.col("formatted")).alias("turns"),
         chat.loss_text(F.col("segments")).alias("loss"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "first_fault",
     )
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
@@ -136,6 +138,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
+        "valid",
+        "first_fault",
     )
 
 
@@ -150,10 +154,18 @@ WITH turns AS (
     sum(15 + length(role) + length(role) - length(replace(replace(replace(role, '\', ''), '<', ''), chr(10), ''))
       + length(text) + length(text) - length(replace(replace(text, '\', ''), '<', ''))) AS formatted_chars
   FROM turns GROUP BY conv_id
+), placed AS (
+  SELECT conv_id, role, row_number() OVER spoken - 1 AS place, lag(role, 1, '') OVER spoken AS before FROM turns
+  WINDOW spoken AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), faults AS (
+  SELECT conv_id, min(place) FILTER (before || '>' || role NOT IN
+    ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user')) AS first_fault
+  FROM placed GROUP BY conv_id
 )
-SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
-  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
-FROM said
+SELECT said.conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
+  first_fault IS NULL AS valid, CAST(first_fault AS BIGINT) AS first_fault
+FROM said JOIN faults ON said.conv_id IS NOT DISTINCT FROM faults.conv_id
 """
 
 

@@ -48,7 +48,15 @@ def test_chat_round_trip(spark, text):
 ])
 def test_chat_states(spark, roles, valid):
     r = chats(spark, [(7, i, role, "t") for i, role in enumerate(roles)])[7]
-    assert (r.valid, r.n_turns) == (valid, len(roles))
+    assert (r.valid, r.n_turns, r.first_fault is None) == (valid, len(roles), valid)
+
+
+@pytest.mark.parametrize("roles, place", [
+    (["user", "user"], 1), (["assistant"], 0), (["user", "assistant"] * 3 + ["system", "user"], 6), (["user", None], 1),
+    (["system", "user", "assistant", "user", "user", "assistant"], 4), (["!", "user"], 0), (["user", "assistant"] * 4, None),
+])
+def test_chat_first_fault(spark, roles, place):
+    assert chats(spark, [(7, i, role, "t") for i, role in enumerate(roles)])[7].first_fault == place
 
 
 def test_chat_edges(spark):
