@@ -439,6 +439,31 @@ def oracle_sql() -> dict[str, str]:
           ELSE {sections(spot + ",' || " + height + " || ']'", ",")} END || ']}}' AS geojson,
         'LINESTRING (' || {flat} || ')' AS flat
       FROM lines"""
+    corner = {n: f"(x::BIGINT + {n})::VARCHAR" for n in (0, 3, 10)}
+    upper = {n: f"(y::BIGINT + {n})::VARCHAR" for n in (0, 4, 6)}
+
+    def spots(sep: str, opened: str, closed: str, *at: tuple[int, int]) -> str:
+        joined = f" || '{closed}, {opened}' || " if sep == " " else f" || '{closed},{opened}' || "
+        return f"'{opened}' || " + joined.join(f"{corner[i]} || '{sep}' || {upper[j]}" for i, j in at) + f" || '{closed}'"
+
+    box = ((0, 0), (10, 0), (10, 6), (0, 6), (0, 0))
+    sql["geom_collections"] = _with(POINTS) + f"""
+      , read AS (SELECT *, nature <> 'FURNITURE' AS good, NOT construction_legere AS wide FROM points)
+      SELECT cleabs, dept,
+        CASE WHEN good THEN 'GEOMETRYCOLLECTION (POINT (' || {spots(" ", "", "", (0, 0))}
+          || '), GEOMETRYCOLLECTION (LINESTRING (' || {spots(" ", "", "", (0, 0), (3, 4))} || '), GEOMETRYCOLLECTION EMPTY)'
+          || CASE WHEN wide THEN ', POLYGON ((' || {spots(" ", "", "", *box)} || '))' ELSE '' END || ')' END AS wkt,
+        CASE WHEN good THEN '{{"type":"GeometryCollection","geometries":[{{"type":"Point","coordinates":'
+          || {spots(",", "[", "]", (0, 0))} || '}},{{"type":"GeometryCollection","geometries":[{{"type":"LineString","coordinates":['
+          || {spots(",", "[", "]", (0, 0), (3, 4))} || ']}},{{"type":"GeometryCollection","geometries":[]}}]}}'
+          || CASE WHEN wide THEN ',{{"type":"Polygon","coordinates":[[' || {spots(",", "[", "]", *box)} || ']]}}' ELSE '' END
+          || ']}}' END AS geojson,
+        CASE WHEN good THEN 2 + wide::INTEGER END AS n_members, CASE WHEN good THEN 3 + 5 * wide::INTEGER END AS n_points,
+        CASE WHEN good THEN 1 + wide::INTEGER END AS dimension, CASE WHEN good THEN 60e0 * wide::INTEGER END AS area,
+        CASE WHEN good THEN x + CASE WHEN wide THEN 5 ELSE 1.5 END END AS centre_x,
+        CASE WHEN good THEN y + CASE WHEN wide THEN 3 ELSE 2 END END AS centre_y,
+        CASE WHEN good THEN round({LON}, 7) END AS lon
+      FROM read"""
     sql["gpkg_roundtrip_z"] = _with(POINTS, LINES) + f"""
       SELECT layer, dept, cleabs, NOT construction_legere AS high,
         CASE WHEN NOT construction_legere THEN round(hauteur, 3) END AS zmin,

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from mapstrata import dictionary
 from mapstrata.functions import codes
 from mapstrata.functions import geometry as g
+from mapstrata.functions import members as collections
 from mapstrata.functions.casts import ingestion_schema, to_date_or_null, to_timestamp_or_null
 from mapstrata.functions.projection import LAMBERT_93, OVERSEAS, lambert93_to_wgs84, st_transform
 from mapstrata.functions.validity import st_is_valid
@@ -145,6 +146,45 @@ def geom_wkt_z(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def geom_collections(spark: SparkSession, folder: str) -> DataFrame:
+    """Collections of a point, a line and, but for those in debt, a square, nested and with an empty
+    one; texts of furniture do not close."""
+    rows = features.points(spark, folder)
+    x, y = F.col("x").cast("long"), F.col("y").cast("long")
+    square = F.format_string(
+        ", POLYGON((%1$d %2$d, %3$d %2$d,%3$d %4$d,%1$d %4$d , %1$d %2$d))", x, y, x + 10, y + 6
+    )
+    text = F.concat(
+        F.format_string(
+            "GeometryCollection( point (%1$d %2$d),GEOMETRYCOLLECTION(LINESTRING(%1$d %2$d, %3$d %4$d), geometrycollection empty)",
+            x, y, x + 3, y + 4,
+        ),
+        F.when(F.col("construction_legere"), "").otherwise(square),
+        F.when(F.col("nature") == "FURNITURE", "").otherwise(")"),
+    )
+    read = rows.withColumn("wkt", text).withColumn("shapes", collections.collection_from_wkt("wkt", LAMBERT_93))
+    centre = g.st_points("centre")[0]
+    projected = collections.map_members("shapes", st_transform)
+    return (
+        read.withColumn("centre", collections.collection_centroid("shapes"))
+        .withColumn("first", F.get(collections.collection_members(projected), F.lit(0)))
+        .select(
+            "cleabs",
+            "dept",
+            collections.collection_as_text("shapes", 0).alias("wkt"),
+            collections.collection_as_geojson("shapes", 0).alias("geojson"),
+            F.size(collections.collection_members("shapes")).alias("n_members"),
+            collections.collection_npoints("shapes").alias("n_points"),
+            collections.collection_dimension("shapes").alias("dimension"),
+            collections.collection_area("shapes").alias("area"),
+            centre["x"].alias("centre_x"),
+            centre["y"].alias("centre_y"),
+            _rounded(F.get(g.st_points("first"), F.lit(0))["x"], 7).alias("lon"),
+        )
+    )
+
+
 #: A window of the map, in Lambert-93.
 WINDOW = (400000, 6300000, 700000, 6650000)
 
