@@ -37,8 +37,6 @@ COLLECTION_TYPE = T.StructType(
 )
 #: Inner collections that may begin at one member; a deeper text is NULL.
 DEPTH = 64
-#: Single kind -> the kind of many of them.
-MANY = {"POINT": "MULTIPOINT", "LINESTRING": "MULTILINESTRING", "POLYGON": "MULTIPOLYGON"}
 
 
 def _member(opens: Column, kind: Column, parts: Column, closes: Column) -> Column:
@@ -208,13 +206,19 @@ def map_members(collection: Column | str, function: Callable[[Column], Column])
     return g._let(F.transform(c["members"], member), whole)
 
 
+def _extract(collection: Column, kind: Column) -> Column:
+    many = F.concat(F.lit("MULTI"), kind)
+    chosen = F.filter(collection["members"], lambda m: (m["kind"] == kind) | (m["kind"] == many))
+    parts = F.flatten(F.transform(chosen, lambda m: m["parts"]))
+    return F.when(collection.isNotNull() & kind.isNotNull(), g.make_geometry(collection["srid"], many, parts))
+
+
 @built_once
 def collection_extract(collection: Column | str, kind: str) -> Column:
     """All members of a single kind and of its plural, as one geometry of the plural."""
-    c = g._col(collection)
-    chosen = F.filter(c["members"], lambda m: m["kind"].isin(kind, MANY[kind]))
-    parts = F.flatten(F.transform(chosen, lambda m: m["parts"]))
-    return F.when(c.isNotNull(), g.make_geometry(c["srid"], F.lit(MANY[kind]), parts))
+    if kind not in g.KINDS or kind.startswith("MULTI"):
+        raise ValueError(f"not a single kind: {kind}")
+    return _extract(g._col(collection), F.lit(kind))
 
 
 @built_once
@@ -223,7 +227,7 @@ def collection_dimension(collection: Column | str) -> Column:
     c = g._col(collection)
 
     def any_of(kind: str) -> Column:
-        return F.exists(c["members"], lambda m: m["kind"].isin(kind, MANY[kind]) & (F.size(m["parts"]) > 0))
+        return F.exists(c["members"], lambda m: m["kind"].endswith(kind) & (F.size(m["parts"]) > 0))
 
     return F.when(any_of("POLYGON"), 2).when(any_of("LINESTRING"), 1).when(any_of("POINT"), 0)
 
@@ -246,10 +250,8 @@ def collection_area(collection: Column | str) -> Column:
 def collection_centroid(collection: Column | str) -> Column:
     """That of the members of the highest dimension; NULL without any point."""
     c = g._col(collection)
-    highest = F.when(collection_dimension(c) == 2, collection_extract(c, "POLYGON"))
-    highest = highest.when(collection_dimension(c) == 1, collection_extract(c, "LINESTRING"))
-    highest = highest.when(collection_dimension(c) == 0, collection_extract(c, "POINT"))
-    return g._let(highest, g.st_centroid)
+    kinds = F.array(*[F.lit(k) for k in ("POINT", "LINESTRING", "POLYGON")])
+    return g._let(_extract(c, F.get(kinds, collection_dimension(c))), g.st_centroid)
 
 
 def collection_extent(collection: Column | str) -> dict[str, Column]:

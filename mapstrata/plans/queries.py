@@ -150,7 +150,7 @@ def geom_wkt_z(spark: SparkSession, folder: str) -> DataFrame:
 def geom_collections(spark: SparkSession, folder: str) -> DataFrame:
     """Collections of a point, a line and, but for those in debt, a square, nested and with an empty
     one; texts of furniture do not close."""
-    rows = features.points(spark, folder)
+    rows = features.spread(features.points(spark, folder))
     x, y = F.col("x").cast("long"), F.col("y").cast("long")
     square = F.format_string(
         ", POLYGON((%1$d %2$d, %3$d %2$d,%3$d %4$d,%1$d %4$d , %1$d %2$d))", x, y, x + 10, y + 6
