@@ -5,14 +5,19 @@ their kinds are candidates: numbers without the right mark or checksum, and
 addresses whose sign is spelled out.  All of them are nodes of a field over the
 document.  A node's potential comes from its shape and the words around it,
 counted over the whole corpus; neighbours in the text share a weak potential,
-and distant nodes with the same or a similar value a strong one.  Loopy message
-passing makes labels agree, so a value that is certain in one place is found in
-the others, however far away.
+and distant nodes with the same or a similar value a strong one: one digit off, other
+spacing, the local form of a number, a spelled-out address.  Loopy message passing
+makes labels agree, so a value that is certain in one place is found in the others,
+however far away.
+
+The weights of the links are fitted to the corpus, from the labels at both ends of each
+link: the log odds that they agree, less those of two labels drawn at random.
 """
 
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +30,12 @@ from .common import small
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 FEATURES = 1 << 14
-SAME, SIMILAR, CHAIN = 6.0, 4.0, 0.2
+#: Kinds of links, strongest first, and the pairs that agree and differ which are
+#: counted before any of the corpus.
+LINKS = {"is": (100, 1), "digit": (60, 1), "part": (60, 1), "name": (4, 1), "host": (1, 1), "chain": (1, 1)}
+TYPES = list(LINKS)
+#: Links that tell one value: a candidate at one end of such a link is no evidence against it.
+TELLING = 3
 NEAR = 40
 ROUNDS = 12
 SURE = 0.6
@@ -116,28 +126,43 @@ def features(text: str, start: int, end: int) -> list[int]:
     return [xxhash.xxh32_intdigest(n) % FEATURES for n in names]
 
 
-def values_of(value: str) -> tuple[str, list[str]]:
-    """The canonical value of a span and parts by which similar ones are known."""
+class Model(NamedTuple):
+    """Log ratios of the features by label, and the weight of each kind of link."""
+
+    ratios: np.ndarray
+    weights: np.ndarray
+
+
+def values_of(value: str) -> list[tuple[int, str]]:
+    """(kind of link, key): spans that share a key are linked."""
     if any(c.isalpha() for c in value):
         plain = re.sub(r"[\s()\[\]<>]", "", re.sub(r"(?i)[\s(\[<]+at[\s)\]>]+", "@", re.sub(r"(?i)[\s(\[]+dot[\s)\]]+", ".", value))).lower()
         name, _, host = plain.partition("@")
-        return plain, [f"name {name}", f"host {host}"] if host else []
+        return [(0, plain)] + ([(3, f"name {name}"), (4, f"host {host}")] if host else [])
     digits = re.sub(r"[^0-9]", "", value)
-    return digits, [f"end {digits[-7:]}", f"begin {digits[:7]}"] if len(digits) >= 8 else []
+    keys = [(0, digits)]
+    if "." not in value and len(digits) >= 8:
+        keys += [(1, f"{digits[:i]}_{digits[i + 1:]}") for i in range(len(digits))]
+        keys.append((2, f"end {digits[-9:]}"))
+    return keys
+
 
+def links(spans: list[tuple[int, int]], text: str) -> list[tuple[int, int, int]]:
+    """(node, node, kind of link): neighbours in the text, and each node with the last one
+    before it that has a key of it, so that links grow with the nodes.
 
-def links(spans: list[tuple[int, int]], text: str) -> list[tuple[int, int, float]]:
-    """(node, node, weight): neighbours in the text, and each node with the last one
-    that has its value or a part of it, so that links grow with the nodes."""
+    Two nodes have one link, of the strongest kind.
+    """
     out, last = [], {}
     for i, (a, b) in enumerate(spans):
+        found = {}
         if i and a - spans[i - 1][1] <= NEAR:
-            out.append((i - 1, i, CHAIN))
-        whole, parts = values_of(text[a:b])
-        for key, weight in [(f"is {whole}", SAME), *((p, SIMILAR) for p in parts)]:
-            if key in last:
-                out.append((last[key], i, weight))
+            found[i - 1] = TYPES.index("chain")
+        for kind, key in values_of(text[a:b]):
+            if (at := last.get(key)) is not None:
+                found[at] = min(kind, found.get(at, kind))
             last[key] = i
+        out += [(at, i, kind) for at, kind in found.items()]
     return out
 
 
@@ -177,58 +202,85 @@ def _possible(text: str | None) -> bool:
     return bool(text) and ("@" in text or " at" in text or "AT" in text or re.search("[0-9]", text) is not None)
 
 
-def fit(docs: DataFrame, text_col="text") -> np.ndarray:
-    """Log ratios of the features by label, counted over all texts.
+def nodes_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, label) of the nodes of a text, sorted; label 0 is a candidate's."""
+    more = candidates(text, base)
+    return sorted([(a, b, k + 1) for a, k, b in base] + [(a, b, 0) for a, b in more])
+
 
-    Certain spans count for their kind, candidates for none of them.
+def fit(docs: DataFrame, text_col="text") -> Model:
+    """The model, counted over all texts.
+
+    Certain spans count for their kind, candidates for none of them.  A link counts
+    by whether the labels of its ends agree; one that tells the same value counts only
+    between certain spans, each of which stands in for a masked one.  Repeated rows
+    count as often as they are there; null and empty texts, and empty tables, add
+    nothing, so the model then has the prior weights and no ratios.
     """
 
     def count(batches):
         held = np.zeros((FEATURES, len(LABELS)), np.int64)
+        pairs = np.zeros((len(TYPES), 2), np.int64)
         for batch in small(batches):
             for text in batch.column(0).to_pylist():
                 if not _possible(text):
                     continue
-                base = base_spans(text)
-                for a, kind, b in base:
-                    held[features(text, a, b), kind + 1] += 1
-                for a, b in candidates(text, base):
-                    held[features(text, a, b), 0] += 1
+                nodes = nodes_of(text, base_spans(text))
+                for a, b, label in nodes:
+                    held[features(text, a, b), label] += 1
+                for i, j, kind in links([(a, b) for a, b, _ in nodes], text) if len(nodes) > 1 else ():
+                    left, right = nodes[i][2], nodes[j][2]
+                    if kind >= TELLING or (left and right):
+                        pairs[kind, int(left == right)] += 1
         at, label = np.nonzero(held)
+        kind, same = np.nonzero(pairs)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(label.astype(np.int32)), pa.array(held[at, label])],
+            [
+                pa.array(np.concatenate([at, -1 - kind]).astype(np.int32)),
+                pa.array(np.concatenate([label, same]).astype(np.int32)),
+                pa.array(np.concatenate([held[at, label], pairs[kind, same]])),
+            ],
             names=["feature", "label", "n"],
         )
 
     counted = (
         docs.select(text_col).mapInArrow(count, "feature int, label int, n long")
-        .groupBy("feature", "label").agg(F.sum("n").alias("n")).collect()  # FEATURES * LABELS at most
+        .groupBy("feature", "label").agg(F.sum("n").alias("n")).collect()  # FEATURES * LABELS at most, and TYPES * 2
     )
     counts = np.zeros((FEATURES, len(LABELS)))
+    pairs = np.array([LINKS[t][::-1] for t in TYPES], float)
     for feature, label, n in counted:
-        counts[feature, label] = n
+        if feature < 0:
+            pairs[-1 - feature, label] += n
+        else:
+            counts[feature, label] = n
     totals = counts.sum(axis=0)
     # A label's share at a feature against its share overall, so that unseen ones say nothing.
     share = (counts + 5 * (totals + 1) / (totals.sum() + len(LABELS))) / (counts.sum(axis=1, keepdims=True) + 5)
-    return np.log(share) - np.log((totals + 1) / (totals.sum() + len(LABELS)))
+    overall = (totals + 1) / (totals.sum() + len(LABELS))
+    chance = (overall**2).sum()
+    weights = np.log(pairs[:, 1] / pairs[:, 0]) - np.log(chance / (1 - chance))
+    return Model(np.log(share) - np.log(overall), np.maximum(weights, 0.0))
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], ratios: np.ndarray) -> list[tuple[int, int, int]]:
+def added_spans(text: str, base: list[tuple[int, int, int]], model: Model) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the candidates that the field labels as personal data."""
-    more = candidates(text, base)
-    if not more:
+    spans = nodes_of(text, base)
+    if not any(label == 0 for *_, label in spans):
         return []
-    spans = sorted([(a, b, k) for a, k, b in base] + [(a, b, -1) for a, b in more])
-    fixed = np.array([k + 1 if k >= 0 else -1 for *_, k in spans])
-    nodes = np.array([ratios[features(text, a, b)].sum(axis=0) for a, b, _ in spans])
-    nodes = np.clip(nodes, -CONTEXT, CONTEXT)
-    nodes[:, 0] += 2 * CONTEXT  # shape and context alone never decide: a linked node must agree
-    p = marginals(nodes, fixed, links([(a, b) for a, b, _ in spans], text))
+    fixed = np.array([label or -1 for *_, label in spans])
+    nodes = np.array([model.ratios[features(text, a, b)].sum(axis=0) for a, b, _ in spans])
+    nodes = np.clip(nodes, -CONTEXT / 2, CONTEXT / 2)
+    nodes[:, 0] += CONTEXT  # shape and context alone never decide: a linked node must agree
+    edges = [(i, j, model.weights[kind]) for i, j, kind in links([(a, b) for a, b, _ in spans], text)]
+    p = marginals(nodes, fixed, edges)
     best = p[:, 1:].argmax(axis=1)
-    return [(a, int(best[i]), b) for i, (a, b, k) in enumerate(spans) if k < 0 and p[i, 1 + best[i]] >= SURE]
+    return [
+        (a, int(best[i]), b) for i, (a, b, label) in enumerate(spans) if not label and p[i, 1 + best[i]] >= SURE
+    ]
 
 
-def find(docs: DataFrame, ratios: np.ndarray, id_col="doc_id", text_col="text") -> DataFrame:
+def find(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, base and added, arrays of (kind, start, end).
 
     Positions count code points, the end is exclusive.  base holds the spans of the
@@ -236,7 +288,7 @@ def find(docs: DataFrame, ratios: np.ndarray, id_col="doc_id", text_col="text")
     Null and empty texts have none.  Repeated rows give equal rows; other columns
     are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(ratios)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def named(spans):

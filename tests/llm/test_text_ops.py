@@ -1,6 +1,7 @@
 """Chat, BPE, decontamination, toxicity, quality and personal data."""
 
 import base64
+import itertools
 import random
 import re
 
@@ -329,3 +330,68 @@ def test_marginals_equal_enumeration():
 def test_long_runs_take_linear_time():
     text = "1" * 200_000 + " " + "a" * 200_000 + "@" + "b." * 100_000 + "+1" + " " * 200_000
     pii.candidates(text, pii.base_spans(text))
+
+
+def exact_marginals(nodes, edges):
+    """By all labellings."""
+    n, k = nodes.shape
+    total = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        score = sum(nodes[i, x] for i, x in enumerate(labels)) + sum(w for a, b, w in edges if labels[a] == labels[b])
+        for i, x in enumerate(labels):
+            total[i, x] += np.exp(score)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("edges, off", [
+    ([(0, 1, 2.0), (1, 2, 3.0), (1, 3, 1.0)], 1e-3),  # a tree
+    ([(0, 1, 1.0), (1, 2, 1.0), (2, 0, 1.0)], 0.05), ([(0, 1, 2.0), (1, 2, 2.0), (2, 3, 2.0), (3, 0, 2.0)], 0.1),
+    ([(a, b, 0.6) for a in range(5) for b in range(a)], 0.1),
+])
+def test_field_against_all_labellings(edges, off):
+    for seed in range(5):
+        nodes = np.random.default_rng(seed).normal(0, 1, (5, 3))
+        found = pii.marginals(nodes, np.full(5, -1), edges)
+        right = exact_marginals(nodes, edges)
+        assert np.abs(found - right).max() < off
+        assert ((found.argmax(1) == right.argmax(1)) | (np.sort(right)[:, -1] - np.sort(right)[:, -2] < 0.1)).all()
+
+
+def planted_values(rng):
+    """Texts with a certain span and, far away, a variant of it or an unlike value; where the variant is."""
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def filler(n):
+        return " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet", "order", "number", "call"]) for _ in range(n))
+
+    area, line = digits(3), digits(4)
+    phone, local = f"+1 ({area}) 555-{line}", f"({area}) 555-{line}"
+    name, host = f"{rng.choice(['ann', 'bo', 'cy'])}{digits(2)}", f"mail{digits(1)}.example.com"
+    card = next(c for c in ("4" + digits(15) for _ in range(1000)) if pii.luhn(c))
+    at = rng.randrange(16)
+    typo = card[:at] + str((int(card[at]) + 1) % 10) + card[at + 1 :]
+    number = next(c for c in (digits(16) for _ in range(1000)) if not pii.luhn(c))
+    sure, other, kind = rng.choice([
+        (phone, local, "phone"), (phone, f"1 {area} 555 {line}", "phone"), (card, typo, "card"),
+        (f"{name}@{host}", f"{name} at {host.replace('.', ' dot ')}", "email"), (f"{name}@{host}", f"{name} [at] {host}", "email"),
+        (card, number, None), (phone, f"(212) 555-{digits(4)}", None), (f"{name}@{host}", "word at another.example.org", None), (phone, number, None),
+    ])
+    text = f"{filler(30)} {sure} {filler(400)} "
+    return text + f"{other} {filler(5)}", (kind, len(text), len(text) + len(other)) if kind else None
+
+
+def test_field_finds_variants_of_certain_values(spark):
+    rng = random.Random(3)
+    made = [planted_values(rng) for _ in range(300)]
+    docs = frame(spark, [(i, text) for i, (text, _) in enumerate(made)])
+    found = {r.doc_id: [tuple(x) for x in r.added] for r in pii.find(docs, pii.fit(docs)).collect()}
+    right = sum(found[i] == [span] for i, (_, span) in enumerate(made) if span)
+    assert right >= 0.95 * sum(span is not None for _, span in made)
+    assert [found[i] for i, (_, span) in enumerate(made) if not span and found[i]] == []
+
+
+def test_field_without_rows(spark):
+    model = pii.fit(frame(spark, []))
+    assert pii.find(frame(spark, [(1, None), (2, ""), (2, "")]), model).count() == 3
+    assert np.abs(model.ratios).max() < 1e-9 and (model.weights >= 0).all()
