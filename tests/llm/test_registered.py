@@ -8,11 +8,15 @@ from pathlib import Path
 
 import duckdb
 import pytest
+import xxhash
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent / "scripts"))
 import check_oracle  # noqa: E402
 import corpus_pipeline  # noqa: E402
+import public_tokenizers  # noqa: E402
 from mapstrata.llm import decontam, queries  # noqa: E402
+from test_text_ops import encoding, plain_spans  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -38,6 +42,91 @@ def test_query_has_a_row_per_document(spark, con, name):
     assert sorted(r.doc_id for r in rows) == [r[0] for r in con.sql("SELECT doc_id FROM documents ORDER BY 1").fetchall()]
 
 
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def plain_op1(texts):
+    prints = {}
+    for i, text in texts.items():
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+        shingles = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    parent = {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {(i, f"{prints[i]:016x}", root(i)) for i in texts}
+
+
+def plain_op3(texts):
+    kinds, rows = ("email", "ip", "card", "phone"), set()
+    for i, text in texts.items():
+        spans = plain_spans(text)
+        counts = [sum(k == at for _, k, _ in spans) for at in range(4)]
+        rows.add((i, *counts, sha(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans).encode())))
+    return rows
+
+
+def plain_op5(texts):
+    encoder, rows = encoding()[0], set()
+    for i, text in texts.items():
+        ids = encoder.encode_ordinary(text)
+        packed = b"".join(x.to_bytes(4, "little") for x in ids)
+        rows.add((i, len(ids), sha(packed), sha(text.encode())))
+    return rows
+
+
+def plain_op8(texts):
+    data, starts, rows = {i: t.encode() for i, t in texts.items()}, {}, set()
+    for i, d in data.items():
+        for at in range(len(d) - 399):
+            starts.setdefault(d[at : at + 400], []).append((i, at))
+    gone = {i: bytearray(len(d)) for i, d in data.items()}
+    for places in starts.values():
+        if len(places) > 1:
+            for i, at in places:
+                gone[i][at : at + 400] = b"\x01" * 400
+    for i, d in data.items():
+        runs = len(re.findall(b"\x01+", bytes(gone[i])))
+        kept = bytes(b for b, out in zip(d, gone[i]) if not out)
+        rows.add((i, len(d), sum(gone[i]), runs, sha(kept)))
+    return rows
+
+
+def plain_op11(texts):
+    library, rows = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), set()
+    library.no_truncation()
+    library.no_padding()
+    for i, text in texts.items():
+        n = len(library.encode(text, add_special_tokens=False).ids)
+        rows.add((i, len(text.encode()), n, n > 2048))
+    return rows
+
+
+@pytest.mark.parametrize("name, plain, columns", [
+    ("op1_simhash", plain_op1, "doc_id fingerprint component_id"),
+    ("op3_pii", plain_op3, "doc_id n_email n_ip n_card n_phone base_sha256"),
+    ("op5_byte_bpe", plain_op5, "doc_id n_tokens ids_sha256 decoded_sha256"),
+    ("op8_suffix_dedup", plain_op8, "doc_id n_bytes n_removed n_spans kept_sha256"),
+    ("op11_token_counts", plain_op11, "doc_id n_bytes n_tokens over_limit"),
+])
+def test_query_equals_plain_version(spark, con, name, plain, columns):
+    texts = {i: t or "" for i, t in con.sql("SELECT doc_id, text FROM documents").fetchall()}
+    found = [tuple(r) for r in queries.QUERIES[name](spark, FOLDER).select(*columns.split()).collect()]
+    assert len(found) == len(texts) and set(found) == plain(texts)
+
+
 def test_pipeline(spark, con):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     odd = spark.createDataFrame(
