@@ -403,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN nature <> 'HOUSEHOLD' THEN round({LON}, 6) END AS lon,
         CASE WHEN nature <> 'HOUSEHOLD' THEN round({LAT}, 6) END AS lat
       FROM points"""
+    sql["frames_to_table"] = sql["ingest_features"]
     sql["tolerant_cast"] = _with(STAMPS) + """
       SELECT o_orderkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS as_timestamp,
         strftime(d, '%Y-%m-%d') AS as_date FROM typed"""

@@ -566,9 +566,8 @@ def load_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # -- columns ---------------------------------------------------------------
 
 
-@query
-def ingest_features(spark: SparkSession, folder: str) -> DataFrame:
-    """WKT and dates in flight become projected geometries and typed columns."""
+def _raw_features(spark: SparkSession, folder: str) -> tuple[DataFrame, T.StructType]:
+    """Points with WKT and dates as texts, and the schema they shall have."""
     rest = T.StructType(
         [
             T.StructField("cleabs", T.StringType()),
@@ -597,8 +596,10 @@ def ingest_features(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("nature") != "HOUSEHOLD", wkt).alias("geometry"),
         "dept",
     )
-    tagged = ingests.add_metadata(rows, F.col("dept"), features.POINT_LAYER)
-    typed = ingests.ingest(tagged, rest, LAMBERT_93)
+    return ingests.add_metadata(rows, F.col("dept"), features.POINT_LAYER), rest
+
+
+def _ingested(typed: DataFrame) -> DataFrame:
     return typed.select(
         "cleabs",
         "dept",
@@ -610,6 +611,24 @@ def ingest_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def ingest_features(spark: SparkSession, folder: str) -> DataFrame:
+    """WKT and dates in flight become projected geometries and typed columns."""
+    tagged, rest = _raw_features(spark, folder)
+    return _ingested(ingests.ingest(tagged, rest, LAMBERT_93))
+
+
+@query
+def frames_to_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows in two frames, each ingested and appended to one table, read back."""
+    tagged, rest = _raw_features(spark, folder)
+    table = f"{new_schema(spark, 'frames')}.{features.POINT_LAYER}"
+    late = F.col("nature").isin("BUILDING", "MACHINERY")
+    for part in (tagged.filter(~late), tagged.filter(late)):
+        jobs.write_frame(spark, part, table, rest, LAMBERT_93)
+    return _ingested(spark.table(table))
+
+
 @query
 def tolerant_cast(spark: SparkSession, folder: str) -> DataFrame:
     stamps = features.order_stamps(spark, folder)
