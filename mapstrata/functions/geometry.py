@@ -231,7 +231,6 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0, z: bool = False
         ),
     )
 
-
 def _number_text(value: Column, decimals: int | None) -> Column:
     """Text that reads back as the same number, or with ``decimals`` fixed-point
     text, never in scientific notation unless out of range."""
@@ -682,6 +681,99 @@ def point_in_parts(x: Column, y: Column, parts: Column) -> Column:
     return F.exists(parts, part_holds)
 
 
+# Up to so many edges, a shape is tested by plain columns, which Spark compiles.
+FEW_EDGES = 8
+_ENDS = ("ax", "ay", "bx", "by")
+
+
+def edges_of(parts: Column) -> Column:
+    """Per part, the edges of all its rings."""
+
+    def of_ring(ring: Column) -> Column:
+        steps = F.when(F.size(ring) > 1, F.sequence(F.lit(0), F.size(ring) - 2)).otherwise(
+            F.array().cast("array<int>")
+        )
+
+        def edge(i: Column) -> Column:
+            a, b = F.get(ring, i), F.get(ring, i + 1)
+            return F.struct(
+                a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")
+            )
+
+        return F.transform(steps, edge)
+
+    return F.transform(parts, lambda part: F.flatten(F.transform(part, of_ring)))
+
+
+def _side(e, x: Column, y: Column) -> Column:
+    return (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+
+
+def _touched(e, x: Column, y: Column) -> Column:
+    return (
+        (_side(e, x, y) == 0)
+        & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
+        & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+    )
+
+
+def _crossed(e, x: Column, y: Column) -> Column:
+    upward, side = e["by"] > e["ay"], _side(e, x, y)
+    return ((e["ay"] > y) != (e["by"] > y)) & ((upward & (side > 0)) | (~upward & (side < 0)))
+
+
+def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
+    """Even-odd ray casting to the right; points on an edge count as inside.
+
+    Edges that lie above, below or left of the point may be missing.
+    """
+
+    def holds(part: Column) -> Column:
+        crossings = F.aggregate(part, F.lit(0), lambda n, e: n + _crossed(e, x, y).cast("int"))
+        return F.exists(part, lambda e: _touched(e, x, y)) | (crossings % 2 == 1)
+
+    return F.exists(edges, holds)
+
+
+def with_few_edges(df: DataFrame, edges: str) -> DataFrame:
+    """Edges of a single part, FEW_EDGES at most, as plain columns of numbers.
+
+    ``edges`` becomes NULL where the columns tell all; it stays where there are more edges or
+    parts, or one without a number.  Columns that are left over repeat the start of the first edge, which lies on
+    the outline anyway.
+    """
+    part = F.get(F.col(edges), F.lit(0))
+    first = F.get(part, F.lit(0))
+    numbers = F.flatten(F.transform(part, lambda e: F.array(*[e[n] for n in _ENDS])))
+    few = (
+        (F.size(edges) == 1)
+        & F.size(part).between(1, FEW_EDGES)
+        & ~F.exists(numbers, lambda v: v.isNull() | F.isnan(v))
+    )
+    df = df.withColumn("_few", F.coalesce(few, F.lit(False)))
+    columns = {}
+    for i in range(FEW_EDGES):
+        e = F.get(part, F.lit(i))
+        for n in _ENDS:
+            number = F.coalesce(e[n], first["ax" if n in ("ax", "bx") else "ay"])
+            columns[f"_e{i}{n}"] = F.coalesce(F.when(F.col("_few"), number), F.lit(0.0))
+    df = df.withColumns(columns)
+    return df.withColumn(edges, F.when(~F.col("_few"), F.col(edges)))
+
+
+def few_columns() -> list[str]:
+    return ["_few", *[f"_e{i}{n}" for i in range(FEW_EDGES) for n in _ENDS]]
+
+
+def point_in_few_edges(x: Column, y: Column, edges: Column) -> Column:
+    """``point_in_edges`` for a row of ``with_few_edges``."""
+    plain = [{n: F.col(f"_e{i}{n}") for n in _ENDS} for i in range(FEW_EDGES)]
+    touched, odd = _touched(plain[0], x, y), _crossed(plain[0], x, y)
+    for e in plain[1:]:
+        touched, odd = touched | _touched(e, x, y), odd != _crossed(e, x, y)
+    return F.when(F.col("_few"), odd | touched).otherwise(point_in_edges(x, y, edges))
+
+
 def to_native(wkb: Column | str, srid: int = 4326) -> Column:
     """Spark's own in-memory geometry value from WKB bytes.
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapstrata.functions.geometry import point_in_parts
+from mapstrata.functions.geometry import edges_of, few_columns, point_in_few_edges, with_few_edges
 
 # Cell sizes run from 2^-30 to 2^30 units, so there are 61 grids at most.
 LEVEL_LIMIT = 30
@@ -29,6 +29,15 @@ def _cell(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level))
 
 
+def _shuffled(on_grid: DataFrame) -> DataFrame:
+    """Rows on a grid, never to be sent whole to the driver and all tasks.
+
+    Spark takes an array for one element and an explode for one row, so it would broadcast
+    a side of many gigabytes whose source file is small.
+    """
+    return on_grid.hint("merge")
+
+
 def grid_levels(areas: DataFrame) -> list[int]:
     """The grids in use: at most 61 numbers, by construction."""
     boxes = areas.filter(F.col("xmin").isNotNull())
@@ -54,9 +63,11 @@ def points_in_areas(
     if not levels:
         return points.join(areas, F.lit(False))
     level, box = F.col("_level"), {c: F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")}
+    there = areas.filter(F.col("xmin").isNotNull())
+    if exact:
+        there = with_few_edges(there.withColumn("_edges", edges_of(F.col("geometry")["parts"])), "_edges")
     on_grid = (
-        areas.filter(F.col("xmin").isNotNull())
-        .withColumn("_level", _level(**box))
+        there.withColumn("_level", _level(**box))
         .withColumn(
             "_cx",
             F.explode(F.sequence(_cell(F.col("xmin"), level), _cell(F.col("xmax"), level))),
@@ -75,13 +86,13 @@ def points_in_areas(
         .withColumn("_cy", _cell(F.col("y"), level))
     )
     keys = ["_level", "_cx", "_cy", "_salt"]
-    pairs = looked_up.join(on_grid, keys).filter(
+    pairs = looked_up.join(_shuffled(on_grid), keys).filter(
         F.col("x").between(F.col("xmin"), F.col("xmax"))
         & F.col("y").between(F.col("ymin"), F.col("ymax"))
     )
     if exact:
-        pairs = pairs.filter(point_in_parts(F.col("x"), F.col("y"), F.col("geometry")["parts"]))
-    return pairs.drop(*keys)
+        pairs = pairs.filter(point_in_few_edges(F.col("x"), F.col("y"), F.col("_edges")))
+    return pairs.drop(*keys, "_edges", *few_columns())
 
 
 def boxes_overlapping(left: DataFrame, right: DataFrame, levels: list[int]) -> DataFrame:

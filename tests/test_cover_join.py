@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapstrata.functions import geometry as g
-from mapstrata.operators import cover_join
+from mapstrata.operators import cover_join, spatial_join
 from mapstrata.operators.cover_join import cover, point_in_edges, points_in_areas_by_cover
 
 SHAPES = {
@@ -96,3 +96,45 @@ def test_point_in_edges_needs_no_far_edges(spark):
     near = F.transform("e", lambda p: F.filter(p, lambda e: F.greatest(e["ax"], e["bx"]) >= 1))
     assert [r[0] for r in df.select(point_in_edges(F.col("x"), F.col("y"), F.col("e"))).collect()] == [True, False, True]
     assert df.limit(1).select(point_in_edges(F.col("x"), F.col("y"), near)).first()[0]
+
+
+def test_no_side_of_the_joins_is_broadcast(spark):
+    areas = g.with_bbox(
+        spark.range(5).select(
+            "id", g.st_geom_from_wkt(F.concat(F.lit("POLYGON ((0 0, 9 0, 9 "), F.col("id") + 1, F.lit(", 0 0))"))).alias("geometry")
+        ),
+        "geometry",
+    )
+    points = spark.range(5).select(F.col("id").alias("p"), F.col("id").cast("double").alias("x"), F.lit(0.0).alias("y"))
+    found = spatial_join.points_in_areas(points, areas)
+    for joined in (found,):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.count() == 25
+
+
+def test_few_edges_judge_like_the_parts(spark):
+    texts = [
+        "POLYGON ((0 0, 6 0, 6 6, 0 6, 0 0))",
+        "POLYGON ((0 0, 6 0, 6 6, 0 6, 0 0), (2 2, 2 4, 4 4, 4 2, 2 2))",
+        "POLYGON ((0 0, 6 6, 6 0, 0 6, 0 0))",
+        "POLYGON ((0 0, 1 3, 2 0, 3 3, 4 0, 5 3, 6 0, 6 6, 3 4, 0 6, 0 0))",
+        "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0)), ((2 0, 6 0, 6 6, 2 0)))",
+        "POLYGON ((3 3))",
+        "POLYGON EMPTY",
+    ]
+    shapes = spark.createDataFrame(list(enumerate(texts)), "shape int, wkt string")
+    shapes = shapes.withColumn("parts", g.st_geom_from_wkt("wkt")["parts"])
+    shapes = g.with_few_edges(shapes.withColumn("_edges", g.edges_of(F.col("parts"))), "_edges")
+    steps = spark.range(-1, 15).select((F.col("id") / 2).alias("v"))
+    points = steps.select(F.col("v").alias("x")).crossJoin(steps.select(F.col("v").alias("y")))
+    x, y = F.col("x"), F.col("y")
+    judged = shapes.crossJoin(points).select(
+        "shape",
+        "_few",
+        F.coalesce(g.point_in_few_edges(x, y, F.col("_edges")), F.lit(False)).alias("new"),
+        F.coalesce(g.point_in_parts(x, y, F.col("parts")), F.lit(False)).alias("old"),
+    )
+    assert judged.filter("new != old").count() == 0
+    assert {r["shape"] for r in judged.filter("_few").select("shape").distinct().collect()} == {0, 1, 2}
+    assert judged.filter("old").count() > 100
