@@ -128,9 +128,9 @@ def boxes_overlapping(left: DataFrame, right: DataFrame, levels: list[int]) -> D
     keys = ["_level", "_cx", "_cy"]
     met = (
         a.filter(level == F.col("_la"))
-        .join(b, keys)
+        .join(_shuffled(b), keys)
         .unionByName(
-            a.filter(level > F.col("_la")).join(b.filter(level == F.col("_lb")), keys)
+            a.filter(level > F.col("_la")).join(_shuffled(b.filter(level == F.col("_lb"))), keys)
         )
     )
     low_x = F.greatest(F.col("xmin"), F.col("o_xmin"))

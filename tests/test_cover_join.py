@@ -107,7 +107,9 @@ def test_no_side_of_the_joins_is_broadcast(spark):
     )
     points = spark.range(5).select(F.col("id").alias("p"), F.col("id").cast("double").alias("x"), F.lit(0.0).alias("y"))
     found = spatial_join.points_in_areas(points, areas)
-    for joined in (found,):
+    boxes = areas.drop("geometry")
+    others = boxes.select(*[F.col(c).alias("o_" + c) for c in boxes.columns])
+    for joined in (found, spatial_join.boxes_overlapping(boxes, others, spatial_join.grid_levels(boxes))):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert found.count() == 25
