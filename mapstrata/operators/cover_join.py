@@ -7,9 +7,8 @@ can matter to a point in them.  A point is looked up in every grid that is in us
 meets one cell of an area at most.  In an inside cell it needs no further test, in a
 border cell it is tested against that cell's edges, not against the whole outline.
 
-How many points a cell has is counted, in a table of hashed cells of fixed size; two
-cells that share a place there are cut or dealt out more than needed, which
-changes no result.  Cells that are still crowded are dealt out over as many keys as their
+How many points a cell has is counted cell by cell.  Only counts over the limit are kept, so these
+are fewer than the points looked up divided by the limit.  Cells that are still crowded are dealt out over as many keys as their
 count asks for.  Points and areas are each read once and kept in the shared folder.
 """
 
@@ -18,23 +17,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapstrata.functions.geometry import _let
-from mapstrata.operators.spatial_join import _cell, _level
+from mapstrata.functions.geometry import (
+    _let,
+    edges_of,
+    few_columns,
+    point_in_edges,
+    point_in_few_edges,
+    with_few_edges,
+)
+from mapstrata.operators.spatial_join import _cell, _level, _shuffled
 from mapstrata.settings import shared_folder
 
 #: Points that one join key should have at most, and how often a cell may be cut.
 POINTS_PER_KEY = 50_000
 MAX_DEPTH = 8
-#: Places of the table of counts, which is all that is broadcast.
-PLACES = 1 << 16
 CELL = ("_level", "_cx", "_cy")
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
-def _place() -> Column:
-    return F.pmod(F.xxhash64(*CELL), F.lit(PLACES)).alias("_place")
-
-
 def _kept(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, written once to the shared folder."""
     folder = shared_folder(df.sparkSession, purpose)
@@ -42,52 +42,6 @@ def _kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _edges(parts: Column) -> Column:
-    """Per part, the edges of all its rings."""
-
-    def of_ring(ring: Column) -> Column:
-        steps = F.when(F.size(ring) > 1, F.sequence(F.lit(0), F.size(ring) - 2)).otherwise(
-            F.array().cast("array<int>")
-        )
-
-        def edge(i: Column) -> Column:
-            a, b = F.get(ring, i), F.get(ring, i + 1)
-            return F.struct(
-                a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")
-            )
-
-        return F.transform(steps, edge)
-
-    return F.transform(parts, lambda part: F.flatten(F.transform(part, of_ring)))
-
-
-def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
-    """Even-odd ray casting to the right; points on an edge count as inside.
-
-    Edges that lie above, below or left of the point may be missing.
-    """
-
-    def side(e: Column) -> Column:
-        return (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-
-    def touched(e: Column) -> Column:
-        return (
-            (side(e) == 0)
-            & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
-            & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
-        )
-
-    def crossed(e: Column) -> Column:
-        upward = e["by"] > e["ay"]
-        return ((e["ay"] > y) != (e["by"] > y)) & ((upward & (side(e) > 0)) | (~upward & (side(e) < 0)))
-
-    def holds(part: Column) -> Column:
-        crossings = F.aggregate(part, F.lit(0), lambda n, e: n + crossed(e).cast("int"))
-        return F.exists(part, touched) | (crossings % 2 == 1)
-
-    return F.exists(edges, holds)
-
-
 def _touches(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Whether an edge may touch a closed box; one that passes very close counts too."""
     dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
@@ -173,8 +127,8 @@ def _looked_up(points: DataFrame, levels: list[int]) -> DataFrame:
 
 
 def _crowded(looked_up: DataFrame, limit: int) -> DataFrame:
-    """(_place, _n) of the places with more than ``limit`` points; PLACES rows at most."""
-    return looked_up.groupBy(_place()).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+    """(cell, _n) of the cells with more than ``limit`` points; these are fewer than rows / limit."""
+    return looked_up.groupBy(*CELL).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
 
 
 def _levels(df: DataFrame) -> list[int]:
@@ -193,7 +147,7 @@ def cover(areas: DataFrame, points: DataFrame, limit: int = POINTS_PER_KEY, dept
         .withColumn("_level", _level(**box))
         .withColumn("_cx", F.explode(F.sequence(_cell(box["xmin"], level), _cell(box["xmax"], level))))
         .withColumn("_cy", F.explode(F.sequence(_cell(box["ymin"], level), _cell(box["ymax"], level))))
-        .withColumn("_edges", _edges(F.col("geometry")["parts"]))
+        .withColumn("_edges", edges_of(F.col("geometry")["parts"]))
         .drop("geometry")
         .withColumn("_inside", F.lit(False))
     )
@@ -203,9 +157,10 @@ def cover(areas: DataFrame, points: DataFrame, limit: int = POINTS_PER_KEY, dept
     crowds = _crowded(_looked_up(points, levels), limit) if levels else None
     if crowds is None:
         return own
-    counted = own.withColumn("_place", _place()).join(F.broadcast(crowds), "_place", "left")
-    cells = counted.withColumn("_cuts", F.when(F.col("_n").isNull(), 0).otherwise(F.least(cuts, F.lit(depth)))).drop("_place", "_n")
-    # An empty cell has no count and keeps its size.
+    counted = own.join(crowds, [*CELL], "left")
+    # A cell that is empty or not crowded has no count and keeps its size.
+    cells = counted.withColumn("_cuts", F.when(F.col("_n").isNull(), 0).otherwise(F.least(cuts, F.lit(depth)))).drop("_n")
+    cells = _kept(cells, "cuts")
     deepest = cells.agg(F.max("_cuts")).first()[0] or 0
     for _ in range(deepest):
         cells = _judged(_quartered(cells))
@@ -221,33 +176,32 @@ def points_in_areas_by_cover(
     polygon kind).  Other columns must not share names.  The result has the
     columns of both but ``geometry``.  Points without a coordinate and areas without an extent are in no pair.
     """
-    place = _place()
     kept = _kept(points.filter(F.col("x").isNotNull() & F.col("y").isNotNull()), "points")
     cells = _kept(cover(areas, kept.select("x", "y"), limit, depth), "cover")
     levels = _levels(cells)
     if not levels:
         return kept.join(cells.drop(*CELL, "_inside", "_edges"), F.lit(False))
     salts = _crowded(_looked_up(kept.select("x", "y"), levels), limit).select(
-        "_place", F.ceil(F.col("_n") / limit).cast("int").alias("_salts")
+        *CELL, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")
     )
-    salts = F.broadcast(_kept(salts, "salts"))  # PLACES rows at most
+    salts = _kept(salts, "salts")
     some = F.coalesce(F.col("_salts"), F.lit(1))
     dealt = (
-        _looked_up(kept, levels).withColumn("_place", place).join(salts, "_place", "left")
+        _looked_up(kept, levels).join(salts, [*CELL], "left")
         .withColumn("_salt", F.pmod(F.xxhash64("x", "y", *points.columns), some).cast("int"))
-        .drop("_place", "_salts")
+        .drop("_salts")
     )
     spread = (
-        cells.withColumn("_place", place).join(salts, "_place", "left")
+        with_few_edges(cells, "_edges").join(salts, [*CELL], "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), some - 1)))
-        .drop("_place", "_salts")
+        .drop("_salts")
     )
-    pairs = dealt.join(spread, [*CELL, "_salt"]).filter(
+    pairs = dealt.join(_shuffled(spread), [*CELL, "_salt"]).filter(
         F.col("_inside")
         | (
             F.col("x").between(F.col("xmin"), F.col("xmax"))
             & F.col("y").between(F.col("ymin"), F.col("ymax"))
-            & point_in_edges(F.col("x"), F.col("y"), F.col("_edges"))
+            & point_in_few_edges(F.col("x"), F.col("y"), F.col("_edges"))
         )
     )
-    return pairs.drop(*CELL, "_salt", "_inside", "_edges")
+    return pairs.drop(*CELL, "_salt", "_inside", "_edges", *few_columns())

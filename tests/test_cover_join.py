@@ -98,6 +98,16 @@ def test_point_in_edges_needs_no_far_edges(spark):
     assert df.limit(1).select(point_in_edges(F.col("x"), F.col("y"), near)).first()[0]
 
 
+def test_only_cells_over_the_limit_are_counted_as_crowded(spark):
+    # More cells with a point than a table of 65,536 places would tell apart.
+    cells = spark.range(200_000).select(
+        F.lit(0).alias("_level"), F.col("id").alias("_cx"), F.lit(0).cast("long").alias("_cy")
+    )
+    crowd = cells.limit(1).crossJoin(spark.range(3)).drop("id")
+    found = cover_join._crowded(cells.unionByName(crowd), 2).collect()
+    assert [row["_n"] for row in found] == [4]
+
+
 def test_no_side_of_the_joins_is_broadcast(spark):
     areas = g.with_bbox(
         spark.range(5).select(
