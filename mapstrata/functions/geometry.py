@@ -231,6 +231,7 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0, z: bool = False
         ),
     )
 
+
 def _number_text(value: Column, decimals: int | None) -> Column:
     """Text that reads back as the same number, or with ``decimals`` fixed-point
     text, never in scientific notation unless out of range."""
