@@ -1,15 +1,16 @@
 """Byte-level BPE encoding and decoding with a public vocabulary.
 
-Distinct words are encoded by Spark higher-order functions: a fold over the
+The words of the corpus are counted, and the most frequent ones are encoded once
+and sent to the tasks; their number is bounded by a parameter, which changes the
+speed alone.  They are encoded by Spark higher-order functions: a fold over the
 byte pieces of a word merges, in each step, the adjacent pieces of the lowest
 rank, looked up in a rank map that is a literal of the plan.  The map is an
 array of small maps, as a lookup in one large map would read all of it.
 
-The most frequent words of the corpus are encoded once and sent to the tasks;
-their number is bounded by a parameter, which changes the speed alone.  The
-other words of a text are encoded where they are, each distinct one once.
-A fold step reads all pieces of a word, so words of more than WORD_BYTES bytes
-are merged with a heap of pairs instead, in Arrow batches; the ids are the same.
+Rare words are merged in the Arrow batches of their texts, by the same steps on
+plain lists, and those of more than WORD_BYTES bytes with a heap of pairs; the
+ids are the same.  One pass over the texts does all this, so a task has one
+Python worker and one copy of what was sent.
 Decoding looks up the byte piece of each id and concatenates.
 """
 
@@ -179,6 +180,26 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word: the first pair of the lowest rank is merged in each step."""
+    if word in ranks:
+        return [ranks[word]]
+    if len(word) > WORD_BYTES:
+        return merge_long(word, ranks)
+    get = ranks.get
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    found = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while found and (low := min(found)) != NO_RANK:
+        at = found.index(low)
+        pieces[at : at + 2] = [made := pieces[at] + pieces[at + 1]]
+        del found[at]
+        if at:
+            found[at - 1] = get(pieces[at - 1] + made, NO_RANK)
+        if at < len(found):
+            found[at] = get(made + pieces[at + 1], NO_RANK)
+    return [ranks[piece] for piece in pieces]
+
+
 def pieces_of(text: str):
     """The text in parts of about PIECE characters, cut where no word goes across."""
     at = 0
@@ -269,79 +290,59 @@ def encode(
     """
     spark = docs.sparkSession
     ranks = load_ranks(rank_path)
-    table = RankMap(ranks)
-    known = {}
+    find = regex.compile(pattern).findall
+    known, alone = {}, {}  # alone: the words of a space and a stretch, without the space
     if frequent:
-        chosen = cut(frequent_words(docs, text_col, pattern, frequent)).repartition("word")
-        ids = F.get(encode_words(F.array("word"), table), F.lit(0))
-        for row in chosen.select("word", ids.alias("ids")).toLocalIterator():
-            known[row.word] = np.array(row.ids, "<u4").tobytes()
-    index = spark.sparkContext.broadcast((dict(zip(known, range(len(known)))), ranks))
-    values = spark.sparkContext.broadcast((list(known.values()), id_pieces(ranks) if decoded else []))
-    del known
-
-    def lookup(batches):
-        known, ranks = index.value
+        chosen = frequent_words(docs, text_col, pattern, frequent).repartition("word")
+        ids = F.get(encode_words(F.array("word"), RankMap(ranks)), F.lit(0))
+        # Written first, so that all tasks work at once and the driver reads one partition at a time.
+        for row in cut(chosen.select("word", ids.alias("ids"))).toLocalIterator():
+            made, word = array("I", row.ids).tobytes(), row.word
+            if word[:1] == " " and find(word) == [word]:
+                alone[word[1:]] = made
+            else:
+                known[word] = made
+    sent = spark.sparkContext.broadcast((known, alone, ranks, id_pieces(ranks) if decoded else []))
+    del known, alone
+
+    def run(batches):
+        known, alone, ranks, pieces = sent.value
         find = regex.compile(pattern).findall
-        size = len(known)
-        remembered: dict[str, bytes] = {}
+        remembered: dict[str, bytes] = {}  # of stretches after a space
 
-        def coded(stretch: str, fresh: dict[str, int]) -> bytes:
+        def rare(word: str) -> bytes:
+            return array("I", merge(word.encode(), ranks)).tobytes()
+
+        def coded(stretch: str) -> bytes:
             found = find(stretch)
-            at = [known.get(w, -1) for w in found]
-            if -1 in at:
-                at = [size + fresh.setdefault(w, len(fresh)) if i < 0 else i for w, i in zip(found, at)]
-            elif stretch[:1] == " " and len(remembered) < REMEMBERED and len(stretch) < WORD_BYTES:
-                remembered[stretch[1:]] = array("i", at).tobytes()
-            return array("i", at).tobytes()
+            return b"".join([(alone.get(w[1:]) if w[:1] == " " else None) or known.get(w) or rare(w) for w in found])
+
+        def spaced(stretch: str) -> bytes:
+            made = coded(f" {stretch}")
+            if len(stretch) < WORD_BYTES:
+                if len(remembered) >= REMEMBERED:
+                    remembered.clear()
+                remembered[stretch] = made
+            return made
 
-        for batch in small(batches):
-            codes, missing, long = [], [], []
-            for text in batch.column(1).to_pylist():
-                fresh, parts = {}, []
-                for found, after_space in stretches(text or ""):
-                    if after_space:
-                        parts += [remembered.get(s) or coded(f" {s}", fresh) for s in found]
-                    else:
-                        parts += [coded(s, fresh) for s in found]
-                codes.append(b"".join(parts))
-                words = [w.encode() for w in fresh]
-                missing.append(["" if len(b) > WORD_BYTES else w for w, b in zip(fresh, words)])
-                long.append([
-                    np.array(merge_long(b, ranks), "<u4").tobytes() if len(b) > WORD_BYTES else b"" for b in words
-                ])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(codes, pa.binary()),
-                    pa.array(missing, pa.list_(pa.string())),
-                    pa.array(long, pa.list_(pa.binary())),
-                ],
-                names=["id", "codes", "missing", "long"],
-            )
+        def ids_of(text: str) -> bytes:
+            parts = []
+            for found, after_space in stretches(text):
+                if after_space:
+                    parts += [alone.get(s) or remembered.get(s) or spaced(s) for s in found]
+                else:
+                    parts += map(coded, found)
+            return b"".join(parts)
 
-    def assemble(batches):
-        known, pieces = values.value
-        size = len(known)
         for batch in small(batches):
-            out = []
-            for codes, fresh, long in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                own = [b or np.array(x, "<u4").tobytes() for x, b in zip(fresh, long)]
-                out.append(b"".join([
-                    known[i] if i < size else own[i - size] for i in np.frombuffer(codes, np.int32).tolist()
-                ]))
+            out = [ids_of(text or "") for text in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array(out, pa.binary())]
             if decoded:
                 columns.append(pa.array([decode_ids(x, pieces) for x in out], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "ids", "bytes"][: len(columns)])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(id_col, text_col)
-        .mapInArrow(lookup, f"id {kind}, codes binary, missing array<string>, long array<binary>")
-        .select("id", "codes", encode_words(F.col("missing"), table).alias("fresh"), "long")
-        .mapInArrow(assemble, f"`{id_col}` {kind}, ids binary" + ", bytes binary" * decoded)
-    )
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary" + ", bytes binary" * decoded)
 
 
 def id_pieces(ranks: dict[bytes, int]) -> list[bytes]:

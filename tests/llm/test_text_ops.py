@@ -102,6 +102,27 @@ def test_bpe_like_the_library(spark, monkeypatch, frequent, piece):
         assert bytes(r["bytes"]) == text.encode()
 
 
+def test_bpe_words_by_every_way(monkeypatch):
+    encoder, ranks, *_ = encoding()
+    rng = random.Random(2)
+    for bound in (0, 8, 64):
+        monkeypatch.setattr(bpe, "WORD_BYTES", bound)
+        for n in range(100):
+            word = "".join(rng.choice("aabcdeinrst日é") for _ in range(1 + n))
+            assert bpe.merge(word.encode(), ranks) == encoder.encode_ordinary(word)
+
+
+def test_bpe_takes_one_pass_over_the_texts(spark):
+    """Rare words are not folded by the plan, and a task has one Python worker; stretches are forgotten in between."""
+    encoder, _, path, pattern = encoding()
+    rows = [(i, " ".join(f"word{j % 7}x{i}, again{j}" for j in range(40))) for i in range(30)]
+    made = bpe.encode(frame(spark, rows), path, pattern, frequent=20, decoded=True)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "aggregate(" not in plan
+    found = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in made.collect()}
+    assert found == {i: encoder.encode_ordinary(text) for i, text in rows}
+
+
 # Decontamination
 
 def plain_distance(a, b):
