@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, small
+from .common import small
 
 BUCKETS = 1 << 18
 SAMPLE = 50_000
@@ -274,11 +274,11 @@ def drop_toxic(
     model = fit(docs, labels, id_col, text_col, label_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for batch in small(batches):
-            m, last = sent.value, batch.num_columns - 1
-            values = np.array([evidence(x.values.to_numpy(), m)[0] for x in batch.column(last)], float)
-            calm = 1 / (1 + np.exp(-np.clip(m.slope * values + m.offset, -500, 500))) < threshold
-            yield batch.select(list(range(last))).filter(pa.array(calm))
+    # Only the words go to Python and one flag comes back; the other columns stay in the JVM.
+    @F.arrow_udf("boolean")
+    def calm(found: pa.Array) -> pa.Array:
+        m = sent.value
+        values = np.array([evidence(x.values.to_numpy(), m)[0] for x in found], float)
+        return pa.array(1 / (1 + np.exp(-np.clip(m.slope * values + m.offset, -500, 500))) < threshold)
 
-    return docs.select("*", words(F.col(text_col)).alias(fresh(docs, "_toxic_words"))).mapInArrow(run, docs.schema)
+    return docs.filter(calm(words(F.col(text_col))))

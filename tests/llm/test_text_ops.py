@@ -240,6 +240,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if r.score < 0.7}
 
 
+def test_texts_of_kept_rows_do_not_go_to_python(spark):
+    """Only the words do: no Python stage returns the rows, whatever columns they have."""
+    rows, labels = toxic_corpus(100)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    docs = frame(spark, [*rows, rows[1], (5000, None)]).withColumn("span", F.expr("named_struct('a', array(doc_id))"))
+    kept = toxicity.drop_toxic(docs, table)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    scored = toxicity.score(docs, toxicity.fit(docs, table)).filter("score < 0.7")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in scored.collect())
+    assert kept.filter("doc_id = 1").count() == 2 and kept.schema == docs.schema
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 1)], [(None, 1, 0), (3, None, None)]])
 def test_toxicity_without_labels(spark, labels):
     table = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
