@@ -220,14 +220,27 @@ def stretches(text: str):
     same stretches come again and again.
     """
     for piece in pieces_of(text):
-        if TOUCHING.search(piece):
+        found = piece.split(" ")
+        if touching(piece, found):
             yield [piece], False
         else:
-            found = piece.split(" ")
             yield found[:1], False
             yield found[1:], True
 
 
+def touching(piece: str, found: list[str]) -> bool:
+    """Whether TOUCHING is in a piece, which ``found`` has split at its spaces.
+
+    Without other blanks than spaces and line ends, the only ones that are
+    printable once a line end is a space, this takes no look at each character.
+    """
+    if "" in found:
+        return piece != ""
+    if "\n " in piece or " \n" in piece:
+        return True
+    return not piece.replace("\n", " ").isprintable() and TOUCHING.search(piece) is not None
+
+
 def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> DataFrame:
     """At most ``most`` words: those that occur at least so often that no more do."""
 

@@ -211,6 +211,14 @@ def test_segments():
         assert np.allclose([s for *_, s in found], [s for *_, s in expected])
 
 
+def test_touching_blanks():
+    """The quick test agrees with the pattern on every short text of these characters."""
+    for n in range(6):
+        for made in itertools.product(" a\n\t\xa0\x1cé", repeat=n):
+            piece = "".join(made)
+            assert bpe.touching(piece, piece.split(" ")) == (bpe.TOUCHING.search(piece) is not None), repr(piece)
+
+
 def toxic_corpus(n=900):
     rng = random.Random(8)
     clean = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
