@@ -24,10 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapstrata.functions import plain_text
 from mapstrata.functions.reuse import built_once
 
 POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
@@ -183,7 +185,20 @@ def st_geom_from_wkt(text: Column | str, srid: Column | int = 0, z: bool = False
     M values are accepted and dropped, and so are Z values unless ``z`` asks for
     heights.  A third number without a letter is a height.  Heights are NULL as a
     whole where a point has none.  A text with one bad number is bad as a whole.
+
+    A column given by name is read in batches where its texts are plain; any other
+    may depend on a lambda variable, which Python does not see.
     """
+    if isinstance(text, str) and isinstance(srid, int):
+
+        @F.arrow_udf(GEOMETRY_Z_TYPE if z else GEOMETRY_TYPE)
+        def read(texts: pa.Array) -> pa.Array:
+            return plain_text.read_plain(texts, srid, z)
+
+        # Called nondeterministic so that it stays in a step of its own: merged into one that
+        # writes text, Spark 4.1 would leave the writing function where it cannot run.
+        read = read.asNondeterministic()
+        return F.coalesce(read(F.col(text)), st_geom_from_wkt(F.col(text), srid, z))
     text = _col(text)
     srid = srid if isinstance(srid, Column) else F.lit(srid)
     head = r"^\s*(MULTIPOLYGON|MULTILINESTRING|MULTIPOINT|POLYGON|LINESTRING|POINT)\s*(?:ZM|Z|M)?\s*"
@@ -306,9 +321,24 @@ def _point_text(decimals: int | None, sep: str, z: bool) -> Callable[[Column], C
     return lambda p: F.concat_ws(sep, *[_number_text(p[n], decimals) for n in names])
 
 
+def _in_batches(geom: Column | str, decimals: int | None) -> bool:
+    """Whether plain geometries are written in batches: fixed-point texts of a column given by name."""
+    return isinstance(geom, str) and decimals is not None and 0 <= decimals <= plain_text.DECIMALS
+
+
+def _plain_text(geom: str, decimals: int, z: bool, geojson: bool) -> Column:
+    @F.arrow_udf("string")
+    def write(shapes: pa.Array) -> pa.Array:
+        return plain_text.write_plain(shapes, decimals, z, geojson)
+
+    return write(F.col(geom))
+
+
 @built_once
 def st_as_text(geom: Column | str, decimals: int | None = None, z: bool = False) -> Column:
     """Full precision, unless ``decimals`` asks to round; with ``z``, heights too."""
+    if _in_batches(geom, decimals):
+        return F.coalesce(_plain_text(geom, decimals, z, False), st_as_text(F.col(geom), decimals, z))
     geom = _col(geom)
     body = _coordinates_text(
         _with_heights(geom) if z else geom,
@@ -338,6 +368,8 @@ def _kind_name(geom: Column) -> Column:
 @built_once
 def st_as_geojson(geom: Column | str, decimals: int | None = None, z: bool = False) -> Column:
     """Full precision, unless ``decimals`` asks to round; with ``z``, heights too."""
+    if _in_batches(geom, decimals):
+        return F.coalesce(_plain_text(geom, decimals, z, True), st_as_geojson(F.col(geom), decimals, z))
     geom = _col(geom)
     numbers = _point_text(decimals, ",", z)
     body = _coordinates_text(

@@ -46,7 +46,8 @@ def geometry_column(
 
 @built_once
 def _projected(as_text: bool, source_srid: int, target_srid: int, z: bool, zones: bool) -> Column:
-    parsed = st_geom_from_wkt(GEOMETRY_COLUMN, source_srid, z) if as_text else GEOMETRY_COLUMN
+    # As a column: the projection uses it inside lambdas.
+    parsed = st_geom_from_wkt(F.col(GEOMETRY_COLUMN), source_srid, z) if as_text else GEOMETRY_COLUMN
     return st_transform(parsed, target_srid, z, zones)
 
 
