@@ -137,12 +137,13 @@ def geom_wkt_z(spark: SparkSession, folder: str) -> DataFrame:
     """Texts with heights, with measures and with both, read and written as WKT and GeoJSON."""
     lines = features.high_texts(spark, folder)
     parsed = lines.withColumn("geometry", g.st_geom_from_wkt("wkt", LAMBERT_93, True))
+    parsed = parsed.withColumn("plane", g.st_force_2d("geometry"))
     return parsed.select(
         "cleabs",
         "dept",
         g.st_as_text("geometry", 3, True).alias("wkt"),
         g.st_as_geojson("geometry", 1, True).alias("geojson"),
-        g.st_as_text(g.st_force_2d("geometry"), 0).alias("flat"),
+        g.st_as_text("plane", 0).alias("flat"),
     )
 
 

@@ -73,7 +73,7 @@ def test_queries_read_and_write_in_batches(spark, tmp_path):
     spark.sql("""SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 5 AS l_suppkey, cast(id % 4 AS int) AS l_linenumber,
         cast(id % 50 AS double) AS l_quantity, element_at(array('A', 'N', 'R'), cast(id % 3 + 1 AS int)) AS l_returnflag,
         timestamp '2020-01-01 00:00:00' AS l_shipdate FROM range(30)""").write.parquet(f"{tmp_path}/lineitem.parquet")
-    for name in ("geom_wkt_roundtrip",):
+    for name in ("geom_wkt_roundtrip", "geom_wkt_z"):
         found = QUERIES[name](spark, str(tmp_path))
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("ArrowEvalPython") == 2 and found.count() == 30, name
