@@ -5,7 +5,9 @@ so copies cost nothing later.  Only rows that share a key are compared.  For a
 small radius a key leaves out ``radius`` of the blocks of the fingerprint, and
 every such choice is one, so no pair is missed; for a large one keys sample
 bits, so often that a pair at the stated similarity is found with probability
-RECALL; such pairs are candidates only, and their shingle sets decide.  Rows of a key are laid out as bit planes, and all distances of a shift
+RECALL; such pairs are candidates only, and their shingle sets decide: the rows that
+are in such a pair take their sets along to the cell and are compared there, so pairs
+leave a cell only as links, fewer than it has rows.  Rows of a key are laid out as bit planes, and all distances of a shift
 are counted at once by carry-save adders over 64 lanes a word.  A run of lanes
 is abandoned once all exceed the radius.
 """
@@ -31,6 +33,9 @@ RECALL = 0.99
 FILL = 1000
 LANES = 1 << 16
 CHUNK = 1 << 15
+#: Shingles in the sets of a cell, and bytes of rows held until whole cells are compared.
+CELL_SHINGLES = 1 << 21
+HELD_BYTES = 1 << 25
 
 
 def shingles(text: str | None, words: int) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -68,13 +73,18 @@ def _majority(data: bytes, starts: np.ndarray, ends: np.ndarray, bits: int) -> l
     return [sum(1 << i for i in np.flatnonzero(row * 2 > len(starts)).tolist()) for row in counts]
 
 
+def _hash_set(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different 64-bit hashes of the shingles, ascending, and where each is first."""
+    digest = xxhash.xxh3_64_intdigest
+    hashes = np.array([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], "<u8")
+    return np.unique(hashes, return_index=True)
+
+
 def set_fingerprint(text: str | None, words: int, bits: int) -> tuple[list[int], int, bytes]:
     """Fingerprint of the different shingles, each counted once, their number, and
     a digest of 128 bits that equal sets share."""
     data, starts, ends = shingles(text, words)
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.array([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], "<u8")
-    hashes, first = np.unique(hashes, return_index=True)
+    hashes, first = _hash_set(data, starts, ends)
     return _majority(data, starts[first], ends[first], bits), len(first), xxhash.xxh3_128_digest(hashes.tobytes())
 
 
@@ -309,8 +319,9 @@ def candidate_cells(cells, ids, fps, groups, sizes, radius: int, similarity: flo
             parent = _roots(parent)
 
 
-def in_cells(reps: DataFrame, masks: list[int], cell: int = CELL) -> DataFrame:
-    """The rows of ``reps`` (id, fp and more) once for each cell they are in, sorted by ``cell``.
+def in_cells(reps: DataFrame, masks: list[int], cell: int = CELL, numbered: bool = False) -> DataFrame:
+    """The rows of ``reps`` (id, fp and more) once for each cell they are in, sorted by ``cell``;
+    with ``numbered`` also the number of the cell's mask, as ``mask``.
 
     A key with more than ``cell`` rows is dealt out over pairs of its parts, so
     every pair still meets in one cell and no cell has over twice ``cell`` rows
@@ -345,6 +356,7 @@ def in_cells(reps: DataFrame, masks: list[int], cell: int = CELL) -> DataFrame:
                 "mask", "key", F.least("part", "other"), F.greatest("part", "other")
             ).alias("cell"),
             *reps.columns,
+            *(["mask"] if numbered else []),
         )
         .repartition("cell")
         .sortWithinPartitions("cell")
@@ -352,8 +364,9 @@ def in_cells(reps: DataFrame, masks: list[int], cell: int = CELL) -> DataFrame:
 
 
 def _whole_cells(batches):
-    """Columns of LANES rows or more, from Arrow batches sorted by their first column; no cell is torn."""
-    held, rows = [], 0
+    """Columns of LANES rows or HELD_BYTES or more, from Arrow batches sorted by their first column;
+    no cell is torn."""
+    held, rows, size = [], 0, 0
     for batch in batches:
         columns = [
             c.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).view(np.uint64)
@@ -361,13 +374,13 @@ def _whole_cells(batches):
             for c in batch.columns
         ]
         held.append(columns)
-        rows += batch.num_rows
-        if rows >= LANES:
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= LANES or size >= HELD_BYTES:
             whole = [np.concatenate(x) for x in zip(*held)]
             stop = int(np.searchsorted(whole[0], whole[0][-1]))  # the last cell may go on
             if stop:
                 yield [x[:stop] for x in whole]
-            held, rows = [[x[stop:] for x in whole]], len(whole[0]) - stop
+            held, rows, size = [[x[stop:] for x in whole]], len(whole[0]) - stop, 0
     if held:
         yield [np.concatenate(x) for x in zip(*held)]
 
@@ -384,44 +397,123 @@ def near_links(reps: DataFrame, masks: list[int], radius: int = RADIUS, cell: in
     return in_cells(reps.select("id", "fp"), masks, cell).mapInArrow(run, "a long, b long")
 
 
+def _first_shared(apart: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Number of the first mask under which fingerprints that differ in ``apart`` are equal."""
+    first = np.full(len(apart), len(masks))
+    for k in range(len(masks) - 1, -1, -1):
+        first[~(apart & masks[k]).any(axis=1)] = k
+    return first
+
+
+def _near_places(cells, fps, sizes, mask, masks: np.ndarray, radius: int, similarity: float):
+    """Yields arrays (x, y) of the places of near rows that may be similar, each pair
+    only in the cell of the first key that it shares."""
+    places = np.arange(len(cells))
+    for x, y in candidate_cells(cells, places, fps, places, sizes, radius, similarity, False):
+        own = _first_shared(fps[x] ^ fps[y], masks) == mask[x]
+        yield x[own], y[own]
+
+
+def _mask_numbers(masks: list[int], numbers: int) -> np.ndarray:
+    return np.array([[m >> 64 * i & (1 << 64) - 1 for i in range(numbers)] for m in masks], np.uint64)
+
+
 def candidates(
-    reps: DataFrame, masks: list[int], radius: int, similarity: float, spanning: bool, cell: int = CELL
+    reps: DataFrame, masks: list[int], radius: int, similarity: float, bits: int, cell: int = CELL
 ) -> DataFrame:
-    """Pairs (a, b) of ids of ``reps`` (id, fp, group, size) as candidate_cells says."""
+    """The rows of ``reps`` (id, tag, fp, size) in each cell (cell, mask) where they are near
+    another row that may be similar."""
+    parts = _mask_numbers(masks, bits // 64)
 
     def run(batches):
-        for columns in _whole_cells(batches):
-            for x, y in candidate_cells(*columns, radius, similarity, spanning):
-                low, high = pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))
-                yield pa.RecordBatch.from_arrays([low, high], names=["a", "b"])
+        for cells, ids, tags, fps, sizes, mask in _whole_cells(batches):
+            near = np.zeros(len(cells), bool)
+            for x, y in _near_places(cells, fps, sizes, mask, parts, radius, similarity):
+                near[x] = near[y] = True
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(cells[near]), pa.array(ids[near]), pa.array(tags[near]),
+                    pa.array(list(fps[near].view(np.int64)), pa.list_(pa.int64())),
+                    pa.array(sizes[near]), pa.array(mask[near]),
+                ],
+                names=["cell", "id", "tag", "fp", "size", "mask"],
+            )
 
-    dealt = in_cells(reps.select("id", "fp", "group", "size"), masks, cell)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = in_cells(reps.select("id", "tag", "fp", "size"), masks, cell, True)
+    return dealt.mapInArrow(run, "cell long, id long, tag long, fp array<long>, size long, mask int")
 
 
-def similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: float, words: int) -> DataFrame:
-    """The pairs (a, b) of ids with texts whose shingle sets have a Jaccard of ``similarity`` or more."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    near, _ = split_by_ids(texts, "id", wanted)
-    texts = cut(near.join(wanted, "id", "left_semi").dropDuplicates())
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
+    """(id, tag, hashes) of the ``wanted`` (id, tag): the hashes of a text's shingles, ascending, as bytes."""
 
     def run(batches):
-        for batch in small(batches, 100):
-            a, b, x, y = batch.columns
-            sets, keep = {}, []
-            for s, t in zip(x.to_pylist(), y.to_pylist()):
-                for text in (s, t):
-                    if text not in sets:
-                        sets[text] = shingle_set(text, words)
-                s, t = sets[s], sets[t]
-                keep.append(len(s & t) >= similarity * len(s | t) * (1 - 1e-12))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch in small(batches):
+            sets = [_hash_set(*shingles(x, words))[0].tobytes() for x in batch.column(1).to_pylist()]
+            digests = pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), digests, pa.array(sets, pa.binary())], names=["id", "digest", "hashes"]
+            )
 
-    return (
-        pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-        .select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    near, _ = split_by_ids(texts, "id", wanted.select("id"))
+    made = near.mapInArrow(run, "id long, digest binary, hashes binary")
+    named = made.select("id", F.xxhash64("digest").alias("tag"), "hashes")
+    return named.join(wanted, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"])
+
+
+def similar_rows(ids, sets, pairs, similarity: float) -> tuple[list, list]:
+    """Links (a, b) of ids that join all ``pairs`` of places whose sets have a Jaccard of
+    ``similarity`` or more; fewer than there are ids.  A pair that is joined already is not looked at."""
+    parent, a, b = list(range(len(ids))), [], []
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for x, y in pairs:
+        for i, j in zip(x.tolist(), y.tolist()):
+            low, high = sorted((root(i), root(j)))
+            if low == high:
+                continue
+            s, t = np.frombuffer(sets[i], "<u8"), np.frombuffer(sets[j], "<u8")
+            both = len(np.intersect1d(s, t, assume_unique=True))
+            if both >= similarity * (len(s) + len(t) - both) * (1 - 1e-12):
+                parent[high] = low
+                a.append(ids[i])
+                b.append(ids[j])
+    return a, b
+
+
+def similar(
+    near: DataFrame, sets: DataFrame, masks: list[int], radius: int, similarity: float, bits: int,
+    most: int = CELL_SHINGLES,
+) -> DataFrame:
+    """Links (a, b) between ids that join all rows of a cell of ``near`` (see candidates) whose
+    ``sets`` have a Jaccard of ``similarity`` or more.
+
+    A cell whose sets have more than ``most`` shingles is dealt out over pairs of its parts.
+    """
+    numbers = _mask_numbers(masks, bits // 64)
+
+    def run(batches):
+        for cells, ids, fps, sizes, mask, hashes in _whole_cells(batches):
+            pairs = _near_places(cells, fps, sizes, mask, numbers, radius, similarity)
+            a, b = similar_rows(ids, hashes, pairs, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    heavy = near.groupBy("cell").agg(F.sum("size").alias("n")).filter(F.col("n") > most)
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(most)), F.lit(1)).cast("int")
+    dealt = (
+        near.join(heavy, "cell", "left")
+        .withColumn("parts", parts)
+        .withColumn("part", F.pmod(F.xxhash64("id", "tag"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("cell", F.xxhash64("cell", F.least("part", "other"), F.greatest("part", "other")))
+        .join(sets, ["id", "tag"])
+        .select("cell", "id", "fp", "size", "mask", "hashes")
     )
+    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
 
 
 def near_groups(
@@ -457,10 +549,10 @@ def near_dedup(
 
     Texts are linked if the Jaccard of their shingle sets is ``similarity`` or more;
     fingerprints only find the pairs to look at.  Equal sets are merged first.  Pairs
-    of near fingerprints that span their neighbourhoods are looked at before all
-    others, so that within a group of near copies most pairs need no look.  Rows
-    without id stay, as they are in no group; of repeated rows with one id all stay
-    or none.
+    are looked at in the task of their cell, unless links found there join them
+    already, so within a group of near copies most pairs need no look, and no step
+    makes a row for each pair.  Rows without id stay, as they are in no group; of
+    repeated rows with one id all stay or none.
     """
     spark = docs.sparkSession
     named = docs.filter(F.col(id_col).isNotNull())
@@ -472,15 +564,11 @@ def near_dedup(
     )
     radius = candidate_radius(similarity, bits)
     masks = sampled_masks(reps.count(), similarity, bits, radius)
-    tight = int(bits * _apart((1 + similarity) / 2))
-    first = cut(candidates(reps.withColumn("group", F.col("id")), masks, tight, similarity, True))
-    sure = cut(similar(first, named, id_col, text_col, similarity, words))
+    tagged = reps.withColumn("tag", F.xxhash64("digest"))
+    near = cut(candidates(tagged, masks, radius, similarity, bits))
     release(spark)
-    groups = components(sure).select(F.col("node").alias("id"), F.col("component").alias("group"))
-    grouped = reps.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
-    others = cut(candidates(grouped, masks, radius, similarity, False).join(first, ["a", "b"], "left_anti"))
-    links = sure.unionByName(similar(others, named, id_col, text_col, similarity, words))
-    found = components(cut(links))
+    sets = shingle_sets(named, id_col, text_col, words, cut(near.select("id", "tag").distinct()))
+    found = components(similar(near, sets, masks, radius, similarity, bits))
     release(spark)
     merged = reps.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from mapstrata.llm import exact_dedup, simhash, substring, suffix
 from mapstrata.llm.common import components, split_by_ids
@@ -189,6 +190,29 @@ def test_near_dedup_keeps_texts_below_the_similarity(spark):
     assert kept == sorted({i for i, _ in rows} - {b for _, b in pairs})
 
 
+def test_near_dedup_makes_no_row_for_each_pair(spark):
+    """A family of texts that are near and not similar, and a near copy of some: the rows of the
+    candidates grow with the texts, the links with the copies."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    head = [word() for _ in range(200)]
+    rows = [(i, " ".join(head + [word() for _ in range(50)])) for i in range(60)]
+    rows += [(1000 + i, f"{rows[i][1]} {word()}") for i in range(20)]
+    assert sorted(similar_pairs(rows)) == [(i, 1000 + i) for i in range(20)]
+    made = simhash.set_fingerprints(frame(spark, rows), "doc_id", "text", 5, 128)
+    reps = made.withColumn("tag", F.xxhash64("digest"))
+    masks = [1, 2, 1 << 100]
+    near = simhash.candidates(reps, masks, 32, 0.8, 128).cache()
+    assert 80 < near.count() <= len(masks) * len(rows)
+    wanted = near.select("id", "tag").distinct()
+    sets = simhash.shingle_sets(frame(spark, rows), "doc_id", "text", 5, wanted).cache()
+    for most in (1 << 21, 4000):
+        links = simhash.similar(near, sets, masks, 32, 0.8, 128, most).collect()
+        assert {(min(r), max(r)) for r in links} == {(i, 1000 + i) for i in range(20)} and len(links) <= 60
+    kept = sorted(r.doc_id for r in simhash.near_dedup(frame(spark, rows)).collect())
+    assert kept == list(range(60))
+
+
 @pytest.mark.parametrize("rows", [1000, 40_000, 500_000, 15_000_000])
 def test_recall_at_the_similarity(rows):
     """Fingerprints of sets of Jaccard 0.8: near enough and on one key at least 0.99 of the time."""
