@@ -22,6 +22,8 @@ either struct and look at the plane only.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -768,6 +770,18 @@ def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
     return F.exists(edges, holds)
 
 
+def few_edges(edges: Column) -> Column:
+    """Whether there is a single part with FEW_EDGES at most, all of numbers."""
+    part = F.get(edges, F.lit(0))
+    numbers = F.flatten(F.transform(part, lambda e: F.array(*[e[n] for n in _ENDS])))
+    few = (
+        (F.size(edges) == 1)
+        & F.size(part).between(1, FEW_EDGES)
+        & ~F.exists(numbers, lambda v: v.isNull() | F.isnan(v))
+    )
+    return F.coalesce(few, F.lit(False))
+
+
 def with_few_edges(df: DataFrame, edges: str) -> DataFrame:
     """Edges of a single part, FEW_EDGES at most, as plain columns of numbers.
 
@@ -777,13 +791,7 @@ def with_few_edges(df: DataFrame, edges: str) -> DataFrame:
     """
     part = F.get(F.col(edges), F.lit(0))
     first = F.get(part, F.lit(0))
-    numbers = F.flatten(F.transform(part, lambda e: F.array(*[e[n] for n in _ENDS])))
-    few = (
-        (F.size(edges) == 1)
-        & F.size(part).between(1, FEW_EDGES)
-        & ~F.exists(numbers, lambda v: v.isNull() | F.isnan(v))
-    )
-    df = df.withColumn("_few", F.coalesce(few, F.lit(False)))
+    df = df.withColumn("_few", few_edges(F.col(edges)))
     columns = {}
     for i in range(FEW_EDGES):
         e = F.get(part, F.lit(i))
@@ -798,6 +806,38 @@ def few_columns() -> list[str]:
     return ["_few", *[f"_e{i}{n}" for i in range(FEW_EDGES) for n in _ENDS]]
 
 
+_BOUNDS = ("ax", "ay", "dx", "dy", "x0", "x1", "y0", "y1")
+
+
+def edge_bounds() -> dict[str, Column]:
+    """What ``point_in_bounded_edges`` needs to know of a row of ``with_few_edges``."""
+    found = {}
+    for i in range(FEW_EDGES):
+        e = {n: F.col(f"_e{i}{n}") for n in _ENDS}
+        ends = (F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]), F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+        numbers = (e["ax"], e["ay"], e["bx"] - e["ax"], e["by"] - e["ay"], *ends)
+        found |= {f"_b{i}{n}": v for n, v in zip(_BOUNDS, numbers, strict=True)}
+    return found
+
+
+def _bounded(i: int) -> dict[str, Column]:
+    return {n: F.col(f"_b{i}{n}") for n in _BOUNDS}
+
+
+def point_in_bounded_edges(x: Column, y: Column) -> Column:
+    """``point_in_edges`` for a row with ``edge_bounds`` whose few edges tell all.
+
+    Short, as Java compiles no method of more than 8,000 bytes.
+    """
+    touched, odd = [], []
+    for i in range(FEW_EDGES):
+        e = _bounded(i)
+        side = e["dx"] * (y - e["ay"]) - e["dy"] * (x - e["ax"])
+        touched.append((y >= e["y0"]) & (y <= e["y1"]) & (x >= e["x0"]) & (x <= e["x1"]) & (side == 0))
+        odd.append((y >= e["y0"]) & (y < e["y1"]) & (side * e["dy"] > 0))
+    return functools.reduce(operator.ne, odd) | functools.reduce(operator.or_, touched)
+
+
 def point_in_few_edges(x: Column, y: Column, edges: Column) -> Column:
     """``point_in_edges`` for a row of ``with_few_edges``."""
     plain = [{n: F.col(f"_e{i}{n}") for n in _ENDS} for i in range(FEW_EDGES)]
@@ -807,6 +847,30 @@ def point_in_few_edges(x: Column, y: Column, edges: Column) -> Column:
     return F.when(F.col("_few"), odd | touched).otherwise(point_in_edges(x, y, edges))
 
 
+def box_touches_edges(x0: Column, y0: Column, x1: Column, y1: Column, edges: Column) -> Column:
+    """Whether an edge of a row with ``edge_bounds`` may touch a closed box; one that passes very close counts too."""
+
+    def touches(e) -> Column:
+        # Twice the side on which the middle is, and how far the corners may be from it.
+        middle = e["dx"] * (y0 + y1 - 2 * e["ay"]) - e["dy"] * (x0 + x1 - 2 * e["ax"])
+        reach = F.abs(e["dx"]) * (y1 - y0) + F.abs(e["dy"]) * (x1 - x0)
+        size = F.abs(x0) + F.abs(y0) + F.abs(x1) + F.abs(y1) + F.abs(e["ax"]) + F.abs(e["ay"])
+        return (
+            (e["x0"] <= x1)
+            & (e["x1"] >= x0)
+            & (e["y0"] <= y1)
+            & (e["y1"] >= y0)
+            & (F.abs(middle) <= reach + (F.abs(e["dx"]) + F.abs(e["dy"])) * size * 1e-12)
+        )
+
+    def bounds(e: Column) -> dict[str, Column]:
+        ends = {f"{n}{k}": of(e["a" + n], e["b" + n]) for n in "xy" for k, of in enumerate((F.least, F.greatest))}
+        return {"ax": e["ax"], "ay": e["ay"], "dx": e["bx"] - e["ax"], "dy": e["by"] - e["ay"], **ends}
+
+    few = functools.reduce(operator.or_, [touches(_bounded(i)) for i in range(FEW_EDGES)])
+    return F.when(F.col("_few"), few).otherwise(F.exists(F.flatten(edges), lambda e: touches(bounds(e))))
+
+
 def to_native(wkb: Column | str, srid: int = 4326) -> Column:
     """Spark's own in-memory geometry value from WKB bytes.
 

@@ -1,7 +1,9 @@
 """The spatial join by an adaptive cover against all pairs."""
 
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +152,33 @@ def test_few_edges_judge_like_the_parts(spark):
     assert judged.filter("new != old").count() == 0
     assert {r["shape"] for r in judged.filter("_few").select("shape").distinct().collect()} == {0, 1, 2}
     assert judged.filter("old").count() > 100
+
+
+def test_packs_hold_the_points_of_one_square():
+    rng = np.random.default_rng(3)
+    z = np.sort(np.concatenate([rng.integers(0, 1 << 40, 500), rng.integers(0, 1 << 10, 300), np.full(200, 77)]))
+    starts = spatial_join.pack_starts(z, 16)
+    ends = [*starts[1:], len(z)]
+    assert starts[0] == 0 and max(b - a for a, b in zip(starts, ends, strict=True)) <= 16
+    for a, b in zip(starts, ends, strict=True):
+        # The smallest square of a pack holds no point of another one, but for many points on one spot.
+        bits = (int(z[a] ^ z[b - 1]).bit_length() + 1) // 2
+        inside = np.flatnonzero(z >> (2 * bits) == z[a] >> (2 * bits))
+        assert len(set(z[inside])) == 1 or (inside[0], inside[-1] + 1) == (a, b)
+    limited = spatial_join.pack_starts(z, 16, 5)
+    assert all(len(set(z[a:b] >> 10)) == 1 for a, b in zip(limited, [*limited[1:], len(z)], strict=True))
+
+
+def test_points_are_tested_in_one_compiled_step(spark, points, areas):
+    """A pair that is left takes no step outside of compiled code, and Java compiles methods of at most 8,000 bytes."""
+    found = spatial_join.points_in_areas(points, areas.filter("name IN ('square', 'hole', 'tie')"), salts=4)
+    pairs = found.select("id", "name")
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = pairs._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+    last = text.split("== Subtree ")[-1]
+    assert "Generate inline" in last and "Filter" in last.split("Generate inline")[0]
+    assert int(re.search(r"maxMethodCodeSize:(\d+)", last)[1]) < 8000
