@@ -1,15 +1,14 @@
 """Which points lie in which areas, whatever the size of an area and the crowd of points.
 
-An area begins as the grid cells of about its own size that it touches, four at
-most.  A cell with many points is cut into quarters, and these again: quarters that no
+An area of few edges is joined as a whole, see ``spatial_join``.  Any other begins as the grid cells of
+about its own size that it touches, four at most.  A cell with many points is cut into quarters, and these again: quarters that no
 edge of the area touches are inside or dropped, the others keep the edges that
-can matter to a point in them.  A point is looked up in every grid that is in use and
-meets one cell of an area at most.  In an inside cell it needs no further test, in a
+can matter to a point in them.  A point meets one cell of an area at most.  In an inside cell it needs no further test, in a
 border cell it is tested against that cell's edges, not against the whole outline.
 
 How many points a cell has is counted cell by cell.  Only counts over the limit are kept, so these
-are fewer than the points looked up divided by the limit.  Cells that are still crowded are dealt out over as many keys as their
-count asks for.  Points and areas are each read once and kept in the shared folder.
+are fewer than the points looked up divided by the limit.  Cells that are still crowded are dealt out over several keys.
+Points and areas are each kept in the shared folder.
 """
 
 from __future__ import annotations
@@ -17,29 +16,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapstrata.functions.geometry import (
-    _let,
-    edges_of,
-    few_columns,
-    point_in_edges,
-    point_in_few_edges,
-    with_few_edges,
+from mapstrata.functions.geometry import _let, edges_of, few_edges, point_in_edges
+from mapstrata.operators.spatial_join import (
+    BOX,
+    CELL,
+    PIECE_BOX,
+    POINTS_PER_KEY,
+    STEP,
+    _cell,
+    _kept,
+    _level,
+    grid_levels,
+    grid_of,
+    numbers,
+    packed,
+    points_in_pieces,
+    whole_pieces,
 )
-from mapstrata.operators.spatial_join import _cell, _level, _shuffled
-from mapstrata.settings import shared_folder
 
-#: Points that one join key should have at most, and how often a cell may be cut.
-POINTS_PER_KEY = 50_000
+#: How often a cell may be cut.
 MAX_DEPTH = 8
-CELL = ("_level", "_cx", "_cy")
-BOX = ("xmin", "ymin", "xmax", "ymax")
-
-
-def _kept(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows of ``df``, written once to the shared folder."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def _touches(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -167,6 +163,21 @@ def cover(areas: DataFrame, points: DataFrame, limit: int = POINTS_PER_KEY, dept
     return cells.drop("_cuts")
 
 
+def _cell_pieces(cells: DataFrame) -> DataFrame:
+    """Cells of a cover as pieces: what lies of the area's box in the cell, without its upper ends."""
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    x0, y0 = F.col("_cx") * size, F.col("_cy") * size
+    ends = {
+        "_px0": F.greatest(F.col("xmin"), x0),
+        "_py0": F.greatest(F.col("ymin"), y0),
+        "_px1": F.least(F.col("xmax"), x0 + size),
+        "_py1": F.least(F.col("ymax"), y0 + size),
+        "_ex": x0 + size,
+        "_ey": y0 + size,
+    }
+    return cells.withColumns(ends).drop(*CELL)
+
+
 def points_in_areas_by_cover(
     points: DataFrame, areas: DataFrame, limit: int = POINTS_PER_KEY, depth: int = MAX_DEPTH
 ) -> DataFrame:
@@ -176,32 +187,20 @@ def points_in_areas_by_cover(
     polygon kind).  Other columns must not share names.  The result has the
     columns of both but ``geometry``.  Points without a coordinate and areas without an extent are in no pair.
     """
-    kept = _kept(points.filter(F.col("x").isNotNull() & F.col("y").isNotNull()), "points")
-    cells = _kept(cover(areas, kept.select("x", "y"), limit, depth), "cover")
-    levels = _levels(cells)
-    if not levels:
-        return kept.join(cells.drop(*CELL, "_inside", "_edges"), F.lit(False))
-    salts = _crowded(_looked_up(kept.select("x", "y"), levels), limit).select(
-        *CELL, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")
-    )
-    salts = _kept(salts, "salts")
-    some = F.coalesce(F.col("_salts"), F.lit(1))
-    dealt = (
-        _looked_up(kept, levels).join(salts, [*CELL], "left")
-        .withColumn("_salt", F.pmod(F.xxhash64("x", "y", *points.columns), some).cast("int"))
-        .drop("_salts")
-    )
-    spread = (
-        with_few_edges(cells, "_edges").join(salts, [*CELL], "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), some - 1)))
-        .drop("_salts")
-    )
-    pairs = dealt.join(_shuffled(spread), [*CELL, "_salt"]).filter(
-        F.col("_inside")
-        | (
-            F.col("x").between(F.col("xmin"), F.col("xmax"))
-            & F.col("y").between(F.col("ymin"), F.col("ymax"))
-            & point_in_few_edges(F.col("x"), F.col("y"), F.col("_edges"))
-        )
-    )
-    return pairs.drop(*CELL, "_salt", "_inside", "_edges", *few_columns())
+    columns = [c for c in areas.columns if c != "geometry"]
+    edges = edges_of(F.col("geometry")["parts"])
+    shapes = areas.filter(F.col("xmin").isNotNull()).withColumn("_simple", few_edges(edges))
+    shapes = _kept(shapes, "shapes")
+    grids = sorted({-(-level // STEP) * STEP for level in grid_levels(shapes)})
+    packs = packed(points, grids[-1]) if grids else None
+    if packs is None:
+        return points.join(areas.drop("geometry"), F.lit(False))
+    packs = _kept(packs, "packs")
+    simple = whole_pieces(shapes.filter("_simple").drop("_simple")).drop("geometry")
+    spots = packs.select(F.inline("_points")).select("x", "y")
+    cells = _kept(cover(shapes.filter("NOT _simple").drop("_simple"), spots, limit, depth), "cover")
+    pieces = _kept(simple.unionByName(_cell_pieces(cells)), "pieces")
+    box = [F.col(n) for n in PIECE_BOX]
+    grids = numbers(pieces.select(grid_of(*box).alias("_grid")), "_grid")
+    few_only = pieces.filter(~F.col("_inside") & ~few_edges(F.col("_edges"))).isEmpty()
+    return points_in_pieces(packs, pieces, columns, grids, few_only, limit)

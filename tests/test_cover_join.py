@@ -182,3 +182,26 @@ def test_points_are_tested_in_one_compiled_step(spark, points, areas):
     last = text.split("== Subtree ")[-1]
     assert "Generate inline" in last and "Filter" in last.split("Generate inline")[0]
     assert int(re.search(r"maxMethodCodeSize:(\d+)", last)[1]) < 8000
+
+
+def test_an_area_of_few_edges_is_not_cut(spark, points, areas, monkeypatch):
+    """However crowded it is: its pieces would become as many as the points divided by the limit, for every area."""
+    seen = []
+    original = cover_join.cover
+
+    def spying(df, *others):
+        seen.extend(row["name"] for row in df.select("name").collect())
+        return original(df, *others)
+
+    monkeypatch.setattr(cover_join, "cover", spying)
+    found = points_in_areas_by_cover(points, areas, 10)
+    assert sorted((r.id, r.name) for r in found.collect()) == all_pairs(points, areas)
+    assert sorted(seen) == ["comb", "two"]
+
+
+def test_joins_leave_out_points_without_a_number(spark, areas):
+    rows = [(1, float("nan"), 3.0), (2, 3.0, float("inf")), (3, 3.0, 3.0), (4, None, 3.0), (3, 3.0, 3.0)]
+    spots = spark.createDataFrame(rows, "id long, x double, y double")
+    squares = areas.filter("name IN ('square', 'comb')")
+    for found in (spatial_join.points_in_areas(spots, squares), points_in_areas_by_cover(spots, squares)):
+        assert sorted((r.id, r.name) for r in found.collect()) == all_pairs(spots.filter("id = 3"), squares)
