@@ -250,7 +250,8 @@ def _plain(path: str) -> str:
     return path.removeprefix("file:").replace("//", "/") if path.startswith(("file:", "/")) else path
 
 
-def _delete(spark: SparkSession, folders: set[str]) -> None:
+def delete(spark: SparkSession, folders: set[str]) -> None:
+    """Delete folders or files with all that is in them."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -273,7 +274,7 @@ def publish(
     left = {p for p in before if _plain(p) not in after}
     # A table without departments has its first files in the folder that holds its runs.
     old = {p for p in left if _plain(p) != root}
-    _delete(spark, old if len(old) == len(left) else old | _files(spark, table))
+    delete(spark, old if len(old) == len(left) else old | _files(spark, table))
 
 
 def _files(spark: SparkSession, table: str) -> set[str]:
@@ -300,7 +301,7 @@ def sweep(spark: SparkSession, table: str, hours: float = 24) -> list[str]:
         in_use = any(u == _plain(folder) or u.startswith(_plain(folder) + "/") for u in used)
         if mine and not in_use and status.getModificationTime() <= limit:
             left.append(folder)
-    _delete(spark, set(left))
+    delete(spark, set(left))
     return left
 
 

@@ -66,10 +66,10 @@ def _rounded(value: Column, digits: int = 6) -> Column:
 # -- sources ---------------------------------------------------------------
 
 
-def _export(df: DataFrame, path: str, layer: str, srid: int) -> None:
+def _export(df: DataFrame, path: str, layer: str, srid: int, compressed: bool = False) -> None:
     register(df.sparkSession)
     writer = df.write.format("gpkg").mode("append").option("layer", layer)
-    writer.option("srid", srid).save(path)
+    writer.option("srid", srid).option("compressed", str(compressed).lower()).save(path)
 
 
 @query
@@ -108,12 +108,14 @@ def gpkg_roundtrip_z(spark: SparkSession, folder: str) -> DataFrame:
     """Points and road sections with heights: to containers, into tables, back out, with equal
     plane measures; a table that was planar before takes them in."""
     path, schema = shared_folder(spark, "gpkg-z"), new_schema(spark, "heights")
-    _export(_high_points(spark, folder).drop("x", "y", "layer"), path, features.POINT_LAYER, LAMBERT_93)
-    _export(features.high_lines(spark, folder).drop("layer"), path, features.LINE_LAYER, LAMBERT_93)
+    _export(_high_points(spark, folder).drop("x", "y", "layer"), path, features.POINT_LAYER, LAMBERT_93, True)
+    _export(features.high_lines(spark, folder).drop("layer"), path, features.LINE_LAYER, LAMBERT_93, True)
     layers = [features.POINT_LAYER, features.LINE_LAYER]
     flat = LoadSettings(schema, layers=layers, departments="003")
     jobs.load(spark, path, flat)
     jobs.load(spark, path, dataclasses.replace(flat, departments="all", altitudes=True))
+    # The tables have all of the rows now.
+    commits.delete(spark, {path})
     found = []
     for layer in layers:
         rows = spark.table(tables.full_table_name("", schema, TABLE_PREFIX, layer))

@@ -26,11 +26,14 @@ Write options
   layer            name of the layer
   srid             reference system of the file, default 4326
   spatialIndex     ``true`` to write the spatial index that ``window`` uses
-  maxFileBytes     size at which a task starts its next file, default 128 MiB
+  maxFileBytes     size at which a task starts its next file, default 128 MiB, or 32 MiB if ``compressed``
+  compressed       ``true`` for containers in Zstandard frames, ``*.gpkg.zst``
   declared         declared types other than those of the rows, as in ``seen=DATETIME,n=INTEGER``;
                    the values are written as they are
 
 A ``geometry`` column of bytes is taken for WKB and written as it is.
+
+A container ``*.gpkg.zst`` is read like any other, but as a whole: each task that opens it unpacks it in memory.
 """
 
 from __future__ import annotations
@@ -91,7 +94,11 @@ FEATURES_PER_TASK = 200_000
 BATCH_SIZE = 5000
 FILES_PER_LISTING_TASK = 16
 METADATA_THREADS = 16
+COMPRESSED = ".zst"
+SUFFIXES = (".gpkg", ".gpkg" + COMPRESSED)
 MAX_FILE_BYTES = 128 << 20
+# Before compression; about one range of features, as each task has to unpack the whole.
+MAX_COMPRESSED_BYTES = 32 << 20
 # A department code standing alone in a path.
 DEPARTMENT = re.compile(r"(?<![A-Za-z0-9])(D\d{2}[0-9AB])(?![A-Za-z0-9])")
 
@@ -145,7 +152,7 @@ def local_path(path: str) -> str:
 
 
 def find_containers(path: str) -> list[str]:
-    """``*.gpkg`` files at a path, below a folder, or matching a glob; sorted.
+    """``*.gpkg`` and ``*.gpkg.zst`` files at a path, below a folder, or matching a glob; sorted.
 
     Names with a leading ``_`` or ``.`` are unfinished or hidden.
     """
@@ -157,7 +164,7 @@ def find_containers(path: str) -> list[str]:
         for folder, folders, names in os.walk(entry):
             folders[:] = sorted(f for f in folders if not f.startswith(("_", ".")))
             found += [os.path.join(folder, n) for n in sorted(names) if not n.startswith(("_", "."))]
-    found = [name for name in dict.fromkeys(found) if name.endswith(".gpkg")]
+    found = [name for name in dict.fromkeys(found) if name.endswith(SUFFIXES)]
     if not found:
         raise FileNotFoundError(f"no .gpkg file at {path}")
     return found
@@ -170,7 +177,12 @@ def department_of(path: str) -> str | None:
 
 
 def _connect(path: str) -> sqlite3.Connection:
-    connection = sqlite3.connect(f"file:{quote(path)}?mode=ro&immutable=1", uri=True)
+    if path.endswith(COMPRESSED):
+        connection = sqlite3.connect(":memory:")
+        with pa.input_stream(path, compression="zstd") as file:
+            connection.deserialize(file.read())
+    else:
+        connection = sqlite3.connect(f"file:{quote(path)}?mode=ro&immutable=1", uri=True)
     connection.text_factory = lambda raw: raw.decode("utf-8", "replace")
     return connection
 
@@ -844,7 +856,7 @@ class _Container:
         if self.high:  # heights may be there
             self.db.execute("UPDATE gpkg_geometry_columns SET z = 2")
         self.db.commit()
-        with open(path, "wb") as file:
+        with pa.output_stream(path, compression="zstd") if path.endswith(COMPRESSED) else open(path, "wb") as file:
             file.write(self.db.serialize())
         self.db.close()
 
@@ -884,7 +896,9 @@ class GpkgWriter(DataSourceArrowWriter):
         pairs = [p.split("=", 1) for p in options.get("declared", "").split(",") if p]
         self.indexed = _on(options, "spatialindex")
         self.declared = {name.strip(): kind.strip() for name, kind in pairs}
-        self.max_bytes = int(options.get("maxfilebytes", MAX_FILE_BYTES))
+        self.compressed = _on(options, "compressed")
+        most = MAX_COMPRESSED_BYTES if self.compressed else MAX_FILE_BYTES
+        self.max_bytes = int(options.get("maxfilebytes", most))
         self.job = uuid.uuid4().hex[:12]
         self.staging = os.path.join(self.path, "_temporary", self.job)
 
@@ -907,7 +921,7 @@ class GpkgWriter(DataSourceArrowWriter):
 
     def _save(self, container: _Container) -> tuple[str, int]:
         os.makedirs(self.staging, exist_ok=True)
-        name = f"part-{uuid.uuid4().hex[:16]}.gpkg"
+        name = f"part-{uuid.uuid4().hex[:16]}{SUFFIXES[self.compressed]}"
         container.save(os.path.join(self.staging, name))
         return name, container.rows
 
@@ -915,7 +929,7 @@ class GpkgWriter(DataSourceArrowWriter):
         os.makedirs(self.path, exist_ok=True)
         if self.overwrite:
             for name in os.listdir(self.path):
-                if name.endswith(".gpkg"):
+                if name.endswith(SUFFIXES):
                     os.remove(os.path.join(self.path, name))
         files = [file for message in messages if message for file in message.files]
         if not files:  # an empty layer still has its container

@@ -1,5 +1,6 @@
 """Heights of points: texts, containers, tables that were planar, and plane functions beside them."""
 
+import os
 import sqlite3
 import struct
 
@@ -11,6 +12,7 @@ from mapstrata.functions import geometry as g
 from mapstrata.functions.projection import LAMBERT_93, lambert93_to_wgs84, st_transform
 from mapstrata.operators import tables
 from mapstrata.operators.ingest import at_rest, ingest
+from mapstrata.plans import queries
 from mapstrata.plans.jobs import read_layer
 from mapstrata.sources import register, wkb
 
@@ -162,3 +164,40 @@ def test_a_planar_table_takes_heights_in(spark, database):
     tables.replace_departments(flat.withColumn("dept", F.lit("D003")), name, ["D003"], rebalance=True)
     assert spark.table(name).filter("dept = 'D003' AND geometry.heights IS NULL").count() == len(TEXTS)
     assert not tables.add_heights(spark, name)
+
+
+def test_compressed_containers_hold_the_same_rows(spark, tmp_path):
+    register(spark)
+    shape = g.st_geom_from_wkt(F.concat(F.lit("LINESTRING Z (0 0 5, 3 4 "), F.col("id"), F.lit(")")), 2154, True)
+    rows = spark.range(2000).select(F.concat(F.lit("R"), "id").alias("cleabs"), shape.alias("geometry")).coalesce(2)
+    read = {}
+    for kind in ("false", "true"):
+        path = str(tmp_path / kind)
+        writer = rows.write.format("gpkg").mode("append").option("layer", "troncon").option("srid", 2154)
+        writer.option("compressed", kind).option("maxFileBytes", 1 << 16).save(path)
+        back = spark.read.format("gpkg").option("layer", "troncon").option("altitudes", "true").option("featuresPerTask", 300)
+        read[kind] = sorted(map(str, back.load(path).collect()))
+    assert read["true"] == read["false"] and len(read["true"]) == 2000
+    plain, packed = (list((tmp_path / k).iterdir()) for k in ("false", "true"))
+    assert len(plain) == len(packed) == 2 and {p.name.split(".", 1)[1] for p in packed} == {"gpkg.zst"}
+    assert sum(p.stat().st_size for p in packed) * 2 < sum(p.stat().st_size for p in plain)
+
+
+def test_containers_of_the_round_trip_are_deleted(spark, tmp_path, monkeypatch):
+    """They would lie beside the tables that hold all of their rows."""
+    paths = []
+
+    def folder_for(session, purpose):
+        paths.append(f"{tmp_path}/{purpose}")
+        return paths[-1]
+
+    monkeypatch.setattr(queries, "shared_folder", folder_for)
+    for name, kind in (
+        ("customer", "0L c_custkey, 3 c_nationkey, 5.5D c_acctbal, 'X' c_mktsegment"),
+        ("lineitem", "1L l_orderkey, 2L l_partkey, 3L l_suppkey, 1 l_linenumber, 4D l_quantity, 'R' l_returnflag, timestamp'2020-01-01' l_shipdate"),
+    ):
+        spark.sql(f"SELECT {kind}").write.parquet(f"{tmp_path}/in/{name}.parquet")
+    found = queries.gpkg_roundtrip_z(spark, f"{tmp_path}/in").collect()
+    assert sorted((r.layer, r.high, r.n_points) for r in found) == [("point_de_repere", True, 1), ("troncon_de_route", True, 6)]
+    containers = [p for p in paths if p.endswith("gpkg-z")]
+    assert containers and not any(os.path.exists(p) for p in containers)
